@@ -8,13 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.chat import chat_digest
+from docloom.llm.line_dedup import line_digest
 from docloom.llm.shared import table
 from docloom.llm.sharding import shard_documents
+from docloom.llm.url_filter import judge
 
 #: A conversation whose texts hold the template's control strings.
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_digest(spark, table(spark, sf_dir, "documents"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
 def op9_stratified_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), n_shards=40)
 
@@ -50,12 +61,30 @@ FROM sized GROUP BY conv_id
 """
 
 
+OP5_SQL = """
+WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS (
+  SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM docs
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines
+), owned AS (
+  SELECT *, length(key) >= 10 AND doc_id > min(doc_id) OVER (PARTITION BY key) AS lost FROM keyed
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT lost), '')) AS kept_sha256
+FROM owned GROUP BY doc_id
+"""
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_line_dedup": op5_line_dedup,
+        "op6_url_filter": op6_url_filter,
         "op9_stratified_sharding": op9_stratified_sharding,
         "op10_chat_format": op10_chat_format,
     }
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op10_chat_format": OP10_SQL}
+    return {"op5_line_dedup": OP5_SQL, "op10_chat_format": OP10_SQL}
