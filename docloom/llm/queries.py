@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docloom.llm.chat import chat_digest
 from docloom.llm.line_dedup import line_digest
+from docloom.llm.packing import pack, vocabulary_path
 from docloom.llm.shared import table
 from docloom.llm.sharding import shard_documents
 from docloom.llm.url_filter import judge
@@ -17,6 +18,10 @@ from docloom.llm.url_filter import judge
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
+def op3_order_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digest(spark, table(spark, sf_dir, "documents"))
 
@@ -79,6 +84,7 @@ FROM owned GROUP BY doc_id
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_order_packing": op3_order_packing,
         "op5_line_dedup": op5_line_dedup,
         "op6_url_filter": op6_url_filter,
         "op9_stratified_sharding": op9_stratified_sharding,
