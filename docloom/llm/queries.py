@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.chat import chat_digest
+from docloom.llm.decontamination import contamination_digest
 from docloom.llm.line_dedup import line_digest
 from docloom.llm.packing import pack, vocabulary_path
 from docloom.llm.shared import table
@@ -31,6 +32,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_digest(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_stratified_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), n_shards=40)
 
@@ -82,15 +87,45 @@ FROM owned GROUP BY doc_id
 """
 
 
+OP7_SQL = r"""
+WITH item AS (
+  SELECT item_id::VARCHAR AS item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark WHERE item_id IS NOT NULL
+), item_window AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS wide,
+    array_to_string(ws[p:p + least(len(ws), 10) - 1], ' ') AS win
+  FROM item, LATERAL (SELECT unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS p) WHERE len(ws) > 0
+), doc AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws FROM documents
+), wide AS (SELECT DISTINCT wide FROM item_window), place AS (
+  SELECT doc_id, p, wide, array_to_string(ws[p:p + wide - 1], ' ') AS win
+  FROM doc, wide, LATERAL (SELECT unnest(range(1, len(ws) - wide + 2)) AS p)
+), hit AS (
+  SELECT DISTINCT doc_id, p, wide, item_id FROM place JOIN item_window USING (wide, win)
+), words AS (
+  SELECT doc_id, count(DISTINCT p + k) AS n_hit
+  FROM hit, LATERAL (SELECT unnest(range(0, wide)) AS k) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_order_packing": op3_order_packing,
         "op5_line_dedup": op5_line_dedup,
         "op6_url_filter": op6_url_filter,
+        "op7_decontamination": op7_decontamination,
         "op9_stratified_sharding": op9_stratified_sharding,
         "op10_chat_format": op10_chat_format,
     }
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": OP5_SQL, "op10_chat_format": OP10_SQL}
+    return {"op5_line_dedup": OP5_SQL, "op7_decontamination": OP7_SQL, "op10_chat_format": OP10_SQL}

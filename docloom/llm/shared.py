@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +14,7 @@ ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table; read by Spark only, so any file system that Spark knows will do."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))  # where Python workers find this package
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -91,14 +91,14 @@ def words_of(texts: list[bytes], table: np.ndarray) -> Words:
     return Words(hashes, np.searchsorted(starts, text_starts), starts, ends, data)
 
 
-def text_chunks(texts: list[bytes], limit: int = 4_000_000) -> list[tuple[int, int]]:
-    """Ranges of texts of about `limit` bytes together; a longer text has a range of its own."""
+def text_chunks(sizes: list[int], limit: int = 4_000_000) -> list[tuple[int, int]]:
+    """Ranges of texts of about `limit` bytes together, by the texts' sizes; a longer text has a range of its own."""
     out, start, size = [], 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > limit:
+    for i, n in enumerate(sizes):
+        if size and size + n > limit:
             out.append((start, i))
             start, size = i, 0
-        size += len(t) + 1
-    if start < len(texts):
-        out.append((start, len(texts)))
+        size += n + 1
+    if start < len(sizes):
+        out.append((start, len(sizes)))
     return out
