@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docloom.llm.chat import chat_digest
 from docloom.llm.decontamination import contamination_digest
+from docloom.llm.jaccard import jaccard_components
 from docloom.llm.line_dedup import line_digest
 from docloom.llm.packing import pack, vocabulary_path
 from docloom.llm.shared import table
@@ -36,6 +37,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(spark, table(spark, sf_dir, "documents"))
+
+
 def op9_stratified_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), n_shards=40)
 
@@ -122,6 +127,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_line_dedup": op5_line_dedup,
         "op6_url_filter": op6_url_filter,
         "op7_decontamination": op7_decontamination,
+        "op8_jaccard_join": op8_jaccard_join,
         "op9_stratified_sharding": op9_stratified_sharding,
         "op10_chat_format": op10_chat_format,
     }

@@ -102,3 +102,31 @@ def text_chunks(sizes: list[int], limit: int = 4_000_000) -> list[tuple[int, int
     if start < len(sizes):
         out.append((start, len(sizes)))
     return out
+
+
+def shingle_sets(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes of `width` consecutive words, text after text, and where each text's begin.
+
+    A text with fewer words, but not none, has one shingle: all its words.
+    """
+    n_texts = len(words.first) - 1
+    counts = np.diff(words.first)
+    full = np.maximum(counts - width + 1, np.minimum(counts, 1))
+    h, base = words.hashes, np.uint64(BASE)
+    rolled = np.zeros(len(h), dtype=np.uint64)
+    for k in range(width):
+        rolled *= base
+        rolled[: len(h) - k] += h[k:]
+    for t in np.flatnonzero((counts < width) & (counts > 0)):
+        value = int(counts[t])
+        for x in h[words.first[t] : words.first[t + 1]].tolist():
+            value = (value * BASE + x) & MASK
+        rolled[words.first[t]] = value
+    first = np.concatenate([[0], np.cumsum(full)])
+    text = np.repeat(np.arange(n_texts), full)
+    hashes = mix(rolled[np.arange(len(text)) - first[text] + words.first[text]])
+    for t in np.flatnonzero(full > 1):
+        hashes[first[t] : first[t + 1]].sort()
+    fresh = np.ones(len(hashes), dtype=bool)
+    fresh[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])
+    return hashes[fresh], np.searchsorted(text[fresh], np.arange(n_texts + 1))
