@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docloom.llm.chat import chat_digest
 from docloom.llm.decontamination import contamination_digest
 from docloom.llm.jaccard import jaccard_components
+from docloom.llm.language_id import language_report
 from docloom.llm.line_dedup import line_digest
 from docloom.llm.packing import pack, vocabulary_path
 from docloom.llm.shared import table
@@ -20,6 +21,10 @@ from docloom.llm.url_filter import judge
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
+def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_report(spark, table(spark, sf_dir, "documents"))
+
+
 def op3_order_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary_path())
 
@@ -123,6 +128,7 @@ FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_language_mixture": op1_language_mixture,
         "op3_order_packing": op3_order_packing,
         "op5_line_dedup": op5_line_dedup,
         "op6_url_filter": op6_url_filter,
