@@ -12,6 +12,7 @@ from docloom.llm.decontamination import contamination_digest
 from docloom.llm.jaccard import jaccard_components
 from docloom.llm.language_id import language_report
 from docloom.llm.line_dedup import line_digest
+from docloom.llm.nearest import nearest
 from docloom.llm.packing import pack, vocabulary_path
 from docloom.llm.shared import table
 from docloom.llm.sharding import shard_documents
@@ -25,6 +26,10 @@ def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_report(spark, table(spark, sf_dir, "documents"))
 
 
+def op2_nearest_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op3_order_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary_path())
 
@@ -129,6 +134,7 @@ FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_mixture": op1_language_mixture,
+        "op2_nearest_products": op2_nearest_products,
         "op3_order_packing": op3_order_packing,
         "op5_line_dedup": op5_line_dedup,
         "op6_url_filter": op6_url_filter,
