@@ -17,6 +17,7 @@ from docloom.llm.packing import pack, vocabulary_path
 from docloom.llm.shared import table
 from docloom.llm.sharding import shard_documents
 from docloom.llm.url_filter import judge
+from docloom.llm.wrappers import main_text
 
 #: A conversation whose texts hold the template's control strings.
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
@@ -34,6 +35,11 @@ def op3_order_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op4_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = main_text(spark, table(spark, sf_dir, "pages"), carry=["page_id", "url"])
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digest(spark, table(spark, sf_dir, "documents"))
 
@@ -136,6 +142,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_language_mixture": op1_language_mixture,
         "op2_nearest_products": op2_nearest_products,
         "op3_order_packing": op3_order_packing,
+        "op4_html_wrappers": op4_html_wrappers,
         "op5_line_dedup": op5_line_dedup,
         "op6_url_filter": op6_url_filter,
         "op7_decontamination": op7_decontamination,
