@@ -3,10 +3,51 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from docloom.llm.decontamination import decontaminate
+from docloom.llm.jaccard import jaccard_components
+from docloom.llm.language_id import known_language
+from docloom.llm.line_dedup import dedup_lines
+from docloom.llm.packing import pack, vocabulary_path
 from docloom.llm.shared import Workspace, table
 
-STAGES: list = []
+
+def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of no language go."""
+    return known_language(spark, docs)
+
+
+def unique_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that an earlier document holds go; n_chars follows the text. Every document stays."""
+    kept = dedup_lines(spark, docs)
+    changed = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast(dict(docs.dtypes).get("n_chars", "long"))}
+    return kept.withColumns({c: x for c, x in changed.items() if c in docs.columns}).select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near-duplicates the document with the smallest doc_id stays."""
+    groups = jaccard_components(spark, docs)
+    first = groups.filter("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(first, "doc_id", "left_semi").unionByName(docs.filter(F.col("doc_id").isNull()))
+
+
+def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    return decontaminate(spark, docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack(docs, vocabulary_path())
+
+
+STAGES: list = [
+    ("language_id", known_languages),
+    ("line_dedup", unique_lines),
+    ("jaccard_join", one_of_each_group),
+    ("decontamination", clean_of_benchmarks),
+    ("packing", packed),
+]
 
 #: The language model and the packing have no SQL form.
 ORACLE_SQL = None
