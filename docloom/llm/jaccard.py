@@ -6,10 +6,10 @@ box's upper corner. An R-tree over the points is searched with every point, bran
 that the threshold asks for are cut, and the pairs that survive are verified on the shingles themselves.
 
 One tree can't hold a corpus, so points are first dealt to trees, without losing a pair. Linked documents of sizes up to
-U differ in at most D = 2 * U * (100 - t) / (100 + t) shingles. With more than D groups at least one has the same content
-in both. So a document names its groups' contents (`keys`), documents that share a key are candidates, and their
-connected components, clusters, each get a tree. Sizes are cut into levels, each with its own number of groups; a
-document near a level's upper end names groups of the next level too.
+U differ in at most D = 2 * U * (100 - t) / (100 + t) shingles. With more than D groups some have the same content in both.
+So a document names its groups' contents (`keys`), documents that share a key are candidates, and their connected
+components, clusters, each get a tree. Sizes are cut into levels, each with its own number of groups; a document near a
+level's upper end names groups of the next level too.
 
 Documents with equal sets are one class from the start and only its smallest doc_id goes on. A cluster too large for one
 task is cut into chunks, each with the cluster's smallest document beside its own. Documents that this leaves outside the
@@ -37,13 +37,13 @@ LEAF = 32
 class Levels:
     """Sizes up to top[k] (and above top[k - 1]) are level k, with groups[k] groups of which at most apart[k] may differ."""
 
-    def __init__(self, percent: int, largest: int, ratio: float = 1.5):
+    def __init__(self, percent: int, largest: int, ratio: float = 1.25):
         self.percent = percent
         self.top = [1]
         while self.top[-1] < largest:
             self.top.append(max(self.top[-1] + 1, int(self.top[-1] * ratio)))
         self.apart = [2 * top * (100 - percent) // (100 + percent) for top in self.top]
-        self.groups = [d + 2 + d // 32 for d in self.apart]
+        self.groups = [d + 2 + d // 4 for d in self.apart]
 
     def of(self, sizes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """Each level and which of the sets take part in it."""
@@ -56,27 +56,35 @@ class Levels:
                 yield k, takes
 
 
-def group_keys(hashes: np.ndarray, first: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(set, key) of every group content that a set names, ordered by set."""
+def group_keys(hashes: np.ndarray, first: np.ndarray, percent: int, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(set, key) of every group content that a set names, ordered by set.
+
+    With g groups of which d may differ, linked sets agree in at least g - d. A set leaves out its groups of least score,
+    as many whole scores as come to fewer than g - d groups; a score depends on the content alone, so some group that two
+    linked sets agree in is left out by neither. The score is the number of shingles outside `common`: groups without
+    shingles, or with nothing but widespread ones, would make candidates of documents that share a stock phrase.
+    """
     sizes = np.diff(first)
     levels = Levels(percent, int(sizes.max(initial=1)))
     content = mix(hashes + np.uint64(0x632BE59BD9B4E019))
+    rare = np.ones(len(hashes), dtype=np.int64)
+    if len(common):
+        rare -= common[np.minimum(np.searchsorted(common, hashes), len(common) - 1)] == hashes
     owners, keys = [], []
     for k, takes in levels.of(sizes):
-        m, apart = levels.groups[k], levels.apart[k]
+        m, spare = levels.groups[k], levels.groups[k] - levels.apart[k]
         owner = np.repeat(np.arange(len(takes)), sizes[takes])
         at = np.arange(len(owner)) - np.repeat(np.cumsum(sizes[takes]) - sizes[takes], sizes[takes]) + first[takes][owner]
         cell = owner * m + ((hashes[at] >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
         begins = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
-        cells, sums = cell[begins], np.add.reduceat(content[at], begins)
-        # A set whose filled groups could all differ from a linked one's names its empty groups too.
-        filled = np.bincount(cells // m, minlength=len(takes))
-        if (few := np.flatnonzero(filled <= apart)).size:
-            every = (few[:, None] * m + np.arange(m)).ravel()
-            empty = every[~np.isin(every, cells)]
-            cells, sums = np.concatenate([cells, empty]), np.concatenate([sums, np.zeros(len(empty), dtype=np.uint64)])
-        owners.append(takes[cells // m])
-        keys.append(mix(sums ^ mix((cells % m + (k << 40)).astype(np.uint64))))
+        score, sums = np.zeros(len(takes) * m, dtype=np.int64), np.zeros(len(takes) * m, dtype=np.uint64)
+        score[cell[begins]] = np.minimum(np.add.reduceat(rare[at], begins), 15)
+        sums[cell[begins]] = np.add.reduceat(content[at], begins)
+        by_score = np.bincount(np.repeat(np.arange(len(takes)), m) * 16 + score, minlength=16 * len(takes)).reshape(-1, 16)
+        least = (np.cumsum(by_score, axis=1) < spare).sum(axis=1)  # the lowest score that isn't left out
+        named = np.flatnonzero(score >= np.repeat(least, m))
+        owners.append(takes[named // m])
+        keys.append(mix(sums[named] ^ mix((named % m + (k << 40)).astype(np.uint64))))
     if not owners:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
     owner, key = np.concatenate(owners), np.concatenate(keys)
@@ -84,7 +92,25 @@ def group_keys(hashes: np.ndarray, first: np.ndarray, percent: int) -> tuple[np.
     return owner[order], key[order]
 
 
-def set_table(documents: DataFrame, width: int, percent: int) -> DataFrame:
+def common_shingles(documents: DataFrame, width: int, sample_docs: int, least: int) -> np.ndarray:
+    """Sorted hashes of the shingles in at least `least` of about `sample_docs` documents.
+
+    They only order a set's groups, so which ones are found changes the work, never the result.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, _ = shingle_sets(words_of([t or b"" for t in batch.column(0).cast(pa.binary()).to_pylist()], BETWEEN_BLANKS), width)
+            found, n = np.unique(hashes, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n, pa.int64())], ["shingle", "n"])
+
+    share = min(1.0, sample_docs / max(1, documents.count()))
+    sample = documents.filter(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000)) < F.lit(share * 1_000_000)).select("text")
+    counted = sample.distinct().mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    return np.sort(counted.select("shingle").toArrow()["shingle"].to_numpy().astype(np.int64).view(np.uint64))
+
+
+def set_table(documents: DataFrame, width: int, percent: int, common) -> DataFrame:
     """doc_id, n, a, b (a 128-bit hash of the set) and keys (only at a set's first document in each partition)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,7 +128,7 @@ def set_table(documents: DataFrame, width: int, percent: int) -> DataFrame:
                 which = np.flatnonzero(new)
                 part = np.concatenate([hashes[first[i] : first[i + 1]] for i in which] or [hashes[:0]])
                 starts = np.concatenate([[0], np.cumsum(np.diff(first)[which])])
-                owner, key = group_keys(part, starts, percent)
+                owner, key = group_keys(part, starts, percent, common.value)
                 counts = np.zeros(len(rows), dtype=np.int64)
                 counts[which] = np.bincount(owner, minlength=len(which))
                 offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
@@ -274,8 +300,9 @@ def tree_links(rows: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def jaccard_components(
-    spark: SparkSession, documents: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, group_rows: int = 1024, group_shingles: int = 2_000_000
-) -> DataFrame:
+    spark: SparkSession, documents: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, group_rows: int = 1024, group_shingles: int = 2_000_000,
+    sample_docs: int = 4000,
+) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of `documents` (doc_id, text).
 
     Two documents link when 100 * overlap >= percent * union of their distinct shingles; component_id is the smallest
@@ -285,7 +312,8 @@ def jaccard_components(
     """
     work = Workspace(spark, "jaccard")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = work.write(set_table(docs, width, percent), "sets")
+    common = spark.sparkContext.broadcast(common_shingles(docs, width, sample_docs, least=4))  # of a bounded sample
+    sets = work.write(set_table(docs, width, percent, common), "sets")
     classes = work.write(sets.filter("n > 0 and doc_id is not null").groupBy("a", "b").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n")), "classes")
 
     clusters = components(work, work.write(candidate_links(sets), "candidates"), "clusters")
