@@ -1,32 +1,13 @@
-"""Connected components of links, in a task (numpy) and over a whole table (joins and aggregations only)."""
+"""Connected components of a table of links, with joins and aggregations only."""
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.shared import Workspace
 
 
-def local_forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(smallest member, member) of every node that isn't the smallest of its component."""
-    nodes, ends = np.unique(np.concatenate([u, v]), return_inverse=True)
-    a, b = ends[: len(u)], ends[len(u) :]
-    label = np.arange(len(nodes))
-    while True:
-        la, lb = label[a], label[b]
-        apart = la != lb
-        if not apart.any():
-            break
-        a, b, la, lb = a[apart], b[apart], la[apart], lb[apart]
-        np.minimum.at(label, np.maximum(la, lb), np.minimum(la, lb))
-        while (label != (up := label[label])).any():
-            label = up
-    inner = np.flatnonzero(label != np.arange(len(nodes)))
-    return nodes[label[inner]], nodes[inner]
-
-
 def components(work: Workspace, links: DataFrame, name: str) -> DataFrame:
     """node, label (the smallest node reachable) of every node in `links` (u, v).
 

@@ -23,10 +23,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.graph import components, local_forest
+from docloom.llm.graph import components
 from docloom.llm.shared import Workspace
 from docloom.llm.words import BETWEEN_BLANKS, mix, shingle_sets, text_chunks, words_of
 
@@ -150,35 +150,10 @@ def set_hashes(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def candidate_links(sets: DataFrame) -> DataFrame:
-    """u, v: within each partition of keys, a spanning forest of the documents that share one."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key, last_root = None, None
-        u, v, held = [], [], 0
-        for batch in batches:
-            key, doc = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            if not len(key):
-                continue
-            begins = np.concatenate([[key[0] != last_key], key[1:] != key[:-1]])
-            root = np.where(begins, doc, 0)
-            if not begins[0]:
-                root[0] = last_root
-            at = np.maximum.accumulate(np.where(begins, np.arange(len(key)), 0))
-            root = root[at]
-            last_key, last_root = key[-1], root[-1]
-            apart = root != doc
-            u.append(root[apart])
-            v.append(doc[apart])
-            held += int(apart.sum())
-            if held > 1_000_000:
-                a, b = local_forest(np.concatenate(u), np.concatenate(v))
-                u, v, held = [a], [b], 0
-        if u:
-            a, b = local_forest(np.concatenate(u), np.concatenate(v))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["u", "v"])
-
-    rows = sets.filter("new").select(F.explode("keys").alias("key"), "doc_id")
-    return rows.repartition("key").sortWithinPartitions("key", "doc_id").mapInArrow(run, "u long, v long")
+    """u, v: the smallest document that names a key, and each other one that does."""
+    rows = sets.filter("new").select(F.explode("keys").alias("key"), F.col("doc_id").alias("v"))
+    before = Window.partitionBy("key").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumn("u", F.min("v").over(before)).filter("u <> v").select("u", "v").distinct()
 
 
 class RTree:
