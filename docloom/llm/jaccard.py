@@ -301,7 +301,7 @@ def jaccard_components(
     own = F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")
     every = F.when(F.col("doc_id") == F.col("leader"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(own))
     placed = work.write(placed.withColumn("chunk", own).withColumn("in_chunks", every), "placed")
-    texts = placed.join(docs, "doc_id").filter(F.col("text").isNotNull())
+    texts = placed.join(probably_in(docs, placed), "doc_id").filter(F.col("text").isNotNull())
     group = F.xxhash64("cluster", "chunk")
     trees = texts.drop("chunk").withColumn("chunk", F.explode("in_chunks")).select(group.alias("group"), "doc_id", "a", "b", F.col("doc_id").alias("known"), "text")
     links = work.write(tree_links(trees, width, percent), "links")
@@ -320,7 +320,7 @@ def jaccard_components(
             )
             outside = (F.col("label") != F.col("main"))
             meets = F.filter(grid, lambda g: (g["c"] == F.col("chunk")) | (outside & (g["r"] == block)))
-            pairs = both.withColumn("g", F.explode(meets)).join(docs, "doc_id").filter(F.col("text").isNotNull())
+            pairs = both.withColumn("g", F.explode(meets)).join(probably_in(docs, both), "doc_id").filter(F.col("text").isNotNull())
             again = pairs.select(F.xxhash64("cluster", "g.r", "g.c", F.lit("outside")).alias("group"), "doc_id", "a", "b", F.col("label").alias("known"), "text")
             more = work.write(tree_links(again, width, percent), "more-links")
             labels = components(work, links.unionByName(more), "all")
@@ -331,6 +331,15 @@ def jaccard_components(
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
+def probably_in(documents: DataFrame, ids: DataFrame, bits: int = 1 << 24) -> DataFrame:
+    """The documents whose doc_id is among `ids`, and few others: a bitmap of fixed size is broadcast, at most bits / 64 rows."""
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    words = ids.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("_set"))
+    hashed = documents.withColumn("_slot", slot).withColumn("_word", F.shiftright("_slot", 6))
+    kept = hashed.join(F.broadcast(words), "_word").filter(F.expr("_set & shiftleft(1L, cast(_slot & 63 as int)) <> 0"))
+    return kept.select(*documents.columns)
+
+
 def _with_label(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """label: the document's component, itself where it has no link."""
     return rows.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
