@@ -20,6 +20,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +51,7 @@ class WordTokenizer:
     the whole tokenizer.
     """
 
-    def __init__(self, path: str, cache_words: int = 350_000):
+    def __init__(self, path: str, cache_words: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -66,6 +67,12 @@ class WordTokenizer:
         return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
+@lru_cache(maxsize=1)
+def word_tokenizer(path: str) -> WordTokenizer:
+    """One per Python worker: what a task has learned of the corpus's words serves the next one too."""
+    return WordTokenizer(path)
+
+
 class _Words(dict):
     """Two generations of pieces: when the young one is full, it becomes the old one, and what is used again stays."""
 
@@ -80,12 +87,14 @@ class _Words(dict):
         if found is None:
             stem = piece.rstrip(MARKS)
             marks = piece[len(stem) :]
-            if stem.isalpha() if stem.isascii() else LETTERS.fullmatch(stem):
-                ids = [t.id for t in self.tokenize(stem.lower() if stem.isascii() else stem.translate(self.letters))]
-                found = array("I", ids).tobytes() + (self[marks] if marks else b"")
+            plain = stem.lower() if stem.isascii() else stem
+            if stem and (marks or plain != stem):  # what it is made of may be known
+                found = self[plain] + self[marks] if LETTERS.fullmatch(plain) else None
             elif not stem:
                 found = array("I", [t.id for t in self.tokenize(marks)]).tobytes()
-            else:
+            elif LETTERS.fullmatch(stem):
+                found = array("I", [t.id for t in self.tokenize(stem if stem.isascii() else stem.translate(self.letters))]).tobytes()
+            if found is None:
                 found = array("I", self.whole(piece, add_special_tokens=False).ids).tobytes()
         if len(piece) <= 64:  # long junk isn't worth its memory
             if len(self) >= self.limit:
@@ -118,22 +127,20 @@ def cut_stream(doc_ends: np.ndarray, sentence_ends: np.ndarray, size: int = SIZE
     # ascending position and score; those out of reach leave at the head, those a later place beats at the tail.
     p, c = places.tolist(), (cost + size).tolist()
     score, back = [0.0], [0]
-    queue, reach, values, head = [0], [size], [0.0], 0
-    for j in range(1, len(p)):
-        at = p[j]
-        while reach[head] < at:
+    queue, head, first, reach = [0], 0, 0, size
+    for at, value in zip(p[1:], c[1:], strict=True):
+        while reach < at:
             head += 1
-        back.append(queue[head])
-        value = c[j] + values[head]
+            first = queue[head]
+            reach = p[first] + size
+        back.append(first)
+        value += score[first]
+        while len(queue) > head and score[queue[-1]] >= value:
+            queue.pop()
+        queue.append(len(score))
         score.append(value)
-        while len(values) > head and values[-1] >= value:
-            del queue[-1], reach[-1], values[-1]
-        queue.append(j)
-        reach.append(at + size)
-        values.append(value)
-        if head > 4096:
-            del queue[:head], reach[:head], values[:head]
-            head = 0
+        if len(queue) == head + 1:
+            first, reach = queue[head], at + size
     best = [v - at for v, at in zip(score, p, strict=True)]
 
     # The rest of the stream after any cut may instead be windows of powers of two, each cut in it at word_cost.
@@ -173,7 +180,7 @@ def pack(
     columns = PIECES + (", ids array<int>" if with_ids else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, last = WordTokenizer(tokenizer_path), end_id.to_bytes(4, "little")
+        words, last = word_tokenizer(tokenizer_path), end_id.to_bytes(4, "little")
         next_sequence = TaskContext.get().partitionId() << 40
         ids: list[bytes] = []
         names: list[int | None] = []
