@@ -2,7 +2,8 @@
 
 Rows are shuffled by a seeded hash and ranked within their stratum (source); a row's fractional rank is
 (2 * rank - 1) / (2 * stratum size). Sorting all rows by fractional rank interleaves the strata in proportion, so any
-contiguous cut of that order holds the corpus mixture to within a row or so of each stratum.
+contiguous cut of that order holds the corpus mixture: of a stratum with share f, among s strata, a shard has its share
+to within about 1 + s * f rows.
 
 Neither ranking puts a stratum, or all rows, into one task: hashes and fractional ranks are cut into equal buckets of
 about `bucket_rows` rows, ranks are counted within a bucket, and running totals over the small bucket counts give each

@@ -1,0 +1,204 @@
+"""Queries against brute force, exact round trips and held-out accuracy, on the smallest tables and on random inputs."""
+
+import html
+import random
+import re
+import zlib
+from collections import defaultdict
+from pathlib import Path
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from docloom.llm import decontamination, jaccard, packing, sharding
+from docloom.llm.queries import llm_queries
+from docloom.llm.words import ALPHANUMERIC, words_of
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="needs the driver's tables")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def texts(spark):
+    return {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+
+
+def brute_components(texts: dict, percent: int = 85) -> dict:
+    sets = {}
+    for i, t in texts.items():
+        w = re.findall("[^\x20\x09-\x0d]+", (t or "").translate(LOWER))
+        sets[i] = frozenset(tuple(w[k : k + 4]) for k in range(max(1, len(w) - 3))) if w else frozenset()
+    up = {i: i for i in sets}
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    ids = sorted(sets)
+    for a in ids:
+        for b in ids:
+            if a < b and sets[a] and sets[b] and min(len(sets[a]), len(sets[b])) * 100 >= percent * max(len(sets[a]), len(sets[b])):
+                both = len(sets[a] & sets[b])
+                if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                    x, y = root(a), root(b)
+                    up[max(x, y)] = min(x, y)
+    return {i: (len(sets[i]), root(i)) for i in ids}
+
+
+def test_jaccard(spark):
+    out = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in llm_queries()["op8_jaccard_join"](spark, SF).collect()}
+    assert out == brute_components(texts(spark))
+
+
+@pytest.mark.parametrize("group_rows", [3, 1024])
+def test_jaccard_families(spark, group_rows):
+    """Families of near copies at all distances, short texts, and a phrase that all share; small groups force the chunks."""
+    rng = random.Random(5)
+    rows = {}
+    for _ in range(12):
+        base = [f"w{rng.randrange(400)}" for _ in range(rng.choice([5, 8, 12, 40, 90]))]
+        for _ in range(rng.choice([2, 6, 14])):
+            own = list(base)
+            for _ in range(rng.randrange(4)):
+                own[rng.randrange(len(own))] = f"w{rng.randrange(400)}"
+            rows[len(rows)] = " ".join(own + rng.choice([[], ["x"], ["a", "common", "phrase", "at", "the", "end"]]))
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    out = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(spark, docs, group_rows=group_rows).collect()}
+    assert out == brute_components(rows)
+
+
+def test_tree_finds_all_pairs():
+    rng = np.random.default_rng(1)
+    points = rng.integers(0, 4, (150, 8)).astype(np.int32)
+    points[75:] = points[:75]
+    sizes = points.sum(axis=1)
+    found = {(int(a), int(b)) for i, j in jaccard.RTree(points, sizes).candidates(85) for a, b in zip(i, j, strict=True)}
+    want = {(a, b) for b in range(150) for a in range(b) if 185 * np.minimum(points[a], points[b]).sum() >= 85 * (sizes[a] + sizes[b])}
+    assert found == want
+
+
+def test_suffix_array():
+    rng = random.Random(2)
+    docs = [" ".join(rng.choice("abcd") for _ in range(rng.randrange(60))).encode() for _ in range(20)]
+    docs[3] = docs[7]
+    words = words_of(docs, ALPHANUMERIC)
+    array = decontamination.SuffixArray(words, 64)
+    assert sorted(array.order) == list(range(array.n))
+    suffixes = [array.ids[i:].tolist() for i in array.order]
+    assert suffixes == sorted(suffixes)
+
+
+def test_matches_brute_force(spark):
+    rng = random.Random(4)
+    docs = [" ".join(rng.choice("abc") for _ in range(rng.randrange(80))) for _ in range(30)]
+    items = [" ".join(rng.choice("abc") for _ in range(n)) for n in (12, 3, 0, 6, 15)]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    bench = spark.createDataFrame([(f"i{k}", t) for k, t in enumerate(items)], "item_id string, text string")
+    out = {r["doc_id"]: r for r in decontamination.contamination_digest(spark, frame, bench, window=6).collect()}
+    for i, doc in enumerate(docs):
+        w, hit, named = doc.split(), set(), set()
+        for k, item in enumerate(items):
+            v = item.split()
+            n = min(6, len(v))
+            windows = {tuple(v[a : a + n]) for a in range(len(v) - n + 1)} if v else set()
+            for a in range(len(w) - n + 1):
+                if tuple(w[a : a + n]) in windows:
+                    hit.update(range(a, a + n))
+                    named.add(f"i{k}")
+        assert (out[i]["n_words"], out[i]["n_hit"], out[i]["n_items"]) == (len(w), len(hit), len(named))
+
+
+def test_nearest_recall(spark):
+    out = defaultdict(list)
+    for r in llm_queries()["op2_nearest_products"](spark, SF).orderBy("query_id", "rank").collect():
+        out[r["query_id"]].append((r["vec_id"], r["score"]))
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
+    ids, x = np.array([r["vec_id"] for r in rows]), np.array([r["embedding"] for r in rows], dtype=np.float64)
+    found = total = 0
+    for q in np.flatnonzero(ids % 20 == 0):
+        score = x @ x[q]
+        score[q] = -np.inf
+        best = ids[np.lexsort((ids, -score))[: min(20, len(ids) - 1)]]
+        found += len(set(best) & {v for v, _ in out[ids[q]]})
+        total += len(best)
+    assert found >= 0.9 * total
+
+
+def test_language_held_out(spark):
+    truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    out = [r for r in llm_queries()["op1_language_mixture"](spark, SF).collect() if r["held_out"]]
+    assert out and sum(r["lang_pred"] == truth[r["doc_id"]] for r in out) >= 0.97 * len(out)
+    assert all((zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in out)
+
+
+def test_packing_round_trip(spark):
+    tokenizer = Tokenizer.from_file(packing.vocabulary_path())
+    want = {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for i, t in texts(spark).items()}
+    got, windows = defaultdict(list), defaultdict(int)
+    for r in llm_queries()["op3_order_packing"](spark, SF).collect():
+        ids = want[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+        assert r["ids_crc32"] == zlib.crc32(np.array(ids, dtype="<u4").tobytes()) and r["doc_tokens"] == len(want[r["doc_id"]])
+        got[r["doc_id"]].append((r["start"], r["length"]))
+        windows[r["sequence_id"]] += r["length"]
+    for i, pieces in got.items():
+        assert sum(n for _, n in pieces) == len(want[i]) and len(got) == len(want)
+    padding = sum(0 if n & (n - 1) == 0 else 4096 - n for n in windows.values())
+    assert padding <= 0.02 * sum(windows.values())
+
+
+def test_sharding_keeps_the_mixture(spark):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 7).cast("string"))).alias("source"), F.lit("x").alias("text"))
+    out = sharding.interleave(docs, 40, bucket_rows=50)
+    counts = out.groupBy("shard", "source").count().collect()
+    sources = {r["source"] for r in counts}
+    for source in sources:
+        of = [r["count"] for r in counts if r["source"] == source]
+        # At either end a cut is off by half a row of each source at most, shared out in proportion, and a row by rounding.
+        assert len(of) == 40 and max(abs(n - sum(of) / 40) for n in of) <= 1 + len(sources) * sum(of) / 4000
+
+
+def test_html_articles(spark):
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    for r in llm_queries()["op4_html_wrappers"](spark, SF).collect():
+        article = re.search(r"<article>(.*?)(</article>|\Z)", pages[r["page_id"]], re.S)[1]
+        blocks = [" ".join(html.unescape(re.sub("<[^>]*>", "", x.replace("<br>", " "))).split()) for x in re.split(r"</?(?:p|h1|article|div|footer)[^>]*>", article)]
+        assert r["text"] == "\n\n".join(b for b in blocks if b) and r["n_chars"] == len(r["text"])
+
+
+def test_pipeline(spark):
+    """Each stage by its own brute force: what goes, what stays, and the pieces of what is left."""
+    import corpus_pipeline as pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    steps = dict(pipeline.STAGES)
+    first = steps["language_id"](spark, docs, SF)
+    assert first.columns == docs.columns and first.count() == docs.count()
+    lines = steps["line_dedup"](spark, first, SF).cache()
+    assert lines.columns == docs.columns and lines.count() == docs.count()
+    kept, owner = {}, {}
+    own = texts(spark)
+    for i in sorted(own):
+        for line in own[i].split("\n"):
+            key = line.strip(" \t\n\x0b\x0c\r").translate(LOWER)
+            if len(key) >= 10:
+                owner.setdefault(key, i)
+    for i, t in own.items():
+        kept[i] = "\n".join(x for x in t.split("\n") if owner.get(x.strip(" \t\n\x0b\x0c\r").translate(LOWER), i) == i)
+    assert {r["doc_id"]: r["text"] for r in lines.collect()} == kept
+    groups = brute_components(kept)
+    alone = steps["jaccard_join"](spark, lines, SF).cache()
+    assert {r["doc_id"] for r in alone.collect()} == {i for i, (_, c) in groups.items() if c == i}
+    clean = steps["decontamination"](spark, alone, SF)
+    items = [re.findall(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", r["text"].translate(LOWER)) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    windows = {tuple(v[a : a + min(10, len(v))]) for v in items if v for a in range(len(v) - min(10, len(v)) + 1)}
+    sizes = {len(w) for w in windows}
+    good = set()
+    for r in alone.collect():
+        w = re.findall(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", r["text"].translate(LOWER))
+        if not any(tuple(w[a : a + n]) in windows for n in sizes for a in range(len(w) - n + 1)):
+            good.add(r["doc_id"])
+    assert {r["doc_id"] for r in clean.collect()} == good
+    assert {r["doc_id"] for r in pipeline.run(spark, SF).collect()} == good
