@@ -62,7 +62,7 @@ def resume_at(reset_at: Column, now: Column) -> Column:
 def wait_seconds(paused: DataFrame, now: Column, until: str = "resume_at") -> DataFrame:
     """One row: seconds until the last pause ends, 0 if past, 1800 if there is none."""
     left = F.max(F.unix_micros(until)) / 1e6 - F.unix_micros(now) / 1e6
-    return paused.agg(F.coalesce(F.greatest(F.lit(0.0), left), F.lit(60.0 * RECHECK_MINUTES)).alias("wait_seconds"))
+    return paused.agg(F.when(left.isNull(), 60.0 * RECHECK_MINUTES).otherwise(F.greatest(F.lit(0.0), left)).alias("wait_seconds"))
 
 
 def progress(states: DataFrame) -> DataFrame:

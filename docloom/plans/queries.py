@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions.text import text_metrics
-from docloom.operators import blocks, chunks, dictionary, hints, responses, scoring, sheets, states, validation
+from docloom.operators import blocks, chunks, convert, dictionary, hints, responses, scoring, sheets, states, validation
 from docloom.plans.adapters import EXAM, event_log, line_segments, order_questions, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,6 +153,22 @@ def j7_parsed_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return responses.parse_answers(_answers(spark)).withColumn("questions", F.to_json("questions"))
 
 
+def l1_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = convert.prompts(*dry_run(spark))
+    return rows.select("doc_id", "chunk_id", F.sha2(F.col("prompt").cast("binary"), 256).alias("sha256"))
+
+
+def l5_converted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exam text from blocks to checked questions, by the deterministic converter."""
+    made, hinted = dry_run(spark)
+    fixed = dictionary.pre_correct(made).drop("text").withColumnRenamed("corrected_text", "text")
+    answers = convert.convert(convert.prompts(fixed, hinted), convert.marked_converter)
+    keyed = answers.withColumn("key", F.concat_ws("/", "doc_id", "chunk_id"))
+    parsed = responses.parse_answers(keyed, key="key")
+    each = parsed.select(F.col("key").alias("chunk_id"), F.posexplode("questions").alias("pos", "q")).select("chunk_id", "pos", "q.*")
+    return responses.normalise(each).select("chunk_id", "pos", "id", "text", F.to_json("options").alias("options"))
+
+
 def _questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_questions(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
 
@@ -284,7 +300,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         m0_text_metrics, p1_block_offsets, p2_full_text, r1_header_detect, r2_header_sequences, r3_page_asof, r4_option_symbol, c2_segments, c3_packed_segments, c4_chunks,
-        c6_manifest, c7_headers_in_range, h1_hints, h3_tables, d2_pre_correct, d3_term_scan, d7_canonical_terms, d10_validate_term, l9_classified_answers, j1_extracted_json,
+        c6_manifest, c7_headers_in_range, h1_hints, h3_tables, d2_pre_correct, d3_term_scan, d7_canonical_terms, d10_validate_term, l1_prompts, l5_converted, l9_classified_answers, j1_extracted_json,
         j6_normalised, j7_parsed_answers, v0_structure_issues, f0_diff_issues, f2_similarity, f7_odd_lengths, t1_term_issues, k1_confidence, k2_deductions, e2_error_breakdown,
         e4_run_statistics, x1_option_rows, x3_review_rows, x4_statistics_rows, x7_column_widths, st1_registered, st2_forbidden_steps, st3_current_states, st4_pauses, st7_resumable,
         st9_progress,
