@@ -1,8 +1,8 @@
-"""Text measures as column expressions: one projection, no Python, no shuffle. Lengths and offsets count code points."""
+"""Text measures as column expressions: no Python, no shuffle. Lengths and offsets count code points."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values of the measured character classes.
@@ -27,26 +27,41 @@ def _share(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, F.round(part / whole, 4)).otherwise(0.0)
 
 
-def text_metrics(text: Column) -> dict[str, Column]:
-    """The ten measures by name; all zero for a null or empty text. Ratios have four decimals, the mean line length one."""
-    t = F.coalesce(text, F.lit(""))
-    n = F.length(t)
-    count = lambda rx: F.regexp_count(t, F.lit(rx))
-    words = F.regexp_extract_all(t, F.lit(WORD), F.lit(0))
-    mixed = F.filter(words, lambda w: w.rlike(HANGUL) & w.rlike(LATIN))
-    lines = F.split(t, "\n", -1)
-    full = F.filter(lines, lambda x: strip(x) != "")
-    chars = F.aggregate(full, F.lit(0), lambda acc, x: acc + F.length(x))
-    hangul, digits, latin, white = count(HANGUL), count("[0-9]"), count(LATIN), count(WHITE)
-    return {
-        "broken_char_ratio": _share(count(BROKEN), n),
-        "excessive_space_ratio": _share(n - F.length(F.regexp_replace(t, " {2,}", "")), n),
-        "mixed_encoding_ratio": _share(F.size(mixed), F.size(words)),
-        "avg_line_length": F.when(F.size(full) > 0, F.round(chars / F.size(full), 1)).otherwise(0.0),
-        "empty_lines_ratio": F.when(n > 0, _share(F.size(lines) - F.size(full), F.size(lines))).otherwise(0.0),
-        "total_chars": n,
-        "unique_chars": F.when(n > 0, F.size(F.array_distinct(F.split(t, "")))).otherwise(0),
-        "hangul_ratio": _share(hangul, n),
-        "digit_ratio": _share(digits, n),
-        "special_char_ratio": _share(F.greatest(F.lit(0), n - hangul - digits - latin - white), n),
-    }
+MEASURES = (
+    "broken_char_ratio", "excessive_space_ratio", "mixed_encoding_ratio", "avg_line_length", "empty_lines_ratio", "total_chars", "unique_chars", "hangul_ratio", "digit_ratio",
+    "special_char_ratio",
+)
+#: A word with Hangul and Latin letters.
+MIXED = rf"(?<!{WORD[:-1]})(?={WORD[:-1]}*{HANGUL})(?={WORD[:-1]}*{LATIN}){WORD}"
+
+
+def with_text_metrics(rows: DataFrame, text_col: str = "text") -> DataFrame:
+    """Adds the ten MEASURES; all zero for a null or empty text. Ratios have four decimals, the mean line length one.
+
+    What several measures use is a column of its own first, so each pattern runs over a text once.
+    """
+    t = F.col("_t")
+    # Counting by what is left without the matches: regexp_count() would first make an array of them all.
+    chars_of = lambda cls: F.length(t) - F.length(F.regexp_replace(t, f"{cls}+", ""))
+    out = rows.withColumn("_t", F.coalesce(F.col(text_col), F.lit("")))
+    out = out.withColumns({
+        "_n": F.length(t), "_lines": F.split(t, "\n", -1), "_hangul": chars_of(HANGUL), "_latin": chars_of(LATIN), "_digits": chars_of("[0-9]"),
+        "_flat": F.regexp_replace(t, f"{WHITE}+", " "),
+    })
+    # One pass over the white space gives both its length and the number of words.
+    out = out.withColumn("_solid", F.length(F.replace("_flat", F.lit(" "), F.lit(""))))
+    edges = F.startswith("_flat", F.lit(" ")).cast("int") + F.endswith("_flat", F.lit(" ")).cast("int")
+    words = F.when(F.col("_solid") > 0, F.length("_flat") - F.col("_solid") + 1 - edges).otherwise(0)
+    out = out.withColumns({"_white": F.col("_n") - F.col("_solid"), "_words": words})
+    out = out.withColumn("_full", F.filter("_lines", lambda x: x.rlike(WORD))).withColumn("_n_full", F.size("_full"))
+    n, lines = F.col("_n"), F.size("_lines")
+    chars = F.aggregate("_full", F.lit(0), lambda acc, x: acc + F.length(x))
+    mixed = F.when((F.col("_hangul") > 0) & (F.col("_latin") > 0), F.regexp_count(t, F.lit(MIXED))).otherwise(0)
+    other = F.greatest(F.lit(0), n - F.col("_hangul") - F.col("_digits") - F.col("_latin") - F.col("_white"))
+    values = (
+        _share(chars_of(BROKEN), n), _share(n - F.length(F.regexp_replace(t, " {2,}", "")), n), _share(mixed, F.col("_words")),
+        F.when(F.col("_n_full") > 0, F.round(chars / F.col("_n_full"), 1)).otherwise(0.0), F.when(n > 0, _share(lines - F.col("_n_full"), lines)).otherwise(0.0),
+        n, F.when(n > 0, F.size(F.array_distinct(F.split(t, "")))).otherwise(0), _share(F.col("_hangul"), n), _share(F.col("_digits"), n), _share(other, n),
+    )
+    made = dict(zip(MEASURES, values, strict=True))
+    return out.select(*[c for c in rows.columns if c not in made], *[x.alias(name) for name, x in made.items()])

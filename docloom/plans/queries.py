@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.functions.text import text_metrics
+from docloom.functions.text import with_text_metrics
 from docloom.operators import blocks, chunks, convert, dictionary, hints, responses, scoring, sheets, states, validation
 from docloom.plans.adapters import EXAM, event_log, line_segments, order_questions, table
 
@@ -17,7 +17,7 @@ WORDS = (("there", "thre"), ("inyou", "inou"), ("handed", "haned"))
 
 
 def m0_text_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", *[x.alias(name) for name, x in text_metrics(F.col("text")).items()])
+    return with_text_metrics(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
 def p1_block_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:

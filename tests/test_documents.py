@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from docloom.functions.text import estimated_tokens, text_metrics
+from docloom.functions.text import MEASURES, estimated_tokens, with_text_metrics
 from docloom.operators import blocks, chunks, dictionary, hints
 from docloom.plans.adapters import EXAM
 from docloom.plans.queries import dry_run
@@ -90,7 +90,7 @@ def test_manifest_ties(spark):
 
 def test_metrics(spark):
     text = "계약a  b\n\n 가나 12 □　끝"
-    rows = spark.createDataFrame([(text,), ("",), (None,)], "t string").select(*[x.alias(n) for n, x in text_metrics(F.col("t")).items()], estimated_tokens(F.col("t")).alias("tokens")).collect()
+    rows = with_text_metrics(spark.createDataFrame([(text,), ("",), (None,)], "t string").withColumn("tokens", estimated_tokens(F.col("t"))), "t").collect()
     n = len(text)
     r = rows[0]
     assert r["total_chars"] == n and r["unique_chars"] == len(set(text)) and r["tokens"] == math.ceil(n / 2)
@@ -98,7 +98,7 @@ def test_metrics(spark):
     lines = [x for x in text.split("\n") if x.strip()]
     assert r["avg_line_length"] == round(sum(map(len, lines)) / len(lines), 1) and r["empty_lines_ratio"] == round(1 / 3, 4)
     for zero in rows[1:]:
-        assert not any(zero.asDict().values())
+        assert not any(zero[name] for name in MEASURES)
 
 
 def test_hint_parts(spark):
