@@ -35,12 +35,15 @@ LEAF = 32
 
 
 class Levels:
-    """Sizes up to top[k] (and above top[k - 1]) are level k, with groups[k] groups of which at most apart[k] may differ."""
+    """Sizes up to top[k] (and above top[k - 1]) are level k, with groups[k] groups of which at most apart[k] may differ.
+
+    The levels go on as far as a set of the size `largest` may link, whatever the sizes of the sets beside it.
+    """
 
     def __init__(self, percent: int, largest: int, ratio: float = 1.25):
         self.percent = percent
         self.top = [1]
-        while self.top[-1] < largest:
+        while percent * (self.top[-1] + 1) <= 100 * largest:
             self.top.append(max(self.top[-1] + 1, int(self.top[-1] * ratio)))
         self.apart = [2 * top * (100 - percent) // (100 + percent) for top in self.top]
         self.groups = [d + 2 + d // 4 for d in self.apart]

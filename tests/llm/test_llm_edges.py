@@ -130,6 +130,27 @@ def test_jaccard(spark, docs):
     assert jaccard.jaccard_components(spark, docs.limit(0)).count() == 0
 
 
+def test_jaccard_across_levels(spark):
+    # Each pair stands on both sides of a level's upper end, and each text is the largest of its partition.
+    rows = []
+    for k, (n, more) in enumerate(((97, 4), (121, 9), (366, 30), (890, 10), (1113, 1))):
+        words = [f"w{k}x{i}" for i in range(n + more + jaccard.WIDTH - 1)]
+        rows += [(2 * k, " ".join(words[: n + jaccard.WIDTH - 1])), (2 * k + 1, " ".join(words))]
+    single = spark.createDataFrame(spark.sparkContext.parallelize(rows, len(rows)), "doc_id long, text string")
+    out = jaccard.jaccard_components(spark, single).collect()
+    assert {r["doc_id"]: r["component_id"] for r in out} == {i: i // 2 * 2 for i in range(len(rows))}
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85, 99])
+def test_levels_reach_as_far_as_links(percent):
+    for small in range(1, 400):
+        named = {k for k, _ in jaccard.Levels(percent, small).of(np.array([small]))}
+        for large in range(small, 100 * small // percent + 1):
+            levels = jaccard.Levels(percent, large)
+            k = int(np.searchsorted(levels.top, large))
+            assert k in named or not levels.apart[k]
+
+
 def test_sharding(spark, docs):
     out = sharding.shard_documents(docs, n_shards=4).collect()
     sizes = [sum(r["shard"] == s for r in out) for s in range(4)]
