@@ -88,6 +88,17 @@ def test_wrapper_groups():
     assert [x[wrappers.CONSTANT] for x in merged] == ["T", None, "end"]
 
 
+def test_hidden_block_speaks_for_itself(spark):
+    page = "<html><body><article><h1>Title {0}</h1><p>First {0}</p><p>Second {0}</p></article></body></html>"
+    odd = "<html><body><article><p>Shown</p><h2>Part</h2><p hidden>Not shown</p></article></body></html>"
+    rows = [(i, f"http://h.org/{i}", page.format(i)) for i in range(4)] + [(4, "http://h.org/4", odd)]
+    out = wrappers.main_text(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    texts = {r["page_id"]: r["text"] for r in out}
+    assert texts == {i: f"Title {i}\n\nFirst {i}\n\nSecond {i}" for i in range(4)} | {4: "Shown\n\nPart"}
+    mixed = [wrappers.Block("body>p", place, "x", 0) for place in ("plain", "outside", "outside")]
+    assert [(x[wrappers.PLACE], x[wrappers.REPEATED]) for x in wrappers.fold(mixed)] == [("plain", False), ("outside", True)]
+
+
 def test_line_dedup(spark, docs):
     out = line_dedup.dedup_lines(spark, docs)
     rows = {r["doc_id"]: r for r in out.collect()}
