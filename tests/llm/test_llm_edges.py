@@ -99,6 +99,18 @@ def test_hidden_block_speaks_for_itself(spark):
     assert [(x[wrappers.PLACE], x[wrappers.REPEATED]) for x in wrappers.fold(mixed)] == [("plain", False), ("outside", True)]
 
 
+def test_host_with_more_paths_than_a_wrapper_holds(spark):
+    """Containers named after each page's tags: the texts are those that the same pages have on a small table."""
+    word = lambda i: "q" + "".join(chr(97 + int(d)) for d in str(i))
+    part = lambda i, k: f'<div class="tag-{word(4 * i + k)}"><p>Part {k} of page {i}, long enough to count.</p></div>'
+    page = lambda i: f'<body><nav><p>Menu</p></nav><div class="story"><h1>Title {i}</h1>{"".join(part(i, k) for k in range(4))}</div><div class="misc"><p>On every page.</p></div></body>'
+    wanted = {i: "\n\n".join([f"Title {i}", *(f"Part {k} of page {i}, long enough to count." for k in range(4))]) for i in range(180)}
+    for n in (12, 180):
+        rows = spark.sparkContext.parallelize([(i, f"http://h.org/{i}", page(i)) for i in range(n)], 3)
+        out = wrappers.main_text(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+        assert {r["page_id"]: r["text"] for r in out} == {i: wanted[i] for i in range(n)}
+
+
 def test_line_dedup(spark, docs):
     out = line_dedup.dedup_lines(spark, docs)
     rows = {r["doc_id"]: r for r in out.collect()}
