@@ -14,6 +14,7 @@ from docloom.plans.adapters import EXAM, event_log, line_segments, order_questio
 Query = Callable[[SparkSession, str], DataFrame]
 MAX_TOKENS = 200
 WORDS = (("there", "thre"), ("inyou", "inou"), ("handed", "haned"))
+TERMS = (("option", "optoin"), ("returned", "RF"), ("part", "art"))
 
 
 def m0_text_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,7 +218,7 @@ def f2_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def t1_term_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     questions = _questions(spark, sf_dir)
-    return dictionary.term_issues(questions, (("option", "optoin"), ("returned", "RF"), ("part", "art"))).select("chunk_id", "pos", "question_id", "severity", "location", "term", "suggestion")
+    return dictionary.term_issues(questions, TERMS).select("chunk_id", "pos", "question_id", "severity", "location", "term", "suggestion")
 
 
 def _scores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -262,6 +263,48 @@ def x4_statistics_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sheets.statistics_rows(scoring.run_statistics(scoring.flat_questions(questions, scores)), scoring.error_breakdown(found))
 
 
+def _whole_diff(questions: DataFrame) -> DataFrame:
+    return validation.diff_issues(questions, _originals(questions))
+
+
+def _whole_scores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """As _scores, with every issue of the structure, diff and term checks."""
+    questions = _questions(spark, sf_dir)
+    found = validation.structure_issues(questions, F.lit(4)).unionByName(_whole_diff(questions)).unionByName(dictionary.term_issues(questions, TERMS))
+    return questions, found, scoring.confidence(questions.select("chunk_id").distinct(), found)
+
+
+def k1_whole_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _whole_scores(spark, sf_dir)[2]
+
+
+def k2_whole_deductions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.deductions(_whole_scores(spark, sf_dir)[1])
+
+
+def e4_whole_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    questions, _, scores = _whole_scores(spark, sf_dir)
+    return scoring.run_statistics(scoring.flat_questions(questions, scores))
+
+
+def _whole_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    questions, _, scores = _whole_scores(spark, sf_dir)
+    return sheets.option_rows(scoring.flat_questions(questions, scores))
+
+
+def x1_whole_option_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sheets.marks(_whole_rows(spark, sf_dir)).drop("unit", "note")
+
+
+def x3_whole_review_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sheets.review_rows(_whole_rows(spark, sf_dir)).select("chunk_id", "pos", "option_pos", "checked")
+
+
+def x4_whole_statistics_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    questions, found, scores = _whole_scores(spark, sf_dir)
+    return sheets.statistics_rows(scoring.run_statistics(scoring.flat_questions(questions, scores)), scoring.error_breakdown(found))
+
+
 def x7_column_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sheets.column_widths(_rows(spark, sf_dir), ["id", "text", "num", "option", "answer", "explanation", "status"], cap=20)
 
@@ -303,6 +346,6 @@ QUERIES: dict[str, Query] = {
         c6_manifest, c7_headers_in_range, h1_hints, h3_tables, d2_pre_correct, d3_term_scan, d7_canonical_terms, d10_validate_term, l1_prompts, l5_converted, l9_classified_answers, j1_extracted_json,
         j6_normalised, j7_parsed_answers, v0_structure_issues, f0_diff_issues, f2_similarity, f7_odd_lengths, t1_term_issues, k1_confidence, k2_deductions, e2_error_breakdown,
         e4_run_statistics, x1_option_rows, x3_review_rows, x4_statistics_rows, x7_column_widths, st1_registered, st2_forbidden_steps, st3_current_states, st4_pauses, st7_resumable,
-        st9_progress,
+        st9_progress, k1_whole_confidence, k2_whole_deductions, e4_whole_statistics, x1_whole_option_rows, x3_whole_review_rows, x4_whole_statistics_rows,
     )
 }

@@ -3,6 +3,7 @@
 import json
 import os
 import zipfile
+from collections import Counter
 from io import BytesIO
 
 import duckdb
@@ -11,8 +12,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from docloom.operators import convert, responses, scoring, sheets, states, validation
+from docloom.plans.adapters import order_questions
 from docloom.plans.oracles import ORACLES
-from docloom.plans.queries import ANSWERS, QUERIES
+from docloom.plans.queries import ANSWERS, QUERIES, _originals
 from docloom.sources import readers, writers
 from docloom.streaming.state_stream import checked_stream
 
@@ -180,5 +182,28 @@ def test_queries(spark, name):
     assert cells(rows, frame.columns) == cells(found.fetchall(), columns)
 
 
+@pytest.mark.skipif(not os.path.exists(SF), reason="needs the driver's tables")
+def test_whole_scores(spark):
+    """Scores from all issues, counted again in Python."""
+    read = lambda name: QUERIES[name](spark, SF).collect()
+    made = order_questions(*(spark.read.parquet(f"{SF}/{t}.parquet") for t in ("orders", "lineitem")))
+    diffs = validation.diff_issues(made, _originals(made)).collect()
+    kinds = [(r["chunk_id"], "structure_error" if r["severity"] == "ERROR" else "empty_field") for r in read("v0_structure_issues")]
+    kinds += [(r["chunk_id"], "diff_anomaly") for r in diffs] + [(r["chunk_id"], "term_typo") for r in read("t1_term_issues")]
+    counts, weights = Counter(kinds), dict(scoring.WEIGHTS)
+    scores = {r["chunk_id"]: r for r in read("k1_whole_confidence")}
+    assert set(scores) == {r["chunk_id"] for r in made.select("chunk_id").distinct().collect()}
+    for chunk, r in scores.items():
+        assert {k: r[k] for k in weights} == {k: counts[chunk, k] for k in weights}
+        assert r["score"] == pytest.approx(max(0.0, 1 - sum(counts[chunk, k] * w for k, w in weights.items())), abs=1e-9)
+        assert (r["status"] == "AUTO") == (r["score"] >= 0.95)
+    assert {(r["chunk_id"], r["reason"]): r["n"] for r in read("k2_whole_deductions")} == dict(counts)
+    review = {c for c, r in scores.items() if r["status"] == "HUMAN_REVIEW"}
+    assert {r["chunk_id"] for r in read("x3_whole_review_rows")} == review
+    assert read("e4_whole_statistics")[0]["human_review"] == made.filter(F.col("chunk_id").isin(*review)).count()
+    types = Counter(r["issue_type"] for r in [*read("v0_structure_issues"), *diffs]) + Counter(TYPO_REGRESSION=len(read("t1_term_issues")))
+    assert {r["label"]: r["value"] for r in read("x4_whole_statistics_rows") if r["section"] == "issues"} == dict(types)
+
+
 def test_driver_entries():
     assert set(driver.oracle_sql()) <= set(driver.queries())
