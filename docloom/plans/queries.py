@@ -267,6 +267,11 @@ def _whole_diff(questions: DataFrame) -> DataFrame:
     return validation.diff_issues(questions, _originals(questions))
 
 
+def f0_whole_diff_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F3 to F7 together; f0_diff_issues has what SQL can express of them."""
+    return _whole_diff(_questions(spark, sf_dir)).select("chunk_id", "issue_type", "severity", "question_id", "pos", "option_num", "detail")
+
+
 def _whole_scores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """As _scores, with every issue of the structure, diff and term checks."""
     questions = _questions(spark, sf_dir)
@@ -346,6 +351,6 @@ QUERIES: dict[str, Query] = {
         c6_manifest, c7_headers_in_range, h1_hints, h3_tables, d2_pre_correct, d3_term_scan, d7_canonical_terms, d10_validate_term, l1_prompts, l5_converted, l9_classified_answers, j1_extracted_json,
         j6_normalised, j7_parsed_answers, v0_structure_issues, f0_diff_issues, f2_similarity, f7_odd_lengths, t1_term_issues, k1_confidence, k2_deductions, e2_error_breakdown,
         e4_run_statistics, x1_option_rows, x3_review_rows, x4_statistics_rows, x7_column_widths, st1_registered, st2_forbidden_steps, st3_current_states, st4_pauses, st7_resumable,
-        st9_progress, k1_whole_confidence, k2_whole_deductions, e4_whole_statistics, x1_whole_option_rows, x3_whole_review_rows, x4_whole_statistics_rows,
+        st9_progress, f0_whole_diff_issues, k1_whole_confidence, k2_whole_deductions, e4_whole_statistics, x1_whole_option_rows, x3_whole_review_rows, x4_whole_statistics_rows,
     )
 }

@@ -4,6 +4,7 @@ import json
 import os
 import zipfile
 from collections import Counter
+from difflib import SequenceMatcher
 from io import BytesIO
 
 import duckdb
@@ -205,5 +206,17 @@ def test_whole_scores(spark):
     assert {r["label"]: r["value"] for r in read("x4_whole_statistics_rows") if r["section"] == "issues"} == dict(types)
 
 
+@pytest.mark.skipif(not os.path.exists(SF), reason="needs the driver's tables")
+def test_whole_diff(spark):
+    """F3, F5, F6 and F7 as their own queries have them, F4 by difflib here."""
+    made = order_questions(*(spark.read.parquet(f"{SF}/{t}.parquet") for t in ("orders", "lineitem")))
+    alike = {r["chunk_id"]: SequenceMatcher(None, r["original"], r["result"]).ratio() for r in validation.compared(made, _originals(made)).collect()}
+    wanted = Counter((r["chunk_id"], r["issue_type"], r["detail"]) for r in QUERIES["f0_diff_issues"](spark, SF).collect())
+    wanted += Counter((r["chunk_id"], "LENGTH_ANOMALY", r["detail"]) for r in QUERIES["f7_odd_lengths"](spark, SF).collect())
+    odd = Counter((c, "HALLUCINATION", str(round(x, 2))) for c, x in alike.items() if x < 0.5)
+    assert odd
+    assert Counter((r["chunk_id"], r["issue_type"], r["detail"]) for r in QUERIES["f0_whole_diff_issues"](spark, SF).collect()) == wanted + odd
+
+
 def test_driver_entries():
     assert set(driver.oracle_sql()) <= set(driver.queries())
