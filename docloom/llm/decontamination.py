@@ -186,7 +186,7 @@ def item_blocks(benchmark: DataFrame, window: int, block_words: int) -> Iterator
 
 def find_matches(
     spark: SparkSession, documents: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, carry: list[str] | None = None,
-    shard_bytes: int = 4_000_000, block_words: int = 2_000_000,
+    shard_bytes: int = 2_000_000, block_words: int = 2_000_000,
 ) -> DataFrame:
     """The carried columns (all, if not given) plus n_words long and matches, one row per row of `documents`.
 

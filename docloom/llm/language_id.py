@@ -28,6 +28,8 @@ from docloom.llm.words import byte_table, text_chunks, words_of
 
 CELLS = 1 << 16
 UNKNOWN = "und"
+#: Texts are judged in chunks of about so many bytes; a worker holds some 40 times as much meanwhile.
+CHUNK_BYTES = 256_000
 SHARES = ArrayType(StructType().add("lang", "string").add("share", "double"))
 #: Letters: ASCII and all bytes beyond.
 LETTER_BYTES = byte_table([*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)])
@@ -169,7 +171,7 @@ def identify(spark: SparkSession, documents: DataFrame, model: LanguageModel, *,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for batch in batches:
-            for p, q in text_chunks(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()):
+            for p, q in text_chunks(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist(), CHUNK_BYTES):
                 rows = batch.slice(p, q - p)
                 texts = [t or b"" for t in rows.column(1).cast(pa.binary()).to_pylist()]
                 shares = mixtures(texts, model)

@@ -51,13 +51,13 @@ class WordTokenizer:
     the whole tokenizer.
     """
 
-    def __init__(self, path: str, cache_words: int = 500_000):
+    def __init__(self, path: str, cache_bytes: int = 16_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         letters = byte_letters()
         self.letters = {c: "".join(letters[b] for b in chr(c).lower().encode()) for c in range(33, 256)}
-        self.words = _Words(self, cache_words)
+        self.words = _Words(self, cache_bytes)
         ends = [i for t, i in self.tokenizer.get_vocab().items() if t.removesuffix("</w>")[-1:] in SENTENCE_MARKS]
         self.sentence_end = np.zeros(max(self.tokenizer.get_vocab_size(), 3), dtype=bool)
         self.sentence_end[ends] = True
@@ -74,12 +74,15 @@ def word_tokenizer(path: str) -> WordTokenizer:
 
 
 class _Words(dict):
-    """Two generations of pieces: when the young one is full, it becomes the old one, and what is used again stays."""
+    """Two generations of pieces: when the young one is full, it becomes the old one, and what is used again stays.
+
+    A generation is full at `limit` bytes, counted as what Python takes for a piece, its ids and their place.
+    """
 
     def __init__(self, owner: WordTokenizer, limit: int):
         super().__init__({"": b""})
         self.old: dict[str, bytes] = {}
-        self.limit, self.letters = limit, owner.letters
+        self.limit, self.held, self.letters = limit, 0, owner.letters
         self.tokenize, self.whole = owner.tokenizer.model.tokenize, owner.tokenizer.encode
 
     def __missing__(self, piece: str) -> bytes:
@@ -97,8 +100,9 @@ class _Words(dict):
             if found is None:
                 found = array("I", self.whole(piece, add_special_tokens=False).ids).tobytes()
         if len(piece) <= 64:  # long junk isn't worth its memory
-            if len(self) >= self.limit:
-                self.old = dict(self)
+            self.held += 200 + 2 * len(piece) + len(found)
+            if self.held >= self.limit:
+                self.old, self.held = dict(self), 0
                 self.clear()
                 self[""] = b""
             self[piece] = found

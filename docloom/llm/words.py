@@ -1,8 +1,8 @@
 """Words of whole texts as numpy arrays: many texts are one byte buffer, and every step runs over all of it at once.
 
 UTF-8 keeps ASCII bytes apart from all others, so the word classes used here (ranges of ASCII, and everything beyond
-it) can be decided byte by byte. A word's hash is a polynomial of its bytes modulo 2**64, taken from running sums and
-then mixed.
+it) can be decided byte by byte. A word's hash is a polynomial of its bytes modulo 2**64, then
+mixed. Callers cut long batches into chunks (`text_chunks`), which bounds what a worker holds beside one text.
 """
 
 from __future__ import annotations
@@ -51,16 +51,20 @@ def _powers(base: int, n: int) -> np.ndarray:
     return out
 
 
-_UP = _powers(BASE, 1 << 16)
-_DOWN = _powers(pow(BASE, -1, 1 << 64), 1 << 16)
+#: Words of up to STEP bytes need the first table alone; both are of fixed size, whatever the texts.
+STEP = 1 << 14
+_LOW = _powers(BASE, STEP)
+_STEP_POWER = pow(BASE, STEP, 1 << 64)
 
 
-def _grown(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _UP, _DOWN
-    if len(_UP) < n:
-        size = 1 << (n - 1).bit_length()
-        _UP, _DOWN = _powers(BASE, size), _powers(pow(BASE, -1, 1 << 64), size)
-    return _UP, _DOWN
+def _weights(position: np.ndarray) -> np.ndarray:
+    """BASE**position modulo 2**64, where position counts a word's bytes from 0."""
+    out = _LOW[position & (STEP - 1)]
+    long = np.flatnonzero(position >= STEP)
+    if len(long):
+        steps = position[long] // STEP
+        out[long] *= _powers(_STEP_POWER, int(steps.max()) + 1)[steps]
+    return out
 
 
 @dataclass
@@ -82,16 +86,18 @@ def words_of(texts: list[bytes], table: np.ndarray) -> Words:
     if len(data) and inside[0]:
         edges = np.concatenate([[0], edges])
     starts, ends = edges[0::2], edges[1::2]
-    up, down = _grown(len(data) + 1)
-    sums = np.empty(len(data) + 1, dtype=np.uint64)
-    sums[0] = 0
-    np.cumsum(data * up[: len(data)], out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    lengths = ends - starts
+    hashes = np.zeros(len(starts), dtype=np.uint64)
+    if len(starts):
+        before = np.cumsum(lengths) - lengths  # bytes of earlier words
+        position = np.arange(int(lengths.sum())) - np.repeat(before, lengths)
+        hashes = np.add.reduceat(_weights(position) * data[inside], before)
+        hashes = mix(hashes + lengths.astype(np.uint64))
     text_starts = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)])
     return Words(hashes, np.searchsorted(starts, text_starts), starts, ends, data)
 
 
-def text_chunks(sizes: list[int], limit: int = 4_000_000) -> list[tuple[int, int]]:
+def text_chunks(sizes: list[int], limit: int = 1_000_000) -> list[tuple[int, int]]:
     """Ranges of texts of about `limit` bytes together, by the texts' sizes; a longer text has a range of its own."""
     out, start, size = [], 0, 0
     for i, n in enumerate(sizes):
