@@ -137,6 +137,29 @@ FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+#: crc32 by half bytes, low half first: the 16 fixed values are the polynomial 0xEDB88320 applied to each.
+OP9_SQL = r"""
+WITH slim AS (
+  SELECT doc_id, coalesce(source, '') AS source, coalesce(text, '') AS body FROM documents
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY substr(md5('17:' || coalesce(doc_id::VARCHAR, '')), 1, 15)) AS r,
+    count(*) OVER (PARTITION BY source) AS size_of FROM slim
+), placed AS (
+  SELECT *, row_number() OVER (ORDER BY (2 * r - 1)::DOUBLE / (2.0::DOUBLE * size_of), source) - 1 AS spot, count(*) OVER () AS n FROM ranked
+), nibble AS (
+  SELECT doc_id, string_split(hex(encode(body)), '') AS h FROM slim
+), checked AS (
+  SELECT doc_id, xor(4294967295, list_reduce(list_prepend(4294967295,
+    [strpos('0123456789ABCDEF', h[i + 2 * (i % 2) - 1]) - 1 FOR i IN range(1, len(h) + 1) IF len(h) > 1]),
+    lambda crc, b: xor(crc >> 4, [0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948, 3988292384, 4027552580,
+      3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108][1 + (xor(crc, b) & 15)]))) AS crc FROM nibble
+)
+SELECT doc_id, strlen(body) + 16 AS size, crc AS text_crc32, 'rows' AS law, (spot * 40 // n)::INT AS shard,
+  spot - (spot * 40 // n * n + 39) // 40 AS slot, NULL::INT AS grown_shard
+FROM placed JOIN checked USING (doc_id)
+"""
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_mixture": op1_language_mixture,
@@ -153,4 +176,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": OP5_SQL, "op7_decontamination": OP7_SQL, "op10_chat_format": OP10_SQL}
+    return {"op5_line_dedup": OP5_SQL, "op7_decontamination": OP7_SQL, "op9_stratified_sharding": OP9_SQL, "op10_chat_format": OP10_SQL}
