@@ -19,9 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder the cluster shares (spark.checkpoint.dir); a temporary one only where none is set."""
+    """The folder the cluster shares (spark.checkpoint.dir); a temporary one only on a local master where none is set."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="docloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -49,6 +51,18 @@ class Workspace:
         df.write.parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
 
+    def write_bucketed(self, df: DataFrame, name: str, buckets: int, keys: list[str]) -> DataFrame:
+        """A table dealt to `buckets` buckets by `keys` and sorted by them in each: joins on them with a like one need no exchange.
+
+        Only the relation is needed afterwards, so the catalogue's entry goes at once; drop() removes the files.
+        """
+        entry = f"{Path(self.path).name}_{name}".replace("-", "_")
+        df.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", f"{self.path}/{name}").saveAsTable(entry)
+        read = self.spark.table(entry)
+        read.schema  # resolves the entry
+        self.spark.sql(f"DROP TABLE {entry}")
+        return read
+
     def drop(self, *names: str) -> None:
         for name in names:
             self._fs.delete(self._hadoop_path(f"{self.path}/{name}"), True)
