@@ -82,10 +82,45 @@ def test_html(spark):
 def test_wrapper_groups():
     blocks = [wrappers.Block(p, "plain", t, 0) for p, t in (("body>h1", "T"), ("body>dt", "a"), ("body>dd", "b"), ("body>dt", "c"), ("body>dd", "d"), ("body>div", "end"))]
     first = wrappers.fold(blocks)
-    assert [(x[wrappers.PATHS], x[wrappers.REPEATED]) for x in first] == [("body>h1", False), ("body>dt\tbody>dd", True), ("body>div", False)]
-    merged = wrappers.align(first, wrappers.fold(blocks[:1] + blocks[-1:]))
+    assert [(x[wrappers.TOKENS], x[wrappers.REPEATED]) for x in first] == [("body>h1", False), ("body>dt\tbody>dd", True), ("body>div", False)]
+    other = [wrappers.Block("body>h1", "plain", "Another", 0), blocks[-1]]
+    merged = wrappers.align(first, wrappers.fold(other))
     assert [x[wrappers.OPTIONAL] for x in merged] == [False, True, False]
-    assert [x[wrappers.CONSTANT] for x in merged] == ["T", None, "end"]
+    assert [len(x[wrappers.CONSTANTS]) for x in merged] == [0, 4, 1]
+    rare = wrappers.generalised([[f"p{i}", False, i != 3, 1, [1], []] for i in range(8)], most=2)
+    assert [x[wrappers.TOKENS] for x in rare] == ["p0", "p1", "*", "p3", "*"]
+
+
+NAMELESS = """<html><body><div class="x1"><div class="x2"><p>Our house</p><p>Ways to us</p></div><div class="x3"><h1>Heading {0}</h1>{1}<p>Thank you for reading on to the end.</p></div>
+<div class="x4"><p>Printed by the house of words</p></div></div></body></html>"""
+
+
+def nameless_pages(n):
+    """Pages without an article or main element or a telling class; three to six paragraphs each."""
+    texts = {i: [f"Heading {i}", *(f"Paragraph {k} of page {i} speaks at some length of matters of its own." for k in range(3 + i % 4))] for i in range(n)}
+    return texts, [(i, f"http://plain.org/{i}", NAMELESS.format(i, "".join(f"<p>{t}</p>" for t in own[1:]))) for i, own in texts.items()]
+
+
+def test_wrapper_decides_without_telling_names(spark):
+    texts, rows = nameless_pages(30)
+    frame = spark.createDataFrame(spark.sparkContext.parallelize(rows, 3), "page_id long, url string, html string")
+    out = {r["page_id"]: r["text"] for r in wrappers.main_text(spark, frame).collect()}
+    assert out == {i: "\n\n".join(own) for i, own in texts.items()}
+    blocks = wrappers.blocks_of(rows[0][2])
+    assert len(wrappers.extract(blocks, "", set())) == len(blocks) > len(texts[0])  # an empty wrapper takes all
+
+
+def test_copies_of_a_page_make_no_template(spark):
+    _, rows = nameless_pages(1)
+    frame = spark.createDataFrame(spark.sparkContext.parallelize([(i, *rows[0][1:]) for i in range(40)], 8), "page_id long, url string, html string")
+    assert {"Heading 0" in r["text"] for r in wrappers.main_text(spark, frame).collect()} == {True}
+
+
+def test_page_of_many_blocks_is_kept_whole(spark):
+    page = lambda i: "<body>" + "".join(f'<div class="{"".join(chr(97 + int(d)) for d in str(k))}q"><p>Block {k} of {i}</p></div>' for k in range(2000)) + "</body>"
+    rows = [(i, f"http://h.org/{i}", page(i)) for i in range(2)]
+    for r in wrappers.main_text(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect():
+        assert r["text"].split("\n\n") == [f"Block {k} of {r['page_id']}" for k in range(2000)]
 
 
 def test_hidden_block_speaks_for_itself(spark):
@@ -96,7 +131,7 @@ def test_hidden_block_speaks_for_itself(spark):
     texts = {r["page_id"]: r["text"] for r in out}
     assert texts == {i: f"Title {i}\n\nFirst {i}\n\nSecond {i}" for i in range(4)} | {4: "Shown\n\nPart"}
     mixed = [wrappers.Block("body>p", place, "x", 0) for place in ("plain", "outside", "outside")]
-    assert [(x[wrappers.PLACE], x[wrappers.REPEATED]) for x in wrappers.fold(mixed)] == [("plain", False), ("outside", True)]
+    assert [(x[wrappers.TOKENS], x[wrappers.REPEATED]) for x in wrappers.fold(mixed)] == [("body>p", False), ("body>p|outside", True)]
 
 
 def test_host_with_more_paths_than_a_wrapper_holds(spark):
@@ -209,4 +244,4 @@ def test_nearest_edges(spark):
 
 
 def test_wrappers_are_json():
-    assert json.loads(json.dumps(wrappers.fold([wrappers.Block("p", "plain", "x", 0)])))[0][wrappers.PATHS] == "p"
+    assert json.loads(json.dumps(wrappers.fold([wrappers.Block("p", "plain", "x", 0)])))[0][wrappers.TOKENS] == "p"
