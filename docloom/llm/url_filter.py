@@ -6,7 +6,7 @@ them (`fit_rows`, by hash of the URL, the same share of each verdict), so fittin
 is scored.
 
 Features: lengths of URL, host, path and query, depth, labels of the host, digit ratios of host and path, Shannon
-entropy of the host's and the whole URL's characters, counts of parameters, hyphens, dots, percent signs and other
+entropy of the host's and the whole URL's characters (each linear in the length but for the sort of the characters), counts of parameters, hyphens, dots, percent signs and other
 punctuation, scheme, fragment, and suffix statistics: the smoothed block rate and the log count of the URL's top-level
 label, last two labels and path's first segment among the sampled labelled URLs (leave-one-out for the sampled URLs
 themselves, so that a rare suffix doesn't give away its own label).
@@ -56,18 +56,18 @@ def _ratio(chars: str, of: Column) -> Column:
 
 
 def _entropy(of: Column) -> Column:
-    """Bits per character over the printable ASCII characters and one class for all others."""
-    n = F.greatest(F.length(of), F.lit(1)).cast("double")
-    letters = F.split(of, "")
-    sorted_letters = F.concat(F.array_sort(letters), F.array(F.lit("￿￿")))
-    # Run lengths of the sorted characters: positions where the character changes.
-    ends = F.filter(F.sequence(F.lit(1), F.size(sorted_letters) - 1), lambda i: F.get(sorted_letters, i) != F.get(sorted_letters, i - 1))
+    """Bits per character: log2(n) - sum(c * log2(c)) / n over the counts c of n characters, in one pass over the sorted ones."""
+    run = lambda acc: acc["sum"] + F.when(acc["run"] > 1, acc["run"] * F.log2(acc["run"])).otherwise(0.0)
     fold = F.aggregate(
-        ends,
-        F.struct(F.lit(0).alias("last"), F.lit(0.0).alias("sum")),
-        lambda acc, i: F.struct(i.alias("last"), (acc["sum"] - ((i - acc["last"]) / n) * F.log2((i - acc["last"]) / n)).alias("sum")),
+        F.array_sort(F.split(of, "")),
+        F.struct(F.lit("").alias("last"), F.lit(0.0).alias("run"), F.lit(0.0).alias("sum")),
+        lambda acc, c: F.when(acc["last"] == c, F.struct(acc["last"].alias("last"), (acc["run"] + 1.0).alias("run"), acc["sum"].alias("sum"))).otherwise(
+            F.struct(c.alias("last"), F.lit(1.0).alias("run"), run(acc).alias("sum"))
+        ),
+        run,
     )
-    return F.when(F.length(of) == 0, 0.0).otherwise(fold["sum"])
+    n = F.length(of).cast("double")
+    return F.when(n > 1, F.greatest(F.lit(0.0), F.log2(n) - fold / n)).otherwise(0.0)
 
 
 def lexical_features(urls: DataFrame, url_col: str = "url") -> DataFrame:
