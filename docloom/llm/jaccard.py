@@ -7,13 +7,17 @@ that the threshold asks for are cut, and the pairs that survive are verified on
 
 One tree can't hold a corpus, so points are first dealt to trees, without losing a pair. Linked documents of sizes up to
 U differ in at most D = 2 * U * (100 - t) / (100 + t) shingles. With more than D groups some have the same content in both.
-So a document names its groups' contents (`keys`), documents that share a key are candidates, and their connected
-components, clusters, each get a tree. Sizes are cut into levels, each with its own number of groups; a document near a
-level's upper end names groups of the next level too.
+So a document names its groups' contents (`keys`), and only documents that share a key can be linked. Sizes are cut into
+levels, each with its own number of groups; a document near a level's upper end names groups of the next level too.
 
-Documents with equal sets are one class from the start and only its smallest doc_id goes on. A cluster too large for one
-task is cut into chunks, each with the cluster's smallest document beside its own. Documents that this leaves outside the
-cluster's largest component are then joined with every chunk, in blocks; components known so far aren't verified again.
+Documents with equal sets are one class from the start and only its smallest doc_id goes on. The smallest holder of a key
+is its leader, and a document's first leader is the smallest of its keys' leaders. Trees are built in two steps:
+
+1. Each document goes to the tree of its first leader, once. A leader with too many documents for one task has several
+   trees, each with the leader in it. Most families are done with that: all holders of their keys met in one tree.
+2. What is left are keys whose holders didn't all meet, and aren't in one component by what was found. For each leader of
+   such keys, the holders outside the most frequent component meet all holders, in blocks of bounded size. Components
+   known so far aren't verified again. No step follows candidates of candidates.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.graph import components
@@ -152,11 +156,20 @@ def set_hashes(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nd
     return out[0], out[1]
 
 
-def candidate_links(sets: DataFrame) -> DataFrame:
-    """u, v: the smallest document that names a key, and each other one that does."""
-    rows = sets.filter("new").select(F.explode("keys").alias("key"), F.col("doc_id").alias("v"))
-    before = Window.partitionBy("key").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return rows.withColumn("u", F.min("v").over(before)).filter("u <> v").select("u", "v").distinct()
+def leader_stars(work: Workspace, sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """key, u, v: for each key that several classes hold, its leader u and every holder v (u itself too); written.
+
+    Smallest and largest holder are taken before anything moves, so a key that many hold is no group of one task; only
+    rows of keys with several holders go on, found by a bitmap of fixed size, then by a join that Spark can split.
+    """
+    held = sets.filter("new").select(F.explode("keys").alias("key"), F.col("doc_id").alias("doc"))
+    ends = held.groupBy("key").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most").select("key")
+    ends = work.write(ends, "keys")
+    several = probably_in(held, ends, "key").join(ends, "key", "left_semi")
+    named = sets.filter("new").select("doc_id", "a", "b").join(classes.select("a", "b", "rep"), ["a", "b"]).select(F.col("doc_id").alias("doc"), F.col("rep").alias("v"))
+    held = work.write(several.join(named, "doc").select("key", "v").distinct(), "held")
+    leaders = held.groupBy("key").agg(F.min("v").alias("u"), F.max("v").alias("last")).filter("u < last").select("key", "u")
+    return work.write(held.join(leaders, "key").select("key", "u", "v"), "stars")
 
 
 class RTree:
@@ -278,7 +291,7 @@ def tree_links(rows: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def jaccard_components(
-    spark: SparkSession, documents: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, group_rows: int = 1024, group_shingles: int = 2_000_000,
+    spark: SparkSession, documents: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, group_rows: int = 256, group_shingles: int = 2_000_000,
     sample_docs: int = 4000,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of `documents` (doc_id, text).
@@ -294,39 +307,25 @@ def jaccard_components(
     sets = work.write(set_table(docs, width, percent, common), "sets")
     classes = work.write(sets.filter("n > 0 and doc_id is not null").groupBy("a", "b").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n")), "classes")
 
-    clusters = components(work, work.write(candidate_links(sets), "candidates"), "clusters")
-    first = sets.filter("new").select(F.col("doc_id").alias("node"), "a", "b")
-    members = clusters.join(first, "node").groupBy("a", "b").agg(F.min("label").alias("cluster")).join(classes, ["a", "b"])
-    members = work.write(members.select("cluster", F.col("rep").alias("doc_id"), "a", "b", "n"), "members")
-    sizes = members.groupBy("cluster").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles"), F.min("doc_id").alias("leader")).filter("docs > 1")
-    chunks = F.ceil(F.greatest(F.col("docs") / group_rows, F.col("shingles") / group_shingles)).cast("int")
-    placed = members.join(sizes.select("cluster", "leader", chunks.alias("chunks")), "cluster")
-    own = F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")
-    every = F.when(F.col("doc_id") == F.col("leader"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(own))
-    placed = work.write(placed.withColumn("chunk", own).withColumn("in_chunks", every), "placed")
-    texts = placed.join(probably_in(docs, placed), "doc_id").filter(F.col("text").isNotNull())
-    group = F.xxhash64("cluster", "chunk")
-    trees = texts.drop("chunk").withColumn("chunk", F.explode("in_chunks")).select(group.alias("group"), "doc_id", "a", "b", F.col("doc_id").alias("known"), "text")
-    links = work.write(tree_links(trees, width, percent), "links")
+    stars = leader_stars(work, sets, classes)
+    firsts = work.write(stars.filter("u <> v").groupBy("v").agg(F.min("u").alias("leader")), "firsts")
+    members = firsts.unionByName(firsts.select(F.col("leader").alias("v"), "leader").distinct())
+    members = members.join(classes.select(F.col("rep").alias("v"), "a", "b", "n"), "v")
+    sizes = members.groupBy("leader").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles"))
+    sizes = work.write(sizes.select("leader", F.ceil(F.greatest(F.col("docs") / group_rows, F.col("shingles") / group_shingles)).cast("int").alias("chunks")), "sizes")
+    own = F.array(F.pmod(F.xxhash64("v"), F.col("chunks")).cast("int"))
+    every = F.when(F.col("v") == F.col("leader"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(own)
+    placed = members.join(sizes, "leader").withColumn("chunk", F.explode(every))
+    placed = work.write(placed.select(F.xxhash64("leader", "chunk").alias("group"), F.col("v").alias("doc_id"), "a", "b", F.col("v").alias("known")), "placed")
+    links = work.write(tree_links(_texts(docs, placed), width, percent), "links")
     labels = components(work, links, "found")
 
-    large = work.write(_with_label(placed.filter("chunks > 1"), labels), "large")
-    if not large.isEmpty():
-        counted = large.groupBy("cluster", "label").agg(F.count("*").alias("docs"))
-        main = counted.groupBy("cluster").agg(F.max(F.struct("docs", "label"))["label"].alias("main"), (F.sum("docs") - F.max("docs")).alias("outside"))
-        main = main.filter("outside > 0").withColumn("blocks", F.ceil(F.col("outside") / group_rows).cast("int"))
-        both = work.write(large.join(main, "cluster"), "outside")
-        if not both.isEmpty():
-            block = F.pmod(F.xxhash64("doc_id", F.lit("block")), F.col("blocks")).cast("int")
-            grid = F.flatten(
-                F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda r: F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.struct(r.alias("r"), c.alias("c"))))
-            )
-            outside = (F.col("label") != F.col("main"))
-            meets = F.filter(grid, lambda g: (g["c"] == F.col("chunk")) | (outside & (g["r"] == block)))
-            pairs = both.withColumn("g", F.explode(meets)).join(probably_in(docs, both), "doc_id").filter(F.col("text").isNotNull())
-            again = pairs.select(F.xxhash64("cluster", "g.r", "g.c", F.lit("outside")).alias("group"), "doc_id", "a", "b", F.col("label").alias("known"), "text")
-            more = work.write(tree_links(again, width, percent), "more-links")
-            labels = components(work, links.unionByName(more), "all")
+    left = work.write(_unmet(stars, firsts, sizes, labels), "unmet")
+    if not left.isEmpty():
+        blocks = work.write(_blocks(left, group_rows).join(classes.select(F.col("rep").alias("doc_id"), "a", "b"), "doc_id"), "blocks")
+        links = links.unionByName(work.write(tree_links(_texts(docs, blocks), width, percent), "more-links"))
+        labels = components(work, links, "all")
+    work.drop("keys", "held", "stars", "firsts", "sizes", "placed", "unmet", "blocks")
 
     named = _with_label(classes.select("a", "b", F.col("rep").alias("doc_id")), labels).select("a", "b", F.col("doc_id").alias("rep"), "label")
     out = sets.drop("keys", "new").join(named, ["a", "b"], "left")
@@ -334,13 +333,46 @@ def jaccard_components(
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
-def probably_in(documents: DataFrame, ids: DataFrame, bits: int = 1 << 24) -> DataFrame:
-    """The documents whose doc_id is among `ids`, and few others: a bitmap of fixed size is broadcast, at most bits / 64 rows."""
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
-    words = ids.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("_set"))
-    hashed = documents.withColumn("_slot", slot).withColumn("_word", F.shiftright("_slot", 6))
+def _texts(documents: DataFrame, rows: DataFrame) -> DataFrame:
+    return rows.join(probably_in(documents, rows, "doc_id"), "doc_id").filter(F.col("text").isNotNull())
+
+
+def _unmet(stars: DataFrame, firsts: DataFrame, sizes: DataFrame, labels: DataFrame) -> DataFrame:
+    """u, v, label: the holders, by leader, of the keys of several components whose holders weren't all in one tree."""
+    known = stars.join(firsts, "v", "left").join(labels.select(F.col("node").alias("v"), "label"), "v", "left").withColumn("label", F.coalesce("label", "v"))
+    others, own = F.when(F.col("u") != F.col("v"), F.col("leader")), F.when(F.col("u") == F.col("v"), F.col("leader"))
+    ends = [f(x).alias(n) for x, names in ((F.col("label"), ("l0", "l1")), (others, ("p0", "p1"))) for f, n in zip((F.min, F.max), names, strict=True)]
+    keys = known.groupBy("key", "u").agg(*ends, F.max(own).alias("p")).filter("l0 < l1")
+    # All holders were in the trees of one leader, the key's own one too: as that leader, or as one of its documents.
+    met = (F.col("p0") == F.col("p1")) & ((F.col("u") == F.col("p0")) | (F.coalesce("p", F.lit(-1)) == F.col("p0")))
+    keys = keys.withColumn("tree", F.when(met, F.col("p0"))).join(sizes.select(F.col("leader").alias("tree"), "chunks"), "tree", "left").filter("tree IS NULL OR chunks > 1")
+    return known.select("key", "u", "v", "label").join(keys.select("key"), "key", "left_semi").select("u", "v", "label").distinct()
+
+
+def _blocks(left: DataFrame, group_rows: int) -> DataFrame:
+    """group, doc_id, known: of each leader's documents those outside the main component meet all, block by block.
+
+    A document names one row or column of the grid of (outside) blocks and (all documents') chunks, an outside one both.
+    """
+    counted = left.groupBy("u", "label").agg(F.count("*").alias("docs"))
+    main = counted.groupBy("u").agg(F.max(F.struct("docs", "label"))["label"].alias("main"), F.sum("docs").alias("all"), (F.sum("docs") - F.max("docs")).alias("outside"))
+    main = main.select("u", "main", F.ceil(F.col("outside") / group_rows).cast("int").alias("blocks"), F.ceil(F.col("all") / group_rows).cast("int").alias("chunks"))
+    cells = left.join(main, "u").withColumns(
+        {"chunk": F.pmod(F.xxhash64("v"), F.col("chunks")).cast("int"), "block": F.pmod(F.xxhash64("v", F.lit("block")), F.col("blocks")).cast("int"), "outside": F.col("label") != F.col("main")}
+    )
+    column = cells.select("u", "v", "label", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("r"), F.col("chunk").alias("c"))
+    row = cells.filter("outside").withColumn("c", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).filter("c <> chunk").select("u", "v", "label", F.col("block").alias("r"), "c")
+    both = column.unionByName(row)
+    return both.select(F.xxhash64("u", "r", "c", F.lit("outside")).alias("group"), F.col("v").alias("doc_id"), F.col("label").alias("known"))
+
+
+def probably_in(rows: DataFrame, wanted: DataFrame, column: str, bits: int = 1 << 24) -> DataFrame:
+    """The rows whose `column` is among `wanted`'s, and few others: a bitmap of fixed size is broadcast, at most bits / 64 rows."""
+    slot = F.pmod(F.xxhash64(column), F.lit(bits))
+    words = wanted.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("_set"))
+    hashed = rows.withColumn("_slot", slot).withColumn("_word", F.shiftright("_slot", 6))
     kept = hashed.join(F.broadcast(words), "_word").filter(F.expr("_set & shiftleft(1L, cast(_slot & 63 as int)) <> 0"))
-    return kept.select(*documents.columns)
+    return kept.select(*rows.columns)
 
 
 def _with_label(rows: DataFrame, labels: DataFrame) -> DataFrame:

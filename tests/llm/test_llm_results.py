@@ -258,3 +258,48 @@ def test_pipeline(spark):
             good.add(r["doc_id"])
     assert {r["doc_id"] for r in clean.collect()} == good
     assert {r["doc_id"] for r in pipeline.run(spark, SF).collect()} == good
+
+
+def test_jaccard_one_family_with_bridges(spark):
+    """Thousands of near copies of one text, held in many small trees, and a chain whose ends are linked only through its middle."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(120)]
+    rows = {}
+    for _ in range(3000):
+        own = list(base)
+        for _ in range(rng.randrange(3)):
+            own[rng.randrange(len(own))] = f"x{rng.randrange(10**6)}"
+        rows[len(rows)] = " ".join(own)
+    chain = [f"c{i}" for i in range(200)]
+    for step in range(12):  # each differs from the next in few words, from the last in nearly all
+        rows[len(rows)] = " ".join(f"d{i}" if i < 5 * step else w for i, w in enumerate(chain))
+    for step in range(12):  # from the family away
+        rows[len(rows)] = " ".join(f"e{i}" if i < 4 * step else w for i, w in enumerate(base))
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(list(rows.items()), 7), "doc_id long, text string")
+    out = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(spark, docs, group_rows=100).collect()}
+    assert out == quick_components(rows)
+
+
+def quick_components(texts: dict, percent: int = 85) -> dict:
+    """As brute_components, all pairs at once by a matrix product of the shingles' incidence."""
+    names, ids = {}, sorted(texts)
+    sets = []
+    for i in ids:
+        w = texts[i].split()
+        sets.append(sorted({names.setdefault(tuple(w[k : k + 4]), len(names)) for k in range(max(1, len(w) - 3))}))
+    n = np.array([len(x) for x in sets])
+    label = np.arange(len(ids))
+    holders = defaultdict(list)
+    for k, own in enumerate(sets):
+        for x in own:
+            holders[x].append(k)
+    overlap = np.zeros((len(ids), len(ids)), dtype=np.int32)
+    for own in holders.values():
+        overlap[np.ix_(own, own)] += 1
+    linked = 100 * overlap >= percent * (n[:, None] + n[None, :] - overlap)
+    while True:
+        least = np.where(linked, label[None, :], len(ids)).min(axis=1)
+        if (least == label).all():
+            break
+        label = least
+    return {i: (int(n[k]), ids[int(label[k])]) for k, i in enumerate(ids)}
