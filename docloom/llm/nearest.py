@@ -4,10 +4,12 @@ A vector is cut into pairs of coordinates, each coded by one of 16 centroids. Co
 |r|^2 + (eta - 1) * <r, x/|x|>^2 for the residual r: error along the vector, which moves large inner products most, costs
 eta times as much as error across it. With a threshold T (as a share of the norm) eta = (d - 1) * T^2 / (1 - T^2).
 
-Centroids are fitted on the driver on a sample of at most about `fit_rows` vectors. Every row is coded and written with
-its vector. Queries go to the tasks in blocks of about `query_block`; a task adds up four-bit tables (two codes at a time)
-for all its rows, reranks the best `rerank` of every `scan_rows` rows exactly in double precision, ties included, and
-hands on its best k per query. A last ranking per query joins the tasks' lists.
+Centroids are fitted on the driver on a sample of at most about `fit_rows` vectors. Every row is coded; rows are written
+in chunks of at most `scan_rows` (ids, vectors and codes as one row of a table), queries in blocks of at most
+`query_block`. The grid of chunks and blocks is one stage: a task adds up four-bit tables (two codes at a time) for its
+chunk's rows, reranks the best `rerank` of the chunk exactly in double precision, ties at the cut included, and hands on
+its best k per query. So whatever the chunks, every row is reranked that is among the `rerank` best codes of all rows. A
+last ranking per query joins the lists. Nothing but the sample passes through the driver.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.types import FloatType
 
 from docloom.llm.shared import Workspace
 
@@ -117,71 +119,68 @@ def valid_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[Dat
     return (rows.filter(F.size("vector") == sizes["dim"]), sizes["dim"]) if sizes else (rows, 0)
 
 
+def packed(rows: DataFrame, most: int, kind: str, coder=None) -> DataFrame:
+    """ids, vectors and, with a coder, codes: the rows (id, vector) in chunks of at most `most`, each value the chunk's bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, len(batch), most):
+                part = batch.slice(a, most)
+                vectors = matrix(part.column(1), len(part.column(1)[0]))
+                values = [part.column(0).to_numpy().tobytes(), vectors.astype(kind).tobytes()]
+                if coder is not None:
+                    values.append(pack_codes(coder.value.encode(vectors)).tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in values], ["ids", "vectors", "codes"][: len(values)])
+
+    return rows.mapInArrow(run, "ids binary, vectors binary" + (", codes binary" if coder is not None else ""))
+
+
 def nearest(
     spark: SparkSession, vectors: DataFrame, *, k: int = 20, query_every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
-    fit_rows: int = 16_384, query_block: int = 4096, scan_rows: int = 16_384, rerank: int = 256,
+    fit_rows: int = 16_384, query_block: int = 1024, scan_rows: int = 16_384, rerank: int = 256, threshold: float = 0.2, chunk_bytes: int = 8_000_000,
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score of each query's k nearest found: largest inner product, ties to smaller ids.
 
     Queries are the rows whose id is divisible by `query_every`, candidates all rows of another id; fewer than k
     candidates give as many rows. Rows whose vector is null, zero, of another length than most, or holds a null or
     non-finite component take no part, nor do rows without an id. A repeated candidate row is as many candidates; of a
-    repeated query id the smallest vector asks. No queries or an empty table: an empty result.
+    repeated query id the smallest vector asks. No queries or an empty table: an empty result. Other columns aren't read.
     """
     rows, dim = valid_vectors(vectors, id_col, vector_col)
     work = Workspace(spark, "nearest")
-    schema = "query_id long, vec_id long, score double"
     if not dim:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     total = rows.count()
     share = min(1.0, fit_rows / total)
     sample = rows.filter(F.pmod(F.xxhash64("id", F.lit("fit")), F.lit(1_000_000)) < F.lit(share * 1_000_000)).select("vector").toArrow()
     sample = sample if len(sample) else rows.limit(1).select("vector").toArrow()
-    coder = spark.sparkContext.broadcast(Quantiser.fit(matrix(sample["vector"].combine_chunks(), dim)))
+    coder = spark.sparkContext.broadcast(Quantiser.fit(matrix(sample["vector"].combine_chunks(), dim), threshold))
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a in range(0, len(batch), 8192):
-                part = batch.slice(a, 8192)
-                codes = pack_codes(coder.value.encode(matrix(part.column(1), dim)))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([c.tobytes() for c in codes], pa.binary())], ["id", "vector", "code"])
-
-    index = work.write(rows.mapInArrow(encode, StructType([*rows.schema.fields, StructField("code", BinaryType())])), "index")
-    queries = rows.filter(F.col("id") % query_every == 0).groupBy("id").agg(F.min("vector").alias("vector"))
-    n_queries = queries.count()
-    blocks = -(-n_queries // query_block)
-    queries = work.write(queries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(max(1, blocks)))), "queries")
-    found = None
-    for block in range(blocks):
-        hits = _scan(spark, index, queries.filter(F.col("block") == block).orderBy("id"), coder, dim, k, scan_rows, rerank, schema)
-        hits = hits if blocks == 1 else work.write(hits, f"hits-{block}")
-        found = hits if found is None else found.unionByName(hits)
-    if found is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-
-def _scan(spark: SparkSession, index: DataFrame, queries: DataFrame, coder, dim: int, k: int, scan_rows: int, rerank: int, schema: str) -> DataFrame:
-    asked = queries.select("id", "vector").toArrow()  # one block
-    block = spark.sparkContext.broadcast((asked["id"].to_numpy(), matrix(asked["vector"].combine_chunks(), dim)))
+    kind = "<f4" if isinstance(rows.schema["vector"].dataType.elementType, FloatType) else "<f8"
+    most = max(1, chunk_bytes // (8 * dim))
+    index = work.write(packed(rows, min(scan_rows, most), kind, coder), "index")
+    asked = rows.filter(F.col("id") % query_every == 0).groupBy("id").agg(F.min("vector").alias("vector"))
+    asked = work.write(packed(asked, min(query_block, most), kind).toDF("query_ids", "queries"), "queries")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, vectors = block.value
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)]  # query, id, score
         for batch in batches:
-            for a in range(0, len(batch), scan_rows):
-                part = batch.slice(a, scan_rows)
-                codes = np.frombuffer(b"".join(part.column(2).to_pylist()), dtype=np.uint8).reshape(len(part), -1)
-                own, rows = part.column(0).to_numpy(), matrix(part.column(1), dim)
-                for b in range(0, len(ids), 128):
-                    query, vec, score = _best(own, rows, codes, ids[b : b + 128], vectors[b : b + 128], coder.value, k, rerank)
-                    held = [np.concatenate(pair) for pair in zip(held, (query + b, vec, score), strict=True)]
+            for ids, vectors, codes, query_ids, queries in zip(*(batch.column(c) for c in range(5)), strict=True):
+                ids, query_ids = (np.frombuffer(x.as_buffer(), dtype=np.int64) for x in (ids, query_ids))
+                vectors, queries = (np.frombuffer(x.as_buffer(), dtype=kind).astype(np.float64).reshape(-1, dim) for x in (vectors, queries))
+                codes = np.frombuffer(codes.as_buffer(), dtype=np.uint8).reshape(len(ids), -1)
+                for b in range(0, len(query_ids), 128):
+                    query, vec, score = _best(ids, vectors, codes, query_ids[b : b + 128], queries[b : b + 128], coder.value, k, rerank)
+                    held = [np.concatenate(pair) for pair in zip(held, (query_ids[query + b], vec, score), strict=True)]
                 held = _top(*held, k)
-        query, vec, score = held
-        yield pa.RecordBatch.from_arrays([pa.array(ids[query]), pa.array(vec), pa.array(score)], ["query_id", "vec_id", "score"])
+                if len(held[0]) > 1_000_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], ["query_id", "vec_id", "score"])
+                    held = [x[:0] for x in held]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], ["query_id", "vec_id", "score"])
 
-    return index.mapInArrow(run, schema)
+    found = index.crossJoin(asked).mapInArrow(scan, "query_id long, vec_id long, score double")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def _best(ids, vectors, codes, query_ids, queries, coder, k, rerank):

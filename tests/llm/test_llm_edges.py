@@ -241,6 +241,8 @@ def test_nearest_edges(spark):
     out = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in nearest.nearest(spark, vectors, k=3).collect())
     assert out == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (0, 3, 3, 0.5), (100, 1, 3, 0.5), (100, 2, 0, -1.0), (100, 3, 1, -1.0)]
     assert nearest.nearest(spark, vectors.limit(0)).count() == 0
+    twice = nearest.nearest(spark, vectors.unionByName(vectors), k=3).collect()  # a repeated row is two candidates, a repeated query one
+    assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in twice if r["query_id"] == 0) == [(0, 1, 1), (0, 2, 1), (0, 3, 2)]
 
 
 def test_wrappers_are_json():
