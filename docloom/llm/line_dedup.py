@@ -108,8 +108,8 @@ def dedup_lines(spark: SparkSession, documents: DataFrame, batches: int = 4, min
     lost = lost.groupBy(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).agg(F.collect_set("pos").alias("_dropped"))
 
     carried = [c for c in documents.columns if c not in ("kept_text", "n_lines", "n_dropped")]
-    keyed = documents.select(F.struct(*carried).alias("_row"), F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_hash"), F.coalesce("text", F.lit("")).alias("_text"))
-    cut = keyed.join(lost, ["_doc", "_hash"], "left").withColumn("_lines", F.split("_text", "\n", -1))
+    keyed = documents.select(F.struct(*carried).alias("_row"), F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_hash"))
+    cut = keyed.join(lost, ["_doc", "_hash"], "left").withColumn("_text", F.coalesce(F.col("_row")["text"], F.lit(""))).withColumn("_lines", F.split("_text", "\n", -1))
     stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_dropped"))
     kept = F.array_join(F.transform(stay, lambda i: F.get(F.col("_lines"), i)), "\n")
     out = cut.withColumns(
