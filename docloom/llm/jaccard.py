@@ -159,13 +159,12 @@ def set_hashes(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nd
 def leader_stars(work: Workspace, sets: DataFrame, classes: DataFrame) -> DataFrame:
     """key, u, v: for each key that several classes hold, its leader u and every holder v (u itself too); written.
 
-    Smallest and largest holder are taken before anything moves, so a key that many hold is no group of one task; only
-    rows of keys with several holders go on, found by a bitmap of fixed size, then by a join that Spark can split.
+    Holders are counted before anything moves, so a key that many hold is no group of one task; only rows of keys with
+    several holders go on, found by a bitmap of fixed size, then by a join that Spark can split.
     """
     held = sets.filter("new").select(F.explode("keys").alias("key"), F.col("doc_id").alias("doc"))
-    ends = held.groupBy("key").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most").select("key")
-    ends = work.write(ends, "keys")
-    several = probably_in(held, ends, "key").join(ends, "key", "left_semi")
+    shared = work.write(held.groupBy("key").count().filter("count > 1").select("key"), "keys")
+    several = probably_in(held, shared, "key").join(shared, "key")  # inner: a semi join would be moved below the bitmap
     named = sets.filter("new").select("doc_id", "a", "b").join(classes.select("a", "b", "rep"), ["a", "b"]).select(F.col("doc_id").alias("doc"), F.col("rep").alias("v"))
     held = work.write(several.join(named, "doc").select("key", "v").distinct(), "held")
     leaders = held.groupBy("key").agg(F.min("v").alias("u"), F.max("v").alias("last")).filter("u < last").select("key", "u")
