@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Which state may follow which, and from which a run resumes.
@@ -33,14 +35,87 @@ def may_follow(before: Column, after: Column) -> Column:
     return F.when(before.isNull(), after == "CHUNK_READY").when(before == after, True).otherwise(out)
 
 
-def checked_log(log: DataFrame, key: str = "chunk_id", order: str = "seq") -> DataFrame:
-    """The log (key, order, state) with before and allowed."""
-    by = Window.partitionBy(key).orderBy(order)
-    return log.withColumn("before", F.lag("state").over(by)).withColumn("allowed", may_follow(F.col("before"), F.col("state")))
+#: One letter per state; Z is a key that isn't registered.
+CODES = {state: chr(65 + i) for i, state in enumerate(TRANSITIONS)}
+NEW = "Z"
+
+
+def _coded(state: Column) -> tuple[Column, Column]:
+    """A step's letter, and the letters of all states that it may follow; an unknown state follows none."""
+    letter, follows = F.lit("?"), F.lit("")
+    for name, code in CODES.items():
+        before = "".join(c for s, c in CODES.items() if s == name or name in TRANSITIONS[s]) + (NEW if name == "CHUNK_READY" else "")
+        letter, follows = F.when(state == name, code).otherwise(letter), F.when(state == name, before).otherwise(follows)
+    return letter, follows
+
+
+def _after(state: Column, step: Column) -> Column:
+    return F.when(F.contains(step["follows"], state), step["letter"]).otherwise(state)
+
+
+def checked_log(log: DataFrame, key: str = "chunk_id", order: str = "seq", bucket: Column | None = None) -> DataFrame:
+    """The log (key, order, state, ...) with before and allowed; a step that isn't allowed leaves the state as it was.
+
+    `bucket` (of one kind with `order`, never falling as it rises; none: one bucket) cuts a long history. What a bucket's
+    steps make of each state is worked out bucket by bucket, the state at each bucket's start follows from these maps,
+    and then every bucket is read from its own start: no task holds more of a key than a bucket. Steps of equal order
+    are taken by state.
+    """
+    letter, follows = _coded(F.col("state"))
+    step = F.struct(F.col(order).alias("order"), F.coalesce("state", F.lit("")).alias("state"), letter.alias("letter"), follows.alias("follows"), F.struct("*").alias("row"))
+    steps = log.groupBy(F.col(key).alias("_key"), (bucket if bucket is not None else F.lit(0)).alias("_bucket")).agg(F.array_sort(F.collect_list(step), _by_order).alias("_steps"))
+    every = F.array(*[F.lit(c) for c in (*CODES.values(), NEW)])
+    maps = steps.select("_key", "_bucket", F.aggregate("_steps", every, lambda now, x: F.transform(now, lambda s: _after(s, x))).alias("_map"))
+    ordered = maps.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("_bucket", "_map"))).alias("_maps"))
+    place = lambda s: F.array_position(every, s).cast("int")
+    starts = F.aggregate("_maps", F.lit(NEW), lambda all_, m: F.concat(all_, F.get(m["_map"], place(F.right(all_, F.lit(1))) - 1)))
+    entered = ordered.select("_key", starts.alias("_starts"), F.posexplode("_maps").alias("_i", "_m"))
+    entered = entered.select("_key", F.col("_m._bucket").alias("_bucket"), F.substring("_starts", F.col("_i") + 1, F.lit(1)).alias("_start"))
+    joined = steps.join(entered, F.expr("true") & steps["_key"].eqNullSafe(entered["_key"]) & steps["_bucket"].eqNullSafe(entered["_bucket"])).select("_steps", "_start")
+    seen = F.aggregate("_steps", F.col("_start"), lambda all_, x: F.concat(all_, _after(F.right(all_, F.lit(1)), x)))
+    each = joined.select(seen.alias("_seen"), F.posexplode("_steps").alias("_i", "_step"))
+    code = F.substring("_seen", F.col("_i") + 1, F.lit(1))
+    before = F.lit(None).cast("string")
+    for name, c in CODES.items():
+        before = F.when(code == c, name).otherwise(before)
+    each = each.select("_step.row.*", before.alias("before"))
+    return each.withColumn("allowed", F.coalesce(may_follow(F.col("before"), F.col("state")), F.lit(False)))
+
+
+def _by_order(x: Column, y: Column) -> Column:
+    a, b = F.struct(x["order"], x["state"]), F.struct(y["order"], y["state"])
+    return F.when(a < b, -1).when(a > b, 1).otherwise(0)
 
 
-def current_states(log: DataFrame, key: str = "chunk_id", order: str = "seq") -> DataFrame:
-    return log.groupBy(key).agg(F.max_by("state", order).alias("state"), F.count("*").alias("changes"), F.max(order).alias(order))
+def current_states(log: DataFrame, key: str = "chunk_id", order: str = "seq", bucket: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """key, state, changes (steps taken), rejected, order, and of each `keep` column the last value given by a step that was taken.
+
+    Keys of which no step was taken aren't registered and don't appear.
+    """
+    checked = checked_log(log, key, order, bucket)
+    taken = lambda c: F.when(F.col("allowed"), F.col(c))
+    last = [F.max_by(c, F.when(F.col("allowed") & F.col(c).isNotNull(), F.col(order))).alias(c) for c in keep]
+    rows = checked.groupBy(key).agg(
+        F.max_by("state", taken(order)).alias("state"), F.count_if("allowed").alias("changes"), F.count_if(~F.col("allowed")).alias("rejected"), F.max(taken(order)).alias(order), *last
+    )
+    return rows.filter("changes > 0")
+
+
+def merged_metadata(log: DataFrame, key: str = "chunk_id", order: str = "seq", bucket: Column | None = None, column: str = "metadata") -> DataFrame:
+    """key, metadata map: of each name the last value among the steps that were taken."""
+    each = checked_log(log, key, order, bucket).filter("allowed").select(key, order, F.explode(column).alias("name", "value"))
+    last = each.groupBy(key, "name").agg(F.max_by("value", order).alias("value"))
+    return last.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias(column))
+
+
+def history(log: DataFrame, key: str = "chunk_id", order: str = "seq", bucket: Column | None = None) -> DataFrame:
+    """The steps that were taken, a row each, as the log gives them."""
+    return checked_log(log, key, order, bucket).filter("allowed").drop("before", "allowed")
+
+
+def state_of(states: DataFrame, name: object, key: str = "chunk_id") -> DataFrame:
+    """One key's row, none if it isn't registered; the filter reaches the scan."""
+    return states.filter(F.col(key) == F.lit(name))
 
 
 def register(states: DataFrame, keys: DataFrame, key: str = "chunk_id") -> DataFrame:
@@ -65,10 +140,23 @@ def wait_seconds(paused: DataFrame, now: Column, until: str = "resume_at") -> Da
     return paused.agg(F.when(left.isNull(), 60.0 * RECHECK_MINUTES).otherwise(F.greatest(F.lit(0.0), left)).alias("wait_seconds"))
 
 
-def progress(states: DataFrame) -> DataFrame:
-    """One row: keys, those of each group of states, and the share done in percent (one decimal)."""
+def progress(states: DataFrame, duration: str | None = None) -> DataFrame:
+    """One row: keys, those of each group of states, what remains, the share done in percent, and the seconds left.
+
+    `duration` names a column of seconds; the mean of completed keys' (zeros aside) times what remains is eta_seconds,
+    null where there is none. Percent and seconds have one decimal.
+    """
     n = F.count("*")
     done, skipped = F.count_if(F.col("state") == "COMPLETED"), F.count_if(F.col("state") == "SKIPPED")
     failed, paused = F.count_if(F.col("state") == "FAILED"), F.count_if(F.col("state") == "PAUSED_LIMIT")
     share = F.coalesce(F.round(100.0 * (done + skipped) / F.nullif(n, F.lit(0)), 1), F.lit(0.0))
-    return states.agg(n.alias("total"), done.alias("completed"), skipped.alias("skipped"), failed.alias("failed"), paused.alias("paused"), share.alias("percent"))
+    mean = F.avg(F.when((F.col("state") == "COMPLETED") & (F.col(duration) != 0), F.col(duration))) if duration else F.lit(None).cast("double")
+    left = n - done - skipped
+    return states.agg(
+        n.alias("total"), done.alias("completed"), skipped.alias("skipped"), failed.alias("failed"), paused.alias("paused"), left.alias("remaining"), share.alias("percent"),
+        F.round(mean * left, 1).alias("eta_seconds"),
+    )
+
+
+def state_counts(states: DataFrame) -> DataFrame:
+    return states.groupBy("state").agg(F.count("*").alias("n"))

@@ -114,10 +114,28 @@ lost AS (SELECT *, list_sort(list_filter(words, lambda w: NOT contains(result, w
 
 STATES = r"""
 log AS (
-  SELECT user_id AS chunk_id, ts, event_id, CASE event_type WHEN 'signup' THEN 'CHUNK_READY' WHEN 'view' THEN 'SENT' WHEN 'click' THEN 'RESPONDED'
-    WHEN 'purchase' THEN 'COMPLETED' WHEN 'error' THEN 'FAILED' ELSE 'PAUSED_LIMIT' END AS state FROM events
+  SELECT user_id AS chunk_id, event_id, value AS duration, CASE event_type WHEN 'signup' THEN 'CHUNK_READY' WHEN 'view' THEN if(event_id % 2 = 0, 'SENT', 'CHUNK_READY')
+    WHEN 'click' THEN if(event_id % 2 = 0, 'RESPONDED', 'PARSED') WHEN 'purchase' THEN if(event_id % 2 = 0, 'VALIDATED', 'COMPLETED')
+    WHEN 'error' THEN if(event_id % 2 = 0, 'FAILED', 'PAUSED_LIMIT') ELSE 'SENT' END AS state,
+    row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events
 ),
-cur AS (SELECT chunk_id, arg_max(state, (ts, event_id)) AS state, count(*) AS changes FROM log GROUP BY chunk_id)
+may(b, a) AS (VALUES ('PREPARED', 'TEXT_EXTRACTED'), ('PREPARED', 'CHUNK_READY'), ('TEXT_EXTRACTED', 'HINTS_GENERATED'), ('HINTS_GENERATED', 'CHUNKS_CREATED'),
+  ('CHUNKS_CREATED', 'CHUNK_READY'), ('CHUNK_READY', 'SENT'), ('CHUNK_READY', 'SKIPPED'), ('SENT', 'RESPONDED'), ('SENT', 'PAUSED_LIMIT'), ('SENT', 'FAILED'),
+  ('SENT', 'CHUNK_READY'), ('RESPONDED', 'PARSED'), ('RESPONDED', 'FAILED'), ('PARSED', 'VALIDATED'), ('PARSED', 'FAILED'), ('VALIDATED', 'COMPLETED'), ('VALIDATED', 'FAILED'),
+  ('PAUSED_LIMIT', 'CHUNK_READY'), ('FAILED', 'CHUNK_READY'), ('FAILED', 'SKIPPED'), ('SKIPPED', 'CHUNK_READY')),
+walk(chunk_id, rn, before, taken, now) AS (
+  SELECT chunk_id, 0::BIGINT, NULL::VARCHAR, false, NULL::VARCHAR FROM (SELECT DISTINCT chunk_id FROM log)
+  UNION ALL
+  SELECT chunk_id, rn, now, ok, CASE WHEN ok THEN state ELSE now END FROM (
+    SELECT l.chunk_id, l.rn, w.now, l.state, CASE WHEN w.now IS NULL THEN l.state = 'CHUNK_READY' ELSE w.now = l.state OR (w.now, l.state) IN (SELECT (b, a) FROM may) END AS ok
+    FROM walk w JOIN log l ON l.chunk_id = w.chunk_id AND l.rn = w.rn + 1)
+),
+checked AS (SELECT log.*, before, taken FROM walk JOIN log USING (chunk_id, rn)),
+cur AS (
+  SELECT chunk_id, arg_max(state, rn) FILTER (WHERE taken) AS state, count(*) FILTER (WHERE taken) AS changes, count(*) FILTER (WHERE NOT taken) AS rejected,
+    arg_max(duration, rn) FILTER (WHERE taken AND duration IS NOT NULL) AS duration
+  FROM checked GROUP BY chunk_id HAVING count(*) FILTER (WHERE taken) > 0
+)
 """
 
 ORACLES: dict[str, str] = {
@@ -197,18 +215,16 @@ UNION ALL SELECT 'issues', issue_type, count(*)::DOUBLE FROM few GROUP BY issue_
     "x7_column_widths": f"""
 WITH {QUESTIONS}, w AS (UNPIVOT (SELECT id::VARCHAR AS id, text, num, "option", answer, explanation, status FROM rws) ON COLUMNS(*) INTO NAME name VALUE v)
 SELECT name, least(20, max(length(v)) + 2)::INT AS width FROM w GROUP BY name""",
-    "st1_registered": f"WITH {STATES} SELECT DISTINCT c_custkey AS chunk_id, 'CHUNK_READY' AS state FROM customer WHERE c_custkey NOT IN (SELECT chunk_id FROM cur)",
-    "st2_forbidden_steps": f"""
-WITH {STATES}, b AS (SELECT *, lag(state) OVER (PARTITION BY chunk_id ORDER BY ts, event_id) AS before FROM log)
-SELECT chunk_id, event_id, before, state FROM b WHERE NOT CASE WHEN before IS NULL THEN state = 'CHUNK_READY' WHEN before = state THEN true
-  WHEN before = 'CHUNK_READY' THEN state IN ('SENT', 'SKIPPED') WHEN before = 'SENT' THEN state IN ('RESPONDED', 'PAUSED_LIMIT', 'FAILED', 'CHUNK_READY')
-  WHEN before = 'RESPONDED' THEN state IN ('PARSED', 'FAILED') WHEN before = 'FAILED' THEN state IN ('CHUNK_READY', 'SKIPPED')
-  WHEN before = 'PAUSED_LIMIT' THEN state = 'CHUNK_READY' ELSE false END""",
-    "st3_current_states": f"WITH {STATES} SELECT * FROM cur",
+    "st1_registered": f"WITH RECURSIVE {STATES} SELECT DISTINCT c_custkey AS chunk_id, 'CHUNK_READY' AS state FROM customer WHERE c_custkey NOT IN (SELECT chunk_id FROM cur)",
+    "st2_forbidden_steps": f"WITH RECURSIVE {STATES} SELECT chunk_id, event_id, before, state FROM checked WHERE NOT taken",
+    "st3_current_states": f"WITH RECURSIVE {STATES} SELECT * FROM cur",
     "st4_pauses": "SELECT event_id, CASE WHEN ts > TIMESTAMP '2024-01-15' THEN ts ELSE TIMESTAMP '2024-01-15 00:30:00' END AS resume_at FROM events",
     "st7_resumable": f"""
-WITH {STATES} SELECT chunk_id, CASE WHEN state IN ('SENT', 'FAILED') THEN 'CHUNK_READY' ELSE state END AS state FROM cur WHERE state IN ('CHUNK_READY', 'SENT', 'FAILED', 'PAUSED_LIMIT')""",
+WITH RECURSIVE {STATES} SELECT chunk_id, CASE WHEN state IN ('SENT', 'FAILED') THEN 'CHUNK_READY' ELSE state END AS state FROM cur WHERE state IN ('CHUNK_READY', 'SENT', 'FAILED', 'PAUSED_LIMIT')""",
+    "st8_state_of": f"WITH RECURSIVE {STATES} SELECT chunk_id, state FROM cur WHERE chunk_id = 7",
     "st9_progress": f"""
-WITH {STATES} SELECT count(*) AS total, count(*) FILTER (WHERE state = 'COMPLETED') AS completed, count(*) FILTER (WHERE state = 'SKIPPED') AS skipped,
-  count(*) FILTER (WHERE state = 'FAILED') AS failed, count(*) FILTER (WHERE state = 'PAUSED_LIMIT') AS paused, round(100.0 * (completed + skipped) / total, 1)::DOUBLE AS percent FROM cur""",
+WITH RECURSIVE {STATES} SELECT count(*) AS total, count(*) FILTER (WHERE state = 'COMPLETED') AS completed, count(*) FILTER (WHERE state = 'SKIPPED') AS skipped,
+  count(*) FILTER (WHERE state = 'FAILED') AS failed, count(*) FILTER (WHERE state = 'PAUSED_LIMIT') AS paused, total - completed - skipped AS remaining,
+  round(100.0 * (completed + skipped) / total, 1)::DOUBLE AS percent, round(avg(duration) FILTER (WHERE state = 'COMPLETED' AND duration <> 0) * remaining, 1) AS eta_seconds FROM cur""",
+    "st9_state_counts": f"WITH RECURSIVE {STATES} SELECT state, count(*) AS n FROM cur GROUP BY state",
 }

@@ -318,17 +318,22 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_log(table(spark, sf_dir, "events"))
 
 
+def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return states.current_states(_log(spark, sf_dir), bucket=F.date_trunc("day", F.col("ts")), keep=["duration"])
+
+
 def st2_forbidden_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return states.checked_log(_log(spark, sf_dir)).filter(~F.col("allowed")).select("chunk_id", "event_id", "before", "state")
+    checked = states.checked_log(_log(spark, sf_dir), bucket=F.date_trunc("day", F.col("ts")))
+    return checked.filter(~F.col("allowed")).select("chunk_id", "event_id", "before", "state")
 
 
 def st3_current_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return states.current_states(_log(spark, sf_dir)).select("chunk_id", "state", "changes")
+    return _states(spark, sf_dir).select("chunk_id", "state", "changes", "rejected", "duration")
 
 
 def st1_registered(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("chunk_id"))
-    return states.register(states.current_states(_log(spark, sf_dir)), keys)
+    return states.register(_states(spark, sf_dir), keys)
 
 
 def st4_pauses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -337,11 +342,19 @@ def st4_pauses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def st7_resumable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return states.resumable(states.current_states(_log(spark, sf_dir)))
+    return states.resumable(_states(spark, sf_dir))
+
+
+def st8_state_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return states.state_of(_states(spark, sf_dir), 7).select("chunk_id", "state")
 
 
 def st9_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return states.progress(states.current_states(_log(spark, sf_dir)))
+    return states.progress(_states(spark, sf_dir), "duration")
+
+
+def st9_state_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return states.state_counts(_states(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
@@ -351,6 +364,6 @@ QUERIES: dict[str, Query] = {
         c6_manifest, c7_headers_in_range, h1_hints, h3_tables, d2_pre_correct, d3_term_scan, d7_canonical_terms, d10_validate_term, l1_prompts, l5_converted, l9_classified_answers, j1_extracted_json,
         j6_normalised, j7_parsed_answers, v0_structure_issues, f0_diff_issues, f2_similarity, f7_odd_lengths, t1_term_issues, k1_confidence, k2_deductions, e2_error_breakdown,
         e4_run_statistics, x1_option_rows, x3_review_rows, x4_statistics_rows, x7_column_widths, st1_registered, st2_forbidden_steps, st3_current_states, st4_pauses, st7_resumable,
-        st9_progress, f0_whole_diff_issues, k1_whole_confidence, k2_whole_deductions, e4_whole_statistics, x1_whole_option_rows, x3_whole_review_rows, x4_whole_statistics_rows,
+        st8_state_of, st9_progress, st9_state_counts, f0_whole_diff_issues, k1_whole_confidence, k2_whole_deductions, e4_whole_statistics, x1_whole_option_rows, x3_whole_review_rows, x4_whole_statistics_rows,
     )
 }
