@@ -23,6 +23,11 @@ def segments(texts: DataFrame, headers: DataFrame, per_char: float = 0.5) -> Dat
     return cut.select("doc_id", "ord", "question_id", "page", "text", estimated_tokens(F.col("text"), per_char).alias("tokens"), "char_start", F.col("end").alias("char_end"))
 
 
+def without_headers(documents: DataFrame, headers: DataFrame) -> DataFrame:
+    """doc_id, error: the documents that can't be cut into chunks, since no header was found in them."""
+    return documents.select("doc_id").distinct().join(headers.select("doc_id"), "doc_id", "left_anti").withColumn("error", F.lit("NO_HEADERS"))
+
+
 def pack_segments(parts: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """Adds chunk_no (from 1): next-fit in order; a segment above the limit is a chunk of its own.
 

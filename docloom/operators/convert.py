@@ -15,6 +15,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.functions.text import with_text_metrics
+from docloom.operators.responses import AUTH_PHRASES, CORRUPT_SHARE, LIMIT_AT, LIMIT_PHRASES, SHORT_ANSWER, schema_error
+
 # The places of a template, filled one after another in this order.
 PLACES = (
     "question_range", "option_symbols", "options_per_question", "explanation_marker", "broken_char_ratio", "excessive_space_ratio", "total_chars", "special_blocks",
@@ -40,19 +43,21 @@ def prompt(values: dict[str, Column], template: str = TEMPLATE) -> Column:
 
 def prompts(made: DataFrame, hinted: DataFrame, template: str = TEMPLATE) -> DataFrame:
     """doc_id, chunk_id, prompt of every chunk."""
-    rows = made.select("doc_id", "chunk_id", "text").join(hinted, ["doc_id", "chunk_id"])
+    rows = with_text_metrics(made.select("doc_id", "chunk_id", "text")).select("doc_id", "chunk_id", "text", "broken_char_ratio", "excessive_space_ratio")
+    rows = rows.join(hinted, ["doc_id", "chunk_id"])
+    percent = lambda c: F.round(F.col(c) * 100, 1).cast("string")
     special = F.array_join(F.transform("special_blocks", lambda b: F.concat(b["location"], F.lit(": "), b["type"])), ", ")
     described = F.to_json(F.struct("q_start", "q_end", "pattern", "symbol", "options_per_question", "marker", "special_blocks", "pages"), {"pretty": "true"})
     values = {
         "question_range": F.format_string("%d~%d", "q_start", "q_end"), "option_symbols": F.col("symbol"), "options_per_question": F.col("options_per_question").cast("string"),
-        "explanation_marker": F.col("marker"), "total_chars": F.length("text").cast("string"), "special_blocks": F.when(special == "", NO_BLOCKS).otherwise(special),
+        "explanation_marker": F.col("marker"), "broken_char_ratio": percent("broken_char_ratio"), "excessive_space_ratio": percent("excessive_space_ratio"), "total_chars": F.length("text").cast("string"), "special_blocks": F.when(special == "", NO_BLOCKS).otherwise(special),
         "hint_json_pretty": described, "chunk_text": F.col("text"),
     }
     return rows.select("doc_id", "chunk_id", prompt(values, template).alias("prompt"))
 
 
-def retry_prompt(first: Column, error: Column) -> Column:
-    return F.concat(F.lit("The answer before could not be read: "), error, F.lit("\nAnswer with JSON alone.\n\n"), first)
+def retry_notice(error: str) -> str:
+    return f"The answer before could not be read: {error}\nAnswer with JSON alone.\n\n"
 
 
 def marked_converter(text: str) -> tuple[str, str, int]:
@@ -71,31 +76,62 @@ def marked_converter(text: str) -> tuple[str, str, int]:
     return json.dumps({"questions": questions}, ensure_ascii=False), "", 0
 
 
-def outcome(stdout: str, stderr: str, code: int) -> str:
-    """OK, RATE_LIMIT, AUTH or RETRY, enough to decide on another attempt; classify_answer() gives the full account."""
-    said = f"{stdout}\n{stderr}".lower()
-    if code and "limit" in said or "usage limit reached" in said:
+def template_in(text: str) -> str:
+    """The first fenced block with {chunk_text} in it; the whole text where it has no fence but the place; else TEMPLATE."""
+    for block in re.findall(r"```\w*\n(.*?)```", text, re.S):
+        if "{chunk_text}" in block:
+            return block
+    return text if "{chunk_text}" in text and "```" not in text else TEMPLATE
+
+
+def answer_kind(stdout: str, stderr: str, code: int) -> str:
+    """As classify_answer(), for use between attempts."""
+    said, out = f"{stdout}\n{stderr}", stdout.strip()
+    lower = said.lower()
+    if re.search(LIMIT_AT, said) or any(p in lower for p in LIMIT_PHRASES) and (code or len(out) < SHORT_ANSWER):
         return "RATE_LIMIT"
-    if code and ("login" in said or "unauthorized" in said):
+    if code and any(p in lower for p in AUTH_PHRASES):
         return "AUTH"
-    return "OK" if not code and stdout.strip() else "RETRY"
+    if stdout.count("\ufffd") > CORRUPT_SHARE * len(stdout):
+        return "ENCODING"
+    return "NONZERO_EXIT" if code or not out else "OK"
+
+
+def unreadable(stdout: str) -> str | None:
+    """Why an answer can't be taken: no JSON, broken JSON or not questions; null if it can."""
+    fence = re.search(r"```(?:json)?\s*\n?(.*?)```", stdout, re.S | re.I)
+    body = fence[1].strip() if fence and fence[1].strip() else stdout[stdout.find("{") : stdout.rfind("}") + 1]
+    if not body:
+        return "no JSON in the answer"
+    try:
+        return schema_error(json.loads(body))
+    except ValueError as e:
+        return str(e)
 
 
 def convert(rows: DataFrame, converter: Converter, *, attempts: int = 3, waits: tuple[float, ...] = WAITS, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
-    """doc_id, chunk_id, stdout, stderr, exit_code, attempts: each prompt answered, with up to `attempts` tries."""
+    """doc_id, chunk_id, stdout, stderr, exit_code, kind, attempts: each prompt answered, with up to `attempts` tries.
+
+    `kind` is the answer's class (classify_answer()). Limits and refused logins end the tries; any other failure asks
+    again, and so does an answer that can't be read, which is told why (retry_notice()).
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for doc, chunk, text in zip(batch["doc_id"], batch["chunk_id"], batch["prompt"], strict=True):
+                asked = text
                 for k in range(attempts):
-                    stdout, stderr, code = converter(text)
-                    if outcome(stdout, stderr, code) in FINAL:
+                    stdout, stderr, code = converter(asked)
+                    kind = answer_kind(stdout, stderr, code)
+                    error = unreadable(stdout) if kind == "OK" else None
+                    if kind in FINAL and error is None:
                         break
+                    asked = retry_notice(error) + text if error else text
                     if k + 1 < attempts:
                         sleep(waits[min(k, len(waits) - 1)])
-                out.append((doc, chunk, stdout, stderr, code, k + 1))
-            yield pd.DataFrame(out, columns=["doc_id", "chunk_id", "stdout", "stderr", "exit_code", "attempts"])
+                out.append((doc, chunk, stdout, stderr, code, kind, k + 1))
+            yield pd.DataFrame(out, columns=["doc_id", "chunk_id", "stdout", "stderr", "exit_code", "kind", "attempts"])
 
     kinds = dict(rows.dtypes)
-    return rows.select("doc_id", "chunk_id", "prompt").mapInPandas(run, f"doc_id {kinds['doc_id']}, chunk_id string, stdout string, stderr string, exit_code int, attempts int")
+    return rows.select("doc_id", "chunk_id", "prompt").mapInPandas(run, f"doc_id {kinds['doc_id']}, chunk_id string, stdout string, stderr string, exit_code int, kind string, attempts int")

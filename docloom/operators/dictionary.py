@@ -8,6 +8,7 @@ left. A pattern matches inside longer words too.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +19,41 @@ LEGAL_TERMS = (
     ("담보권", "담배권"), ("유언", "유원"), ("유언", "유안"), ("상속", "상촉"), ("대리", "대며"), ("법인", "법임"), ("법인", "법운"),
     ("채무불이행", "채무미이행"), ("손해배상", "손해배송"), ("동산", "동삼"),
 )
+#: The shipped canonical terms; some have no misspelling.
+CANONICAL_TERMS = tuple(
+    "계약 청약 승낙 물권 채권 담보권 저당권 질권 유언 상속 대리 법인 채무불이행 불법행위 손해배상 특수한물권 점유권 유치권 동산 부동산 선의 악의 표현행위 도급 용역 임차 임대".split()
+)
 LEAST_LENGTH = 2
+MOST_TERMS = 10_000
+
+
+@dataclass(frozen=True)
+class Dictionary:
+    """Canonical names, and the (canonical, pattern) pairs of their misspellings."""
+
+    names: tuple[str, ...]
+    pairs: tuple[tuple[str, str], ...]
+
+
+SHIPPED = Dictionary(CANONICAL_TERMS, LEGAL_TERMS)
+#: What operators take: a dictionary, or pairs alone, whose canonical sides are then the names.
+Terms = Dictionary | Sequence[tuple[str, str]]
+
+
+def dictionary_of(rows: DataFrame) -> Dictionary:
+    """The dictionary of a table (canonical, pattern) as read_dictionary() gives it; it becomes literals, so it is bounded."""
+    found = [(r["canonical"], r["pattern"]) for r in rows.select("canonical", "pattern").limit(MOST_TERMS + 1).collect()]
+    if len(found) > MOST_TERMS:
+        raise ValueError(f"a dictionary of more than {MOST_TERMS} patterns doesn't fit into a plan")
+    return Dictionary(tuple(dict.fromkeys(c for c, _ in found if c)), tuple((c, p) for c, p in found if c and p))
+
+
+def pairs_of(terms: Terms) -> Sequence[tuple[str, str]]:
+    return terms.pairs if isinstance(terms, Dictionary) else terms
+
+
+def names_of(terms: Terms) -> list[str]:
+    return sorted(terms.names if isinstance(terms, Dictionary) else {c for c, _ in terms})
 
 
 def is_obvious_typo(canonical: str, pattern: str) -> bool:
@@ -28,9 +63,9 @@ def is_obvious_typo(canonical: str, pattern: str) -> bool:
     return abs(len(canonical) - len(pattern)) == 1
 
 
-def pattern_index(terms: Sequence[tuple[str, str]], obvious_only: bool = True) -> list[tuple[str, str]]:
+def pattern_index(terms: Terms, obvious_only: bool = True) -> list[tuple[str, str]]:
     """The usable pairs, longest pattern first, else in their own order."""
-    kept = [(c, p) for c, p in terms if p != c and len(p) >= LEAST_LENGTH and (not obvious_only or is_obvious_typo(c, p))]
+    kept = [(c, p) for c, p in pairs_of(terms) if p != c and len(p) >= LEAST_LENGTH and (not obvious_only or is_obvious_typo(c, p))]
     return sorted(kept, key=lambda pair: -len(pair[1]))
 
 
@@ -85,7 +120,7 @@ def corrected(text: Column, hits: Column) -> Column:
     return F.concat(F.array_join(parts, ""), F.substring(text, last + 1, F.length(text)))
 
 
-def pre_correct(rows: DataFrame, terms: Sequence[tuple[str, str]] = LEGAL_TERMS, enabled: bool = True, text_col: str = "text") -> DataFrame:
+def pre_correct(rows: DataFrame, terms: Terms = SHIPPED, enabled: bool = True, text_col: str = "text") -> DataFrame:
     """Adds corrected_text and corrections (offsets before replacement); null texts are empty."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     hits = scan(text, pattern_index(terms) if enabled else [])
@@ -99,19 +134,19 @@ def correction_log(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return each.select(*keys, "c.original", F.col("c.canonical").alias("corrected"), where.alias("location"), "c.confidence")
 
 
-def canonical_terms(text: Column, terms: Sequence[tuple[str, str]] = LEGAL_TERMS) -> Column:
+def canonical_terms(text: Column, terms: Terms = SHIPPED) -> Column:
     """Sorted distinct canonical terms in the text."""
-    names = F.array(*[F.lit(c) for c in sorted({c for c, _ in terms})])
+    names = F.array(*[F.lit(c) for c in names_of(terms)])
     return F.array_sort(F.filter(names, lambda c: F.contains(text, c)))
 
 
-def validate_term(term: Column, terms: Sequence[tuple[str, str]] = LEGAL_TERMS) -> Column:
+def validate_term(term: Column, terms: Terms = SHIPPED) -> Column:
     """struct<valid, suggestion, confidence>: canonical, a known misspelling, or unknown (valid, low)."""
     verdict = lambda ok, to, how: F.struct(F.lit(ok).alias("valid"), F.lit(to).alias("suggestion"), F.lit(how).alias("confidence"))
     out = verdict(True, "", "low")
     for c, p in reversed(pattern_index(terms, obvious_only=False)):
         out = F.when(term == p, verdict(False, c, confidence(c, p))).otherwise(out)
-    return F.when(term.isin(*sorted({c for c, _ in terms})), verdict(True, "", "high")).otherwise(out)
+    return F.when(term.isin(*names_of(terms)), verdict(True, "", "high")).otherwise(out)
 
 
 def question_fields(questions: DataFrame) -> DataFrame:
@@ -122,7 +157,14 @@ def question_fields(questions: DataFrame) -> DataFrame:
     return questions.select("chunk_id", "pos", "id", F.explode(F.concat(own, options)).alias("f")).select("chunk_id", "pos", "id", "f.field", "f.value")
 
 
-def term_issues(questions: DataFrame, terms: Sequence[tuple[str, str]] = LEGAL_TERMS) -> DataFrame:
+def post_verify(questions: DataFrame, terms: Terms = SHIPPED) -> DataFrame:
+    """chunk_id, pos, question_id, field, found, expected, severity: what a result still holds of the misspellings that pre_correct() mends."""
+    fields = question_fields(questions).withColumn("h", F.explode(scan(F.col("value"), pattern_index(terms))))
+    severity = F.when(F.col("h.confidence") == "high", "high").otherwise("medium")
+    return fields.select("chunk_id", "pos", F.col("id").alias("question_id"), "field", F.col("h.original").alias("found"), F.col("h.canonical").alias("expected"), severity.alias("severity"))
+
+
+def term_issues(questions: DataFrame, terms: Terms = SHIPPED) -> DataFrame:
     """One issue per misspelling in a result: ERROR where the length is the canonical one, else WARNING."""
     fields = question_fields(questions).withColumn("h", F.explode(scan(F.col("value"), pattern_index(terms, obvious_only=False))))
     return fields.select(

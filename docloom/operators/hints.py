@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.operators.blocks import OPTION_SYMBOLS
+
 # Fixed values.
 EXPLANATION_MARKERS = ("[해설]", "[정답]", "[답]", "해설:", "정답:", "답:")
-OPTION_LINES = {
-    "circled": "(?md)^[ \\t]*[①②③④⑤⑥⑦⑧⑨⑩⑪⑫⑬⑭⑮][ \\t]",
-    "korean": r"(?md)^[ \t]*[ㄱㄴㄷㄹㅁ][ \t]*[.)]",
-    "numeric": r"(?md)^[ \t]*[1-5][ \t]*[.)][ \t]",
-}
+OPTION_LINES = dict(OPTION_SYMBOLS) | {"circled": r"(?md)^[ \t]*" + dict(OPTION_SYMBOLS)["circled"] + r"[ \t]"}
 USUAL_OPTIONS = 5
 
 

@@ -28,10 +28,19 @@ def confidence(chunk_ids: DataFrame, issues: DataFrame) -> DataFrame:
     )
 
 
+def _weight(reason: Column) -> Column:
+    return F.element_at(F.create_map(*[F.lit(x) for pair in WEIGHTS for x in pair]), reason)
+
+
 def deductions(issues: DataFrame) -> DataFrame:
-    """chunk_id, reason, n, amount: what each bucket took from a chunk's score."""
-    weight = F.element_at(F.create_map(*[F.lit(x) for pair in WEIGHTS for x in pair]), F.col("reason"))
-    return issues.groupBy("chunk_id", bucket().alias("reason")).agg(F.count("*").alias("n")).withColumn("amount", F.round(F.col("n") * weight, 4))
+    """chunk_id, reason, amount, detail: what each issue took from its chunk's score."""
+    return issues.select("chunk_id", bucket().alias("reason"), _weight(bucket()).alias("amount"), "detail")
+
+
+def breakdown(issues: DataFrame) -> DataFrame:
+    """chunk_id, reason, n, weight, amount: what each bucket took from a chunk's score."""
+    rows = issues.groupBy("chunk_id", bucket().alias("reason")).agg(F.count("*").alias("n")).withColumn("weight", _weight(F.col("reason")))
+    return rows.withColumn("amount", F.round(F.col("n") * F.col("weight"), 4))
 
 
 def flat_questions(questions: DataFrame, scores: DataFrame) -> DataFrame:
@@ -43,12 +52,18 @@ def error_breakdown(issues: DataFrame) -> DataFrame:
     return issues.groupBy("issue_type").agg(F.count("*").alias("n"))
 
 
-def run_statistics(flat: DataFrame) -> DataFrame:
-    """One row: questions, those of each status and their shares; and by distinct id, where one AUTO is enough."""
+def run_statistics(flat: DataFrame, failed: DataFrame | None = None, seconds: float = 0.0) -> DataFrame:
+    """One row: questions, those of each status and their shares; and by distinct id, where one AUTO is enough.
+
+    failed_chunks counts the rows of `failed` (none given: 0), total_duration_seconds is what the run says of itself.
+    """
     n, auto = F.count("*"), F.count_if(F.col("status") == "AUTO")
     ids, auto_ids = F.countDistinct("id"), F.countDistinct(F.when(F.col("status") == "AUTO", F.col("id")))
     share = lambda part: F.coalesce(part / F.nullif(n, F.lit(0)), F.lit(0.0))
-    return flat.agg(
+    row = flat.agg(
         n.alias("total_problems"), auto.alias("auto_confirmed"), (n - auto).alias("human_review"), share(auto).alias("auto_confirmed_ratio"),
         share(n - auto).alias("human_review_ratio"), ids.alias("distinct_ids"), auto_ids.alias("auto_ids"), (ids - auto_ids).alias("review_ids"),
     )
+    lost = failed.agg(F.count("*").alias("failed_chunks")) if failed is not None else None
+    row = row.crossJoin(lost) if lost is not None else row.withColumn("failed_chunks", F.lit(0).cast("long"))  # two single rows
+    return row.withColumn("total_duration_seconds", F.lit(float(seconds)))

@@ -42,16 +42,22 @@ def marks(rows: DataFrame) -> DataFrame:
 
 
 def statistics_rows(statistics: DataFrame, breakdown: DataFrame) -> DataFrame:
-    """section, label, value: the run's figures, then the issues of each type."""
-    pairs = [("전체 문제 수", F.col("total_problems").cast("double")), ("자동 확정(AUTO) 비율", F.col("auto_confirmed_ratio")), ("검토 필요(HUMAN_REVIEW) 비율", F.col("human_review_ratio"))]
-    rows = statistics.select(F.explode(F.array(*[F.struct(F.lit(name).alias("label"), value.alias("value")) for name, value in pairs])).alias("r"))
-    figures = rows.select(F.lit("run").alias("section"), "r.label", "r.value")
-    return figures.unionByName(breakdown.select(F.lit("issues").alias("section"), F.col("issue_type").alias("label"), F.col("n").cast("double").alias("value")))
-
-
-def column_widths(rows: DataFrame, columns: Sequence[str], cap: int = 60, least: int = 0) -> DataFrame:
-    """name, width: the longest line of each column plus two, at most `cap` and at least `least`."""
+    """section, place, label, value: the run's figures, then the issues of each type, most frequent first (ties by name)."""
+    # The labels of the sheet.
+    pairs = [
+        ("전체 문제 수", F.col("total_problems").cast("double")), ("자동 확정(AUTO) 비율", F.col("auto_confirmed_ratio")), ("검토 필요(HUMAN_REVIEW) 비율", F.col("human_review_ratio")),
+        ("실패한 청크 수", F.col("failed_chunks").cast("double")), ("총 소요 시간(초)", F.col("total_duration_seconds")),
+    ]
+    rows = statistics.select(F.posexplode(F.array(*[F.struct(F.lit(name).alias("label"), value.alias("value")) for name, value in pairs])).alias("k", "r"))
+    figures = rows.select(F.lit("run").alias("section"), (F.col("k") + 1).alias("place"), "r.label", "r.value")
+    types = breakdown.agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("less"), "issue_type"))).alias("t"))  # one row per type of issue
+    counts = types.select(F.posexplode("t").alias("k", "r")).select(F.lit("issues").alias("section"), (F.col("k") + 1).alias("place"), F.col("r.issue_type").alias("label"), (-F.col("r.less")).cast("double").alias("value"))
+    return figures.unionByName(counts)
+
+
+def column_widths(rows: DataFrame, columns: Sequence[str], cap: int = 60, least: int = 0, caps: dict[str, int] | None = None) -> DataFrame:
+    """name, width: the longest line of each column plus two, at most its own cap (else `cap`) and at least `least`."""
     longest = lambda c: F.array_max(F.transform(F.split(F.coalesce(F.col(c).cast("string"), F.lit("")), "\n", -1), lambda x: F.length(x)))
     maxima = rows.agg(*[F.max(longest(c)).alias(c) for c in columns])
-    each = maxima.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.coalesce(c, F.lit(0)).alias("longest")) for c in columns])).alias("w"))
-    return each.select("w.name", F.least(F.lit(cap), F.greatest(F.lit(least), F.col("w.longest") + 2)).alias("width"))
+    each = maxima.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.coalesce(c, F.lit(0)).alias("longest"), F.lit((caps or {}).get(c, cap)).alias("cap")) for c in columns])).alias("w"))
+    return each.select("w.name", F.least("w.cap", F.greatest(F.lit(least), F.col("w.longest") + 2)).alias("width"))

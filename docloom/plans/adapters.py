@@ -5,21 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Two pages of an exam text, with a misspelling in the first question.
-EXAM = {
-    "exam": [
-        [
-            "민법 기출문제", "문1. 다음 게약에 관한 설명으로 옳은 것은?", "① 청약은 철회할 수 있다.", "② 승낙은 청약과 일치해야 한다.", "③ 무효이다.", "④ 취소이다.", "[해설] 정답은 ②이다.",
-            "문2. 물권에 관한 설명은?", "① 채권보다 우선한다.", "② 등기가 필요하다.", "③ 소멸한다.", "④ 이전한다.",
-        ],
-        ["문3. 채권의 목적은?", "① 금전", "② 행위", "③ 물건", "④ 권리", "문4. 상속의 순위는?", "① 직계비속", "② 배우자", "③ 형제", "④ 국가", "[해설] 정답은 ①이다."],
-    ],
-    "parens": [["(1) 다음 도시의 이름은?"], ["(2) 그 강의 길이는?"], ["(3) 산의 높이는?"]],
-    "dots": [["1. 다음 도시의 이름은?"], ["2. 그 강의 길이는?"], ["3. 산의 높이는?"]],
-    "bare": [["둘째 마당 3 나 무", "3 문41"], ["3 문42", "소나무의 잎에 대한 말로 맞는 것은?"], ["3 문43", "참나무의 열매는 무엇인가?"]],
-    "prose": [["오늘 항구에서 배를 보았다.", "바람은 없었다."], ["길이 이어진다.", "집으로 돌아왔다."]],
-}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -35,6 +20,35 @@ def line_segments(documents: DataFrame) -> DataFrame:
     )
 
 
+def exam_blocks(documents: DataFrame) -> DataFrame:
+    """Every document's lines as an exam text: each third line a numbered header, the others circled options; a block per non-blank line."""
+    lines = documents.select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("pos", "line"))
+    stripped = F.regexp_replace("line", r"\A\s+|\s+\z", "")
+    mark = F.when(F.col("pos") % 3 == 0, F.concat(F.lit("문"), F.expr("pos div 3 % 400 + 1").cast("string"), F.lit(". "))).otherwise(F.when(F.col("pos") % 3 == 1, "① ").otherwise("② "))
+    return lines.filter(stripped != "").select("doc_id", F.col("pos").alias("block_id"), F.floor(F.col("pos") / 10).cast("int").alias("page"), F.concat(mark, stripped).alias("text"))
+
+
+def order_answers(orders: DataFrame) -> DataFrame:
+    """chunk_id, stdout, stderr, exit_code: each chunk's questions as a converter's answer, in nine manners by the chunk's number."""
+    question = F.format_string('{"id": %d, "text": "%s", "options": []}', F.col("o_custkey") % 31, F.col("o_orderpriority"))
+    chunks = orders.groupBy(F.expr("o_orderkey div 20").alias("chunk_id")).agg(F.array_sort(F.collect_list(F.struct(F.col("o_orderkey").alias("k"), question.alias("q")))).alias("qs"))
+    body = F.concat(F.lit('{"questions": ['), F.array_join(F.transform("qs", lambda x: x["q"]), ", "), F.lit("]}"))
+    manner = F.col("chunk_id") % 9
+    stdout = (
+        F.when(manner == 0, F.concat(F.lit("Here it is:\n```json\n"), body, F.lit("\n```\nDone.")))
+        .when(manner == 1, F.concat(F.lit("prefix "), body, F.lit(" suffix")))
+        .when(manner == 2, F.substring(body, F.lit(1), F.length(body) - 1))
+        .when(manner == 3, body)
+        .when(manner == 4, "usage limit reached|1700000000")
+        .when(manner == 5, "")
+        .when(manner == 6, "  ")
+        .when(manner == 7, "x\ufffd\ufffd")
+        .otherwise('{"result": "ok"}')
+    )
+    stderr, code = F.when(manner == 5, "please login").otherwise(""), F.when(manner.isin(4, 5), 1).otherwise(0)
+    return chunks.select("chunk_id", stdout.alias("stdout"), stderr.alias("stderr"), code.alias("exit_code"))
+
+
 def order_questions(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Orders as questions (chunk_id, pos, id, text, options), their lines as options with raw answers as text."""
     o = F.struct(

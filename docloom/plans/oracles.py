@@ -1,4 +1,4 @@
-"""DuckDB SQL of the registered queries. Inline fixtures have no SQL here; tests hold them against worked-out results."""
+"""DuckDB SQL of the registered queries."""
 
 WHITE = r"[\s\x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 WORD = WHITE.replace("[", "[^", 1).replace(r"\s", " \\t\\n\\f\\r\\v") + "+"
@@ -76,14 +76,37 @@ issues AS (
   UNION ALL SELECT chunk_id, 'EMPTY_OPTION_NUM', 'ERROR', id, pos, num, '' FROM e WHERE trim(num) = ''
   UNION ALL SELECT chunk_id, 'EMPTY_OPTION_TEXT', 'ERROR', id, pos, num, '' FROM e WHERE trim(otext) = ''
 ),
+orig AS (SELECT chunk_id, concat_ws(' ', '① ② ③ Order chunk', max(text), '1) returned 2) options ', repeat('part option ', 30)) AS original FROM q GROUP BY chunk_id),
+part AS (
+  SELECT q.chunk_id, q.pos, nullif(concat_ws(' ', nullif(q.text, ''), string_agg(concat_ws(' ', nullif(otext, ''), nullif(explanation, '')), ' ' ORDER BY opos)), '') AS t, count(num) AS n
+  FROM q LEFT JOIN e USING (o_orderkey) GROUP BY q.chunk_id, q.pos, q.text
+),
+pair AS (
+  SELECT chunk_id, any_value(original) AS original, coalesce(string_agg(t, ' ' ORDER BY pos), '') AS result, sum(n) AS n_options FROM part JOIN orig USING (chunk_id) GROUP BY chunk_id
+),
+kw AS (SELECT *, list_distinct(regexp_extract_all(original, '[가-힣A-Za-z0-9]{3,}')) AS words FROM pair),
+lost AS (SELECT *, list_sort(list_filter(words, lambda w: NOT contains(result, w))) AS gone FROM kw),
+diff AS (
+  SELECT chunk_id, 'TRUNCATION' AS issue_type, 'ERROR' AS severity, length(result)::VARCHAR AS detail FROM pair WHERE length(result) / length(original) < 0.5
+  UNION ALL SELECT chunk_id, 'OPTION_MISSING', 'ERROR', n_options || ' of 3' FROM pair WHERE n_options / 3 < 0.8
+  UNION ALL SELECT chunk_id, 'KEYWORD_LOSS', 'WARNING', array_to_string(gone[1:10], ', ') FROM lost WHERE len(gone) / len(words) > 0.3
+),
+fields AS (
+  SELECT chunk_id, pos, id, 'text' AS field, text AS v FROM q UNION ALL SELECT chunk_id, pos, id, 'option_' || num || '_text', otext FROM e
+  UNION ALL SELECT chunk_id, pos, id, 'option_' || num || '_explanation', explanation FROM e
+),
+terms(term, suggestion, severity, k) AS (VALUES ('optoin', 'option', 'ERROR', 1), ('RF', 'returned', 'WARNING', 2), ('art', 'part', 'WARNING', 3)),
+typo AS (SELECT *, unnest(range((length(v) - length(replace(v, term, ''))) // length(term))) FROM fields, terms WHERE contains(v, term)),
 few AS (
-  SELECT chunk_id, issue_type, 'structure_error' AS bucket FROM issues
-  WHERE (issue_type = 'DUPLICATE_QUESTION' AND question_id = 3) OR (issue_type = 'INVALID_CORRECT_VALUE' AND question_id > 28)
-  UNION ALL SELECT chunk_id, 'LENGTH_ANOMALY', 'diff_anomaly' FROM odd WHERE question_id > 29
+  SELECT chunk_id, issue_type, CASE severity WHEN 'ERROR' THEN 'structure_error' ELSE 'empty_field' END AS bucket, detail FROM issues
+  UNION ALL SELECT chunk_id, 'LENGTH_ANOMALY', 'diff_anomaly', detail FROM odd UNION ALL SELECT chunk_id, issue_type, 'diff_anomaly', detail FROM diff
+  UNION ALL SELECT chunk_id, 'TYPO_REGRESSION', 'term_typo', term FROM typo
 ),
+weights(bucket, weight) AS (VALUES ('structure_error', 0.4::DOUBLE), ('diff_anomaly', 0.3::DOUBLE), ('empty_field', 0.2::DOUBLE), ('term_typo', 0.1::DOUBLE)),
 score AS (
   SELECT chunk_id, count(bucket) FILTER (WHERE bucket = 'structure_error') AS structure_error, count(bucket) FILTER (WHERE bucket = 'diff_anomaly') AS diff_anomaly,
-    greatest(0.0, round(1.0 - round(0.4 * structure_error, 4) - round(0.3 * diff_anomaly, 4), 4))::DOUBLE AS score
+    count(bucket) FILTER (WHERE bucket = 'empty_field') AS empty_field, count(bucket) FILTER (WHERE bucket = 'term_typo') AS term_typo,
+    greatest(0.0, round(1.0 - round(0.4 * structure_error, 4) - round(0.3 * diff_anomaly, 4) - round(0.2 * empty_field, 4) - round(0.1 * term_typo, 4), 4))::DOUBLE AS score
   FROM (SELECT DISTINCT chunk_id FROM q) LEFT JOIN few USING (chunk_id) GROUP BY chunk_id
 ),
 flat AS (SELECT q.*, score, CASE WHEN score >= 0.95 THEN 'AUTO' ELSE 'HUMAN_REVIEW' END AS status FROM q JOIN score USING (chunk_id)),
@@ -99,17 +122,24 @@ stats AS (
 )
 """
 
-ORIGINALS = r"""
-orig AS (SELECT chunk_id, concat_ws(' ', '① ② ③ Order chunk', max(text), '1) returned 2) options ', repeat('part option ', 30)) AS original FROM q GROUP BY chunk_id),
-part AS (
-  SELECT q.chunk_id, q.pos, nullif(concat_ws(' ', nullif(q.text, ''), string_agg(concat_ws(' ', nullif(otext, ''), nullif(explanation, '')), ' ' ORDER BY opos)), '') AS t, count(num) AS n
-  FROM q LEFT JOIN e USING (o_orderkey) GROUP BY q.chunk_id, q.pos, q.text
+EXAM = r"""
+x0 AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+x1 AS (SELECT doc_id, pos - 1 AS pos, regexp_replace(line, '^\s+|\s+$', '', 'g') AS line FROM (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM x0)),
+x AS (
+  SELECT doc_id, pos, (pos // 10)::INT AS page, pos % 3 = 0 AS head, (pos // 3 % 400 + 1)::INT AS num,
+    CASE pos % 3 WHEN 0 THEN '문' || (pos // 3 % 400 + 1) || '. ' WHEN 1 THEN '① ' ELSE '② ' END || line AS text FROM x1 WHERE line <> ''
 ),
-pair AS (
-  SELECT chunk_id, any_value(original) AS original, coalesce(string_agg(t, ' ' ORDER BY pos), '') AS result, sum(n) AS n_options FROM part JOIN orig USING (chunk_id) GROUP BY chunk_id
-),
-kw AS (SELECT *, list_distinct(regexp_extract_all(original, '[가-힣A-Za-z0-9]{3,}')) AS words FROM pair),
-lost AS (SELECT *, list_sort(list_filter(words, lambda w: NOT contains(result, w))) AS gone FROM kw)
+placed AS (SELECT *, coalesce(sum(length(text) + 2) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS char_start FROM x),
+heads AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM placed WHERE head),
+whole AS (SELECT doc_id, string_agg(text || chr(10) || chr(10), '' ORDER BY pos) AS full_text FROM x GROUP BY doc_id)
+"""
+
+ANSWERS = r"""
+c AS (
+  SELECT o_orderkey // 20 AS chunk_id, o_orderkey // 20 % 9 AS manner, string_agg((o_custkey % 31)::VARCHAR, ',' ORDER BY o_orderkey) AS ids,
+    '{"questions": [' || string_agg('{"id": ' || o_custkey % 31 || ', "text": "' || o_orderpriority || '", "options": []}', ', ' ORDER BY o_orderkey) || ']}' AS body
+  FROM orders GROUP BY o_orderkey // 20
+)
 """
 
 STATES = r"""
@@ -175,12 +205,41 @@ SELECT doc_id, (length(t) * 3 - length(replace(t, 'thre', 'thr')) - length(repla
   sha256(replace(replace(replace(t, 'thre', 'there'), 'inou', 'inyou'), 'haned', 'handed')) AS sha256
 FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)""",
     "t1_term_issues": f"""
-WITH {QUESTIONS}, fields AS (
-  SELECT chunk_id, pos, id, 'text' AS field, text AS v FROM q UNION ALL SELECT chunk_id, pos, id, 'option_' || num || '_text', otext FROM e
-  UNION ALL SELECT chunk_id, pos, id, 'option_' || num || '_explanation', explanation FROM e
-), terms(term, suggestion, severity, k) AS (VALUES ('optoin', 'option', 'ERROR', 1), ('RF', 'returned', 'WARNING', 2), ('art', 'part', 'WARNING', 3))
-SELECT chunk_id, pos, id AS question_id, severity, 'question_' || id || ', ' || field AS location, term, suggestion
-FROM (SELECT *, unnest(range((length(v) - length(replace(v, term, ''))) // length(term))) FROM fields, terms WHERE contains(v, term))""",
+WITH {QUESTIONS} SELECT chunk_id, pos, id AS question_id, severity, 'question_' || id || ', ' || field AS location, term, suggestion FROM typo""",
+    "d6_post_verify": f"""
+WITH {QUESTIONS} SELECT chunk_id, pos, id AS question_id, field, term AS found, suggestion AS expected, CASE severity WHEN 'ERROR' THEN 'high' ELSE 'medium' END AS severity
+FROM typo WHERE term = 'art'""",
+    "d3_term_scan": """
+WITH RECURSIVE w(original, corrected) AS (VALUES ('thre', 'there'), ('inou', 'inyou'), ('haned', 'handed')),
+hit(doc_id, text, original, corrected, spot) AS (
+  SELECT doc_id, text, original, corrected, strpos(text, original) FROM documents, w WHERE contains(text, original)
+  UNION ALL SELECT doc_id, text, original, corrected, spot + length(original) - 1 + strpos(substr(text, spot + length(original)), original)
+  FROM hit WHERE contains(substr(text, spot + length(original)), original)
+)
+SELECT doc_id, original, corrected, 'offset ' || (spot - 1) || '-' || (spot - 1 + length(original)) AS location, 'medium' AS confidence FROM hit""",
+    "d10_validate_term": """
+WITH t AS (SELECT DISTINCT unnest(regexp_split_to_array(text, '[ \n]')) AS term FROM documents), w(c, p) AS (VALUES ('there', 'thre'), ('inyou', 'inou'), ('handed', 'haned'))
+SELECT term, p IS NULL AS valid, coalesce(c, '') AS suggestion, CASE WHEN p IS NOT NULL THEN 'medium' WHEN term IN ('there', 'inyou', 'handed') THEN 'high' ELSE 'low' END AS confidence
+FROM t LEFT JOIN w ON term = p WHERE term <> ''""",
+    "r1_header_detect": f"""
+WITH {EXAM} SELECT doc_id, '문{{N}}.' AS format, num AS question_id, page, '문' || num || '.' AS text, char_start, char_start + length('문' || num || '. ') AS char_end FROM heads WHERE n >= 2""",
+    "r2_header_sequences": f"WITH {EXAM} SELECT doc_id, 0::INT AS priority, count(*) AS n, count(*) >= 2 AS rising FROM heads GROUP BY doc_id",
+    "r4_option_symbol": f"WITH {EXAM} SELECT doc_id, CASE WHEN bool_or(NOT head) THEN 'circled' ELSE 'unknown' END AS symbol FROM x GROUP BY doc_id",
+    "c2_segments": f"""
+WITH {EXAM}, cut AS (
+  SELECT doc_id, row_number() OVER w AS ord, num AS question_id, page, char_start, coalesce(lead(char_start) OVER w, length(full_text))::BIGINT AS char_end, full_text
+  FROM heads JOIN whole USING (doc_id) WHERE n >= 2 WINDOW w AS (PARTITION BY doc_id ORDER BY char_start)
+), t AS (SELECT *, trim(substr(full_text, char_start + 1, char_end - char_start), chr(10)) AS text FROM cut)
+SELECT doc_id, ord::INT AS ord, question_id, page, sha256(text) AS sha256, ceil(length(text) * 0.5)::INT AS tokens, char_start, char_end FROM t""",
+    "c5_without_headers": f"WITH {EXAM} SELECT DISTINCT doc_id, 'NO_HEADERS' AS error FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM heads WHERE n >= 2)",
+    "l9_classified_answers": f"""
+WITH {ANSWERS} SELECT chunk_id, CASE manner WHEN 4 THEN 'RATE_LIMIT' WHEN 5 THEN 'AUTH' WHEN 6 THEN 'NONZERO_EXIT' WHEN 7 THEN 'ENCODING' ELSE 'OK' END AS kind,
+  CASE manner WHEN 4 THEN 1700000000::DOUBLE END AS reset_at, CASE manner WHEN 8 THEN 'ok' END AS result FROM c""",
+    "j1_extracted_json": f"""
+WITH {ANSWERS} SELECT chunk_id, CASE WHEN manner IN (0, 1, 3) THEN sha256(body) WHEN manner = 2 THEN sha256(left(body, length(body) - 2)) WHEN manner = 8 THEN sha256('{{"result": "ok"}}') END AS sha256,
+  CASE WHEN manner IN (0, 1, 3, 8) THEN false WHEN manner = 2 THEN true END AS truncated FROM c""",
+    "j7_parsed_answers": f"""
+WITH {ANSWERS} SELECT chunk_id, manner <= 3 AS ok, manner = 2 AS recovered, manner > 3 AS failed, CASE WHEN manner <= 3 THEN ids END AS ids FROM c""",
     "d7_canonical_terms": """
 SELECT doc_id, array_to_string(list_filter(['handed', 'inyou', 'there'], lambda w: contains(coalesce(text, ''), w)), ',') AS terms FROM documents""",
     "j6_normalised": f"""
@@ -191,30 +250,33 @@ SELECT prev.chunk_id, prev.pos, CASE WHEN t = before THEN '동일' ELSE coalesce
 FROM prev LEFT JOIN e USING (o_orderkey) GROUP BY prev.chunk_id, prev.pos, t, before""",
     "v0_structure_issues": f"WITH {QUESTIONS} SELECT * FROM issues",
     "f7_odd_lengths": f"WITH {QUESTIONS} SELECT * FROM odd",
-    "f0_diff_issues": f"""
-WITH {QUESTIONS}, {ORIGINALS}
-SELECT chunk_id, 'TRUNCATION' AS issue_type, 'ERROR' AS severity, length(result)::VARCHAR AS detail FROM pair WHERE length(result) / length(original) < 0.5
-UNION ALL SELECT chunk_id, 'OPTION_MISSING', 'ERROR', n_options || ' of 3' FROM pair WHERE n_options / 3 < 0.8
-UNION ALL SELECT chunk_id, 'KEYWORD_LOSS', 'WARNING', array_to_string(gone[1:10], ', ') FROM lost WHERE len(gone) / len(words) > 0.3""",
+    "f0_diff_issues": f"WITH {QUESTIONS} SELECT * FROM diff",
     "k1_confidence": f"""
-WITH {QUESTIONS} SELECT chunk_id, score, CASE WHEN score >= 0.95 THEN 'AUTO' ELSE 'HUMAN_REVIEW' END AS status, structure_error, diff_anomaly, 0::BIGINT AS empty_field,
-  0::BIGINT AS term_typo, 0::BIGINT AS auto_fixable, structure_error + diff_anomaly AS manual_review FROM score""",
-    "k2_deductions": f"""
-WITH {QUESTIONS} SELECT chunk_id, bucket AS reason, count(*) AS n, round(count(*) * CASE bucket WHEN 'structure_error' THEN 0.4 ELSE 0.3 END, 4)::DOUBLE AS amount
-FROM few GROUP BY chunk_id, bucket""",
+WITH {QUESTIONS} SELECT chunk_id, score, CASE WHEN score >= 0.95 THEN 'AUTO' ELSE 'HUMAN_REVIEW' END AS status, structure_error, diff_anomaly, empty_field, term_typo,
+  empty_field + term_typo AS auto_fixable, structure_error + diff_anomaly AS manual_review FROM score""",
+    "k2_deductions": f"WITH {QUESTIONS} SELECT chunk_id, bucket AS reason, weight AS amount, detail FROM few JOIN weights USING (bucket)",
+    "k3_breakdown": f"""
+WITH {QUESTIONS} SELECT chunk_id, bucket AS reason, count(*) AS n, weight, round(count(*) * weight, 4)::DOUBLE AS amount FROM few JOIN weights USING (bucket) GROUP BY chunk_id, bucket, weight""",
     "e2_error_breakdown": f"WITH {QUESTIONS} SELECT issue_type, count(*) AS n FROM issues GROUP BY issue_type",
-    "e4_run_statistics": f"WITH {QUESTIONS} SELECT * FROM stats",
+    "e4_run_statistics": f"""
+WITH RECURSIVE {STATES}, {QUESTIONS} SELECT *, (SELECT count(*) FROM cur WHERE state = 'FAILED') AS failed_chunks, 42.0::DOUBLE AS total_duration_seconds FROM stats""",
     "x1_option_rows": f"""
-WITH {QUESTIONS} SELECT *, CASE WHEN confidence < 0.7 THEN 'orange' WHEN confidence < 0.95 THEN 'yellow' END AS confidence_fill,
+WITH {QUESTIONS} SELECT *, '' AS unit, NULL::VARCHAR AS note, CASE WHEN confidence < 0.7 THEN 'orange' WHEN confidence < 0.95 THEN 'yellow' END AS confidence_fill,
   CASE answer WHEN 'O' THEN 'green' ELSE 'red' END AS answer_fill, CASE WHEN text = '동일' THEN 'gray' END AS text_fill FROM rws""",
     "x3_review_rows": f"WITH {QUESTIONS} SELECT chunk_id, pos, option_pos, '미확인' AS checked FROM rws WHERE status = 'HUMAN_REVIEW'",
     "x4_statistics_rows": f"""
-WITH {QUESTIONS} SELECT 'run' AS section, '전체 문제 수' AS label, total_problems::DOUBLE AS value FROM stats
-UNION ALL SELECT 'run', '자동 확정(AUTO) 비율', auto_confirmed_ratio FROM stats UNION ALL SELECT 'run', '검토 필요(HUMAN_REVIEW) 비율', human_review_ratio FROM stats
-UNION ALL SELECT 'issues', issue_type, count(*)::DOUBLE FROM few GROUP BY issue_type""",
+WITH RECURSIVE {STATES}, {QUESTIONS}, v AS (
+  SELECT 1 AS place, '전체 문제 수' AS label, total_problems::DOUBLE AS value FROM stats UNION ALL SELECT 2, '자동 확정(AUTO) 비율', auto_confirmed_ratio FROM stats
+  UNION ALL SELECT 3, '검토 필요(HUMAN_REVIEW) 비율', human_review_ratio FROM stats UNION ALL SELECT 4, '실패한 청크 수', count(*)::DOUBLE FROM cur WHERE state = 'FAILED'
+  UNION ALL SELECT 5, '총 소요 시간(초)', 42.0
+)
+SELECT 'run' AS section, place, label, value FROM v
+UNION ALL SELECT 'issues', row_number() OVER (ORDER BY count(*) DESC, issue_type), issue_type, count(*)::DOUBLE FROM few GROUP BY issue_type""",
     "x7_column_widths": f"""
-WITH {QUESTIONS}, w AS (UNPIVOT (SELECT id::VARCHAR AS id, text, num, "option", answer, explanation, status FROM rws) ON COLUMNS(*) INTO NAME name VALUE v)
-SELECT name, least(20, max(length(v)) + 2)::INT AS width FROM w GROUP BY name""",
+WITH {QUESTIONS}, s AS (
+  SELECT '' AS unit, id::VARCHAR AS id, text, num, "option", '' AS note, answer, explanation, CASE WHEN confidence = 0 THEN '0.0' ELSE confidence::VARCHAR END AS confidence, status FROM rws
+), w AS (UNPIVOT s ON COLUMNS(*) INTO NAME name VALUE v)
+SELECT name, least(CASE name WHEN 'option' THEN 16 ELSE 20 END, max(length(v)) + 2)::INT AS width FROM w GROUP BY name""",
     "st1_registered": f"WITH RECURSIVE {STATES} SELECT DISTINCT c_custkey AS chunk_id, 'CHUNK_READY' AS state FROM customer WHERE c_custkey NOT IN (SELECT chunk_id FROM cur)",
     "st2_forbidden_steps": f"WITH RECURSIVE {STATES} SELECT chunk_id, event_id, before, state FROM checked WHERE NOT taken",
     "st3_current_states": f"WITH RECURSIVE {STATES} SELECT * FROM cur",

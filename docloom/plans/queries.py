@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions.text import with_text_metrics
 from docloom.operators import blocks, chunks, convert, dictionary, hints, responses, scoring, sheets, states, validation
-from docloom.plans.adapters import EXAM, event_log, line_segments, order_questions, table
+from docloom.plans.adapters import event_log, exam_blocks, line_segments, order_answers, order_questions, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 MAX_TOKENS = 200
@@ -38,20 +38,20 @@ def r3_page_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocks.page_of_offset(offsets, placed)
 
 
-def _exam(spark: SparkSession) -> DataFrame:
-    return blocks.block_offsets(blocks.from_rows(spark, EXAM))
+def _exam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocks.block_offsets(exam_blocks(table(spark, sf_dir, "documents")))
 
 
 def r1_header_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocks.detect_headers(_exam(spark))
+    return blocks.detect_headers(_exam(spark, sf_dir))
 
 
 def r2_header_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocks.is_rising(blocks.header_candidates(_exam(spark)))
+    return blocks.is_rising(blocks.header_candidates(_exam(spark, sf_dir)))
 
 
 def r4_option_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocks.option_symbol_type(_exam(spark))
+    return blocks.option_symbol_type(_exam(spark, sf_dir))
 
 
 def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,21 +77,26 @@ def c7_headers_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.headers_in_range(parts.select("doc_id", "question_id"), made).select("doc_id", "chunk_id", "question_id")
 
 
-def dry_run(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-    """Chunks of the exam text and their hints: the whole preparation without a converter."""
-    placed = _exam(spark)
+def dry_run(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Chunks of the texts whose blocks these are, and their hints: the whole preparation without a converter."""
     headers = blocks.detect_headers(placed)
     made = chunks.chunks(chunks.pack_segments(chunks.segments(blocks.full_text(placed), headers)))
     return made, hints.hints(made, chunks.headers_in_range(headers, made), blocks.option_symbol_type(placed))
 
 
 def c2_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = _exam(spark)
-    return chunks.segments(blocks.full_text(placed), blocks.detect_headers(placed))
+    placed = _exam(spark, sf_dir)
+    parts = chunks.segments(blocks.full_text(placed), blocks.detect_headers(placed))
+    return parts.select("doc_id", "ord", "question_id", "page", F.sha2(F.col("text").cast("binary"), 256).alias("sha256"), "tokens", "char_start", "char_end")
+
+
+def c5_without_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return chunks.without_headers(documents, blocks.detect_headers(blocks.block_offsets(exam_blocks(documents))))
 
 
 def h1_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = dry_run(spark)[1]
+    rows = dry_run(_exam(spark, sf_dir))[1]
     special = F.array_join(F.transform("special_blocks", lambda b: F.concat(b["location"], F.lit(": "), b["type"])), ", ")
     return rows.withColumn("special_blocks", special).withColumn("pages", F.array_join("pages", ","))
 
@@ -107,8 +112,11 @@ def d2_pre_correct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def d3_term_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made, _ = dry_run(spark)
-    return dictionary.correction_log(dictionary.pre_correct(made), ["doc_id", "chunk_id"])
+    return dictionary.correction_log(dictionary.pre_correct(table(spark, sf_dir, "documents"), WORDS), ["doc_id"])
+
+
+def d6_post_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dictionary.post_verify(_questions(spark, sf_dir), TERMS)
 
 
 def d7_canonical_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,53 +124,39 @@ def d7_canonical_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def d10_validate_term(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = spark.createDataFrame([(w,) for w in ("계약", "게약", "물구권", "채무미이행", "모름")], "term string")
-    return words.select("term", dictionary.validate_term(F.col("term")).alias("v")).select("term", "v.*")
-
-
-ANSWERS = [
-    ("fenced", 'text\n```json\n{"questions": []}\n```\nmore', "", 0),
-    ("braces", 'prefix {"questions": [{"id": 1}]} suffix', "", 0),
-    ("cut", '{"questions": [{"id": 1, "text": "a", "options": []}, {"id": 2, "te', "", 0),
-    ("good", '{"questions": [{"id": 1, "text": " q ", "options": [{"num": "1", "text": "x", "correct": true}]}, {"id": 2, "text": "q", "options": []}]}', "", 0),
-    ("wrong", '{"questions": [{"id": 1, "text": "q", "options": [{"num": "1", "text": "x", "correct": "O"}]}]}', "", 0),
-    ("limit", "usage limit reached|1700000000", "", 1),
-    ("limit_ms", "Usage  limit reached | 1700000000000", "", 1),
-    ("auth", "", "please login", 1),
-    ("blank", "  ", "", 0),
-    ("corrupt", "x��", "", 0),
-    ("envelope", '{"result": "ok"}', "", 0),
-]
+    words = table(spark, sf_dir, "documents").select(F.explode(F.split("text", "[ \n]")).alias("term")).filter("term <> ''").distinct()
+    return words.select("term", dictionary.validate_term(F.col("term"), WORDS).alias("v")).select("term", "v.*")
 
 
-def _answers(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(ANSWERS, "chunk_id string, stdout string, stderr string, exit_code int")
+def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_answers(table(spark, sf_dir, "orders"))
 
 
 def l9_classified_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, err = F.col("stdout"), F.col("stderr")
     kind = responses.classify_answer(out, err, F.col("exit_code"))
-    return _answers(spark).select("chunk_id", kind.alias("kind"), responses.reset_epoch(out, err).alias("reset_at"), responses.unwrap(out).alias("result"))
+    return _answers(spark, sf_dir).select("chunk_id", kind.alias("kind"), responses.reset_epoch(out, err).alias("reset_at"), responses.unwrap(out).alias("result"))
 
 
 def j1_extracted_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = responses.extract_json(F.col("stdout"))
-    return _answers(spark).select("chunk_id", found.alias("json"), responses.is_truncated(found).alias("truncated"))
+    return _answers(spark, sf_dir).select("chunk_id", F.sha2(found.cast("binary"), 256).alias("sha256"), responses.is_truncated(found).alias("truncated"))
 
 
 def j7_parsed_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return responses.parse_answers(_answers(spark)).withColumn("questions", F.to_json("questions"))
+    ids = F.array_join(F.transform("questions", lambda q: q["id"].cast("string")), ",")
+    return responses.parse_answers(_answers(spark, sf_dir)).select("chunk_id", "ok", "recovered", F.col("error").isNotNull().alias("failed"), ids.alias("ids"))
 
 
 def l1_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = convert.prompts(*dry_run(spark))
+    rows = convert.prompts(*dry_run(_exam(spark, sf_dir)))
     return rows.select("doc_id", "chunk_id", F.sha2(F.col("prompt").cast("binary"), 256).alias("sha256"))
 
 
 def l5_converted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The exam text from blocks to checked questions, by the deterministic converter."""
-    made, hinted = dry_run(spark)
-    fixed = dictionary.pre_correct(made).drop("text").withColumnRenamed("corrected_text", "text")
+    """All documents from blocks to checked questions, by the deterministic converter."""
+    made, hinted = dry_run(_exam(spark, sf_dir))
+    fixed = dictionary.pre_correct(made, WORDS).drop("text").withColumnRenamed("corrected_text", "text")
     answers = convert.convert(convert.prompts(fixed, hinted), convert.marked_converter)
     keyed = answers.withColumn("key", F.concat_ws("/", "doc_id", "chunk_id"))
     parsed = responses.parse_answers(keyed, key="key")
@@ -222,9 +216,13 @@ def t1_term_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Questions, all issues that SQL can express (every one but F4's) and the scores; _whole_scores has F4 too."""
     questions = _questions(spark, sf_dir)
-    # Few issues per chunk, so that scores differ.
-    found = validation.duplicate_ids(questions).filter("question_id = 3").unionByName(validation.answer_values(questions).filter("question_id > 28")).unionByName(validation.odd_lengths(questions).filter("question_id > 29"))
+    pairs = validation.compared(questions, _originals(questions))
+    checks = (validation.truncations(pairs), validation.missing_options(pairs), validation.lost_keywords(pairs), validation.odd_lengths(questions), dictionary.term_issues(questions, TERMS))
+    found = validation.structure_issues(questions, F.lit(4))
+    for issues in checks:
+        found = found.unionByName(issues, allowMissingColumns=True)
     return questions, found, scoring.confidence(questions.select("chunk_id").distinct(), found)
 
 
@@ -236,13 +234,21 @@ def k2_deductions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.deductions(_scores(spark, sf_dir)[1])
 
 
+def k3_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.breakdown(_scores(spark, sf_dir)[1])
+
+
 def e2_error_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.error_breakdown(_structure(spark, sf_dir))
 
 
 def e4_run_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     questions, _, scores = _scores(spark, sf_dir)
-    return scoring.run_statistics(scoring.flat_questions(questions, scores))
+    return scoring.run_statistics(scoring.flat_questions(questions, scores), _failed(spark, sf_dir), 42.0)
+
+
+def _failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _states(spark, sf_dir).filter("state = 'FAILED'")
 
 
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,7 +257,7 @@ def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def x1_option_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sheets.marks(_rows(spark, sf_dir)).drop("unit", "note")
+    return sheets.marks(_rows(spark, sf_dir))
 
 
 def x3_review_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,7 +266,8 @@ def x3_review_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def x4_statistics_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     questions, found, scores = _scores(spark, sf_dir)
-    return sheets.statistics_rows(scoring.run_statistics(scoring.flat_questions(questions, scores)), scoring.error_breakdown(found))
+    run = scoring.run_statistics(scoring.flat_questions(questions, scores), _failed(spark, sf_dir), 42.0)
+    return sheets.statistics_rows(run, scoring.error_breakdown(found))
 
 
 def _whole_diff(questions: DataFrame) -> DataFrame:
@@ -284,7 +291,7 @@ def k1_whole_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def k2_whole_deductions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.deductions(_whole_scores(spark, sf_dir)[1])
+    return scoring.breakdown(_whole_scores(spark, sf_dir)[1])
 
 
 def e4_whole_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,7 +305,7 @@ def _whole_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def x1_whole_option_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sheets.marks(_whole_rows(spark, sf_dir)).drop("unit", "note")
+    return sheets.marks(_whole_rows(spark, sf_dir))
 
 
 def x3_whole_review_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,7 +318,7 @@ def x4_whole_statistics_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def x7_column_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sheets.column_widths(_rows(spark, sf_dir), ["id", "text", "num", "option", "answer", "explanation", "status"], cap=20)
+    return sheets.column_widths(_rows(spark, sf_dir), list(sheets.COLUMNS), cap=20, caps={"option": 16})
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -360,9 +367,9 @@ def st9_state_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        m0_text_metrics, p1_block_offsets, p2_full_text, r1_header_detect, r2_header_sequences, r3_page_asof, r4_option_symbol, c2_segments, c3_packed_segments, c4_chunks,
-        c6_manifest, c7_headers_in_range, h1_hints, h3_tables, d2_pre_correct, d3_term_scan, d7_canonical_terms, d10_validate_term, l1_prompts, l5_converted, l9_classified_answers, j1_extracted_json,
-        j6_normalised, j7_parsed_answers, v0_structure_issues, f0_diff_issues, f2_similarity, f7_odd_lengths, t1_term_issues, k1_confidence, k2_deductions, e2_error_breakdown,
+        m0_text_metrics, p1_block_offsets, p2_full_text, r1_header_detect, r2_header_sequences, r3_page_asof, r4_option_symbol, c2_segments, c3_packed_segments, c4_chunks, c5_without_headers,
+        c6_manifest, c7_headers_in_range, h1_hints, h3_tables, d2_pre_correct, d3_term_scan, d6_post_verify, d7_canonical_terms, d10_validate_term, l1_prompts, l5_converted, l9_classified_answers, j1_extracted_json,
+        j6_normalised, j7_parsed_answers, v0_structure_issues, f0_diff_issues, f2_similarity, f7_odd_lengths, t1_term_issues, k1_confidence, k2_deductions, k3_breakdown, e2_error_breakdown,
         e4_run_statistics, x1_option_rows, x3_review_rows, x4_statistics_rows, x7_column_widths, st1_registered, st2_forbidden_steps, st3_current_states, st4_pauses, st7_resumable,
         st8_state_of, st9_progress, st9_state_counts, f0_whole_diff_issues, k1_whole_confidence, k2_whole_deductions, e4_whole_statistics, x1_whole_option_rows, x3_whole_review_rows, x4_whole_statistics_rows,
     )

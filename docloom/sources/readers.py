@@ -8,18 +8,25 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.operators.convert import template_in
+
 BLOCKS = "path string, page int, block_id int, text string, font_size double, error string"
 #: path and bytes to (page, text, font sizes of its spans) per block; raises for what it can't read.
 Extractor = Callable[[str, bytes], Iterator[tuple[int, str, list[float]]]]
 
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
-    """canonical, pattern, category, frequency: one row per pattern of a JSON object with the key `terms`."""
+    """canonical, pattern, category, frequency: one row per pattern of a JSON object with the key `terms`, one at least per term. See dictionary_of()."""
     term = "struct<patterns: array<string>, category: string, frequency: string, description: string, note: string>"
     rows = spark.read.schema(f"terms map<string, {term}>").json(path, multiLine=True)
     checked = rows.select(F.when(F.col("terms").isNull(), F.raise_error(F.lit("a dictionary needs the key terms"))).otherwise(F.col("terms")).alias("terms"))
     each = checked.select(F.explode("terms").alias("canonical", "t"))
-    return each.select("canonical", F.explode("t.patterns").alias("pattern"), "t.category", "t.frequency")
+    return each.select("canonical", F.explode_outer("t.patterns").alias("pattern"), "t.category", "t.frequency")
+
+
+def read_template(spark: SparkSession, path: str) -> str:
+    """The prompt template of a text file, see template_in()."""
+    return template_in(spark.read.text(path, wholetext=True).first()["value"])
 
 
 def read_hints(spark: SparkSession, path: str) -> DataFrame:
@@ -50,6 +57,11 @@ def read_blocks(spark: SparkSession, path: str, extract: Extractor, suffix: str
     return files.mapInPandas(run, BLOCKS)
 
 
+def page_counts(found: DataFrame) -> DataFrame:
+    """path, pages: how many pages of each file of read_blocks() hold text; 0 for a file that couldn't be read."""
+    return found.groupBy("path").agg(F.coalesce(F.max("page") + 1, F.lit(0)).alias("pages"))
+
+
 def text_lines(path: str, content: bytes) -> Iterator[tuple[int, str, list[float]]]:
     """Plain text as pages between form feeds, a block per line."""
     for page, body in enumerate(content.decode("utf-8", "replace").split("\f")):

@@ -8,14 +8,28 @@ from pyspark.sql import functions as F
 
 from docloom.functions.text import MEASURES, estimated_tokens, with_text_metrics
 from docloom.operators import blocks, chunks, dictionary, hints
-from docloom.plans.adapters import EXAM
 from docloom.plans.queries import dry_run
 
+#: Two pages of an exam text, with a misspelling in the first question.
+EXAM = {
+    "exam": [
+        [
+            "민법 기출문제", "문1. 다음 게약에 관한 설명으로 옳은 것은?", "① 청약은 철회할 수 있다.", "② 승낙은 청약과 일치해야 한다.", "③ 무효이다.", "④ 취소이다.", "[해설] 정답은 ②이다.",
+            "문2. 물권에 관한 설명은?", "① 채권보다 우선한다.", "② 등기가 필요하다.", "③ 소멸한다.", "④ 이전한다.",
+        ],
+        ["문3. 채권의 목적은?", "① 금전", "② 행위", "③ 물건", "④ 권리", "문4. 상속의 순위는?", "① 직계비속", "② 배우자", "③ 형제", "④ 국가", "[해설] 정답은 ①이다."],
+    ],
+    "parens": [["(1) 다음 도시의 이름은?"], ["(2) 그 강의 길이는?"], ["(3) 산의 높이는?"]],
+    "dots": [["1. 다음 도시의 이름은?"], ["2. 그 강의 길이는?"], ["3. 산의 높이는?"]],
+    "bare": [["둘째 마당 3 나 무", "3 문41"], ["3 문42", "소나무의 잎에 대한 말로 맞는 것은?"], ["3 문43", "참나무의 열매는 무엇인가?"]],
+    "prose": [["오늘 항구에서 배를 보았다.", "바람은 없었다."], ["길이 이어진다.", "집으로 돌아왔다."]],
+}
+
 CASES = {
-    "prefix": ([["제0절 1 도 급", "1 문65"], ["1 문66", "도급, 위임에 관한 설명 중 옳은 것은?"], ["1 문67", "끝"]], [65, 66, 67], "문{N}."),
-    "bare": ([["문1", "본문"], ["문2", "본문"], ["문3", "본문"]], [1, 2, 3], "문{N}."),
+    "prefix": ([["둘째 마당 3 나 무", "3 문41"], ["3 문42", "소나무의 잎에 대한 말로 맞는 것은?"], ["3 문43", "끝"]], [41, 42, 43], "문{N}."),
+    "bare": ([["문1", "첫째"], ["문2", "둘째"], ["문3", "셋째"]], [1, 2, 3], "문{N}."),
     "suffix": ([["문1. 요건이 아닌 것은?"], ["문2) 차이는?"], ["문3. 사유는?"]], [1, 2, 3], "문{N}."),
-    "paren": ([["(1) 문제 내용입니다"], ["(2) 문제 내용입니다"], ["(3) 문제 내용입니다"]], [1, 2, 3], "({N})"),
+    "paren": ([["(1) 다음 도시의 이름은?"], ["(2) 그 강의 길이는?"], ["(3) 산의 높이는?"]], [1, 2, 3], "({N})"),
     "dot": ([["1. 문제"], ["2. 문제"], ["3. 문제"]], [1, 2, 3], "{N}."),
     "bracket": ([["【1】 가", "【2】 나"]], [1, 2], "【{N}】"),
     "prose": ([["문항을 읽는다", "질문이 있다"], ["본문이다", "주문이다"]], [], None),
@@ -70,7 +84,7 @@ def test_packing(spark):
 
 
 def test_dry_run(spark):
-    made, hinted = dry_run(spark)
+    made, hinted = dry_run(blocks.block_offsets(blocks.from_rows(spark, EXAM)))
     exam = made.filter("doc_id = 'exam'").collect()
     assert len(exam) == 1 and (exam[0]["lo"], exam[0]["hi"], exam[0]["pages"], exam[0]["chunk_id"]) == (1, 4, [0, 1], "chunk_001")
     assert "민법 기출문제" not in exam[0]["text"]

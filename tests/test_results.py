@@ -12,14 +12,29 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
-from docloom.operators import convert, responses, scoring, sheets, states, validation
+from docloom.operators import convert, dictionary, responses, scoring, sheets, states, validation
 from docloom.plans.adapters import order_questions
 from docloom.plans.oracles import ORACLES
-from docloom.plans.queries import ANSWERS, QUERIES, _originals
+from docloom.plans.queries import QUERIES, _originals
 from docloom.sources import readers, writers
 from docloom.streaming.state_stream import checked_stream
 
 SF = "/root/testdata/sf0.001"
+ANSWERS = [
+    ("fenced", 'text\n```json\n{"questions": []}\n```\nmore', "", 0),
+    ("braces", 'before {"questions": [{"id": 7}]} after', "", 0),
+    ("cut", '{"questions": [{"id": 1, "text": "a", "options": []}, {"id": 2, "te', "", 0),
+    ("good", '{"questions": [{"id": 1, "text": " q ", "options": [{"num": "1", "text": "x", "correct": true}]}, {"id": 2, "text": "q", "options": []}]}', "", 0),
+    ("wrong", '{"questions": [{"id": 1, "text": "q", "options": [{"num": "1", "text": "x", "correct": "O"}]}]}', "", 0),
+    ("limit", "usage limit reached|1700000000", "", 1),
+    ("limit_ms", "Usage  limit reached | 1700000000000", "", 1),
+    ("auth", "", "please login", 1),
+    ("blank", "  ", "", 0),
+    ("corrupt", "x\ufffd\ufffd", "", 0),
+    ("envelope", '{"result": "ok"}', "", 0),
+    ("slow", "Too many requests", "", 0),
+    ("length", "", "context length limit", 1),
+]
 SCHEMA = "chunk_id string, pos int, id long, text string, options array<struct<num: string, text: string, correct: string, explanation: string>>"
 
 
@@ -79,7 +94,8 @@ def test_sheets(spark):
 def test_answers(spark):
     answers = spark.createDataFrame(ANSWERS, "chunk_id string, stdout string, stderr string, exit_code int")
     kinds = {r[0]: r[1] for r in answers.select("chunk_id", responses.classify_answer(F.col("stdout"), F.col("stderr"), F.col("exit_code"))).collect()}
-    assert kinds == {"fenced": "OK", "braces": "OK", "cut": "OK", "good": "OK", "wrong": "OK", "limit": "RATE_LIMIT", "limit_ms": "RATE_LIMIT", "auth": "AUTH", "blank": "NONZERO_EXIT", "corrupt": "ENCODING", "envelope": "OK"}
+    assert kinds == {"fenced": "OK", "braces": "OK", "cut": "OK", "good": "OK", "wrong": "OK", "limit": "RATE_LIMIT", "limit_ms": "RATE_LIMIT", "auth": "AUTH", "blank": "NONZERO_EXIT", "corrupt": "ENCODING", "envelope": "OK", "slow": "RATE_LIMIT", "length": "NONZERO_EXIT"}
+    assert kinds == {name: convert.answer_kind(*rest) for name, *rest in ANSWERS}
     ends = {r[0]: r[1] for r in answers.select("chunk_id", responses.reset_epoch(F.col("stdout"), F.col("stderr"))).collect()}
     assert ends["limit"] == ends["limit_ms"] == 1_700_000_000 and ends["good"] is None
     parsed = {r["chunk_id"]: r for r in responses.parse_answers(answers).collect()}
@@ -87,7 +103,10 @@ def test_answers(spark):
     assert parsed["braces"]["error"] == "$.questions[0]: text is missing"
     assert parsed["wrong"]["error"] == "$.questions[0].options[0].correct: not of type boolean"
     assert parsed["good"]["ok"] and not parsed["blank"]["ok"]
-    assert parsed["cut"]["questions"] is None or parsed["cut"]["recovered"]
+    assert parsed["cut"]["recovered"] and [q["id"] for q in parsed["cut"]["questions"]] == [1]
+    text = '{"questions": [{"id": 1, "text": "a", "options": []}, {"id": 2, "text": "b", "options": []}, {"id": 3, "text": "c}'
+    late = responses.parse_answers(spark.createDataFrame([("c", text)], "chunk_id string, stdout string")).first()
+    assert late["ok"] and late["recovered"] and [q["id"] for q in late["questions"]] == [1, 2]
 
 
 def test_truncation(spark):
@@ -114,38 +133,77 @@ def test_convert(spark):
     assert [o["correct"] for o in json.loads(out["c1"]["stdout"])["questions"][0]["options"]] == [False, True]
 
 
+def test_convert_asks_again(spark):
+    prompts = spark.createDataFrame([("d", "c1", "first"), ("d", "c2", "limit")], "doc_id string, chunk_id string, prompt string")
+
+    def answers(text):
+        if text == "limit":
+            return "", "rate limit", 1
+        return ('{"questions": []}', "", 0) if "could not be read" in text else ("no json", "", 0)
+
+    out = {r["chunk_id"]: r for r in convert.convert(prompts, answers, sleep=lambda s: None).collect()}
+    assert (out["c1"]["attempts"], out["c1"]["stdout"], out["c1"]["kind"]) == (2, '{"questions": []}', "OK") and (out["c2"]["attempts"], out["c2"]["kind"]) == (1, "RATE_LIMIT")
+    assert convert.template_in("x\n```\nno\n```\n```md\nT {chunk_text}\n```") == "T {chunk_text}\n" and convert.template_in("all {chunk_text}") == "all {chunk_text}"
+    assert convert.template_in("```\nnone\n```") == convert.TEMPLATE
+
+
 STEPS = ["CHUNK_READY", "SENT", "PAUSED_LIMIT", "CHUNK_READY", "SENT", "RESPONDED", "PARSED", "VALIDATED", "COMPLETED"]
 
 
 def test_states(spark):
-    log = spark.createDataFrame([("a", i, s) for i, s in enumerate(STEPS)] + [("b", 0, "SENT"), ("b", 1, "FAILED")], "chunk_id string, seq long, state string")
-    assert [(r["chunk_id"], r["state"]) for r in states.checked_log(log).filter("not allowed").collect()] == [("b", "SENT")]
-    now = states.current_states(log)
-    assert {(r["chunk_id"], r["state"]) for r in now.collect()} == {("a", "COMPLETED"), ("b", "FAILED")}
-    assert [tuple(r) for r in states.resumable(now).collect()] == [("b", "CHUNK_READY")]
-    assert states.progress(now).first()["percent"] == 50.0 and states.progress(now.limit(0)).first()["percent"] == 0.0
+    rows = [("a", i, s, {"try": str(i), s: "x"}) for i, s in enumerate(STEPS)] + [("b", 0, "SENT", None), ("b", 1, "FAILED", None)]
+    rows += [("c", i, s, None) for i, s in enumerate(("CHUNK_READY", "COMPLETED", "SENT", "elsewhere", None))]
+    log = spark.createDataFrame(rows, "chunk_id string, seq long, state string, metadata map<string,string>")
+    for bucket in (None, F.col("seq"), F.expr("seq div 3")):
+        out = [(r["chunk_id"], r["seq"], r["before"]) for r in states.checked_log(log, bucket=bucket).filter("not allowed").orderBy("chunk_id", "seq").collect()]
+        assert out == [("b", 0, None), ("b", 1, None), ("c", 1, "CHUNK_READY"), ("c", 3, "SENT"), ("c", 4, "SENT")]
+        now = states.current_states(log, bucket=bucket)
+        assert {(r["chunk_id"], r["state"], r["changes"], r["rejected"]) for r in now.collect()} == {("a", "COMPLETED", 9, 0), ("c", "SENT", 2, 3)}
+    assert [tuple(r) for r in states.resumable(now).collect()] == [("c", "CHUNK_READY")]
+    assert [r["state"] for r in states.state_of(now, "a").collect()] == ["COMPLETED"] and states.state_of(now, "b").count() == 0
+    assert [r["state"] for r in states.history(log).filter("chunk_id = 'c'").orderBy("seq").collect()] == ["CHUNK_READY", "SENT"]
+    merged = {r["chunk_id"]: r["metadata"] for r in states.merged_metadata(log).collect()}
+    assert merged["a"]["try"] == "8" and set(merged["a"]) == {"try", *STEPS}
+    done = states.progress(now.withColumn("seconds", F.lit(4.0)), "seconds").first()
+    assert (done["percent"], done["remaining"], done["eta_seconds"]) == (50.0, 1, 4.0)
+    assert states.progress(now.limit(0)).first()["percent"] == 0.0 and states.progress(now).first()["eta_seconds"] is None
+    assert states.checked_log(log.limit(0)).count() == 0
     none = spark.createDataFrame([], "resume_at timestamp")
     assert states.wait_seconds(none, F.current_timestamp()).first()[0] == 1800.0
 
 
 def test_state_stream(spark, tmp_path):
-    log = spark.createDataFrame([("a", i, s) for i, s in enumerate(STEPS[:3])] + [("b", 0, "PARSED")], "chunk_id string, seq long, state string")
+    rows = [("a", i, s) for i, s in enumerate(STEPS[:3])] + [("b", 0, "PARSED")] + [("c", i, s) for i, s in enumerate(("CHUNK_READY", "COMPLETED", "SENT"))]
+    log = spark.createDataFrame(rows, "chunk_id string, seq long, state string")
     log.write.json(str(tmp_path / "in"))
     stream = spark.readStream.schema(log.schema).json(str(tmp_path / "in"))
     query = checked_stream(stream).writeStream.format("memory").queryName("checked").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
     query.awaitTermination(120)
     got = {(r["chunk_id"], r["seq"], r["allowed"]) for r in spark.table("checked").collect()}
-    assert got == {("a", 0, True), ("a", 1, True), ("a", 2, True), ("b", 0, False)}
+    assert got == {("a", 0, True), ("a", 1, True), ("a", 2, True), ("b", 0, False), ("c", 0, True), ("c", 1, False), ("c", 2, True)}
+    assert got == {(r["chunk_id"], r["seq"], r["allowed"]) for r in states.checked_log(log).collect()}
 
 
 def test_readers(spark, tmp_path):
     (tmp_path / "dict.json").write_text(json.dumps({"terms": {"계약": {"patterns": ["게약"], "category": "k", "frequency": "high"}}}))
     assert [tuple(r) for r in readers.read_dictionary(spark, str(tmp_path / "dict.json")).collect()] == [("계약", "게약", "k", "high")]
+    (tmp_path / "more.json").write_text(json.dumps({"terms": {"계약": {"patterns": ["계약", "게약"]}, "질권": {"patterns": []}}}))
+    own = dictionary.dictionary_of(readers.read_dictionary(spark, str(tmp_path / "more.json")))
+    assert set(own.names) == {"계약", "질권"} and set(own.pairs) == {("계약", "계약"), ("계약", "게약")}
+    found = spark.createDataFrame([("질권의 게약",)], "text string").select(dictionary.canonical_terms(F.col("text"), own), dictionary.validate_term(F.lit("질권"), own)["confidence"], dictionary.validate_term(F.lit("게약"), own)["suggestion"]).first()
+    assert tuple(found) == (["질권"], "high", "계약") and dictionary.pre_correct(spark.createDataFrame([("게약",)], "text string"), own).first()["corrected_text"] == "계약"
+    every = spark.createDataFrame([(" ".join(dictionary.CANONICAL_TERMS),)], "text string").select(dictionary.canonical_terms(F.col("text"))).first()[0]
+    assert sorted(every) == sorted(dictionary.CANONICAL_TERMS) and len(every) == 27
+    assert {r[0] for r in spark.createDataFrame([(t,) for t in every], "t string").select(dictionary.validate_term(F.col("t"))["confidence"]).collect()} == {"high"}
+    (tmp_path / "prompt.md").write_text("# x\n```text\nRead {chunk_text}\n```\n")
+    assert readers.read_template(spark, str(tmp_path / "prompt.md")) == "Read {chunk_text}\n"
     (tmp_path / "a.pdf").write_bytes("one\n\ntwo\fthree".encode())
     (tmp_path / "b.PDF").write_bytes(b" ")
     rows = readers.read_blocks(spark, str(tmp_path / "*.*"), readers.text_lines).orderBy("path", "block_id").collect()
     assert [(r["page"], r["text"]) for r in rows if not r["error"]] == [(0, "one"), (0, "two"), (1, "three")]
     assert [r["error"] for r in rows if r["path"].endswith("b.PDF")] == ["no text blocks"]
+    counts = {r["path"][-5:]: r["pages"] for r in readers.page_counts(readers.read_blocks(spark, str(tmp_path / "*.*"), readers.text_lines)).collect()}
+    assert counts == {"a.pdf": 2, "b.PDF": 0}
     (tmp_path / "log.json").write_text('{"chunk_id": "c", "seq": 1, "state": "SENT"}\n{broken\n')
     good, bad = readers.read_state_log(spark, str(tmp_path / "log.json"))
     assert good.count() == 1 and len(bad.collect()) == 1
