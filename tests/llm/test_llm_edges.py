@@ -3,6 +3,7 @@
 import hashlib
 import json
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from docloom.llm import chat, decontamination, jaccard, language_id, line_dedup, nearest, packing, sharding, url_filter, wrappers
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, n bigint, matches string, _row string, component_id string, label string, kept_text string, _stratum string"
+SF = "/root/testdata/sf0.001"
 LONG = " ".join(f"word{i % 977}" for i in range(40_000))
 TEXTS = [None, "", " \n\t", "one two three four five six seven eight nine ten eleven", "one two three four five six seven eight nine ten eleven", LONG, "ab", "ÀÉ déjà vu\r\nligne deux", "x\x00y z"]
 
@@ -155,6 +157,41 @@ def test_line_dedup(spark, docs):
     assert line_dedup.dedup_lines(spark, docs.limit(0)).count() == 0
 
 
+def test_columns_of_any_name(spark, docs):
+    odd = docs.select("doc_id", "text", "source", *[F.lit(c).alias(c) for c in ("_lines", "_dropped", "_text", "_text_hash", "_hash", "_doc", "_row", "_bucket", "_cell", "_stratum", "_tie", "_at", "_shard", "shard", "h1", "kept_text")])
+    lines = line_dedup.dedup_lines(spark, odd)
+    assert lines.columns == [*[c for c in odd.columns if c != "kept_text"], "kept_text", "n_lines", "n_dropped"]
+    assert {(r["_lines"], r["_dropped"], r["_text_hash"], r["_row"]) for r in lines.collect()} == {("_lines", "_dropped", "_text_hash", "_row")}
+    shards = sharding.interleave(odd, 3)
+    assert shards.columns == [*[c for c in odd.columns if c != "shard"], "shard", "slot"]
+    assert {(r["_bucket"], r["_stratum"], r["_shard"]) for r in shards.collect()} == {("_bucket", "_stratum", "_shard")} and shards.count() == odd.count()
+
+
+def test_sharding_buckets_follow_from_sizes(spark):
+    """Where each bucket begins, against a count of all fractional ranks; strata smaller and larger than the number of buckets."""
+    sizes = {"a": 1, "b": 7, "c": 16, "d": 17, "e": 1000}
+    rows = spark.createDataFrame(list(sizes.items()), "_stratum string, _size long")
+    got = {r["_bucket"]: r["_first"] for r in sharding.fraction_starts(rows, 4).collect()}
+    ranks = sorted((2 * r - 1) * 16 // (2 * n) for n in sizes.values() for r in range(1, n + 1))
+    assert got == {b: ranks.index(b) for b in set(ranks)}
+
+
+@pytest.mark.skipif(not Path(SF).exists(), reason="needs the driver's benchmark table")
+def test_pipeline_stages(spark, docs):
+    import corpus_pipeline as pipeline
+
+    kept = {}
+    for name, stage in pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        kept[name] = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in out.collect())
+        assert name == "packing" or out.columns == docs.columns
+        assert stage(spark, docs.limit(0), SF).count() == 0
+    every = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in docs.collect())
+    assert kept["line_dedup"] == kept["decontamination"] == every and sorted(set(kept["packing"])) == sorted(set(every))
+    assert [x for x in every if x not in kept["language_id"]] == [(False, 0), (False, 1), (False, 2)]
+    assert [x for x in every if x not in kept["jaccard_join"]] == [(False, 4)] and kept["jaccard_join"].count((False, 3)) == 2
+
+
 def test_url_filter(spark):
     urls = [None, "", "nothing", "http://a.net/x", "HTTPS://X.Example.NET/en/1", "http://example.com/de/1", "http://notexample.com/de/", "http://b.org/fr/", "http://b.org/FR/", "http://net/", "http://a.net", "http://é.org/?q#f"]
     pages = spark.createDataFrame([(i, u, "mine") for i, u in enumerate(urls)], "page_id long, url string, verdict string")

@@ -25,11 +25,11 @@ def texts(spark):
     return {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
 
 
-def brute_components(texts: dict, percent: int = 85) -> dict:
+def brute_components(texts: dict, percent: int = 85, width: int = 4) -> dict:
     sets = {}
     for i, t in texts.items():
         w = re.findall("[^\x20\x09-\x0d]+", (t or "").translate(LOWER))
-        sets[i] = frozenset(tuple(w[k : k + 4]) for k in range(max(1, len(w) - 3))) if w else frozenset()
+        sets[i] = frozenset(tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))) if w else frozenset()
     up = {i: i for i in sets}
 
     def root(i):
@@ -244,7 +244,7 @@ def test_pipeline(spark):
     for i, t in own.items():
         kept[i] = "\n".join(x for x in t.split("\n") if owner.get(x.strip(" \t\n\x0b\x0c\r").translate(LOWER), i) == i)
     assert {r["doc_id"]: r["text"] for r in lines.collect()} == kept
-    groups = brute_components(kept)
+    groups = brute_components(kept, 80, 5)
     alone = steps["jaccard_join"](spark, lines, SF).cache()
     assert {r["doc_id"] for r in alone.collect()} == {i for i, (_, c) in groups.items() if c == i}
     clean = steps["decontamination"](spark, alone, SF)
