@@ -51,7 +51,7 @@ class WordTokenizer:
     the whole tokenizer.
     """
 
-    def __init__(self, path: str, cache_bytes: int = 40_000_000):
+    def __init__(self, path: str, cache_bytes: int = 64_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
