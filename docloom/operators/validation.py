@@ -1,20 +1,22 @@
 """Checks of parsed questions (chunk_id, pos, id, text, options) and of how they differ from the text they come from.
 
-Options are a short array inside a question's row, so all checks within a question are one projection; only checks across
-a chunk's questions (repeated and missing ids, sums against the original) shuffle, by chunk. All issues share a schema.
+A check is a column: the array of issues that it finds in its row. A question's checks are concatenated and exploded once,
+so they are one projection whatever their number, and so are those of a chunk against its original; only what needs a
+chunk's questions together (repeated and missing ids, sums against the original) shuffles, by chunk. All issues share a
+schema.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from difflib import SequenceMatcher
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions.text import strip
+from docloom.operators.dictionary import SHIPPED, Terms, term_issues
 from docloom.operators.responses import SAME
 
 LEAST_LENGTH_SHARE, LEAST_SIMILARITY, LEAST_OPTION_SHARE, MOST_LOST, SHORT_OPTION, LEAST_MEAN_LENGTH = 0.5, 0.5, 0.8, 0.3, 0.3, 10
@@ -23,12 +25,24 @@ OPTION_MARKS = ("[①②③④⑤⑥⑦⑧⑨⑩]", "(?<![가-힣])[ㄱㄴㄷㄹ
 KEYWORD = "[가-힣A-Za-z0-9]{3,}"
 
 
-def _issues(rows: DataFrame, source: str, kind: str, severity: str, detail: Column, *, question: Column | str = "id", pos: Column | str = "pos", option: Column | None = None) -> DataFrame:
-    column = lambda x: F.col(x) if isinstance(x, str) else x
-    return rows.select(
-        "chunk_id", F.lit(source).alias("source"), F.lit(kind).alias("issue_type"), F.lit(severity).alias("severity"), column(question).cast("long").alias("question_id"),
-        column(pos).cast("int").alias("pos"), F.lit("").alias("location"), (option if option is not None else F.lit("")).alias("option_num"), F.lit("").alias("term"),
-        F.lit("").alias("suggestion"), detail.cast("string").alias("detail"),
+def _issue(source: str, kind: str, severity: str, detail: Column, *, question: Column | None = None, pos: Column | None = None, option: Column | None = None) -> Column:
+    no_option = F.lit("") if option is None else F.coalesce(option, F.lit(""))
+    return F.struct(
+        F.lit(source).alias("source"), F.lit(kind).alias("issue_type"), F.lit(severity).alias("severity"), (F.col("id") if question is None else question).cast("long").alias("question_id"),
+        (F.col("pos") if pos is None else pos).cast("int").alias("pos"), no_option.alias("option_num"), detail.cast("string").alias("detail"),
+    )
+
+
+def _if(found: Column, issue: Column) -> Column:
+    return F.array_compact(F.array(F.when(found, issue)))
+
+
+def issues(rows: DataFrame, *checks: Column) -> DataFrame:
+    """A row per issue that the checks find in the rows (chunk_id, ...)."""
+    # An inner explode would have the whole array worked out a second time, for a filter of empty ones before it.
+    each = rows.select("chunk_id", F.explode_outer(F.concat(*checks)).alias("i")).filter("i is not null")
+    return each.select(
+        "chunk_id", "i.source", "i.issue_type", "i.severity", "i.question_id", "i.pos", F.lit("").alias("location"), "i.option_num", F.lit("").alias("term"), F.lit("").alias("suggestion"), "i.detail",
     )
 
 
@@ -36,63 +50,70 @@ def _options() -> Column:
     return F.coalesce("options", F.expr("array()"))
 
 
-def duplicate_ids(questions: DataFrame) -> DataFrame:
-    counted = questions.groupBy("chunk_id", "id").count().filter("count > 1")
-    return _issues(counted, "structure", "DUPLICATE_QUESTION", "ERROR", F.col("count"), pos=F.lit(None))
+def _blank(x: Column) -> Column:
+    return strip(F.coalesce(x, F.lit(""))) == ""
+
 
+def repeated_ids() -> Column:
+    """Over rows (id, n): an id that a chunk has several times."""
+    return _if(F.col("n") > 1, _issue("structure", "DUPLICATE_QUESTION", "ERROR", F.col("n"), pos=F.lit(None)))
 
-def missing_ids(questions: DataFrame) -> DataFrame:
-    """Every number between neighbouring ids of a chunk; none before the first or after the last."""
-    following = F.lead("id").over(Window.partitionBy("chunk_id").orderBy("id"))
-    gaps = questions.select("chunk_id", "id").distinct().withColumn("next", following).filter("next - id > 1")
-    each = gaps.select("chunk_id", F.explode(F.sequence(F.col("id") + 1, F.col("next") - 1)).alias("id"))
-    return _issues(each, "structure", "MISSING_QUESTION", "ERROR", F.col("id"), pos=F.lit(None))
 
+def missing_ids() -> Column:
+    """Over rows (id, following): every number between neighbouring ids of a chunk; none before the first or after the last."""
+    gap = F.when(F.col("following") - F.col("id") > 1, F.sequence(F.col("id") + 1, F.col("following") - 1)).otherwise(F.expr("cast(array() as array<bigint>)"))
+    return F.transform(gap, lambda k: _issue("structure", "MISSING_QUESTION", "ERROR", k, question=k, pos=F.lit(None)))
 
-def option_counts(questions: DataFrame, expected: Column) -> DataFrame:
-    wrong = questions.filter((expected > 0) & (F.size(_options()) != expected))
-    return _issues(wrong, "structure", "OPTION_COUNT_INCONSISTENT", "WARNING", F.size(_options()))
 
+def option_counts(expected: Column) -> Column:
+    n = F.size(_options())
+    return _if((expected > 0) & (n != expected), _issue("structure", "OPTION_COUNT_INCONSISTENT", "WARNING", n))
 
-def repeated_option_texts(questions: DataFrame) -> DataFrame:
+
+def repeated_option_texts() -> Column:
     """One issue per text that several options of a question share; empty ones and `동일` aside."""
-    texts = F.transform(_options(), lambda o: strip(F.coalesce(o["text"], F.lit(""))))
-    several = lambda t: F.size(F.filter(F.col("_texts"), lambda x: x == t)) > 1
-    rows = questions.withColumn("_texts", texts)
-    rows = rows.withColumn("_text", F.explode(F.array_distinct(F.filter("_texts", lambda t: (t != "") & (t != SAME) & several(t)))))
-    return _issues(rows, "structure", "TEXT_DUPLICATED", "WARNING", F.substring("_text", 1, 30))
+    texts = F.array_sort(F.transform(_options(), lambda o: strip(F.coalesce(o["text"], F.lit("")))))
+    # In a sorted list a text's second place follows its first: the list against itself without its first.
+    pairs = F.arrays_zip(texts.alias("a"), F.slice(texts, 2, F.greatest(F.size(texts), F.lit(1))).alias("b"))
+    again = F.transform(F.filter(pairs, lambda p: (p["a"] == p["b"]) & (p["a"] != "") & (p["a"] != SAME)), lambda p: p["a"])
+    return F.transform(F.array_distinct(again), lambda t: _issue("structure", "TEXT_DUPLICATED", "WARNING", F.substring(t, 1, 30)))
 
 
-def answer_values(questions: DataFrame, raw: str = "correct") -> DataFrame:
+def answer_values(raw: str = "correct") -> Column:
     """Options whose `correct` (as text) is neither true nor false."""
-    bad = questions.withColumn("o", F.explode(_options())).filter(~F.coalesce(F.col(f"o.{raw}").cast("string"), F.lit("")).isin("true", "false"))
-    return _issues(bad, "structure", "INVALID_CORRECT_VALUE", "ERROR", F.coalesce(F.col(f"o.{raw}").cast("string"), F.lit("")), option=F.coalesce("o.num", F.lit("")))
+    value = lambda o: F.coalesce(o[raw].cast("string"), F.lit(""))
+    bad = F.filter(_options(), lambda o: ~value(o).isin("true", "false"))
+    return F.transform(bad, lambda o: _issue("structure", "INVALID_CORRECT_VALUE", "ERROR", value(o), option=o["num"]))
 
 
-def answer_counts(questions: DataFrame) -> DataFrame:
+def answer_counts() -> Column:
     right = F.size(F.filter(_options(), lambda o: F.coalesce(o["correct"].cast("string"), F.lit("")) == "true"))
-    none = _issues(questions.filter(right == 0), "structure", "NO_CORRECT_ANSWER", "ERROR", F.lit(0))
-    return none.unionByName(_issues(questions.filter(right > 1), "structure", "MULTIPLE_CORRECT_ANSWERS", "WARNING", right))
+    none, many = _issue("structure", "NO_CORRECT_ANSWER", "ERROR", F.lit(0)), _issue("structure", "MULTIPLE_CORRECT_ANSWERS", "WARNING", right)
+    return F.array_compact(F.array(F.when(right == 0, none).when(right > 1, many)))
+
 
+def empty_fields() -> Column:
+    bare = lambda kind: _issue("structure", kind, "ERROR", F.lit(""))
+    own = F.array_compact(F.array(F.when(_blank(F.col("text")), bare("EMPTY_QUESTION_TEXT")), F.when(F.size(_options()) == 0, bare("EMPTY_OPTIONS"))))
+    blank = lambda field, kind: F.transform(F.filter(_options(), lambda o: _blank(o[field])), lambda o: _issue("structure", kind, "ERROR", F.lit(""), option=o["num"]))
+    return F.concat(own, blank("num", "EMPTY_OPTION_NUM"), blank("text", "EMPTY_OPTION_TEXT"))
 
-def empty_fields(questions: DataFrame) -> DataFrame:
-    blank = lambda x: strip(F.coalesce(x, F.lit(""))) == ""
-    text = _issues(questions.filter(blank(F.col("text"))), "structure", "EMPTY_QUESTION_TEXT", "ERROR", F.lit(""))
-    options = _issues(questions.filter(F.size(_options()) == 0), "structure", "EMPTY_OPTIONS", "ERROR", F.lit(""))
-    each = questions.withColumn("o", F.explode(_options()))
-    num = F.coalesce("o.num", F.lit(""))
-    nums = _issues(each.filter(blank(F.col("o.num"))), "structure", "EMPTY_OPTION_NUM", "ERROR", F.lit(""), option=num)
-    texts = _issues(each.filter(blank(F.col("o.text"))), "structure", "EMPTY_OPTION_TEXT", "ERROR", F.lit(""), option=num)
-    return reduce(DataFrame.unionByName, [text, options, nums, texts])
+
+def question_checks(expected: Column | None = None) -> list[Column]:
+    """The structure checks of a question by itself; `expected` is the number of options asked for, none if not given."""
+    return [option_counts(F.lit(0) if expected is None else expected), repeated_option_texts(), answer_values(), answer_counts(), empty_fields()]
+
+
+def numbering_issues(questions: DataFrame) -> DataFrame:
+    """Repeated and missing ids of each chunk."""
+    counted = questions.groupBy("chunk_id", F.col("id").cast("long").alias("id")).agg(F.count("*").alias("n"))
+    numbered = counted.withColumn("following", F.lead("id").over(Window.partitionBy("chunk_id").orderBy("id")))
+    return issues(numbered, repeated_ids(), missing_ids())
 
 
 def structure_issues(questions: DataFrame, expected: Column | None = None) -> DataFrame:
-    """All structure checks; `expected` is the number of options asked for, none if not given."""
-    found = [
-        duplicate_ids(questions), missing_ids(questions), option_counts(questions, expected if expected is not None else F.lit(0)), repeated_option_texts(questions),
-        answer_values(questions), answer_counts(questions), empty_fields(questions),
-    ]
-    return reduce(DataFrame.unionByName, found)
+    """All structure checks."""
+    return issues(questions, *question_checks(expected)).unionByName(numbering_issues(questions))
 
 
 def result_text() -> Column:
@@ -124,43 +145,56 @@ def similarity(pairs: DataFrame, autojunk: bool = True) -> DataFrame:
     return pairs.withColumn("similarity", ratio("original", "result"))
 
 
-def _whole(rows: DataFrame, kind: str, severity: str, detail: Column) -> DataFrame:
-    return _issues(rows, "diff", kind, severity, detail, question=F.lit(0), pos=F.lit(None))
+def _whole(found: Column, kind: str, severity: str, detail: Column) -> Column:
+    return _if(found, _issue("diff", kind, severity, detail, question=F.lit(0), pos=F.lit(None)))
 
 
-def truncations(pairs: DataFrame) -> DataFrame:
+def truncations() -> Column:
     share = F.length("result") / F.length("original")
-    return _whole(pairs.filter((F.length("original") > 0) & (share < LEAST_LENGTH_SHARE)), "TRUNCATION", "ERROR", F.length("result"))
+    return _whole((F.length("original") > 0) & (share < LEAST_LENGTH_SHARE), "TRUNCATION", "ERROR", F.length("result"))
 
 
-def hallucinations(pairs: DataFrame) -> DataFrame:
-    return _whole(pairs.filter(F.col("similarity") < LEAST_SIMILARITY), "HALLUCINATION", "ERROR", F.round("similarity", 2))
+def hallucinations() -> Column:
+    return _whole(F.col("similarity") < LEAST_SIMILARITY, "HALLUCINATION", "ERROR", F.round("similarity", 2))
 
 
-def missing_options(pairs: DataFrame) -> DataFrame:
+def missing_options() -> Column:
     marks = F.greatest(*[F.regexp_count("original", F.lit(rx)) for rx in OPTION_MARKS])
-    few = pairs.withColumn("marks", marks).filter((F.col("marks") > 0) & (F.col("n_options") / F.col("marks") < LEAST_OPTION_SHARE))
-    return _whole(few, "OPTION_MISSING", "ERROR", F.format_string("%d of %d", F.col("n_options").cast("int"), F.col("marks")))
+    few = (marks > 0) & (F.col("n_options") / marks < LEAST_OPTION_SHARE)
+    return _whole(few, "OPTION_MISSING", "ERROR", F.format_string("%d of %d", F.col("n_options").cast("int"), marks))
 
 
-def lost_keywords(pairs: DataFrame) -> DataFrame:
+def lost_keywords() -> Column:
     """Distinct keywords of the original that the result nowhere holds; the detail names the first ten in order."""
-    words = pairs.withColumn("_words", F.array_distinct(F.regexp_extract_all("original", F.lit(KEYWORD), F.lit(0))))
-    lost = words.withColumn("_lost", F.filter("_words", lambda w: ~F.contains(F.col("result"), w)))
-    many = lost.filter((F.size("_words") > 0) & (F.size("_lost") / F.size("_words") > MOST_LOST))
-    return _whole(many, "KEYWORD_LOSS", "WARNING", F.array_join(F.slice(F.array_sort("_lost"), 1, 10), ", "))
+    words = F.array_distinct(F.regexp_extract_all("original", F.lit(KEYWORD), F.lit(0)))
+    lost = F.filter(words, lambda w: ~F.contains(F.col("result"), w))
+    many = (F.size(words) > 0) & (F.size(lost) / F.size(words) > MOST_LOST)
+    return _whole(many, "KEYWORD_LOSS", "WARNING", F.array_join(F.slice(F.array_sort(lost), 1, 10), ", "))
 
 
-def odd_lengths(questions: DataFrame) -> DataFrame:
+def odd_lengths() -> Column:
     """Options far shorter than the mean of their question's (two options and a mean of ten characters at least)."""
-    lengths = F.transform(_options(), lambda o: F.length(F.coalesce(o["text"], F.lit(""))))
-    total = F.aggregate(lengths, F.lit(0), lambda acc, x: acc + x)
-    rows = questions.withColumn("_mean", F.when(F.size(_options()) >= 2, total / F.size(_options())).otherwise(0.0)).filter(F.col("_mean") >= LEAST_MEAN_LENGTH)
-    short = rows.withColumn("o", F.explode(_options())).filter(F.length(F.coalesce("o.text", F.lit(""))) < SHORT_OPTION * F.col("_mean"))
-    return _issues(short, "diff", "LENGTH_ANOMALY", "WARNING", F.length(F.coalesce("o.text", F.lit(""))), option=F.coalesce("o.num", F.lit("")))
+    length = lambda o: F.length(F.coalesce(o["text"], F.lit("")))
+    n, total = F.size(_options()), F.aggregate(_options(), F.lit(0), lambda acc, o: acc + length(o))
+    mean = F.when(n >= 2, total / n).otherwise(0.0)
+    short = F.filter(_options(), lambda o: (mean >= LEAST_MEAN_LENGTH) & (length(o) < SHORT_OPTION * mean))
+    return F.transform(short, lambda o: _issue("diff", "LENGTH_ANOMALY", "WARNING", length(o), option=o["num"]))
+
+
+def pair_checks(alike: bool = True) -> list[Column]:
+    """The checks of a chunk's result against its original; `alike` takes the column of similarity() in."""
+    return [truncations(), *([hallucinations()] if alike else []), missing_options(), lost_keywords()]
 
 
 def diff_issues(questions: DataFrame, originals: DataFrame, autojunk: bool = True) -> DataFrame:
     """All checks against the originals, similarity included."""
     pairs = similarity(compared(questions, originals), autojunk)
-    return reduce(DataFrame.unionByName, [truncations(pairs), hallucinations(pairs), missing_options(pairs), lost_keywords(pairs), odd_lengths(questions)])
+    return issues(pairs, *pair_checks()).unionByName(issues(questions, odd_lengths()))
+
+
+def all_issues(questions: DataFrame, originals: DataFrame, terms: Terms = SHIPPED, expected: Column | None = None, alike: bool = True) -> DataFrame:
+    """Every issue of the structure, diff and term checks, each kind of row read once; `alike=False` leaves out similarity."""
+    pairs = compared(questions, originals)
+    found = issues(questions, *question_checks(expected), odd_lengths()).unionByName(numbering_issues(questions))
+    found = found.unionByName(issues(similarity(pairs) if alike else pairs, *pair_checks(alike)))
+    return found.unionByName(term_issues(questions, terms))

@@ -187,7 +187,7 @@ def v0_structure_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def f7_odd_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validation.odd_lengths(_questions(spark, sf_dir)).select("chunk_id", "pos", "question_id", "option_num", "detail")
+    return validation.issues(_questions(spark, sf_dir), validation.odd_lengths()).select("chunk_id", "pos", "question_id", "option_num", "detail")
 
 
 def _originals(questions: DataFrame) -> DataFrame:
@@ -198,8 +198,7 @@ def _originals(questions: DataFrame) -> DataFrame:
 def f0_diff_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     questions = _questions(spark, sf_dir)
     pairs = validation.compared(questions, _originals(questions))
-    found = validation.truncations(pairs).unionByName(validation.missing_options(pairs)).unionByName(validation.lost_keywords(pairs))
-    return found.select("chunk_id", "issue_type", "severity", "detail")
+    return validation.issues(pairs, *validation.pair_checks(alike=False)).select("chunk_id", "issue_type", "severity", "detail")
 
 
 def f2_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,11 +217,7 @@ def t1_term_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _scores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Questions, all issues that SQL can express (every one but F4's) and the scores; _whole_scores has F4 too."""
     questions = _questions(spark, sf_dir)
-    pairs = validation.compared(questions, _originals(questions))
-    checks = (validation.truncations(pairs), validation.missing_options(pairs), validation.lost_keywords(pairs), validation.odd_lengths(questions), dictionary.term_issues(questions, TERMS))
-    found = validation.structure_issues(questions, F.lit(4))
-    for issues in checks:
-        found = found.unionByName(issues, allowMissingColumns=True)
+    found = validation.all_issues(questions, _originals(questions), TERMS, F.lit(4), alike=False)
     return questions, found, scoring.confidence(questions.select("chunk_id").distinct(), found)
 
 
@@ -282,7 +277,7 @@ def f0_whole_diff_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _whole_scores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """As _scores, with every issue of the structure, diff and term checks."""
     questions = _questions(spark, sf_dir)
-    found = validation.structure_issues(questions, F.lit(4)).unionByName(_whole_diff(questions)).unionByName(dictionary.term_issues(questions, TERMS))
+    found = validation.all_issues(questions, _originals(questions), TERMS, F.lit(4))
     return questions, found, scoring.confidence(questions.select("chunk_id").distinct(), found)
 
 
