@@ -86,6 +86,14 @@ def _hits(text: Column, canonical: str, pattern: str) -> Column:
     return F.transform(_places(text, pattern), lambda at: F.struct(at.alias("start"), (at + len(pattern)).alias("stop"), *fixed))
 
 
+def _holds(text: Column, index: Sequence[tuple[str, str]]) -> Column:
+    """Whether any pattern occurs."""
+    held = F.lit(False)
+    for _, p in index:
+        held = held | F.contains(text, F.lit(p))
+    return held
+
+
 def scan(text: Column, index: Sequence[tuple[str, str]]) -> Column:
     """array<struct<start, stop, original, canonical, confidence>> by start."""
     if not index:
@@ -106,10 +114,7 @@ def scan(text: Column, index: Sequence[tuple[str, str]]) -> Column:
             lambda used, h: F.when(F.exists(used, lambda u: (u["start"] < h["stop"]) & (h["start"] < u["stop"])), used).otherwise(F.concat(used, F.array(h))),
         )
     # Scanning is skipped where no pattern occurs at all.
-    held = F.lit(False)
-    for p in patterns:
-        held = held | F.contains(text, F.lit(p))
-    return F.when(held, F.array_sort(free)).otherwise(F.slice(every, 1, 0))
+    return F.when(_holds(text, index), F.array_sort(free)).otherwise(F.slice(every, 1, 0))
 
 
 def corrected(text: Column, hits: Column) -> Column:
@@ -157,16 +162,23 @@ def question_fields(questions: DataFrame) -> DataFrame:
     return questions.select("chunk_id", "pos", "id", F.explode(F.concat(own, options)).alias("f")).select("chunk_id", "pos", "id", "f.field", "f.value")
 
 
+def _field_hits(questions: DataFrame, index: Sequence[tuple[str, str]]) -> DataFrame:
+    """question_fields() with each hit h: only fields that hold a pattern are scanned."""
+    held = question_fields(questions).filter(_holds(F.col("value"), index))
+    # Every row has a hit; an inner explode would scan twice, for a filter of empty arrays before it.
+    return held.withColumn("h", F.explode_outer(scan(F.col("value"), index)))
+
+
 def post_verify(questions: DataFrame, terms: Terms = SHIPPED) -> DataFrame:
     """chunk_id, pos, question_id, field, found, expected, severity: what a result still holds of the misspellings that pre_correct() mends."""
-    fields = question_fields(questions).withColumn("h", F.explode(scan(F.col("value"), pattern_index(terms))))
+    fields = _field_hits(questions, pattern_index(terms))
     severity = F.when(F.col("h.confidence") == "high", "high").otherwise("medium")
     return fields.select("chunk_id", "pos", F.col("id").alias("question_id"), "field", F.col("h.original").alias("found"), F.col("h.canonical").alias("expected"), severity.alias("severity"))
 
 
 def term_issues(questions: DataFrame, terms: Terms = SHIPPED) -> DataFrame:
     """One issue per misspelling in a result: ERROR where the length is the canonical one, else WARNING."""
-    fields = question_fields(questions).withColumn("h", F.explode(scan(F.col("value"), pattern_index(terms, obvious_only=False))))
+    fields = _field_hits(questions, pattern_index(terms, obvious_only=False))
     return fields.select(
         "chunk_id", F.lit("term").alias("source"), F.lit("TYPO_REGRESSION").alias("issue_type"),
         F.when(F.col("h.confidence") == "high", "ERROR").otherwise("WARNING").alias("severity"), F.col("id").alias("question_id"), "pos",

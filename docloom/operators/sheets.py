@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from docloom.operators.responses import SAME
 
+# What a row to review may be set to, the first at the start.
+CHECKED = ("미확인", "O", "X")
 STOP_BELOW, CAUTION_BELOW = 0.7, 0.95
 COLUMNS = ("unit", "id", "text", "num", "option", "note", "answer", "explanation", "confidence", "status")
 
@@ -29,7 +31,7 @@ def option_rows(flat: DataFrame) -> DataFrame:
 
 
 def review_rows(rows: DataFrame) -> DataFrame:
-    return rows.filter(F.col("status") == "HUMAN_REVIEW").withColumn("checked", F.lit("미확인"))
+    return rows.filter(F.col("status") == "HUMAN_REVIEW").withColumn("checked", F.lit(CHECKED[0]))
 
 
 def marks(rows: DataFrame) -> DataFrame:

@@ -6,12 +6,14 @@ import zipfile
 from collections import Counter
 from difflib import SequenceMatcher
 from io import BytesIO
+from xml.etree import ElementTree
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from docloom.functions.text import strip
 from docloom.operators import convert, dictionary, responses, scoring, sheets, states, validation
 from docloom.plans.adapters import order_questions
 from docloom.plans.oracles import ORACLES
@@ -89,6 +91,35 @@ def test_sheets(spark):
     assert "미확인" in book.read("xl/worksheets/sheet1.xml").decode() and book.read("xl/worksheets/sheet2.xml").decode().count("<row>") == 1
     with pytest.raises(ValueError):
         writers.workbook({"x": flat.select("id")}, most_rows=1)
+    marked = sheets.marks(sheets.review_rows(sheets.option_rows(flat)))
+    book = zipfile.ZipFile(BytesIO(writers.workbook({"검토": marked, "none": marked.limit(0)}, widths={"검토": {"text": 30}}, choices={"checked": sheets.CHECKED})))
+    for part in book.namelist():
+        ElementTree.fromstring(book.read(part))
+    sheet = book.read("xl/worksheets/sheet1.xml").decode()
+    letter = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"[review.columns.index("checked")]
+    assert f'<autoFilter ref="A1:{letter}2"/>' in sheet and f'sqref="{letter}2:{letter}2"><formula1>"미확인,O,X"<' in sheet and "_fill" not in sheet
+    k = review.columns.index("text") + 1
+    assert f'<col min="{k}" max="{k}" width="30" customWidth="1"/>' in sheet and sheet.count('s="1"') == len(review.columns)
+    assert f'<c s="{list(writers.FILLS).index("orange") + 1}"><v>0.6</v>' in sheet and f'<c s="{list(writers.FILLS).index("red") + 1}" t="inlineStr"><is><t xml:space="preserve">X<' in sheet
+    assert "autoFilter" not in book.read("xl/worksheets/sheet2.xml").decode() and [writers._letters(n) for n in (1, 26, 27, 703)] == ["A", "Z", "AA", "AAA"]
+
+
+def test_strip(spark):
+    texts = ["", " ", "\u3000a b\x1f", "\xa0\n\tq\u2003", "\u200bz\u200b", " " * 50_000 + "x" + " " * 50_000]
+    out = spark.createDataFrame([(t,) for t in texts], "t string").select("t", strip(F.col("t")).alias("s")).collect()
+    assert [r["s"] for r in out] == [r["t"].strip() for r in out]
+
+
+def test_checks_of_one_question(spark):
+    """Texts in threes, blanks, nulls and gaps in one chunk; one issue for each repeated text."""
+    rows = questions(spark, (1, "q", options(("①", "a", "true"), ("②", " a ", "false"), ("③", "a", "no"), ("", "b", "true"), ("⑤", "b", "false"), ("⑥", "", "false"), ("⑦", " ", "false"))), (1, " ", []), (4, "q", None))
+    found = Counter((r["issue_type"], r["question_id"], r["detail"]) for r in validation.structure_issues(rows, F.lit(7)).collect())
+    assert found == Counter({
+        ("TEXT_DUPLICATED", 1, "a"): 1, ("TEXT_DUPLICATED", 1, "b"): 1, ("INVALID_CORRECT_VALUE", 1, "no"): 1, ("MULTIPLE_CORRECT_ANSWERS", 1, "2"): 1, ("EMPTY_OPTION_NUM", 1, ""): 1,
+        ("EMPTY_OPTION_TEXT", 1, ""): 2, ("DUPLICATE_QUESTION", 1, "2"): 1, ("MISSING_QUESTION", 2, "2"): 1, ("MISSING_QUESTION", 3, "3"): 1, ("OPTION_COUNT_INCONSISTENT", 1, "0"): 1,
+        ("OPTION_COUNT_INCONSISTENT", 4, "0"): 1, ("NO_CORRECT_ANSWER", 1, "0"): 1, ("NO_CORRECT_ANSWER", 4, "0"): 1, ("EMPTY_QUESTION_TEXT", 1, ""): 1, ("EMPTY_OPTIONS", 1, ""): 1, ("EMPTY_OPTIONS", 4, ""): 1,
+    })
+    assert validation.structure_issues(rows.limit(0)).count() == 0
 
 
 def test_answers(spark):
