@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from docloom.llm.chat import chat_digest
 from docloom.llm.decontamination import contamination_digest
+from docloom.llm.filter_audit import audit
 from docloom.llm.jaccard import jaccard_components
 from docloom.llm.language_id import language_report
 from docloom.llm.line_dedup import line_digest
 from docloom.llm.nearest import nearest
 from docloom.llm.packing import pack, vocabulary_path
+from docloom.llm.piece_encoding import encode_texts
 from docloom.llm.shared import table
 from docloom.llm.sharding import shard_documents
 from docloom.llm.url_filter import judge
+from docloom.llm.vector_codes import compress, with_label_error
 from docloom.llm.wrappers import main_text
 
 #: A conversation whose texts hold the template's control strings.
@@ -73,6 +76,24 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digest(logged.unionByName(extra))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = compress(spark, table(spark, sf_dir, "embeddings"))
+    rows = with_label_error(spark, made.codes)
+    return rows.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(made.digest()).alias("codebooks_sha256"))
+
+
+def op13_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = encode_texts(table(spark, sf_dir, "documents"), vocabulary_path("piece_bpe_32k.model"))
+    digest = lambda x: F.sha2(x.cast("binary"), 256)
+    return made.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), digest(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256"), "agrees",
+    )
+
+
 OP10_SQL = """
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -160,6 +181,71 @@ FROM placed JOIN checked USING (doc_id)
 """
 
 
+OP11_SQL = r"""
+WITH doc AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), lowest AS (SELECT coalesce(text, '') AS t, min(doc_id) AS least_id FROM documents GROUP BY 1), said AS (
+  SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS bad FROM labels GROUP BY 1
+), masked AS (
+  SELECT part, (len(ws) < 200)::INT + 2 * (100 * len(list_distinct(ws)) < 50 * len(ws))::INT
+    + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(doc_id > least_id, false)::INT AS mask,
+    coalesce(good, false) AS good, coalesce(bad, false) AS bad
+  FROM doc JOIN lowest USING (t) LEFT JOIN said USING (doc_id)
+), counted AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE bad) AS bad FROM masked GROUP BY ALL
+), letter AS (SELECT unnest(range(5)) AS k), orders AS (
+  SELECT [a.k, b.k, c.k, d.k, e.k] AS ks FROM letter a, letter b, letter c, letter d, letter e
+  WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5
+), steps AS (
+  SELECT list_reduce(list_transform(ks, lambda k: 'ABCDE'[k + 1]), lambda x, y: x || y) AS filter_order, step, ks[step] AS k,
+    coalesce(list_sum(list_transform(ks[1:step - 1], lambda k: 1 << k)), 0)::INT AS before
+  FROM orders, (SELECT unnest(range(1, 6)) AS step)
+), figures AS (
+  SELECT part, filter_order, step, k,
+    coalesce(sum(n) FILTER (WHERE mask & (before | (1 << k)) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (WHERE mask & before = 0 AND mask & (1 << k) <> 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (WHERE mask & before <> 0 AND mask & (1 << k) <> 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (WHERE mask = 1 << k), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (WHERE mask & before = 0 AND mask & (1 << k) <> 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(bad) FILTER (WHERE mask & before = 0 AND mask & (1 << k) <> 0), 0)::BIGINT AS toxic_lost
+  FROM counted, steps GROUP BY ALL
+)
+SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, k))::BIGINT AS shapley FROM figures
+"""
+
+
+def _op12_sql(rounds: int = 6) -> str:
+    """Lloyd's rounds one after another: b holds a round's entries, a its nearest ones."""
+    nearest = """a{r} AS MATERIALIZED (
+  SELECT rid, p, e, d FROM (SELECT rid, p, e, sum((v - c) * (v - c))::BIGINT AS d FROM comp JOIN b{r} USING (p, pos) GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY rid, p ORDER BY d, e) = 1
+)"""
+    renewed = """b{next} AS MATERIALIZED (
+  SELECT p, e, pos, coalesce((s - (s % n + n) % n) // n, c) AS c FROM b{r} LEFT JOIN (
+    SELECT p, e, pos, sum(v)::BIGINT AS s, count(*) AS n FROM comp JOIN a{r} USING (rid, p) GROUP BY ALL) USING (p, e, pos)
+)"""
+    steps = ",\n".join(f"{nearest.format(r=r)},\n{renewed.format(r=r, next=r + 1)}" for r in range(rounds))
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label, embedding, len(embedding) // 8 AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), comp AS MATERIALIZED (
+  SELECT rid, i // w AS p, i % w AS pos, floor(4096 * embedding[i + 1]::DOUBLE)::BIGINT AS v
+  FROM kept, LATERAL (SELECT unnest(range(len(embedding))) AS i)
+), b0 AS (SELECT p, rid - 1 AS e, pos, v AS c FROM comp WHERE rid <= 16),
+{steps},
+{nearest.format(r=rounds)}, coded AS (
+  SELECT rid, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY rid
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(c::BIGINT::VARCHAR, ',' ORDER BY p, e, pos)) FROM b{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (rid)
+"""
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_mixture": op1_language_mixture,
@@ -172,8 +258,11 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_jaccard_join": op8_jaccard_join,
         "op9_stratified_sharding": op9_stratified_sharding,
         "op10_chat_format": op10_chat_format,
+        "op11_filter_audit": op11_filter_audit,
+        "op12_vector_codes": op12_vector_codes,
+        "op13_piece_encoding": op13_piece_encoding,
     }
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": OP5_SQL, "op7_decontamination": OP7_SQL, "op9_stratified_sharding": OP9_SQL, "op10_chat_format": OP10_SQL}
+    return {"op5_line_dedup": OP5_SQL, "op7_decontamination": OP7_SQL, "op9_stratified_sharding": OP9_SQL, "op10_chat_format": OP10_SQL, "op11_filter_audit": OP11_SQL, "op12_vector_codes": _op12_sql()}
