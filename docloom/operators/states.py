@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 # Which state may follow which, and from which a run resumes.
 TRANSITIONS = {
@@ -35,56 +37,121 @@ def may_follow(before: Column, after: Column) -> Column:
     return F.when(before.isNull(), after == "CHUNK_READY").when(before == after, True).otherwise(out)
 
 
-#: One letter per state; Z is a key that isn't registered.
-CODES = {state: chr(65 + i) for i, state in enumerate(TRANSITIONS)}
-NEW = "Z"
-
-
-def _coded(state: Column) -> tuple[Column, Column]:
-    """A step's letter, and the letters of all states that it may follow; an unknown state follows none."""
-    letter, follows = F.lit("?"), F.lit("")
-    for name, code in CODES.items():
-        before = "".join(c for s, c in CODES.items() if s == name or name in TRANSITIONS[s]) + (NEW if name == "CHUNK_READY" else "")
-        letter, follows = F.when(state == name, code).otherwise(letter), F.when(state == name, before).otherwise(follows)
-    return letter, follows
-
-
-def _after(state: Column, step: Column) -> Column:
-    return F.when(F.contains(step["follows"], state), step["letter"]).otherwise(state)
+def is_allowed(before: str | None, after: str | None) -> bool:
+    """may_follow() of plain values."""
+    return after == "CHUNK_READY" if before is None else after in TRANSITIONS.get(before, ()) or (after == before and after in TRANSITIONS)
+
+
+# The fold counts states by number; the last one is a key that isn't registered.
+NAMES: list[str | None] = [*TRANSITIONS, None]
+NEW = len(NAMES) - 1
+#: For each step the numbers of the states that it may follow, and what it makes of every state's number.
+FOLLOWS = {step: frozenset(i for i, before in enumerate(NAMES) if is_allowed(before, step)) for step in TRANSITIONS}
+MAKES = {step: bytes(NAMES.index(step) if i in allowed else i for i in range(256)) for step, allowed in FOLLOWS.items()}
+#: What a bucket without steps makes of each state: the same.
+SAME = bytes(range(len(NAMES)))
+
+
+def _runs(batches: Iterator[pa.RecordBatch], n_group: int) -> Iterator[tuple[pa.RecordBatch, list[tuple], list[bool]]]:
+    """Batches of sorted rows with the group of each row (the first `n_group` columns), and whether it differs from the row's before."""
+    last: tuple | None = None
+    for batch in batches:
+        groups = list(zip(*(c.to_pylist() for c in batch.columns[:n_group]), strict=True))
+        fresh = [a != b for a, b in zip([last, *groups], groups, strict=False)]
+        yield batch, groups, fresh
+        last = groups[-1] if groups else last
+
+
+def _bucket_maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, bucket, map) of every run of (key, bucket, state) rows: what the bucket's steps make of each state."""
+    group, made = None, SAME
+    for batch, groups, fresh in _runs(batches, 2):
+        done = []
+        for now, new, step in zip(groups, fresh, batch.column(2).to_pylist(), strict=True):
+            if new:
+                if group is not None:
+                    done.append((*group, made))
+                group, made = now, SAME
+            if step in MAKES:
+                made = made.translate(MAKES[step])
+        if done:
+            yield _batch(batch, done)
+    if group is not None:
+        yield _batch(batch, [(*group, made)])
+
+
+def _bucket_starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, bucket, start) of sorted (key, bucket, map) rows: the number of the state in which the bucket begins."""
+    state = NEW
+    for batch, groups, fresh in _runs(batches, 1):
+        starts = []
+        for new, made in zip(fresh, batch.column(2).to_pylist(), strict=True):
+            starts.append(NEW if new else state)
+            state = made[starts[-1]]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(starts, pa.int32())], ["_key", "_bucket", "_start"])
+
+
+def _batch(like: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True))
+    return pa.RecordBatch.from_arrays([*[pa.array(c, like.schema.field(i).type) for i, c in enumerate(columns[:2])], pa.array(columns[2], pa.binary())], ["_key", "_bucket", "_map"])
+
+
+def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows (key, bucket, start, state, row): the state before each step and whether it is taken; a row with a start is no step."""
+    state = NEW
+    for batch, _, fresh in _runs(batches, 2):
+        start, step = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+        before, allowed = [], []
+        for new, begins, after in zip(fresh, start, step, strict=True):
+            if new:
+                state = NEW
+            if begins is not None:
+                state = begins
+                before.append(None)
+                allowed.append(None)
+                continue
+            before.append(NAMES[state])
+            taken = after in FOLLOWS and state in FOLLOWS[after]
+            allowed.append(taken)
+            if taken:
+                state = MAKES[after][state]
+        out = pa.RecordBatch.from_arrays([batch.column(4), pa.array(before, pa.string()), pa.array(allowed, pa.bool_())], ["_row", "before", "allowed"])
+        yield out.filter(out.column(2).is_valid())
+
+
+def bucket_starts(log: DataFrame, key: str, order: str, bucket: Column) -> DataFrame:
+    """_key, _bucket, _start: the state (its number) in which every bucket of a key begins.
+
+    A bucket's steps are folded into a map from each state to the one they lead to, bucket by bucket; a key's maps,
+    one small row per bucket, then give the starts in order.
+    """
+    state = F.coalesce("state", F.lit(""))
+    keyed = log.select(F.col(key).alias("_key"), bucket.alias("_bucket"), state.alias("_state"), F.col(order).alias("_order"))
+    kinds = dict(keyed.dtypes)
+    group = f"_key {kinds['_key']}, _bucket {kinds['_bucket']}"
+    sorted_steps = keyed.repartition("_key", "_bucket").sortWithinPartitions("_key", "_bucket", "_order", "_state").drop("_order")
+    maps = sorted_steps.mapInArrow(_bucket_maps, f"{group}, _map binary")
+    return maps.repartition("_key").sortWithinPartitions("_key", "_bucket").mapInArrow(_bucket_starts, f"{group}, _start int")
 
 
 def checked_log(log: DataFrame, key: str = "chunk_id", order: str = "seq", bucket: Column | None = None) -> DataFrame:
     """The log (key, order, state, ...) with before and allowed; a step that isn't allowed leaves the state as it was.
 
-    `bucket` (of one kind with `order`, never falling as it rises; none: one bucket) cuts a long history. What a bucket's
-    steps make of each state is worked out bucket by bucket, the state at each bucket's start follows from these maps,
-    and then every bucket is read from its own start: no task holds more of a key than a bucket. Steps of equal order
-    are taken by state.
+    A key's steps are read once, in order, by a task that holds its present state and one batch: time is linear in the steps, and
+    memory doesn't grow with them. `bucket` (never falling as `order` rises) cuts a hot key's history: bucket_starts() says where each
+    bucket begins, and the buckets are then read side by side. Without one a key is read by one task. Steps of equal order are taken by state; nulls come first.
     """
-    letter, follows = _coded(F.col("state"))
-    step = F.struct(F.col(order).alias("order"), F.coalesce("state", F.lit("")).alias("state"), letter.alias("letter"), follows.alias("follows"), F.struct("*").alias("row"))
-    steps = log.groupBy(F.col(key).alias("_key"), (bucket if bucket is not None else F.lit(0)).alias("_bucket")).agg(F.array_sort(F.collect_list(step), _by_order).alias("_steps"))
-    every = F.array(*[F.lit(c) for c in (*CODES.values(), NEW)])
-    maps = steps.select("_key", "_bucket", F.aggregate("_steps", every, lambda now, x: F.transform(now, lambda s: _after(s, x))).alias("_map"))
-    ordered = maps.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("_bucket", "_map"))).alias("_maps"))
-    place = lambda s: F.array_position(every, s).cast("int")
-    starts = F.aggregate("_maps", F.lit(NEW), lambda all_, m: F.concat(all_, F.get(m["_map"], place(F.right(all_, F.lit(1))) - 1)))
-    entered = ordered.select("_key", starts.alias("_starts"), F.posexplode("_maps").alias("_i", "_m"))
-    entered = entered.select("_key", F.col("_m._bucket").alias("_bucket"), F.substring("_starts", F.col("_i") + 1, F.lit(1)).alias("_start"))
-    joined = steps.join(entered, F.expr("true") & steps["_key"].eqNullSafe(entered["_key"]) & steps["_bucket"].eqNullSafe(entered["_bucket"])).select("_steps", "_start")
-    seen = F.aggregate("_steps", F.col("_start"), lambda all_, x: F.concat(all_, _after(F.right(all_, F.lit(1)), x)))
-    each = joined.select(seen.alias("_seen"), F.posexplode("_steps").alias("_i", "_step"))
-    code = F.substring("_seen", F.col("_i") + 1, F.lit(1))
-    before = F.lit(None).cast("string")
-    for name, c in CODES.items():
-        before = F.when(code == c, name).otherwise(before)
-    each = each.select("_step.row.*", before.alias("before"))
-    return each.withColumn("allowed", F.coalesce(may_follow(F.col("before"), F.col("state")), F.lit(False)))
-
-
-def _by_order(x: Column, y: Column) -> Column:
-    a, b = F.struct(x["order"], x["state"]), F.struct(y["order"], y["state"])
-    return F.when(a < b, -1).when(a > b, 1).otherwise(0)
+    cut = bucket is not None
+    rows = log.select(
+        F.col(key).alias("_key"), (bucket if cut else F.lit(0)).alias("_bucket"), F.lit(None).cast("int").alias("_start"), F.coalesce("state", F.lit("")).alias("_state"),
+        F.struct("*").alias("_row"), F.col(order).alias("_order"),
+    )
+    if cut:
+        rows = rows.unionByName(bucket_starts(log, key, order, bucket), allowMissingColumns=True)
+    # A bucket's start comes before its steps.
+    sorted_rows = rows.repartition("_key", "_bucket").sortWithinPartitions("_key", "_bucket", F.col("_start").isNull(), "_order", "_state").drop("_order")
+    schema = StructType([StructField("_row", rows.schema["_row"].dataType), StructField("before", StringType()), StructField("allowed", BooleanType())])
+    return sorted_rows.mapInArrow(_checked, schema).select("_row.*", "before", "allowed")
 
 
 def current_states(log: DataFrame, key: str = "chunk_id", order: str = "seq", bucket: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:

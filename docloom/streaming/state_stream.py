@@ -8,15 +8,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from docloom.operators.states import TRANSITIONS
+from docloom.operators.states import is_allowed
 
 OUT = "chunk_id string, seq long, before string, state string, allowed boolean"
 
 
-def is_allowed(before: str | None, after: str) -> bool:
-    return after == "CHUNK_READY" if before is None else after == before or after in TRANSITIONS.get(before, ())
-
-
 def checked_stream(changes: DataFrame) -> DataFrame:
     """Changes (chunk_id string, seq long, state string), each with the state before and whether it was allowed.
 
