@@ -24,8 +24,8 @@ FILTERS = "ABCDE"
 COPY = 1 << FILTERS.index("E")
 UPPER = bytes(range(0x41, 0x5B))
 MARKS = re.compile(rb"[#$%&*|]")
-#: Bytes of text that a task holds while it drops its own copies.
-HELD_BYTES = 24_000_000
+#: Bytes of text that a task holds while it drops its own copies, and that one partition of the routed texts gets at most on average.
+HELD_BYTES, ROUTED_BYTES = 24_000_000, 64_000_000
 
 MASKS = "doc_id long, part string, mask int, n long"
 AUDIT = "part string, filter_order string, step int, kept long, removed long, redundant long, unique_fails long, good_lost long, toxic_lost long, shapley long"
@@ -115,7 +115,8 @@ def document_masks(documents: DataFrame) -> DataFrame:
     """
     session = documents.sparkSession
     rows: RDD = documents.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text")).rdd
-    n = max(int(session.conf.get("spark.sql.shuffle.partitions")), rows.getNumPartitions())
+    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(int(session.conf.get("spark.sql.shuffle.partitions")), size // ROUTED_BYTES + 1)
     routed = rows.mapPartitions(route).repartitionAndSortWithinPartitions(n, lambda key: key % n)
     return session.createDataFrame(routed.mapPartitions(settle), MASKS, verifySchema=False)
 
