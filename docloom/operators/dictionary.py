@@ -1,16 +1,20 @@
 """Dictionary terms: which misspellings a text holds, where, and what it reads with them replaced.
 
-A dictionary is a short list of (canonical, pattern) pairs, so it goes into the plan as literals and the scan is a
-projection. Longer patterns win over shorter ones they overlap, ties in the dictionary's order, whatever stands further
-left. A pattern matches inside longer words too.
+A dictionary is a list of (canonical, pattern) pairs of bounded length. To scan texts it becomes an Aho-Corasick automaton that
+goes to the workers with the function; to look terms up it becomes a relation and is joined. Longer patterns win over shorter
+ones they overlap, ties in the dictionary's order, whatever stands further left. A pattern matches inside longer words too.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import lru_cache, reduce
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+import ahocorasick
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The shipped pairs.
@@ -25,6 +29,8 @@ CANONICAL_TERMS = tuple(
 )
 LEAST_LENGTH = 2
 MOST_TERMS = 10_000
+#: Up to so many patterns are looked for by built-in functions, and so many terms validated in an expression.
+FEW, MOST_INLINE = 32, 200
 
 
 @dataclass(frozen=True)
@@ -41,10 +47,10 @@ Terms = Dictionary | Sequence[tuple[str, str]]
 
 
 def dictionary_of(rows: DataFrame) -> Dictionary:
-    """The dictionary of a table (canonical, pattern) as read_dictionary() gives it; it becomes literals, so it is bounded."""
+    """The dictionary of a table (canonical, pattern) as read_dictionary() gives it; it goes to every worker, so it is bounded."""
     found = [(r["canonical"], r["pattern"]) for r in rows.select("canonical", "pattern").limit(MOST_TERMS + 1).collect()]
     if len(found) > MOST_TERMS:
-        raise ValueError(f"a dictionary of more than {MOST_TERMS} patterns doesn't fit into a plan")
+        raise ValueError(f"a dictionary of more than {MOST_TERMS} patterns is too large to scan for; validate_terms() takes tables of any size")
     return Dictionary(tuple(dict.fromkeys(c for c, _ in found if c)), tuple((c, p) for c, p in found if c and p))
 
 
@@ -73,63 +79,90 @@ def confidence(canonical: str, pattern: str) -> str:
     return "high" if len(canonical) == len(pattern) else "medium"
 
 
-def _places(text: Column, pattern: str) -> Column:
-    """Starts (from 0) of the pattern, left to right and not overlapping one another."""
-    parts = F.split(text, rf"\Q{pattern}\E", -1)
-    starts = F.transform(F.slice(parts, 1, F.size(parts) - 1), lambda x, i: F.length(x) + F.when(i > 0, len(pattern)).otherwise(0))
-    zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("out"))
-    return F.aggregate(starts, zero, lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"] + n)).alias("out")))["out"]
+class Scanner:
+    """Finds all patterns of a dictionary in one pass over a text, and keeps the hits that no better pattern overlaps."""
+
+    def __init__(self, index: Sequence[tuple[str, str]]):
+        self.index, self.automaton = list(index), ahocorasick.Automaton()
+        for k in range(len(self.index) - 1, -1, -1):  # of equal patterns the first stays
+            self.automaton.add_word(self.index[k][1], k)
+        if self.index:
+            self.automaton.make_automaton()
+
+    def hits(self, text: str) -> list[tuple[int, int, int]]:
+        """(start, stop, place in the index) by start: patterns in the index's order, each left to right without overlapping itself."""
+        if not self.index:
+            return []
+        found = sorted((k, end + 1) for end, k in self.automaton.iter(text))
+        taken, kept, pattern, free = bytearray(len(text)) if found else b"", [], -1, 0
+        for k, stop in found:
+            n = len(self.index[k][1])
+            if k != pattern:
+                pattern, free = k, 0
+            if stop - n < free:
+                continue
+            free = stop
+            if taken.find(1, stop - n, stop) < 0:
+                taken[stop - n : stop] = b"\x01" * n
+                kept.append((stop - n, stop, k))
+        return sorted(kept)
+
+    def corrected(self, text: str, hits: Sequence[tuple[int, int, int]]) -> str:
+        """The text with every hit replaced in one pass."""
+        parts, at = [], 0
+        for start, stop, k in hits:
+            parts += (text[at:start], self.index[k][0])
+            at = stop
+        return "".join([*parts, text[at:]])
+
+
+@lru_cache(maxsize=8)
+def scanner(index: tuple[tuple[str, str], ...]) -> Scanner:
+    """One per worker and dictionary."""
+    return Scanner(index)
+
+
+HITS = "array<struct<start:int,stop:int,original:string,canonical:string,confidence:string>>"
+
+
+def _hit_arrays(index: tuple[tuple[str, str], ...], found: list[list[tuple[int, int, int]]]) -> pa.ListArray:
+    """The texts' hits as one array of HITS."""
+    flat = [h for hits in found for h in hits]
+    which = pa.array([k for *_, k in flat], pa.int32())
+    named = [pa.array([x[side] for x in index], pa.string()).take(which) for side in (1, 0)]
+    sure = pa.array([confidence(c, p) for c, p in index], pa.string()).take(which)
+    places = [pa.array([h[i] for h in flat], pa.int32()) for i in (0, 1)]
+    each = pa.StructArray.from_arrays([*places, *named, sure], ["start", "stop", "original", "canonical", "confidence"])
+    return pa.ListArray.from_arrays(pa.array(list(accumulate(map(len, found), initial=0)), pa.int32()), each)
 
 
-def _hits(text: Column, canonical: str, pattern: str) -> Column:
-    fixed = (F.lit(pattern).alias("original"), F.lit(canonical).alias("canonical"), F.lit(confidence(canonical, pattern)).alias("confidence"))
-    return F.transform(_places(text, pattern), lambda at: F.struct(at.alias("start"), (at + len(pattern)).alias("stop"), *fixed))
-
+def scan(text: Column, index: Sequence[tuple[str, str]]) -> Column:
+    """HITS by start. The dictionary is one automaton, however many patterns it has: time is linear in the text and its hits."""
+    fixed = tuple(index)
 
-def _holds(text: Column, index: Sequence[tuple[str, str]]) -> Column:
-    """Whether any pattern occurs."""
-    held = F.lit(False)
-    for _, p in index:
-        held = held | F.contains(text, F.lit(p))
-    return held
+    @F.arrow_udf(HITS)
+    def found(texts: pa.Array) -> pa.Array:
+        s = scanner(fixed)
+        return _hit_arrays(fixed, [s.hits(t) if t else [] for t in texts.to_pylist()])
 
-
-def scan(text: Column, index: Sequence[tuple[str, str]]) -> Column:
-    """array<struct<start, stop, original, canonical, confidence>> by start."""
-    if not index:
-        return F.expr("cast(array() as array<struct<start:int,stop:int,original:string,canonical:string,confidence:string>>)")
-    patterns = [p for _, p in index]
-    if not any(p[:k] == p[-k:] for p in patterns for k in range(1, len(p))):
-        # No pattern overlaps itself: blanking each one's hits out before the next is looked for leaves none that overlap.
-        hits, left = [], text
-        for c, p in index:
-            hits.append(_hits(left, c, p))
-            left = F.replace(left, F.lit(p), F.lit("\x00" * len(p)))
-        free = every = F.flatten(F.array(*hits))
-    else:
-        every = F.flatten(F.array(*[_hits(text, c, p) for c, p in index]))
-        free = F.aggregate(
-            every,
-            F.slice(every, 1, 0),
-            lambda used, h: F.when(F.exists(used, lambda u: (u["start"] < h["stop"]) & (h["start"] < u["stop"])), used).otherwise(F.concat(used, F.array(h))),
-        )
-    # Scanning is skipped where no pattern occurs at all.
-    return F.when(_holds(text, index), F.array_sort(free)).otherwise(F.slice(every, 1, 0))
-
-
-def corrected(text: Column, hits: Column) -> Column:
-    """The text with every hit replaced in one pass."""
-    before = lambda i: F.when(i > 0, F.get(hits, i - 1)["stop"]).otherwise(0)
-    parts = F.transform(hits, lambda h, i: F.concat(F.substring(text, before(i) + 1, h["start"] - before(i)), h["canonical"]))
-    last = F.coalesce(F.get(hits, F.size(hits) - 1)["stop"], F.lit(0))
-    return F.concat(F.array_join(parts, ""), F.substring(text, last + 1, F.length(text)))
+    return found(text) if fixed else F.expr(f"cast(array() as {HITS})")
 
 
 def pre_correct(rows: DataFrame, terms: Terms = SHIPPED, enabled: bool = True, text_col: str = "text") -> DataFrame:
     """Adds corrected_text and corrections (offsets before replacement); null texts are empty."""
+    fixed = tuple(pattern_index(terms) if enabled else ())
     text = F.coalesce(F.col(text_col), F.lit(""))
-    hits = scan(text, pattern_index(terms) if enabled else [])
-    return rows.withColumn("corrections", hits).withColumn("corrected_text", corrected(text, F.col("corrections")))
+
+    @F.arrow_udf(f"struct<corrections:{HITS},text:string>")
+    def fix(texts: pa.Array) -> pa.Array:
+        s, plain = scanner(fixed), texts.to_pylist()
+        hits = [s.hits(t) for t in plain]
+        done = pa.array([s.corrected(t, h) if h else t for t, h in zip(plain, hits, strict=True)], pa.string())
+        return pa.StructArray.from_arrays([_hit_arrays(fixed, hits), done], ["corrections", "text"])
+
+    if not fixed:
+        return rows.withColumns({"corrections": F.expr(f"cast(array() as {HITS})"), "corrected_text": text})
+    return rows.withColumn("_fixed", fix(text)).withColumns({"corrections": F.col("_fixed.corrections"), "corrected_text": F.col("_fixed.text")}).drop("_fixed")
 
 
 def correction_log(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -140,18 +173,71 @@ def correction_log(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def canonical_terms(text: Column, terms: Terms = SHIPPED) -> Column:
-    """Sorted distinct canonical terms in the text."""
-    names = F.array(*[F.lit(c) for c in names_of(terms)])
-    return F.array_sort(F.filter(names, lambda c: F.contains(text, c)))
+    """Sorted distinct canonical terms in the text; many are looked for in one pass, as in scan()."""
+    names = tuple(names_of(terms))
+    if len(names) <= FEW:
+        return F.array_sort(F.filter(F.array(*[F.lit(c) for c in names]), lambda c: F.contains(text, c)))
+
+    @F.arrow_udf("array<string>")
+    def held(texts: pa.Array) -> pa.Array:
+        automaton = scanner(tuple((n, n) for n in names if n)).automaton
+        always = {k for k, n in enumerate(names) if not n}
+        spots = [k for k, n in enumerate(names) if n]
+        return pa.array([None if t is None else [names[k] for k in sorted({spots[i] for _, i in automaton.iter(t)} | always)] for t in texts.to_pylist()], pa.list_(pa.string()))
+
+    return held(text)
+
+
+_VERDICT = "struct<valid:boolean,suggestion:string,confidence:string>"
+
+
+def _verdicts(terms: Terms) -> list[tuple[str, bool, str, str]]:
+    """(term, valid, suggestion, confidence) of every term that the dictionary knows, each once: canonical ones, then misspellings in its order."""
+    known = {c: (c, True, "", "high") for c in names_of(terms)}
+    for c, p in pattern_index(terms, obvious_only=False):
+        known.setdefault(p, (p, False, c, confidence(c, p)))
+    return list(known.values())
 
 
 def validate_term(term: Column, terms: Terms = SHIPPED) -> Column:
-    """struct<valid, suggestion, confidence>: canonical, a known misspelling, or unknown (valid, low)."""
+    """struct<valid, suggestion, confidence>: canonical, a known misspelling, or unknown (valid, low).
+
+    The dictionary stands in the expression, so it is for few terms; validate_terms() takes any number.
+    """
+    known = _verdicts(terms)
+    if len(known) > MOST_INLINE:
+        raise ValueError(f"{len(known)} terms: more than {MOST_INLINE} don't fit into an expression, see validate_terms()")
     verdict = lambda ok, to, how: F.struct(F.lit(ok).alias("valid"), F.lit(to).alias("suggestion"), F.lit(how).alias("confidence"))
     out = verdict(True, "", "low")
-    for c, p in reversed(pattern_index(terms, obvious_only=False)):
-        out = F.when(term == p, verdict(False, c, confidence(c, p))).otherwise(out)
-    return F.when(term.isin(*names_of(terms)), verdict(True, "", "high")).otherwise(out)
+    for name, *x in known:
+        out = F.when(term == name, verdict(*x)).otherwise(out)
+    return out
+
+
+def term_table(spark: SparkSession, terms: Terms | DataFrame) -> DataFrame:
+    """_term, _verdict: each known term once. Terms may be a table (canonical, pattern) as read_dictionary() gives it, of any size; of a pattern's several canonical terms the smallest is suggested."""
+    if not isinstance(terms, DataFrame):
+        rows = [(name, (ok, to, how)) for name, ok, to, how in _verdicts(terms)]
+        return spark.createDataFrame(rows, f"_term string, _verdict {_VERDICT}")
+    verdict = lambda ok, to, how: F.struct(F.lit(ok).alias("valid"), to.alias("suggestion"), how.alias("confidence"))
+    names = terms.select(F.col("canonical").alias("_term"), verdict(True, F.lit(""), F.lit("high")).alias("_verdict")).filter("_term <> ''")
+    usable = terms.filter((F.col("canonical") != "") & (F.col("pattern") != F.col("canonical")) & (F.length("pattern") >= LEAST_LENGTH))
+    sure = F.when(F.length("canonical") == F.length("pattern"), "high").otherwise("medium")
+    slips = usable.select(F.col("pattern").alias("_term"), verdict(False, F.col("canonical"), sure).alias("_verdict"))
+    # Of a term's verdicts a valid one comes first.
+    return names.unionByName(slips).groupBy("_term").agg(F.min_by("_verdict", F.struct(~F.col("_verdict.valid"), F.col("_verdict.suggestion"))).alias("_verdict"))
+
+
+def validate_terms(rows: DataFrame, terms: Terms | DataFrame = SHIPPED, term_col: str = "term") -> DataFrame:
+    """Adds valid, suggestion, confidence to each row, as validate_term() gives them.
+
+    The dictionary is joined, so plan and time don't grow with it; Spark broadcasts it only where its size allows. A
+    null term is unknown.
+    """
+    known = term_table(rows.sparkSession, terms)
+    unknown = F.struct(F.lit(True).alias("valid"), F.lit("").alias("suggestion"), F.lit("low").alias("confidence"))
+    joined = rows.join(known, rows[term_col] == known["_term"], "left").withColumn("_verdict", F.coalesce(known["_verdict"], unknown))
+    return joined.select(*[rows[c] for c in rows.columns if c not in ("valid", "suggestion", "confidence")], "_verdict.*")
 
 
 def question_fields(questions: DataFrame) -> DataFrame:
@@ -163,10 +249,11 @@ def question_fields(questions: DataFrame) -> DataFrame:
 
 
 def _field_hits(questions: DataFrame, index: Sequence[tuple[str, str]]) -> DataFrame:
-    """question_fields() with each hit h: only fields that hold a pattern are scanned."""
-    held = question_fields(questions).filter(_holds(F.col("value"), index))
-    # Every row has a hit; an inner explode would scan twice, for a filter of empty arrays before it.
-    return held.withColumn("h", F.explode_outer(scan(F.col("value"), index)))
+    """question_fields() with each hit h. Where few patterns are looked for, only fields that hold one go to the scan."""
+    fields = question_fields(questions)
+    if len(index) <= FEW:
+        fields = fields.filter(reduce(lambda held, x: held | F.contains("value", F.lit(x[1])), index, F.lit(False)))
+    return fields.withColumn("h", F.explode(scan(F.col("value"), index)))
 
 
 def post_verify(questions: DataFrame, terms: Terms = SHIPPED) -> DataFrame:

@@ -125,7 +125,7 @@ def d7_canonical_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def d10_validate_term(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = table(spark, sf_dir, "documents").select(F.explode(F.split("text", "[ \n]")).alias("term")).filter("term <> ''").distinct()
-    return words.select("term", dictionary.validate_term(F.col("term"), WORDS).alias("v")).select("term", "v.*")
+    return dictionary.validate_terms(words, WORDS)
 
 
 def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
