@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,20 +34,29 @@ def without_headers(documents: DataFrame, headers: DataFrame) -> DataFrame:
 def pack_segments(parts: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """Adds chunk_no (from 1): next-fit in order; a segment above the limit is a chunk of its own.
 
-    The fold runs over a document's (ord, tokens) only; texts aren't gathered for it.
+    A document's (ord, tokens) are read once in order by a task that holds the present chunk's filling and one batch, so
+    its length is no limit; texts don't go there. Null tokens count as none.
     """
-    limit = F.lit(max_tokens)
-
-    def step(acc, x):
-        # After an oversized segment the filling stands above the limit, so whatever follows opens a chunk.
-        opens = (acc["n"] == 0) | (x["tokens"] > limit) | (acc["filled"] + x["tokens"] > limit)
-        n = acc["n"] + opens.cast("int")
-        filled = F.when(x["tokens"] > limit, limit + 1).when(opens, x["tokens"]).otherwise(acc["filled"] + x["tokens"])
-        return F.struct(n.alias("n"), filled.cast("int").alias("filled"), F.concat(acc["out"], F.array(F.struct(x["ord"].alias("ord"), n.alias("chunk_no")))).alias("out"))
-
-    zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("filled"), F.expr("cast(array() as array<struct<ord:int,chunk_no:int>>)").alias("out"))
-    sizes = parts.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(F.col("ord").cast("int").alias("ord"), F.col("tokens").cast("int").alias("tokens")))).alias("s"))
-    numbered = sizes.select("doc_id", F.explode(F.aggregate("s", zero, step)["out"]).alias("o")).select("doc_id", "o.ord", "o.chunk_no")
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        document, number, filled = None, 0, 0
+        for batch in batches:
+            numbers = []
+            for name, tokens in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                tokens = tokens or 0
+                if name != document or not number:
+                    document, number, filled = name, 0, 0
+                if not number or filled + tokens > max_tokens:
+                    number, filled = number + 1, 0
+                # After an oversized segment the filling stands above the limit, so whatever follows opens a chunk.
+                filled = max_tokens + 1 if tokens > max_tokens else filled + tokens
+                numbers.append(number)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(numbers, pa.int32())], ["doc_id", "ord", "chunk_no"])
+
+    slim = parts.select("doc_id", "ord", F.col("tokens").cast("long").alias("tokens"))
+    kinds = dict(slim.dtypes)
+    in_order = slim.repartition("doc_id").sortWithinPartitions("doc_id", "ord")
+    numbered = in_order.mapInArrow(fold, f"doc_id {kinds['doc_id']}, ord {kinds['ord']}, chunk_no int")
     return parts.join(numbered, ["doc_id", "ord"])
 
 

@@ -165,6 +165,26 @@ def pre_correct(rows: DataFrame, terms: Terms = SHIPPED, enabled: bool = True, t
     return rows.withColumn("_fixed", fix(text)).withColumns({"corrections": F.col("_fixed.corrections"), "corrected_text": F.col("_fixed.text")}).drop("_fixed")
 
 
+def absent_words(words: Column, text: Column) -> Column:
+    """Those of a row's words that its text nowhere holds, in order; all words of a row are looked for in one pass."""
+
+    @F.arrow_udf("array<string>")
+    def absent(lists: pa.Array, texts: pa.Array) -> pa.Array:
+        out = []
+        for row, body in zip(lists.to_pylist(), texts.to_pylist(), strict=True):
+            if row and body:
+                automaton = ahocorasick.Automaton()
+                for w in row:
+                    automaton.add_word(w, w)
+                automaton.make_automaton()
+                held = {w for _, w in automaton.iter(body)}
+                row = [w for w in row if w not in held]
+            out.append(row)
+        return pa.array(out, pa.list_(pa.string()))
+
+    return absent(words, text)
+
+
 def correction_log(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per correction of pre_correct(), with its location as text."""
     each = rows.select(*keys, F.explode("corrections").alias("c"))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions.text import strip
-from docloom.operators.dictionary import SHIPPED, Terms, term_issues
+from docloom.operators.dictionary import SHIPPED, Terms, absent_words, term_issues
 from docloom.operators.responses import SAME
 
 LEAST_LENGTH_SHARE, LEAST_SIMILARITY, LEAST_OPTION_SHARE, MOST_LOST, SHORT_OPTION, LEAST_MEAN_LENGTH = 0.5, 0.5, 0.8, 0.3, 0.3, 10
@@ -166,8 +166,10 @@ def missing_options() -> Column:
 
 def lost_keywords() -> Column:
     """Distinct keywords of the original that the result nowhere holds; the detail names the first ten in order."""
-    words = F.array_distinct(F.regexp_extract_all("original", F.lit(KEYWORD), F.lit(0)))
-    lost = F.filter(words, lambda w: ~F.contains(F.col("result"), w))
+    keywords = lambda c: F.array_distinct(F.regexp_extract_all(c, F.lit(KEYWORD), F.lit(0)))
+    words = keywords("original")
+    # Most stand in the result as keywords of its own; only the others may be parts of longer ones.
+    lost = absent_words(F.array_except(words, keywords("result")), F.col("result"))
     many = (F.size(words) > 0) & (F.size(lost) / F.size(words) > MOST_LOST)
     return _whole(many, "KEYWORD_LOSS", "WARNING", F.array_join(F.slice(F.array_sort(lost), 1, 10), ", "))
 

@@ -1,12 +1,13 @@
 """Scanning with and looking up in dictionaries of any size, against plain search."""
 
 import random
+import re
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from docloom.operators import dictionary
+from docloom.operators import dictionary, validation
 from docloom.operators.dictionary import Dictionary, Scanner
 
 
@@ -105,3 +106,22 @@ def test_many_patterns_in_results(spark):
     questions = spark.createDataFrame([("k", 0, 1, f"has {terms.pairs[3][1]} here", None), ("k", 1, 2, None, None)], "chunk_id string, pos int, id long, text string, options array<struct<num:string,text:string,correct:boolean,explanation:string>>")
     found = dictionary.post_verify(questions, terms).collect()
     assert (found[0]["found"], found[0]["expected"], found[0]["field"]) == (terms.pairs[3][1], terms.pairs[3][0], "text") and dictionary.term_issues(questions, terms).count() == len(found)
+
+
+def test_lost_keywords_in_one_pass(spark):
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("ab가1") for _ in range(r.randrange(1, 6)))
+    rows = [(" ".join(word() for _ in range(30)), " ".join(word() for _ in range(20)), 0) for _ in range(60)] + [("abc abd", "", 0), ("", "x", 0), ("a b", "c", 0)]
+    pairs = spark.createDataFrame(rows, "original string, result string, n_options long").withColumn("chunk_id", F.monotonically_increasing_id())
+    got = {x["chunk_id"]: x["detail"] for x in validation.issues(pairs, validation.lost_keywords()).collect()}
+    for row in pairs.collect():
+        words = list(dict.fromkeys(re.findall(validation.KEYWORD, row["original"])))
+        lost = [w for w in words if w not in row["result"]]
+        expected = ", ".join(sorted(lost)[:10]) if words and len(lost) / len(words) > validation.MOST_LOST else None
+        assert got.get(row["chunk_id"]) == expected
+    # 60,000 keywords that are only parts of one long word, and none of 60,000 others.
+    many = [f"w{i:06d}" for i in range(60_000)]
+    large = spark.createDataFrame([(1, " ".join(many + [f"v{i:06d}" for i in range(60_000)]), "x".join(many), 0)], "chunk_id long, original string, result string, n_options long")
+    began = time.time()
+    assert [x["detail"] for x in validation.issues(large, validation.lost_keywords()).collect()] == [", ".join(f"v{i:06d}" for i in range(10))]
+    assert time.time() - began < 30

@@ -83,6 +83,20 @@ def test_packing(spark):
         assert {i: n for n, part in enumerate(made, 1) for i in part} == {i: got[name, i] for i in range(len(tokens))}
 
 
+def test_packing_of_a_document_of_a_million_segments(spark):
+    rows = spark.range(1_000_000).select(F.lit("long").alias("doc_id"), F.col("id").alias("ord"), F.when(F.col("id") % 1000 == 0, 50).otherwise(F.col("id") % 7).cast("int").alias("tokens"))
+    rows = rows.unionByName(rows.limit(0)).unionByName(spark.createDataFrame([("other", 1, None), ("other", 2, 41), ("other", 3, 0), ("other", 4, 40)], "doc_id string, ord long, tokens int"))
+    packed = chunks.pack_segments(rows, 40)
+    made = packed.filter("doc_id = 'long'").groupBy("chunk_no").agg(F.sum("tokens").alias("t"), F.count("*").alias("n"), F.min("ord").alias("first")).orderBy("chunk_no").collect()
+    assert [r["chunk_no"] for r in made] == list(range(1, len(made) + 1)) and sum(r["n"] for r in made) == 1_000_000
+    assert all(r["t"] <= 40 or r["n"] == 1 for r in made)
+    # Next-fit: what opens a chunk didn't fit into the one before.
+    tokens = lambda i: 50 if i % 1000 == 0 else i % 7
+    assert all(a["t"] + tokens(b["first"]) > 40 for a, b in zip(made, made[1:]))
+    assert [r["chunk_no"] for r in packed.filter("doc_id = 'other'").orderBy("ord").collect()] == [1, 2, 3, 3]
+    assert chunks.pack_segments(rows.limit(0)).count() == 0
+
+
 def test_dry_run(spark):
     made, hinted = dry_run(blocks.block_offsets(blocks.from_rows(spark, EXAM)))
     exam = made.filter("doc_id = 'exam'").collect()
