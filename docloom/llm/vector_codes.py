@@ -47,7 +47,10 @@ def integers(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
 
 def seeds(rows: DataFrame, entries: int) -> list[list[int]]:
     """Vectors of the smallest vec_ids, ascending (none: last); of an id's several rows the smallest vector."""
-    first = rows.groupBy("vec_id").agg(F.min("x").alias("x")).orderBy(F.col("vec_id").asc_nulls_last()).limit(entries)
+    ids = rows.select("vec_id").distinct().orderBy(F.col("vec_id").asc_nulls_last()).limit(entries)
+    chosen = [r["vec_id"] for r in ids.collect()]
+    own = F.col("vec_id").isin([i for i in chosen if i is not None]) | (F.col("vec_id").isNull() & F.lit(None in chosen))
+    first = rows.filter(own).groupBy("vec_id").agg(F.min("x").alias("x")).orderBy(F.col("vec_id").asc_nulls_last())
     return [list(r["x"]) for r in first.collect()]
 
 
