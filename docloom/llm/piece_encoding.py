@@ -15,7 +15,6 @@ from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +28,8 @@ BLANK, APART = "▁", "\n"
 #: Letters; in a vocabulary split by scripts they share no piece with any other character but blanks before them.
 LETTERS, OTHERS = r"[^\W\d_²]", rf"(?:(?!{BLANK})[\W\d_²])"
 NO_PIECE = 1 << 31
-#: Units of more symbols have a heap; longer ones than LONGEST_KNOWN aren't cached. Units are taken in blocks.
-SHORT, LONGEST_KNOWN, BLOCK = 32, 64, 200_000
+#: Units of more symbols have a heap; longer ones than LONGEST_KNOWN aren't cached. Long texts are taken in slices of about so many characters.
+SHORT, LONGEST_KNOWN, SLICE = 32, 64, 1_000_000
 #: Bytes that a known unit takes beside its characters and ids.
 COST = 200
 
@@ -67,6 +66,19 @@ class Pairs:
         return slots
 
 
+def slices(text: str) -> Iterator[str]:
+    """The text in parts of about SLICE characters, cut in front of blanks that follow another character; without any it stays whole."""
+    start = 0
+    while (cut := text.find(BLANK, start + SLICE)) > 0:
+        while 0 < cut and text[cut - 1] == BLANK:
+            cut = text.find(BLANK, cut + 1)
+        if cut < 0:
+            break
+        yield text[start:cut]
+        start = cut
+    yield text[start:]
+
+
 class PieceCoder:
     """Ids of texts and texts of ids, the same as the library's own.
 
@@ -91,6 +103,7 @@ class PieceCoder:
             self.unit = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
         # A symbol's number is its piece's id; characters that only stand in longer pieces have further numbers.
         self.symbols = own | {c: len(model.pieces) + k for k, c in enumerate(sorted({c for p in own for c in p} - own.keys()))}
+        self.pieceless = {k: c for c, k in self.symbols.items() if k >= len(model.pieces)}
         by_score = {score: r for r, score in enumerate(sorted({model.pieces[i].score for i in own.values()}, reverse=True))}
         self.n_pieces, self.dummy = len(model.pieces), BLANK if normalizer.add_dummy_prefix else ""
         splits = ((p[:k], p[k:], i) for p, i in own.items() for k in range(1, len(p)))
@@ -105,11 +118,12 @@ class PieceCoder:
         self.bare = SentencePieceProcessor(model_proto=model.SerializeToString())  # the library on units as they are
         self.units: dict[str, bytes] = {}
         self.held, self.cache_bytes = 0, cache_bytes
-        self.differs = False  # whether the library has given any unit's ids or text otherwise
+        # Whether the library has given any unit's ids, or any id's text, otherwise.
+        self.differs = self.bare.decode([[i] for i in range(self.n_pieces)]) != [x.decode("utf-8", "docloom_each_byte") for x in self.surfaces]
 
-    def _merged(self, units: list[str]) -> list[list[int]]:
-        """Each unit's symbols once no adjacent pair is a piece any more; characters of no piece are -1 minus their code point."""
-        out: list[list[int]] = [[]] * len(units)
+    def _merged(self, units: list[str]) -> list[bytes]:
+        """Each unit's ids (int32) once no adjacent pair of its symbols is a piece any more; characters of no piece are -1 minus their code point till then."""
+        out = [b""] * len(units)
         lengths = np.array([len(u) for u in units])
         codes = np.frombuffer("".join(units).encode("utf-32-le"), dtype="<u4")
         chars, place = np.unique(codes, return_inverse=True)
@@ -121,10 +135,12 @@ class PieceCoder:
                 at = first[rows, None] + np.arange(most)
                 table = np.where(np.arange(most) < lengths[rows, None], flat[np.minimum(at, len(flat) - 1)], -1)
                 table, left = self._merged_rows(table, lengths[rows])
-                for row, symbols, n in zip(rows.tolist(), table.tolist(), left.tolist(), strict=True):
-                    out[row] = symbols[:n]
+                plain = (((table >= 0) & (table < self.n_pieces)) | (np.arange(most) >= left[:, None])).all(axis=1).tolist()
+                raw = table.astype("<i4").tobytes()
+                for k, (row, n) in enumerate(zip(rows.tolist(), left.tolist(), strict=True)):
+                    out[row] = raw[4 * most * k : 4 * (most * k + n)] if plain[k] else self._with_bytes(table[k, :n].tolist())
         for row in np.flatnonzero(lengths > SHORT).tolist():
-            out[row] = self._merged_long(flat[first[row] : first[row] + lengths[row]].tolist())
+            out[row] = self._with_bytes(self._merged_long(flat[first[row] : first[row] + lengths[row]].tolist()))
         return out
 
     def _merged_rows(self, table: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -183,50 +199,51 @@ class PieceCoder:
                         heappush(agenda, r << 32 | a)
         return [s for s, g in zip(symbols, gone, strict=True) if not g]
 
-    def _fresh_ids(self, units: list[str]) -> list[array]:
-        out = []
-        for symbols in self._merged(units):
-            ids = array("i", symbols) if min(symbols) >= 0 and max(symbols) < self.n_pieces else self._with_bytes(symbols)
-            out.append(ids)
-        return out
-
-    def _with_bytes(self, symbols: list[int]) -> array:
+    def _with_bytes(self, symbols: list[int]) -> bytes:
         ids = array("i")
         for s in symbols:
             if 0 <= s < self.n_pieces:
                 ids.append(s)
             else:
-                c = chr(-1 - s) if s < 0 else next(c for c, k in self.symbols.items() if k == s)
-                ids.extend([self.byte_ids[b] for b in c.encode()])
-        return ids
-
-    def learn(self, units: Sequence[str]) -> dict[str, bytes]:
-        """Ids of the units: all that aren't known are merged, and held against the library, in one go."""
-        if self.held > self.cache_bytes:
-            self.units, self.held = {}, 0
-        fresh = [u for u in dict.fromkeys(units) if u not in self.units]
-        if not fresh:
-            return self.units
-        made = self._fresh_ids(fresh)
+                ids.extend([self.byte_ids[b] for b in (chr(-1 - s) if s < 0 else self.pieceless[s]).encode()])
+        return ids.tobytes()
+
+    def _learn(self, fresh: list[str]) -> dict[str, bytes]:
+        """Ids of units that aren't known: merged, and held against the library, in one go."""
+        made = self._merged(fresh)
         apart = array("i", [self.byte_ids[b] for b in APART.encode()]).tobytes()
-        own = apart.join([x.tobytes() for x in made])
-        text = APART.join(fresh).replace(BLANK, " ")
-        ids = self.bare.encode(text, num_threads=1)
-        self.differs |= own != array("i", ids).tobytes() or self.bare.decode(ids) != text
-        found = dict(zip(fresh, (x.tobytes() for x in made), strict=True))
-        kept = found if max(map(len, fresh)) <= LONGEST_KNOWN else {u: x for u, x in found.items() if len(u) <= LONGEST_KNOWN}
-        self.units |= kept
-        self.held += sum(COST + 2 * len(u) + len(x) for u, x in kept.items())
-        return self.units if kept is found else self.units | found
+        ids = self.bare.encode(APART.join(fresh).replace(BLANK, " "), num_threads=1)
+        self.differs |= apart.join(made) != array("i", ids).tobytes()
+        return dict(zip(fresh, made, strict=True))
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts that begin and end with a unit."""
+        whole, known = list(map(self.unit.findall, texts)), self.units
+        fresh = list({u for units in whole for u in units if u not in known})
+        if not fresh:
+            return [b"".join(map(known.__getitem__, units)) for units in whole]
+        learned = self._learn(fresh)
+        self.held += sum(map(len, fresh)) * 3 + COST * len(fresh)
+        if self.held > self.cache_bytes:  # what these texts need stays
+            known = self.units = {u: known[u] for units in whole for u in units if u in known}
+            self.held = sum(map(len, known)) * 3 + COST * len(known)
+        known |= learned
+        out = [b"".join(map(known.__getitem__, units)) for units in whole]
+        for u in fresh:
+            if len(u) > LONGEST_KNOWN:
+                self.held -= len(u) * 3 + COST
+                del known[u]
+        return out
 
     def encode_all(self, texts: list[str], end_id: int | None = None) -> list[np.ndarray]:
         """int32 ids of each whole text, `end_id` after them if given; an empty text has no other."""
-        whole = [self.unit.findall(self.dummy + t.replace(" ", BLANK)) if t else [] for t in texts]
-        known = [self.learn(block) for block in batched((u for units in whole for u in units), BLOCK)]
+        marked = [self.dummy + t.replace(" ", BLANK) if t else "" for t in texts]
+        if sum(map(len, marked)) <= 2 * SLICE:
+            found = self._ids(marked)
+        else:
+            found = [b"".join(self._ids([part])[0] for part in slices(t)) for t in marked]
         end = b"" if end_id is None else array("i", [end_id]).tobytes()
-        if len(known) > 1:  # some of an earlier block may have left the cache
-            return [np.frombuffer(b"".join(self.learn(block)[u] for block in batched(units, BLOCK) for u in block) + end, dtype=np.int32) for units in whole]
-        return [np.frombuffer(b"".join(map(known[0].__getitem__, units)) + end if units else end, dtype=np.int32) for units in whole]
+        return [np.frombuffer(ids + end, dtype=np.int32) for ids in found]
 
     def encode(self, text: str, end_id: int | None = None) -> np.ndarray:
         return self.encode_all([text], end_id)[0]
@@ -251,8 +268,8 @@ def piece_coder(path: str) -> PieceCoder:
 def encode_texts(documents: DataFrame, model_path: str, *, end_id: int = 2, whole_check: bool = False) -> DataFrame:
     """doc_id, ids array<int>, decoded string, agrees boolean: every whole text's ids, the text they give back, and whether the library gives the same.
 
-    The library is asked about every unit that a worker meets, ids and text, in the Arrow batch that brings it; once one differs, the worker
-    says so of all that follows. `whole_check` asks it about every whole text instead, which takes longer than the encoding.
+    The library is asked about every unit that a worker meets, in the Arrow batch that brings it, and first about the text of every id; once
+    one differs, the worker says so of all that follows. `whole_check` asks it about every whole text instead, which takes longer than the encoding.
     A null or empty text is `end_id` alone and gives back the empty text. Rows are taken one by one: repeated rows and
     null doc_ids stay. Other columns are not read; an empty table gives none.
     """

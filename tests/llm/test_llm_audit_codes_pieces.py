@@ -204,9 +204,13 @@ def test_long_units_blocks_and_a_full_cache(coder, monkeypatch):
     expected = coder.library.encode(text)
     assert coder.encode(text).tolist() == expected
     small = PieceCoder(MODEL, cache_bytes=5000)
-    monkeypatch.setattr(piece_encoding, "BLOCK", 50)
+    monkeypatch.setattr(piece_encoding, "SLICE", 50)
     assert [x.tolist() for x in small.encode_all([text, "", "a b c " * 100])] == [expected, [], coder.library.encode("a b c " * 100)]
     assert small.held < 50_000 and not small.differs
+    for odd in ("a" * 300, " " * 300 + "b", "a" + " " * 300 + "b c", " a" * 200, "a " * 200 + "x" * 200, ""):
+        marked = ("▁" + odd).replace(" ", "▁")
+        assert "".join(piece_encoding.slices(marked)) == marked
+        assert small.encode(odd).tolist() == coder.library.encode(odd)
 
 
 def test_other_models_are_refused(tmp_path):
