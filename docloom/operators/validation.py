@@ -8,13 +8,11 @@ schema.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from difflib import SequenceMatcher
-
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.functions.matching import similarities
 from docloom.functions.text import strip
 from docloom.operators.dictionary import SHIPPED, Terms, absent_words, term_issues
 from docloom.operators.responses import SAME
@@ -132,15 +130,11 @@ def compared(questions: DataFrame, originals: DataFrame) -> DataFrame:
 
 
 def similarity(pairs: DataFrame, autojunk: bool = True) -> DataFrame:
-    """Adds similarity: the ratio of matching characters of original and result (difflib's, with its autojunk unless told).
-
-    There is no built-in for it; texts are chunk-sized.
-    """
+    """Adds similarity: the share of characters in common blocks of original and result, see functions.matching; null texts are empty."""
 
-    @F.pandas_udf("double")
-    def ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for a, b in batches:
-            yield pd.Series([SequenceMatcher(None, x, y, autojunk=autojunk).ratio() if x or y else 1.0 for x, y in zip(a, b, strict=True)], dtype="float64")
+    @F.arrow_udf("double")
+    def ratio(a: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array(similarities([x or "" for x in a.to_pylist()], [x or "" for x in b.to_pylist()], autojunk), pa.float64())
 
     return pairs.withColumn("similarity", ratio("original", "result"))
 
