@@ -83,12 +83,13 @@ def _bucket_maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _bucket_starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, bucket, start) of sorted (key, bucket, map) rows: the number of the state in which the bucket begins."""
     state = NEW
-    for batch, groups, fresh in _runs(batches, 1):
+    for batch, _, fresh in _runs(batches, 1):
         starts = []
         for new, made in zip(fresh, batch.column(2).to_pylist(), strict=True):
             starts.append(NEW if new else state)
             state = made[starts[-1]]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(starts, pa.int32())], ["_key", "_bucket", "_start"])
+        out = pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(starts, pa.int32())], ["_key", "_bucket", "_start"])
+        yield out.filter(batch.column(3))
 
 
 def _batch(like: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
@@ -119,7 +120,13 @@ def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out.filter(out.column(2).is_valid())
 
 
-def bucket_starts(log: DataFrame, key: str, order: str, bucket: Column) -> DataFrame:
+def _number(state: Column) -> Column:
+    """The number of a known state, that of a new key for any other."""
+    at = F.array_position(F.array(*[F.lit(s) for s in TRANSITIONS]), state)
+    return F.when(at > 0, at - 1).otherwise(NEW).cast("int")
+
+
+def bucket_starts(log: DataFrame, key: str, order: str, bucket: Column, since: DataFrame | None = None) -> DataFrame:
     """_key, _bucket, _start: the state (its number) in which every bucket of a key begins.
 
     A bucket's steps are folded into a map from each state to the one they lead to, bucket by bucket; a key's maps,
@@ -130,16 +137,20 @@ def bucket_starts(log: DataFrame, key: str, order: str, bucket: Column) -> DataF
     kinds = dict(keyed.dtypes)
     group = f"_key {kinds['_key']}, _bucket {kinds['_bucket']}"
     sorted_steps = keyed.repartition("_key", "_bucket").sortWithinPartitions("_key", "_bucket", "_order", "_state").drop("_order")
-    maps = sorted_steps.mapInArrow(_bucket_maps, f"{group}, _map binary")
-    return maps.repartition("_key").sortWithinPartitions("_key", "_bucket").mapInArrow(_bucket_starts, f"{group}, _start int")
+    maps = sorted_steps.mapInArrow(_bucket_maps, f"{group}, _map binary").withColumn("_steps", F.lit(True))
+    if since is not None:  # what a key was before leads every state to the same one
+        constant = F.unhex(F.repeat(F.lpad(F.hex(_number(F.col("state")).cast("long")), 2, "0"), len(NAMES)))
+        maps = maps.unionByName(since.select(F.col(key).alias("_key"), F.lit(None).cast(kinds["_bucket"]).alias("_bucket"), constant.alias("_map"), F.lit(False).alias("_steps")))
+    return maps.repartition("_key").sortWithinPartitions("_key", "_steps", "_bucket").mapInArrow(_bucket_starts, f"{group}, _start int")
 
 
-def checked_log(log: DataFrame, key: str = "chunk_id", order: str = "seq", bucket: Column | None = None) -> DataFrame:
+def checked_log(log: DataFrame, key: str = "chunk_id", order: str = "seq", bucket: Column | None = None, since: DataFrame | None = None) -> DataFrame:
     """The log (key, order, state, ...) with before and allowed; a step that isn't allowed leaves the state as it was.
 
     A key's steps are read once, in order, by a task that holds its present state and one batch: time is linear in the steps, and
     memory doesn't grow with them. `bucket` (never falling as `order` rises) cuts a hot key's history: bucket_starts() says where each
-    bucket begins, and the buckets are then read side by side. Without one a key is read by one task. Steps of equal order are taken by state; nulls come first.
+    bucket begins, and the buckets are then read side by side. Without one a key is read by one task. `since` (key, state; a row per key)
+    has the states in which keys begin, as a snapshot gives them. Steps of equal order are taken by state; nulls come first.
     """
     cut = bucket is not None
     rows = log.select(
@@ -147,7 +158,10 @@ def checked_log(log: DataFrame, key: str = "chunk_id", order: str = "seq", bucke
         F.struct("*").alias("_row"), F.col(order).alias("_order"),
     )
     if cut:
-        rows = rows.unionByName(bucket_starts(log, key, order, bucket), allowMissingColumns=True)
+        rows = rows.unionByName(bucket_starts(log, key, order, bucket, since), allowMissingColumns=True)
+    elif since is not None:
+        begun = since.select(F.col(key).alias("_key"), F.lit(0).alias("_bucket"), _number(F.col("state")).alias("_start"))
+        rows = rows.unionByName(begun, allowMissingColumns=True)
     # A bucket's start comes before its steps.
     sorted_rows = rows.repartition("_key", "_bucket").sortWithinPartitions("_key", "_bucket", F.col("_start").isNull(), "_order", "_state").drop("_order")
     schema = StructType([StructField("_row", rows.schema["_row"].dataType), StructField("before", StringType()), StructField("allowed", BooleanType())])
