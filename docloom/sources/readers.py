@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +11,11 @@ from pyspark.sql import functions as F
 
 from docloom.operators.convert import template_in
 
-BLOCKS = "path string, page int, block_id int, text string, font_size double, error string"
+BLOCKS = "path string, page int, block_id int, text string, font_size double, error string, error_kind string"
 #: path and bytes to (page, text, font sizes of its spans) per block; raises for what it can't read.
 Extractor = Callable[[str, bytes], Iterator[tuple[int, str, list[float]]]]
+#: Fixed value: how a PDF file names its encryption.
+ENCRYPTION = re.compile(rb"/Encrypt\s*(\d+\s+\d+\s+R|<<)")
 
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
@@ -33,12 +36,59 @@ def read_hints(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.json(path, multiLine=True)
 
 
-def read_blocks(spark: SparkSession, path: str, extract: Extractor, suffix: str = ".pdf") -> DataFrame:
-    """Text blocks of binary files (BLOCKS); a file that can't be read is one row with its error.
+class EncryptedFile(ValueError):
+    """To be raised by an extractor that would need a password."""
 
-    Spark passes over files of no bytes. Blank blocks are left out, the rest numbered in order; font_size is the mean of the spans' sizes, one decimal.
+
+class EmptyFile(ValueError):
+    """To be raised by an extractor that finds no page."""
+
+
+def error_kind(error: Exception) -> str:
+    """`encrypted`, `empty`, or `corrupt` for whatever else keeps a file from being read."""
+    return "encrypted" if isinstance(error, EncryptedFile) else "empty" if isinstance(error, EmptyFile) else "corrupt"
+
+
+def opened_pdf(extract: Extractor) -> Extractor:
+    """The extractor behind a look at the file's frame: its header and end must be there, an encryption entry is told."""
+
+    def run(path: str, content: bytes) -> Iterator[tuple[int, str, list[float]]]:
+        if b"%PDF-" not in content[:1024] or b"startxref" not in content[-2048:]:
+            raise ValueError("no header or end of a PDF file")
+        if ENCRYPTION.search(content):
+            raise EncryptedFile("encrypted")
+        yield from extract(path, content)
+
+    return run
+
+
+def _listed(spark: SparkSession, paths: Sequence[str]) -> tuple[list[str], list[str], list[str]]:
+    """Of the asked paths (globs and folders too) those that exist, those that don't, and the files of no bytes among the first."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    there, missing, hollow = [], [], []
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        files = path.getFileSystem(conf)
+        found = list(files.globStatus(path) or [])
+        (there if found else missing).append(name)
+        each = [f for s in found for f in (files.listStatus(s.getPath()) if s.isDirectory() else [s])]
+        hollow += [f.getPath().toString() for f in each if f.isFile() and f.getLen() == 0]
+    return there, missing, hollow
+
+
+def read_blocks(spark: SparkSession, path: str | Sequence[str], extract: Extractor, suffix: str = ".pdf") -> DataFrame:
+    """Text blocks of binary files (BLOCKS); a file that can't be read is one row with its error and the error's kind.
+
+    Kinds: `missing` (nothing is at an asked path), `empty` (no bytes, no page or no text), `encrypted`, `corrupt`; an extractor tells them by
+    raising EmptyFile or EncryptedFile. Each file concerns itself alone. Blank blocks are left out, the rest numbered in
+    order; font_size is the mean of the spans' sizes, one decimal. A file is read whole by one task.
     """
-    files = spark.read.format("binaryFile").load(path).filter(F.lower("path").endswith(suffix)).select("path", "content")
+    there, missing, hollow = _listed(spark, [path] if isinstance(path, str) else list(path))
+    bare = lambda name, error, kind: (name, None, None, None, None, error, kind)
+    unread = [bare(m, "no such file", "missing") for m in missing] + [bare(h, "no bytes", "empty") for h in hollow if h.lower().endswith(suffix)]
+    failed = spark.createDataFrame(unread, BLOCKS)
+    if not there:
+        return failed
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -47,14 +97,15 @@ def read_blocks(spark: SparkSession, path: str, extract: Extractor, suffix: str
                 try:
                     for page, text, sizes in extract(name, content):
                         if text.strip():
-                            rows.append((name, page, len(rows), text.strip(), round(sum(sizes) / len(sizes), 1) if sizes else 0.0, None))
+                            rows.append((name, page, len(rows), text.strip(), round(sum(sizes) / len(sizes), 1) if sizes else 0.0, None, None))
                     if not rows:
-                        raise ValueError("no text blocks")
+                        raise EmptyFile("no text blocks")
                 except Exception as e:  # any reader's failure concerns this file alone
-                    rows = [(name, None, None, None, None, str(e))]
-                yield pd.DataFrame(rows, columns=["path", "page", "block_id", "text", "font_size", "error"])
+                    rows = [bare(name, str(e), error_kind(e))]
+                yield pd.DataFrame(rows, columns=["path", "page", "block_id", "text", "font_size", "error", "error_kind"])
 
-    return files.mapInPandas(run, BLOCKS)
+    files = spark.read.format("binaryFile").load(there).filter(F.lower("path").endswith(suffix) & (F.col("length") > 0)).select("path", "content")
+    return files.mapInPandas(run, BLOCKS).unionByName(failed)
 
 
 def page_counts(found: DataFrame) -> DataFrame:

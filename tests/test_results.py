@@ -240,6 +240,21 @@ def test_readers(spark, tmp_path):
     assert good.count() == 1 and len(bad.collect()) == 1
 
 
+def test_kinds_of_open_errors(spark, tmp_path):
+    whole = b"%PDF-1.7\none\ftwo\n/Root 1 0 R startxref\n0\n%%EOF\n"
+    files = {"good": whole, "corrupt": b"one two", "cut": whole[:12], "locked": whole.replace(b"/Root", b"/Encrypt 7 0 R /Root"), "none": b"", "other": b""}
+    for name, content in files.items():
+        (tmp_path / f"{name}.{'txt' if name == 'other' else 'pdf'}").write_bytes(content)
+    extract = readers.opened_pdf(lambda path, content: ((0, line, []) for line in content.decode().split("\n") if line and line[0] not in "%/0"))
+    for asked in ([f"{tmp_path}/*.pdf", f"{tmp_path}/absent.pdf"], [str(tmp_path), f"{tmp_path}/absent.pdf"]):
+        rows = readers.read_blocks(spark, asked, extract).collect()
+        kinds = {r["path"].rsplit("/", 1)[-1]: r["error_kind"] for r in rows}
+        assert kinds == {"good.pdf": None, "corrupt.pdf": "corrupt", "cut.pdf": "corrupt", "locked.pdf": "encrypted", "none.pdf": "empty", "absent.pdf": "missing"}
+    assert [r["error_kind"] for r in readers.read_blocks(spark, f"{tmp_path}/nothing*", extract).collect()] == ["missing"]
+    no_page = readers.read_blocks(spark, f"{tmp_path}/good.pdf", lambda path, content: iter(())).first()
+    assert (no_page["error_kind"], no_page["error"]) == ("empty", "no text blocks")
+
+
 def test_writers(spark, tmp_path):
     made = spark.createDataFrame([("chunk_001", "a\nb")], "chunk_id string, text string")
     writers.write_chunk_texts(made, str(tmp_path / "t"))
