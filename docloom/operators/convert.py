@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.text import with_text_metrics
-from docloom.operators.responses import AUTH_PHRASES, CORRUPT_SHARE, LIMIT_AT, LIMIT_PHRASES, SHORT_ANSWER, schema_error
+from docloom.operators.responses import AUTH_PHRASES, CORRUPT_SHARE, FENCE, LIMIT_AT, LIMIT_PHRASES, SHORT_ANSWER, schema_error
 
 # The places of a template, filled one after another in this order.
 PLACES = (
@@ -99,7 +99,7 @@ def answer_kind(stdout: str, stderr: str, code: int) -> str:
 
 def unreadable(stdout: str) -> str | None:
     """Why an answer can't be taken: no JSON, broken JSON or not questions; null if it can."""
-    fence = re.search(r"```(?:json)?\s*\n?(.*?)```", stdout, re.S | re.I)
+    fence = re.search(FENCE, stdout)
     body = fence[1].strip() if fence and fence[1].strip() else stdout[stdout.find("{") : stdout.rfind("}") + 1]
     if not body:
         return "no JSON in the answer"

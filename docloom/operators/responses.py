@@ -17,6 +17,8 @@ LIMIT_PHRASES = ("usage limit reached", "usage limit", "rate limit", "rate_limit
 AUTH_PHRASES = (
     "not logged in", "please run /login", "please login", "invalid api key", "authentication", "unauthenticated", "unauthorized", "401", "oauth token",
 )
+#: A fenced body, of JSON where a language is told.
+FENCE = r"(?is)```(?:json)?\s*\n?(.*?)```"
 LIMIT_AT = r"(?i)usage\s+limit\s+reached\s*\|\s*(\d{9,13})"
 SHORT_ANSWER, CORRUPT_SHARE = 500, 0.005
 SAME, NO_EXPLANATION = "동일", "해설 없음"
@@ -55,7 +57,7 @@ def unwrap(stdout: Column) -> Column:
 
 def extract_json(text: Column) -> Column:
     """The first fenced body, if not blank; else from the first { to the last }; else null."""
-    fenced = F.nullif(strip(F.regexp_extract(text, r"(?is)```(?:json)?\s*\n?(.*?)```", 1)), F.lit(""))
+    fenced = F.nullif(strip(F.regexp_extract(text, FENCE, 1)), F.lit(""))
     first, last = F.instr(text, "{"), F.length(text) - F.instr(F.reverse(text), "}") + 1
     braces = F.when((first > 0) & F.contains(text, F.lit("}")) & (last > first), F.substring(text, first, last - first + 1))
     return F.coalesce(fenced, braces)

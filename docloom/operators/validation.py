@@ -21,6 +21,8 @@ LEAST_LENGTH_SHARE, LEAST_SIMILARITY, LEAST_OPTION_SHARE, MOST_LOST, SHORT_OPTIO
 # Option marks counted in an original text, and what a keyword is.
 OPTION_MARKS = ("[①②③④⑤⑥⑦⑧⑨⑩]", "(?<![가-힣])[ㄱㄴㄷㄹㅁ](?![가-힣])", r"(?:^|\s)(\d{1,2})[.)]\s")
 KEYWORD = "[가-힣A-Za-z0-9]{3,}"
+#: Missing numbers that one row names.
+GAP_BLOCK = 10_000
 
 
 def _issue(source: str, kind: str, severity: str, detail: Column, *, question: Column | None = None, pos: Column | None = None, option: Column | None = None) -> Column:
@@ -53,14 +55,16 @@ def _blank(x: Column) -> Column:
 
 
 def repeated_ids() -> Column:
-    """Over rows (id, n): an id that a chunk has several times."""
-    return _if(F.col("n") > 1, _issue("structure", "DUPLICATE_QUESTION", "ERROR", F.col("n"), pos=F.lit(None)))
+    """Over rows (id, n, gap_from): an id that a chunk has several times; told once, with the first block of the gap behind it."""
+    first = F.col("gap_from").isNull() | (F.col("gap_from") == F.col("id") + 1)
+    return _if((F.col("n") > 1) & first, _issue("structure", "DUPLICATE_QUESTION", "ERROR", F.col("n"), pos=F.lit(None)))
 
 
 def missing_ids() -> Column:
-    """Over rows (id, following): every number between neighbouring ids of a chunk; none before the first or after the last."""
-    gap = F.when(F.col("following") - F.col("id") > 1, F.sequence(F.col("id") + 1, F.col("following") - 1)).otherwise(F.expr("cast(array() as array<bigint>)"))
-    return F.transform(gap, lambda k: _issue("structure", "MISSING_QUESTION", "ERROR", k, question=k, pos=F.lit(None)))
+    """Over rows (following, gap_from): the numbers of one block of the gap between neighbouring ids of a chunk; none before the first or after the last."""
+    block = F.sequence("gap_from", F.least(F.col("gap_from") + GAP_BLOCK, F.col("following")) - 1)
+    each = F.when(F.col("gap_from").isNotNull(), block).otherwise(F.expr("cast(array() as array<bigint>)"))
+    return F.transform(each, lambda k: _issue("structure", "MISSING_QUESTION", "ERROR", k, question=k, pos=F.lit(None)))
 
 
 def option_counts(expected: Column) -> Column:
@@ -106,7 +110,9 @@ def numbering_issues(questions: DataFrame) -> DataFrame:
     """Repeated and missing ids of each chunk."""
     counted = questions.groupBy("chunk_id", F.col("id").cast("long").alias("id")).agg(F.count("*").alias("n"))
     numbered = counted.withColumn("following", F.lead("id").over(Window.partitionBy("chunk_id").orderBy("id")))
-    return issues(numbered, repeated_ids(), missing_ids())
+    # A wide gap is a row per block, so no array holds it whole.
+    blocks = F.when(F.col("following") - F.col("id") > 1, F.sequence(F.col("id") + 1, F.col("following") - 1, F.lit(GAP_BLOCK).cast("long")))
+    return issues(numbered.withColumn("gap_from", F.explode_outer(blocks)), repeated_ids(), missing_ids())
 
 
 def structure_issues(questions: DataFrame, expected: Column | None = None) -> DataFrame:

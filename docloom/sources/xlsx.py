@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 from pyspark.sql.types import NumericType, StructType
 
-from docloom.sources.writers import FILLS, _row, _styles, _tools
+from docloom.sources.writers import BODY, CENTERED, FILLS, _row, _styles, _tools
 
 # The format's limit of rows a sheet, its namespaces and the characters that XML can't hold.
 MOST_ROWS = 1_048_576
@@ -40,13 +40,16 @@ def shown_columns(sheet: DataFrame) -> list[str]:
     return [c for c in sheet.columns if not (c.endswith("_fill") and c.removesuffix("_fill") in sheet.columns)]
 
 
-def row_xml(sheet: DataFrame) -> Column:
+def row_xml(sheet: DataFrame, centered: Sequence[str] = ()) -> Column:
     """A row's XML: finite numbers as such, anything else as text without characters that XML can't hold, nulls as empty cells."""
-    styles = F.create_map(*[F.lit(x) for k, name in enumerate(FILLS, 1) for x in (name, f' s="{k}"')])
     cells = []
     for field in sheet.select(*[F.col(f"`{c}`") for c in shown_columns(sheet)]).schema:
         value, fill = F.col(f"`{field.name}`"), f"{field.name}_fill"
-        style = F.coalesce(styles[F.col(f"`{fill}`")], F.lit("")) if fill in sheet.columns else F.lit("")
+        move, bare = (CENTERED, CENTERED) if field.name in centered else (0, BODY)
+        style = F.lit(f' s="{bare}"')
+        if fill in sheet.columns:
+            filled = F.create_map(*[F.lit(x) for k, name in enumerate(FILLS, 1) for x in (name, f' s="{k + move}"')])
+            style = F.coalesce(filled[F.col(f"`{fill}`")], style)
         text = value.cast("string")
         for mark, code in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
             text = F.replace(text, F.lit(mark), F.lit(code))
@@ -248,13 +251,13 @@ class XlsxSource(DataSource):
 
 
 def write_workbook(
-    sheets: dict[str, DataFrame], path: str, *, widths: Mapping[str, Mapping[str, float]] | None = None, choices: Mapping[str, Sequence[str]] | None = None, most_rows: int = MOST_ROWS - 1,
+    sheets: dict[str, DataFrame], path: str, *, widths: Mapping[str, Mapping[str, float]] | None = None, choices: Mapping[str, Sequence[str]] | None = None, centered: Sequence[str] = (), most_rows: int = MOST_ROWS - 1,
 ) -> None:
     """Writes the sheets as one xlsx file at `path`, a URI that driver and executors can reach; rows keep their sheet's order.
 
     Header row first, frozen and with a filter. A column `<name>_fill` beside `<name>` isn't written: its value, of
     FILLS, colours that cell. `widths` has each sheet's column widths, `choices` the values that a column's cells offer
-    as a list. A sheet of more rows than `most_rows` goes on in sheets `<name> (2)` and so on. A file at `path` is replaced, once the whole book is written.
+    as a list; columns named `centered` are centred. Cells have thin borders and wrap. A sheet of more rows than `most_rows` goes on in sheets `<name> (2)` and so on. A file at `path` is replaced, once the whole book is written.
     """
     first = next(iter(sheets.values()))
     spark = first.sparkSession
@@ -263,5 +266,5 @@ def write_workbook(
         "names": list(sheets), "columns": [shown_columns(s) for s in sheets.values()], "widths": {k: dict(v) for k, v in (widths or {}).items()},
         "choices": {k: list(v) for k, v in (choices or {}).items()}, "most_rows": max(most_rows, PART_ROWS),
     }
-    rows = reduce(DataFrame.unionByName, [s.select(F.lit(k).alias("sheet"), row_xml(s).alias("xml")) for k, s in enumerate(sheets.values())])
+    rows = reduce(DataFrame.unionByName, [s.select(F.lit(k).alias("sheet"), row_xml(s, centered).alias("xml")) for k, s in enumerate(sheets.values())])
     rows.write.format("docloom_xlsx").option("path", path if "://" in path else f"file://{path}").option("book", json.dumps(book)).mode("append").save()

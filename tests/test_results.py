@@ -240,6 +240,17 @@ def test_readers(spark, tmp_path):
     assert good.count() == 1 and len(bad.collect()) == 1
 
 
+def test_wide_gaps_between_ids(spark):
+    rows = [("a", 1), ("a", 3), ("a", 3), ("a", 50_000), ("b", -2), ("b", None), ("c", 7), ("c", 7), ("c", 7)]
+    found = validation.numbering_issues(spark.createDataFrame(rows, "chunk_id string, id long"))
+    missing = found.filter("issue_type = 'MISSING_QUESTION' and chunk_id = 'a'").agg(F.count("*").alias("n"), F.countDistinct("question_id").alias("k"), F.min("question_id"), F.max("question_id")).first()
+    assert tuple(missing) == (49_997, 49_997, 2, 49_999)
+    again = {(r["chunk_id"], r["question_id"], r["detail"]) for r in found.filter("issue_type = 'DUPLICATE_QUESTION'").collect()}
+    assert again == {("a", 3, "2"), ("c", 7, "3")} and found.filter("chunk_id <> 'a'").count() == 1
+    far = spark.createDataFrame([("a", 1), ("a", 3_000_000_000)], "chunk_id string, id long")
+    assert validation.numbering_issues(far).limit(20_000).count() == 20_000
+
+
 def test_kinds_of_open_errors(spark, tmp_path):
     whole = b"%PDF-1.7\none\ftwo\n/Root 1 0 R startxref\n0\n%%EOF\n"
     files = {"good": whole, "corrupt": b"one two", "cut": whole[:12], "locked": whole.replace(b"/Root", b"/Encrypt 7 0 R /Root"), "none": b"", "other": b""}

@@ -37,13 +37,16 @@ def test_cells_sheets_and_replacement(spark, tmp_path):
     sheet = spark.createDataFrame(rows, "id long, `te.xt` string, x double, flag boolean, id_fill string").coalesce(1)
     path = str(tmp_path / "book.xlsx")
     for _ in range(2):
-        xlsx.write_workbook({"검토": sheet, "none": sheet.limit(0), "dates": spark.range(3).select(F.to_date(F.lit("2024-01-02")).alias("d"))}, path, widths={"검토": {"x": 30}}, choices={"flag": ["O", "X"]})
+        xlsx.write_workbook({"검토": sheet, "none": sheet.limit(0), "dates": spark.range(3).select(F.to_date(F.lit("2024-01-02")).alias("d"))}, path, widths={"검토": {"x": 30}}, choices={"flag": ["O", "X"]}, centered=["flag"])
     found = read(path)
     assert list(found) == ["검토", "none", "dates"] and [c[0] for c in found["none"][0]] == ["id", "te.xt", "x", "flag"] and len(found["none"]) == 1
     assert [[c[0] for c in r] for r in found["검토"][1:]] == [[1.0, 'a & <b> "c" \n  d', 2.5, "true"], [None, None, "NaN", None], [-3.0, "", "Infinity", "false"], [float(2**40), "한국 😀", 1e300, "true"]]
-    assert [r[0][1] for r in found["검토"]] == ["1", "5", None, None, "2"] and found["dates"][1][0][0] == "2024-01-02"
+    assert [r[0][1] for r in found["검토"]] == ["1", "5", "7", "7", "2"] and [r[3][1] for r in found["검토"]] == ["1"] + ["8"] * 4 and found["dates"][1][0][0] == "2024-01-02"
     with zipfile.ZipFile(path) as book:
-        text = book.read("xl/worksheets/sheet1.xml").decode()
+        text, styles = book.read("xl/worksheets/sheet1.xml").decode(), ElementTree.fromstring(book.read("xl/styles.xml"))
+    looks = styles.find("m:cellXfs", NS)
+    assert len(looks) == 15 and looks[0].get("borderId") == "0" and all(x.get("borderId") == "1" for x in looks[1:]) and {f.find("m:sz", NS).get("val") for f in styles.find("m:fonts", NS)} == {"11"}
+    assert [x.find("m:alignment", NS).get("horizontal") for x in (looks[1], looks[2], looks[7], looks[8], looks[10])] == ["center", None, None, "center", "center"]
     assert 'width="30"' in text and '<autoFilter ref="A1:D5"/>' in text and 'sqref="D2:D5"' in text and '"O,X"' in text
     assert [p.name for p in tmp_path.iterdir()] == ["book.xlsx"]
 
@@ -68,7 +71,7 @@ def test_three_million_rows_keep_their_order(spark, tmp_path):
         ids = []
         for k in range(1, 4):
             text = book.read(f"xl/worksheets/sheet{k}.xml").decode()  # its checksum is looked at too
-            own = [int(x) for x in re.findall(r"<row><c><v>(\d+)</v></c>", text)]
+            own = [int(x) for x in re.findall(r"<row><c s="7"><v>(\d+)</v></c>", text)]
             assert len(own) < xlsx.MOST_ROWS and f'<autoFilter ref="A1:B{len(own) + 1}"/>' in text
             ids += own
     assert ids == list(range(3_000_000))
