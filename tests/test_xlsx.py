@@ -71,7 +71,7 @@ def test_three_million_rows_keep_their_order(spark, tmp_path):
         ids = []
         for k in range(1, 4):
             text = book.read(f"xl/worksheets/sheet{k}.xml").decode()  # its checksum is looked at too
-            own = [int(x) for x in re.findall(r"<row><c s="7"><v>(\d+)</v></c>", text)]
+            own = [int(x) for x in re.findall(r'<row><c s="7"><v>(\d+)</v></c>', text)]
             assert len(own) < xlsx.MOST_ROWS and f'<autoFilter ref="A1:B{len(own) + 1}"/>' in text
             ids += own
     assert ids == list(range(3_000_000))
