@@ -15,7 +15,9 @@ INLINE = frozenset(
 )
 #: Blocks that end on their own when the next block or their container's end comes.
 LOOSE = frozenset("p li dt dd tr td th thead tbody tfoot option optgroup colgroup caption h1 h2 h3 h4 h5 h6".split())
-OUTSIDE_NAMES = frozenset("head nav footer aside form menu dialog button select datalist svg math object audio video canvas fieldset".split())
+OUTSIDE_NAMES = frozenset("head nav footer aside menu dialog button select datalist svg math object audio video canvas".split())
+#: Elements that hold controls, or a whole page.
+DOUBTED_NAMES = frozenset("form fieldset".split())
 MAIN_NAMES = frozenset("article main".split())
 OUTSIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar navigation menu menubar breadcrumb"
@@ -41,7 +43,11 @@ LAYOUT = re.compile(r"(?:no|not|has|with|without|hide)[-_]")
 
 @dataclass
 class Block:
-    """path: the containers from the outside in, e.g. 'body>div.content>p'; place: 'main', 'outside' or 'plain'."""
+    """path: the containers from the outside in, e.g. 'body>div.content>p'; place: 'main', 'outside', 'plain', or 'doubt' and 'doubt main'.
+
+    In doubt is what a form holds, or a container whose class, id or role has a telling word only as a part of a longer
+    name: `menu-open` may be a menu, or a page whose menu is open.
+    """
 
     path: str
     place: str
@@ -50,10 +56,10 @@ class Block:
 
 
 def _container(name: str, attributes: str, in_main: bool) -> tuple[str, str]:
-    """(label, place) of a container; place is '' where it changes nothing."""
+    """(label, place) of a container: 'outside', 'doubt', 'main', or '' where it changes nothing."""
     found = {k.lower(): v.strip("\"'").lower() for k, v in ATTRIBUTE.findall(attributes)} if attributes.strip() else {}
-    named = f"{found.get('class', '')} {found.get('id', '')} {found.get('role', '')}"
-    words = set(WORD.findall(" ".join(x for x in named.split() if not LAYOUT.match(x))))
+    names = [x for x in f"{found.get('class', '')} {found.get('id', '')} {found.get('role', '')}".split() if not LAYOUT.match(x)]
+    words = set(WORD.findall(" ".join(names)))
     label = name + "".join(f".{w}" for w in sorted(words) if not w.isdigit())
     if name in OUTSIDE_NAMES or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", ""):
         return label, "outside"
@@ -64,13 +70,20 @@ def _container(name: str, attributes: str, in_main: bool) -> tuple[str, str]:
         bad -= HEADER_WORDS
     if name in ("html", "body"):
         bad = set()
-    if bad:
-        return label, "outside"
-    if name in MAIN_NAMES or "main" in found.get("role", "").split() or found.get("itemprop") == "articlebody" or set(named.split()) & MAIN_WORDS:
+    if bad or name in DOUBTED_NAMES:
+        return label, "outside" if bad & {*names, name} else "doubt"
+    if name in MAIN_NAMES or "main" in found.get("role", "").split() or found.get("itemprop") == "articlebody" or set(names) & MAIN_WORDS:
         return label, "main"
     return label, ""
 
 
+def _inside(above: str, own: str) -> str:
+    """The place of a container of its own place `own` in one of place `above`."""
+    if "main" in above and own == "doubt":
+        return "outside"
+    return "doubt main" if above == "doubt" and own == "main" else own or above
+
+
 def blocks_of(page: str) -> list[Block]:
     """The page's text blocks in order; text of raw elements, comments and declarations is left out."""
     out: list[Block] = []
@@ -145,7 +158,7 @@ def blocks_of(page: str) -> list[Block]:
         if above[2] == "outside":
             label, place = name, "outside"
         else:
-            label, place = _container(name, attributes or "", above[2] == "main")
-        stack.append((name, f"{above[1]}>{label}" if above[1] else label, place or above[2]))
+            label, place = _container(name, attributes or "", "main" in above[2])
+        stack.append((name, f"{above[1]}>{label}" if above[1] else label, _inside(above[2], place)))
     flush()
     return out

@@ -34,6 +34,8 @@ from docloom.llm.shared import ASCII_LOWER, ASCII_UPPER, Workspace
 RUN = 4
 MOST = 400
 TEMPLATE_PAGES = 5
+#: What isn't doubted on a page is no article if it has fewer characters outside links.
+LEAST = 140
 #: Fields of a wrapper's item: the group's tokens (tab between them; ANY: anything), repeated, optional, how many streams it
 #: came from, the smallest TEMPLATE_PAGES different page names among them, and the constant texts as [key, characters, token].
 TOKENS, REPEATED, OPTIONAL, STREAMS, PAGES, CONSTANTS = range(6)
@@ -156,11 +158,20 @@ def extract(blocks: list[Block], root: str, templates: set[int]) -> list[str]:
 
     Template texts and what is marked as outside go. Of the rest: the blocks in an article or main element, else those in
     the host's root (in all of the page, where it has none), without runs of blocks that are mostly links, which are menus.
+    What is in doubt goes too, unless the page would be left without an article: a doubted article stays if it outweighs
+    all that isn't doubted, other doubted blocks, with the headline, if what isn't is shorter than any article (LEAST characters).
     """
     slots = [b for b in blocks if b.place != "outside" and not (templates and block_key(b) in templates)]
     if any(b.place == "main" for b in blocks):
         return [b.text for b in slots if b.place == "main"]
-    within = [b for b in slots if not root or b.path == root or b.path.startswith(root + ">")] or slots
+    weight = {place: sum(max(0, len(b.text) - 2 * b.linked) for b in slots if b.place == place) for place in ("plain", "doubt", "doubt main")}
+    if weight["doubt main"] > weight["plain"]:
+        return [b.text for b in slots if b.place == "doubt main"]
+    if weight["plain"] < min(LEAST, weight["doubt"]):
+        within = [b for b in slots if b.place == "doubt" or b.path.rsplit(">", 1)[-1].split(".")[0] == "h1"]
+    else:
+        plain = [b for b in slots if b.place == "plain"]
+        within = [b for b in plain if not root or b.path == root or b.path.startswith(root + ">")] or plain
     link = [2 * b.linked > len(b.text) for b in within]
     menu = [x and (link[max(0, i - 1)] and i > 0 or i + 1 < len(link) and link[i + 1]) for i, x in enumerate(link)]
     return [b.text for b, gone in zip(within, menu, strict=True) if not gone]

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from docloom.llm import chat, decontamination, jaccard, language_id, line_dedup, nearest, packing, sharding, url_filter, wrappers
+from docloom.llm import chat, decontamination, html_blocks, jaccard, language_id, line_dedup, nearest, packing, sharding, url_filter, wrappers
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, n bigint, matches string, _row string, component_id string, label string, kept_text string, _stratum string"
 SF = "/root/testdata/sf0.001"
@@ -284,3 +284,22 @@ def test_nearest_edges(spark):
 
 def test_wrappers_are_json():
     assert json.loads(json.dumps(wrappers.fold([wrappers.Block("p", "plain", "x", 0)])))[0][wrappers.TOKENS] == "p"
+
+
+PROSE = "A paragraph of an article that says something at some length, so that nobody takes it for a label. " * 3
+
+
+@pytest.mark.parametrize("name", ["social-policy", "menu-open", "research-form", "notice-period-guide", "post related-topics", "search-results-article", "story comment-free", "header-image", "promo2024"])
+def test_a_telling_word_in_a_longer_name_empties_no_page(name):
+    page = f"<body><nav>Home</nav><h1>A headline</h1><div class='{name}'><p>{PROSE}</p><p>{PROSE}</p></div><footer>All rights</footer></body>"
+    assert wrappers.extract(html_blocks.blocks_of(page), "", set()) == ["A headline"] + [PROSE.strip()] * 2
+
+
+def test_doubted_blocks_go_where_an_article_stands():
+    blocks = html_blocks.blocks_of
+    outside = f"<div class='comment-list'><p>{PROSE * 9}</p></div><form><p>{PROSE * 9}</p></form><div class='menu'>{PROSE}</div>"
+    assert wrappers.extract(blocks(f"<body><div class=text><p>{PROSE}</p></div>{outside}"), "", set()) == [PROSE.strip()]
+    assert wrappers.extract(blocks(f"<body><article><p>{PROSE}</p><div class='related-work'>x</div></article>{outside}"), "", set()) == [PROSE.strip()]
+    assert wrappers.extract(blocks(f"<body><form id='aspnetForm'><div>Search</div><div class=menu>{PROSE}</div><article><p>{PROSE}</p></article></form>"), "", set()) == [PROSE.strip()]
+    assert wrappers.extract(blocks(f"<body><form id='aspnetForm'><div><p>{PROSE}</p></div></form>"), "", set()) == [PROSE.strip()]
+    assert wrappers.extract(blocks(f"<body><nav>{PROSE}</nav><div class=comments><p>{PROSE}</p></div>"), "", set()) == []
