@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.functions.text import estimated_tokens
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -16,7 +18,7 @@ def line_segments(documents: DataFrame) -> DataFrame:
     n = F.length("text")
     return lines.select(
         "doc_id", F.col("pos").alias("ord"), (F.col("pos") + 1).alias("question_id"), F.floor(F.col("pos") / 10).cast("int").alias("page"), "text",
-        F.ceil(n * 0.5).cast("int").alias("tokens"), (F.col("pos") * 1000).cast("long").alias("char_start"), (F.col("pos") * 1000 + n).cast("long").alias("char_end"),
+        estimated_tokens(F.col("text")).alias("tokens"), (F.col("pos") * 1000).cast("long").alias("char_start"), (F.col("pos") * 1000 + n).cast("long").alias("char_end"),
     )
 
 

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from docloom.operators.convert import template_in
 
 BLOCKS = "path string, page int, block_id int, text string, font_size double, error string, error_kind string"
+HINTS = (
+    "doc_id string, chunk_id string, q_start int, q_end int, pattern string, symbol string, options_per_question int, has_explanation boolean, marker string,"
+    " special_blocks array<struct<type: string, location: string>>, pages array<int>"
+)
 #: path and bytes to (page, text, font sizes of its spans) per block; raises for what it can't read.
 Extractor = Callable[[str, bytes], Iterator[tuple[int, str, list[float]]]]
 #: Fixed value: how a PDF file names its encryption.
@@ -32,8 +36,11 @@ def read_template(spark: SparkSession, path: str) -> str:
     return template_in(spark.read.text(path, wholetext=True).first()["value"])
 
 
-def read_hints(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.json(path, multiLine=True)
+def read_hints(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
+    """Hints as hints.hints() gives and write_json() writes them, a line each; `lines=False`: a file each. What holds no hint is an error."""
+    rows = spark.read.schema(f"{HINTS}, _broken string").json(path, multiLine=not lines, columnNameOfCorruptRecord="_broken")
+    broken = F.raise_error(F.concat(F.lit("no hint: "), F.coalesce("_broken", F.lit("an object without chunk_id"))))
+    return rows.withColumn("chunk_id", F.coalesce("chunk_id", broken)).drop("_broken")
 
 
 class EncryptedFile(ValueError):

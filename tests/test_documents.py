@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from docloom.functions.text import MEASURES, estimated_tokens, with_text_metrics
 from docloom.operators import blocks, chunks, dictionary, hints
 from docloom.plans.queries import dry_run
+from docloom.sources import readers, writers
 
 #: Two pages of an exam text, with a misspelling in the first question.
 EXAM = {
@@ -110,6 +111,21 @@ def test_dry_run(spark):
     assert "계약" in fixed["corrected_text"] and "게약" not in fixed["corrected_text"]
 
 
+def test_hints_are_read_as_they_were_written(spark, tmp_path):
+    _, hinted = dry_run(blocks.block_offsets(blocks.from_rows(spark, EXAM)))
+    writers.write_json(hinted.coalesce(1), str(tmp_path / "hints"))
+    back = readers.read_hints(spark, str(tmp_path / "hints"))
+    assert back.columns == hinted.columns and hinted.count() > 1
+    show = lambda rows: sorted(repr(r.asDict(recursive=True)) for r in rows.collect())
+    assert show(back) == show(hinted.withColumn("doc_id", F.col("doc_id").cast("string")))
+    (tmp_path / "one.json").write_text('{\n "chunk_id": "chunk_001",\n "q_start": 3\n}')
+    assert readers.read_hints(spark, str(tmp_path / "one.json"), lines=False).first()["q_start"] == 3
+    for broken in ("{oops", '{"other": 1}'):
+        (tmp_path / "bad.json").write_text(broken)
+        with pytest.raises(Exception, match="no hint"):
+            readers.read_hints(spark, str(tmp_path / "bad.json")).collect()
+
+
 def test_manifest_ties(spark):
     rows = spark.createDataFrame([("d", 1, "chunk_001", 5, 1), ("d", 2, "chunk_002", 7, 2), ("d", 3, "chunk_003", 7, 1), ("d", 4, "chunk_004", 5, 1)], "doc_id string, chunk_no int, chunk_id string, tokens int, question_count int")
     r = chunks.manifest(rows).first()
