@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
+from hashlib import blake2b
 
 # Element names of HTML, and words that sites use in class, id and role attributes.
 RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp".split())
@@ -39,11 +41,13 @@ ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"
 WORD = re.compile(r"[a-z]+|[0-9]+")
 #: Class names that say what a page is laid out with or without, not what the element is.
 LAYOUT = re.compile(r"(?:no|not|has|with|without|hide)[-_]")
+#: Characters of a path; a longer one goes by its digest from there on, so that deep nesting takes memory by blocks alone.
+LONGEST_PATH = 2000
 
 
 @dataclass
 class Block:
-    """path: the containers from the outside in, e.g. 'body>div.content>p'; place: 'main', 'outside', 'plain', or 'doubt' and 'doubt main'.
+    """path: the containers from the outside in, e.g. 'body>div.content>p', the outer ones as a digest where it gets too long; place: 'main', 'outside', 'plain', or 'doubt' and 'doubt main'.
 
     In doubt is what a form holds, or a container whose class, id or role has a telling word only as a part of a longer
     name: `menu-open` may be a menu, or a page whose menu is open.
@@ -84,10 +88,16 @@ def _inside(above: str, own: str) -> str:
     return "doubt main" if above == "doubt" and own == "main" else own or above
 
 
+def _below(path: str, label: str) -> str:
+    longer = f"{path}>{label}" if path else label
+    return longer if len(longer) <= LONGEST_PATH else "~" + blake2b(longer.encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
+
+
 def blocks_of(page: str) -> list[Block]:
     """The page's text blocks in order; text of raw elements, comments and declarations is left out."""
     out: list[Block] = []
     stack: list[tuple[str, str, str]] = []  # name, path, place
+    opened: Counter[str] = Counter()  # how often each name stands in the stack
     parts: list[str] = []
     links, linked, position = 0, 0, 0
     end = len(page)
@@ -143,8 +153,9 @@ def blocks_of(page: str) -> list[Block]:
         if name in VOID:
             continue
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, -1, -1) if opened[name] else ():
                 if stack[i][0] == name:
+                    opened.subtract(x[0] for x in stack[i:])
                     del stack[i:]
                     break
                 if name in LOOSE and stack[i][0] not in LOOSE:
@@ -153,12 +164,13 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if name in LOOSE or stack and stack[-1][0] == "p":
             while stack and stack[-1][0] in LOOSE and (stack[-1][0] == name or stack[-1][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6")):
-                stack.pop()
+                opened[stack.pop()[0]] -= 1
         above = stack[-1] if stack else ("", "", "plain")
         if above[2] == "outside":
             label, place = name, "outside"
         else:
             label, place = _container(name, attributes or "", "main" in above[2])
-        stack.append((name, f"{above[1]}>{label}" if above[1] else label, _inside(above[2], place)))
+        stack.append((name, _below(above[1], label), _inside(above[2], place)))
+        opened[name] += 1
     flush()
     return out

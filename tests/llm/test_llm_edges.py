@@ -303,3 +303,15 @@ def test_doubted_blocks_go_where_an_article_stands():
     assert wrappers.extract(blocks(f"<body><form id='aspnetForm'><div>Search</div><div class=menu>{PROSE}</div><article><p>{PROSE}</p></article></form>"), "", set()) == [PROSE.strip()]
     assert wrappers.extract(blocks(f"<body><form id='aspnetForm'><div><p>{PROSE}</p></div></form>"), "", set()) == [PROSE.strip()]
     assert wrappers.extract(blocks(f"<body><nav>{PROSE}</nav><div class=comments><p>{PROSE}</p></div>"), "", set()) == []
+
+
+def test_deep_nesting_takes_memory_and_time_by_blocks():
+    page = "<div class='abc'><p>t" * 50_000
+    blocks = html_blocks.blocks_of(page)
+    assert len(blocks) == 50_000 and max(len(b.path) for b in blocks) <= html_blocks.LONGEST_PATH and sum(len(b.path) for b in blocks) < 80_000_000
+    assert len({b.path for b in blocks}) == 50_000  # still told apart
+    assert [b.path for b in html_blocks.blocks_of(page)[-3:]] == [b.path for b in blocks[-3:]]
+    unmatched = html_blocks.blocks_of("<div>" * 30_000 + "x</section>" * 30_000)
+    assert len(unmatched) == 30_000 and {b.text for b in unmatched} == {"x"}
+    wide = html_blocks.blocks_of(f"<div class='{'w' * 100_000}'><p>t</div><p>u")
+    assert [b.text for b in wide] == ["t", "u"] and len(wide[0].path) < 100
