@@ -47,7 +47,8 @@ LONGEST_PATH = 2000
 
 @dataclass
 class Block:
-    """path: the containers from the outside in, e.g. 'body>div.content>p', the outer ones as a digest where it gets too long; place: 'main', 'outside', 'plain', or 'doubt' and 'doubt main'.
+    """path: the containers from the outside in, e.g. 'body>div.content>p', the outer ones as a digest where it gets too long; place: 'main', 'outside', 'plain', or 'doubt' and 'doubt main';
+    inside: the number, on its page, of the innermost container other than a paragraph, item or the like.
 
     In doubt is what a form holds, or a container whose class, id or role has a telling word only as a part of a longer
     name: `menu-open` may be a menu, or a page whose menu is open.
@@ -57,6 +58,7 @@ class Block:
     place: str
     text: str
     linked: int
+    inside: int = 0
 
 
 def _container(name: str, attributes: str, in_main: bool) -> tuple[str, str]:
@@ -96,18 +98,18 @@ def _below(path: str, label: str) -> str:
 def blocks_of(page: str) -> list[Block]:
     """The page's text blocks in order; text of raw elements, comments and declarations is left out."""
     out: list[Block] = []
-    stack: list[tuple[str, str, str]] = []  # name, path, place
+    stack: list[tuple[str, str, str, int]] = []  # name, path, place, number of the innermost lasting container
     opened: Counter[str] = Counter()  # how often each name stands in the stack
     parts: list[str] = []
-    links, linked, position = 0, 0, 0
+    links, linked, position, containers = 0, 0, 0, 0
     end = len(page)
 
     def flush() -> None:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            path, place = (stack[-1][1], stack[-1][2]) if stack else ("", "plain")
-            out.append(Block(path, place, text, min(linked, len(text))))
+            path, place, inside = stack[-1][1:] if stack else ("", "plain", 0)
+            out.append(Block(path, place, text, min(linked, len(text)), inside))
         parts.clear()
         linked = 0
 
@@ -165,12 +167,13 @@ def blocks_of(page: str) -> list[Block]:
         if name in LOOSE or stack and stack[-1][0] == "p":
             while stack and stack[-1][0] in LOOSE and (stack[-1][0] == name or stack[-1][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6")):
                 opened[stack.pop()[0]] -= 1
-        above = stack[-1] if stack else ("", "", "plain")
+        above = stack[-1] if stack else ("", "", "plain", 0)
         if above[2] == "outside":
             label, place = name, "outside"
         else:
             label, place = _container(name, attributes or "", "main" in above[2])
-        stack.append((name, _below(above[1], label), _inside(above[2], place)))
+        containers += name not in LOOSE
+        stack.append((name, _below(above[1], label), _inside(above[2], place), above[3] if name in LOOSE else containers))
         opened[name] += 1
     flush()
     return out

@@ -3,14 +3,15 @@
 A page is a stream of blocks; a block's token is its path of containers and, unless plain, its place. Consecutive equal tokens, or runs of up to
 `RUN` tokens, fold into a repeated group. A wrapper starts as one page's stream; each further page, or wrapper, is aligned
 with it: equal groups merge (repeated if either is), groups that only one side has become optional, and of a group's texts
-those stay constants that both sides have: all others are text slots. Beyond `MOST` optional groups the rarest ones become
-one "anything" group where they stand, which is a slot: nothing of a page is left out for it.
+those stay constants that both sides have: all others are text slots. A wrapper holds the places of at most `MOST` optional
+groups. Of the rarest beyond them the place becomes "anything"; what they hold goes on beside the wrapper and is joined over the whole host by
+the groups' tokens, as what a place shows on too few pages is, so no constant depends on how many groups a host has.
 
 Inference is a fold in each partition, one wrapper per host there, and then merges of up to `fan_in` wrappers of a host
 per task until each host has one. A host with most of the pages costs no task more than its own partition's pages.
 
-The wrapper decides what is template: a text that is constant in its group over at least `TEMPLATE_PAGES` different pages
-goes, wherever it stands, and it counts for nothing when the content's container is looked for: the innermost one that
+The wrapper decides what is template: a text that is constant in its group, at its place or by its tokens, over at least
+`TEMPLATE_PAGES` different pages goes, wherever it stands, and it counts for nothing when the content's container is looked for: the innermost one that
 holds most of the slots' text of its host, by sums over all pages. Elements, classes, ids and roles are signals beside it: what
 they mark as menu, header, footer, sidebar, notice, advert, form or comment is no slot and goes; where a page has an
 article or main element, its content is the slots in there.
@@ -21,13 +22,13 @@ from __future__ import annotations
 import json
 from collections import OrderedDict
 from collections.abc import Iterator
-from difflib import SequenceMatcher
 from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.llm.alignment import aligned
 from docloom.llm.html_blocks import Block, blocks_of
 from docloom.llm.shared import ASCII_LOWER, ASCII_UPPER, Workspace
 
@@ -40,8 +41,9 @@ LEAST = 140
 #: came from, the smallest TEMPLATE_PAGES different page names among them, and the constant texts as [key, characters, token].
 TOKENS, REPEATED, OPTIONAL, STREAMS, PAGES, CONSTANTS = range(6)
 ANY = "*"
-#: A partition's wrappers (host, wrapper) and its sums (host, path, chars, linked).
-PARTIAL = pa.schema([(c, pa.string()) for c in ("host", "wrapper", "path")] + [(c, pa.int64()) for c in ("chars", "linked")])
+#: A partition's wrappers (host, wrapper), groups without a place (host, rare: JSON of GROUP) and sums (host, path, chars, linked).
+PARTIAL = pa.schema([(c, pa.string()) for c in ("host", "wrapper", "rare", "path")] + [(c, pa.int64()) for c in ("chars", "linked")])
+GROUP = "tokens string, streams long, pages array<long>, constants array<struct<key: long, chars: long, place: int>>"
 
 
 def token(block: Block) -> str:
@@ -58,8 +60,17 @@ def block_key(block: Block) -> int:
 
 
 def page_name(blocks: list[Block]) -> int:
-    """A page goes by its longest text, so that copies and near copies of one page don't make a template of its article."""
-    return hashed(max((b.text for b in blocks), key=len, default=""))
+    """A page goes by its longest text and the longest one in another container, if that could be an article too.
+
+    So neither copies and near copies of one page make a template of its article, nor does a footer that is longer than
+    every article make all pages of a host one. Names are told by what isn't outside anyway.
+    """
+    shown = [b for b in blocks if b.place != "outside"] or blocks
+    first = max(shown, key=lambda b: len(b.text), default=None)
+    if first is None:
+        return hashed("")
+    others = (b.text for b in shown if len(b.text) - 2 * b.linked >= LEAST and b.inside != first.inside)
+    return hashed("\n".join(sorted((first.text, max(others, key=len, default="")))))
 
 
 def fold(blocks: list[Block]) -> list[list]:
@@ -86,26 +97,28 @@ def merged(x: list, y: list) -> list:
     return [x[TOKENS], x[REPEATED] or y[REPEATED], x[OPTIONAL] or y[OPTIONAL], x[STREAMS] + y[STREAMS], pages, [c for c in x[CONSTANTS] if c[0] in shared]]
 
 
-def align(wrapper: list[list], other: list[list]) -> list[list]:
-    """The wrapper that describes what both describe."""
+def align(wrapper: list[list], other: list[list], away: list[list] | None = None) -> list[list]:
+    """The wrapper that describes what both describe; optional groups that lose their place are added to `away`."""
     left, right = [x[TOKENS] for x in wrapper], [x[TOKENS] for x in other]
     if left == right:
         return [merged(x, y) for x, y in zip(wrapper, other, strict=True)]
-    out = []
-    for what, a, b, c, d in SequenceMatcher(None, left, right, autojunk=False).get_opcodes():
-        if what == "equal":
-            out += [merged(x, y) for x, y in zip(wrapper[a:b], other[c:d], strict=True)]
-        else:
-            out += [[*x[:OPTIONAL], True, *x[STREAMS:]] for x in wrapper[a:b] + other[c:d]]
-    return generalised(out)
+    out, a, c = [], 0, 0
+    for i, j in [*aligned(left, right), (len(left), len(right))]:
+        out += [[*x[:OPTIONAL], True, *x[STREAMS:]] for x in wrapper[a:i] + other[c:j]]
+        if i < len(left):
+            out.append(merged(wrapper[i], other[j]))
+        a, c = i + 1, j + 1
+    return generalised(out, away=away)
 
 
-def generalised(wrapper: list[list], most: int = MOST) -> list[list]:
+def generalised(wrapper: list[list], most: int = MOST, away: list[list] | None = None) -> list[list]:
     """Beyond `most` optional items the rarest become ANY where they stand, neighbours one together; required items stay."""
     optional = [i for i, x in enumerate(wrapper) if x[OPTIONAL] and x[TOKENS] != ANY]
     if len(optional) <= most:
         return wrapper
     rare = set(sorted(optional, key=lambda i: (-wrapper[i][STREAMS], i))[most:])
+    if away is not None:
+        away += [wrapper[i] for i in sorted(rare)]
     out: list[list] = []
     for i, x in enumerate(wrapper):
         if i in rare or x[TOKENS] == ANY:
@@ -117,6 +130,33 @@ def generalised(wrapper: list[list], most: int = MOST) -> list[list]:
     return out
 
 
+class Rare:
+    """Groups without a place, of equal tokens one per host, until there are too many to hold."""
+
+    def __init__(self, most: int):
+        self.most, self.held, self.size = most, {}, 0
+
+    def add(self, host: str, items: list[list]) -> None:
+        for x in items:
+            own = self.held.get((host, x[TOKENS]))
+            self.held[host, x[TOKENS]] = merged(own, x) if own else x
+            self.size += 0 if own else 1 + len(x[CONSTANTS])
+        items.clear()
+
+    def full(self) -> bool:
+        return self.size >= self.most
+
+    def rows(self) -> tuple[list[str], list[str]]:
+        """Hosts and JSON of all that is held, which then goes."""
+        found = [h for h, _ in self.held], [rare_json(x) for x in self.held.values()]
+        self.held, self.size = {}, 0
+        return found
+
+
+def rare_json(x: list) -> str:
+    return json.dumps({"tokens": x[TOKENS], "streams": x[STREAMS], "pages": x[PAGES], "constants": [dict(zip(("key", "chars", "place"), c, strict=True)) for c in x[CONSTANTS]]})
+
+
 def template_texts(wrapper: list[list]) -> Iterator[tuple[int, str, int]]:
     """(key, path, characters over all its streams) of each text that is constant over TEMPLATE_PAGES different pages."""
     for x in wrapper:
@@ -125,7 +165,18 @@ def template_texts(wrapper: list[list]) -> Iterator[tuple[int, str, int]]:
             yield from ((key, tokens[k], chars * x[STREAMS]) for key, chars, k in x[CONSTANTS])
 
 
-def host_templates(work: Workspace, wrappers: DataFrame, paths: DataFrame) -> DataFrame:
+def rare_templates(rare: DataFrame) -> DataFrame:
+    """host, key, path, fixed: what is constant in all groups of equal tokens that have no place of their own, `rare` (host, rare), over TEMPLATE_PAGES pages."""
+    groups = rare.select("host", F.from_json("rare", GROUP).alias("g")).select("host", "g.*")
+    pages = groups.select("host", "tokens", F.explode("pages").alias("page")).distinct().groupBy("host", "tokens").count().filter(F.col("count") >= TEMPLATE_PAGES)
+    whole = groups.groupBy("host", "tokens").agg(F.count("*").alias("parts"), F.sum("streams").alias("streams")).join(pages.drop("count"), ["host", "tokens"])
+    said = groups.select("host", "tokens", F.explode("constants").alias("c"))
+    held = said.groupBy("host", "tokens", F.col("c.key").alias("key")).agg(F.count("*").alias("n"), F.max("c.chars").alias("chars"), F.min("c.place").alias("place"))
+    path = F.element_at(F.split("tokens", "\t"), F.col("place") + 1)
+    return held.join(whole, ["host", "tokens"]).filter("n = parts").select("host", "key", path.alias("path"), (F.col("chars") * F.col("streams")).alias("fixed"))
+
+
+def host_templates(work: Workspace, wrappers: DataFrame, rare: DataFrame, paths: DataFrame) -> DataFrame:
     """host, root (null: none) and templates (keys of its template texts, no more than a page has blocks; null: none).
 
     `paths` (host, path, chars, linked) are partial sums over all plain blocks. A path's weight is its text outside links
@@ -134,11 +185,17 @@ def host_templates(work: Workspace, wrappers: DataFrame, paths: DataFrame) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(h, *t) for h, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for t in template_texts(json.loads(w))]
-            kinds = (pa.string(), pa.int64(), pa.string(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], t) for k, t in enumerate(kinds)], ["host", "key", "path", "fixed"])
-
-    said = work.write(wrappers.select("host", "wrapper").mapInArrow(run, "host string, key long, path string, fixed long"), "templates")
+            found = []
+            for host, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                wrapper = json.loads(text)
+                found += [(host, *t, None) for t in template_texts(wrapper)]
+                found += [(host, None, None, None, rare_json(x)) for x in wrapper if x[OPTIONAL] and x[TOKENS] != ANY and len(x[PAGES]) < TEMPLATE_PAGES]
+            kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], t) for k, t in enumerate(kinds)], ["host", "key", "path", "fixed", "rare"])
+
+    told = work.write(wrappers.select("host", "wrapper").mapInArrow(run, "host string, key long, path string, fixed long, rare string"), "told")
+    beside = rare_templates(told.filter("rare is not null").select("host", "rare").unionByName(rare))
+    said = work.write(told.filter("rare is null").drop("rare").unionByName(beside), "templates")
     sums = paths.groupBy("host", "path").agg(F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
     fixed = said.groupBy("host", "path").agg(F.sum("fixed").alias("fixed"))
     weighed = sums.join(fixed, ["host", "path"], "left").withColumn("weight", F.col("chars") - 2 * F.col("linked") - F.coalesce("fixed", F.lit(0)))
@@ -183,61 +240,68 @@ def host_of(url):
     return F.translate(host, ASCII_UPPER, ASCII_LOWER)
 
 
-def infer(work: Workspace, pages: DataFrame, fan_in: int = 32, held_paths: int = 100_000) -> tuple[DataFrame, DataFrame]:
-    """(host, wrapper (JSON)): one row per host of `pages` (host, html); and the partial sums that host_templates takes."""
+def infer(work: Workspace, pages: DataFrame, fan_in: int = 32, held: int = 100_000) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(host, wrapper (JSON)): one row per host of `pages` (host, html); and the groups without a place and partial sums that host_templates takes."""
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hosts: OrderedDict[str, list] = OrderedDict()
         sums: dict[tuple[str, str], list[int]] = {}
+        rare, away = Rare(held), []
         for batch in batches:
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 blocks = blocks_of(page or "")
                 stream = fold(blocks)
-                hosts[host] = align(hosts[host], stream) if host in hosts else stream
+                hosts[host] = align(hosts[host], stream, away) if host in hosts else stream
+                rare.add(host, away)
                 for b in blocks:
                     if b.place == "plain":
                         own = sums.setdefault((host, b.path), [0, 0])
                         own[0] += len(b.text)
                         own[1] += b.linked
-                if len(sums) >= held_paths:
-                    yield summed(sums)
+                if len(sums) >= held:
+                    yield batch_of(PARTIAL, host=[k[0] for k in sums], path=[k[1] for k in sums], chars=[v[0] for v in sums.values()], linked=[v[1] for v in sums.values()])
                     sums = {}
-        yield summed(sums)
-        found = rows(hosts)
-        yield pa.RecordBatch.from_arrays([*found.columns, *(pa.nulls(len(found), f.type) for f in list(PARTIAL)[2:])], schema=PARTIAL)
-
-    def summed(sums: dict[tuple[str, str], list[int]]) -> pa.RecordBatch:
-        keys = [pa.array([k[0] for k in sums], pa.string()), pa.nulls(len(sums), pa.string()), pa.array([k[1] for k in sums], pa.string())]
-        return pa.RecordBatch.from_arrays([*keys, *(pa.array([v[i] for v in sums.values()], pa.int64()) for i in range(2))], schema=PARTIAL)
-
-    def rows(hosts: dict[str, list]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array([json.dumps(w) for w in hosts.values()], pa.string())], ["host", "wrapper"])
+                if rare.full():
+                    yield batch_of(PARTIAL, **dict(zip(("host", "rare"), rare.rows(), strict=True)))
+        yield batch_of(PARTIAL, host=[k[0] for k in sums], path=[k[1] for k in sums], chars=[v[0] for v in sums.values()], linked=[v[1] for v in sums.values()])
+        yield batch_of(PARTIAL, **dict(zip(("host", "rare"), rare.rows(), strict=True)))
+        yield batch_of(PARTIAL, host=list(hosts), wrapper=[json.dumps(w) for w in hosts.values()])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, None
+        last, whole, schema = None, None, pa.schema(list(PARTIAL)[:3])
+        rare, away = Rare(held), []
         for batch in batches:
             for host, group, wrapper in zip(*(batch.column(k).to_pylist() for k in (0, 1, 2)), strict=True):
                 if (host, group) != last:
-                    if held is not None:
-                        yield rows({last[0]: held})
-                    last, held = (host, group), json.loads(wrapper)
+                    if whole is not None:
+                        yield batch_of(schema, host=[last[0]], wrapper=[json.dumps(whole)])
+                    last, whole = (host, group), json.loads(wrapper)
                 else:
-                    held = align(held, json.loads(wrapper))
-        if held is not None:
-            yield rows({last[0]: held})
-
-    partial = work.write(pages.select("host", "html").mapInArrow(first, "host string, wrapper string, path string, chars long, linked long"), "partial")
-    found = partial.filter("wrapper is not null").select("host", "wrapper")
+                    whole = align(whole, json.loads(wrapper), away)
+                    rare.add(host, away)
+                if rare.full():
+                    yield batch_of(schema, **dict(zip(("host", "rare"), rare.rows(), strict=True)))
+        if whole is not None:
+            yield batch_of(schema, host=[last[0]], wrapper=[json.dumps(whole)])
+        yield batch_of(schema, **dict(zip(("host", "rare"), rare.rows(), strict=True)))
+
+    partial = work.write(pages.select("host", "html").mapInArrow(first, "host string, wrapper string, rare string, path string, chars long, linked long"), "partial")
+    found, rare = partial.filter("wrapper is not null").select("host", "wrapper"), partial.filter("rare is not null").select("host", "rare")
     step = 0
     while (most := found.groupBy("host").count().agg(F.max("count")).first()[0] or 0) > 1:
         groups = -(-most // fan_in)
         dealt = found.withColumn("group", F.pmod(F.xxhash64("wrapper"), F.lit(groups))).select("host", "group", "wrapper")
-        merged = dealt.repartition("host", "group").sortWithinPartitions("host", "group", "wrapper").mapInArrow(merge, "host string, wrapper string")
+        together = dealt.repartition("host", "group").sortWithinPartitions("host", "group", "wrapper").mapInArrow(merge, "host string, wrapper string, rare string")
         step += 1
-        found = work.write(merged, f"wrappers-{step}")
-        if step > 1:
-            work.drop(f"wrappers-{step - 1}")
-    return found, partial.filter("path is not null").drop("wrapper")
+        told = work.write(together, f"wrappers-{step}")
+        found, rare = told.filter("wrapper is not null").select("host", "wrapper"), rare.unionByName(told.filter("rare is not null").select("host", "rare"))
+    return found, rare, partial.filter("path is not null").select("host", "path", "chars", "linked")
+
+
+def batch_of(schema: pa.Schema, **columns: list) -> pa.RecordBatch:
+    """Rows of the given columns, the schema's others null."""
+    n = len(columns["host"])
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
 
 
 def main_text(spark: SparkSession, pages: DataFrame, *, url_col: str = "url", html_col: str = "html", carry: list[str] | None = None) -> DataFrame:
