@@ -6,13 +6,16 @@ binary-searched in it, word by word and for all suffixes at once. Where at least
 the found interval are matches; runs of them on one diagonal are joined into maximal verbatim matches. Nothing of the
 documents is shuffled. A word stands as a 64-bit hash.
 
+Who needs no places in the items asks for hits instead: equal windows of all items are one interval, so a phrase that stands r
+times in a document and in m items costs r + m there, not r * m.
+
 The test items go to the tasks in blocks of at most `block_words` words. Further blocks are further passes, whose input
 is the written result of the pass before.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +27,10 @@ from docloom.llm.shared import Workspace
 from docloom.llm.words import ALPHANUMERIC, Words, text_chunks, words_of
 
 WINDOW = 10
-MATCHES = "array<struct<item_id: string, item_start: long, start: long, length: long>>"
+MATCHES = {"matches": "array<struct<item_id: string, item_start: long, start: long, length: long>>"}
+HITS = {"spans": "array<struct<start: long, length: long>>", "items": "array<string>"}
+#: Pairs of texts and items that are looked at together.
+TOGETHER = 4_000_000
 
 
 class Items:
@@ -161,6 +167,50 @@ def shard_matches(texts: list[bytes], items: Items) -> tuple[np.ndarray, list[np
     return counts, [x[by] for x in out]
 
 
+def unique_pairs(first: np.ndarray, second: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each pair once, by first and second (below n)."""
+    return np.divmod(np.unique(first * n + second), max(1, n))
+
+
+def shard_hits(texts: list[bytes], items: Items, together: int = TOGETHER) -> tuple[np.ndarray, list[np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """Words of each text; the longest spans (text, start, length) of words in any occurrence of a window, by text and start; and
+    each (text, item) once of which a window of the item occurs in the text."""
+    words = words_of(texts, ALPHANUMERIC)
+    counts = np.diff(words.first)
+    none = np.zeros(0, dtype=np.int64)
+    if not len(words.hashes) or not len(items.suffix):
+        return counts, [none] * 3, (none, none)
+    array = SuffixArray(words, items.longest)
+    which, low, high = array.search(items)
+    wide = items.window[which]
+    _, one, of = np.unique(low * (items.longest + 1) + wide, return_index=True, return_inverse=True)  # where it begins and its width tell an interval
+    low, high, wide = low[one], high[one], wide[one]
+    ends = np.cumsum(high - low)
+    change, within = np.zeros(array.n + 1, dtype=np.int64), [none]
+    for part in np.split(np.arange(len(low)), np.searchsorted(ends, np.arange(together, ends[-1] if len(ends) else 0, together))):
+        owner, place = expand(low[part], high[part])
+        at = array.order[place]
+        change += np.bincount(at, minlength=array.n + 1) - np.bincount(at + wide[part][owner], minlength=array.n + 1)
+        within.append(np.unique(part[owner] * len(texts) + np.searchsorted(array.text_start, at, side="right") - 1))
+    edges = np.flatnonzero(np.diff((np.cumsum(change) > 0).astype(np.int8), prepend=0, append=0))
+    starts, stops = edges[::2], edges[1::2]
+    text = np.searchsorted(array.text_start, starts, side="right") - 1
+    spans = [text, starts - array.text_start[text], stops - starts]
+    t_interval, t_text = np.divmod(np.unique(np.concatenate(within)), len(texts))
+    i_interval, i_item = unique_pairs(of, items.item[items.suffix[which]], len(items.names))
+    t_first, i_first = (np.searchsorted(x, np.arange(len(low) + 1)) for x in (t_interval, i_interval))
+    n_items = np.diff(i_first)
+    ends = np.cumsum(np.diff(t_first) * n_items)
+    found = none
+    for part in np.split(np.arange(len(low)), np.searchsorted(ends, np.arange(together, ends[-1] if len(ends) else 0, together))):
+        sizes = np.diff(t_first)[part] * n_items[part]
+        owner, k = expand(np.zeros(len(part), dtype=np.int64), sizes)
+        own = part[owner]
+        pairs = t_text[t_first[own] + k // n_items[own]] * len(items.names) + i_item[i_first[own] + k % n_items[own]]
+        found = np.union1d(found, pairs)
+    return counts, spans, np.divmod(found, max(1, len(items.names)))
+
+
 def item_blocks(benchmark: DataFrame, window: int, block_words: int) -> Iterator[Items]:
     """The items with words, in blocks of at most `block_words` words (a longer item is a block of its own)."""
 
@@ -195,19 +245,53 @@ def find_matches(
     no words; items without words or item_id match nothing; items of equal item_id count as one in the digest. Repeated
     rows are each matched. Columns named n_words or matches are replaced. Empty tables give no rows or no matches.
     """
-    carried = [c for c in (carry if carry is not None else documents.columns) if c not in ("n_words", "matches")]
-    state = documents.select(F.struct(*carried).alias("_row"), F.col("text"), F.lit(0).cast("long").alias("n_words"), F.lit(None).cast(MATCHES).alias("matches"))
+
+    def matches(texts: list[bytes], items: Items) -> tuple[np.ndarray, list[pa.Array]]:
+        counts, (text, item, item_start, start, length) = shard_matches(texts, items)
+        fields = [pa.array(items.names, pa.string()).take(pa.array(item)), *[pa.array(x, pa.int64()) for x in (item_start, start, length)]]
+        return counts, [lists(text, len(texts), pa.StructArray.from_arrays(fields, ["item_id", "item_start", "start", "length"]))]
+
+    return _searched(spark, documents, benchmark, MATCHES, matches, window, carry, shard_bytes, block_words)
+
+
+def find_hits(
+    spark: SparkSession, documents: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, carry: list[str] | None = None,
+    shard_bytes: int = 2_000_000, block_words: int = 2_000_000,
+) -> DataFrame:
+    """The carried columns (all, if not given) plus n_words long, spans and items, one row per row of `documents`.
+
+    spans are the document's words (start, length) in any occurrence of an item's window, of one block of items without overlaps;
+    items the item_ids with such a window. Else as find_matches, with spans and items in the place of matches.
+    """
+
+    def hits(texts: list[bytes], items: Items) -> tuple[np.ndarray, list[pa.Array]]:
+        counts, (text, start, length), (owner, item) = shard_hits(texts, items)
+        spans = pa.StructArray.from_arrays([pa.array(start, pa.int64()), pa.array(length, pa.int64())], ["start", "length"])
+        return counts, [lists(text, len(texts), spans), lists(owner, len(texts), pa.array(items.names, pa.string()).take(pa.array(item)))]
+
+    return _searched(spark, documents, benchmark, HITS, hits, window, carry, shard_bytes, block_words)
+
+
+def lists(owner: np.ndarray, n: int, values: pa.Array) -> pa.Array:
+    """The values of each of n owners; `owner` is in order."""
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(n + 1)), pa.int32()), values)
+
+
+def _searched(spark, documents, benchmark, columns: dict[str, str], search: Callable, window, carry, shard_bytes, block_words) -> DataFrame:
+    """The carried columns, n_words and what `search` gives for the texts of a shard, the lists of all blocks of items end to end."""
+    carried = [c for c in (carry if carry is not None else documents.columns) if c not in ("n_words", *columns)]
+    state = documents.select(F.struct(*carried).alias("_row"), F.col("text"), F.lit(0).cast("long").alias("n_words"), *[F.lit(None).cast(t).alias(c) for c, t in columns.items()])
     work = None
     for k, items in enumerate(item_blocks(benchmark, window, block_words)):
         if k:
             work = work or Workspace(spark, "decontamination")
             state = work.write(state, f"pass-{k}")
             work.drop(f"pass-{k - 1}")
-        state = _annotated(spark, state, items, shard_bytes)
-    return state.select("_row.*", "n_words", "matches")
+        state = _annotated(spark, state, items, search, shard_bytes)
+    return state.select("_row.*", "n_words", *columns)
 
 
-def _annotated(spark: SparkSession, state: DataFrame, items: Items, shard_bytes: int) -> DataFrame:
+def _annotated(spark: SparkSession, state: DataFrame, items: Items, search: Callable, shard_bytes: int) -> DataFrame:
     sent = spark.sparkContext.broadcast(items)  # at most block_words words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,14 +299,11 @@ def _annotated(spark: SparkSession, state: DataFrame, items: Items, shard_bytes:
         for batch in batches:
             for a, b in text_chunks([t.as_py() for t in pa.compute.fill_null(pa.compute.binary_length(batch.column(1)), 0)], shard_bytes):
                 rows = batch.slice(a, b - a)
-                texts = [t or b"" for t in rows.column(1).cast(pa.binary()).to_pylist()]
-                counts, (text, item, item_start, start, length) = shard_matches(texts, items)
-                fields = [pa.array([items.names[i] for i in item], pa.string()), *[pa.array(x, pa.int64()) for x in (item_start, start, length)]]
-                offsets = np.searchsorted(text, np.arange(len(texts) + 1))
-                found = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(fields, ["item_id", "item_start", "start", "length"]))
-                if rows.column(3).null_count < len(rows):
-                    found = pa.array([(x or []) + y for x, y in zip(rows.column(3).to_pylist(), found.to_pylist(), strict=True)], rows.column(3).type)
-                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(counts, pa.int64()), found], ["_row", "text", "n_words", "matches"])
+                counts, found = search([t or b"" for t in rows.column(1).cast(pa.binary()).to_pylist()], items)
+                for k, old in enumerate(rows.columns[3:]):
+                    if old.null_count < len(rows):
+                        found[k] = pa.array([(x or []) + y for x, y in zip(old.to_pylist(), found[k].to_pylist(), strict=True)], old.type)
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(counts, pa.int64()), *found], batch.schema.names)
 
     return state.mapInArrow(run, state.schema)
 
@@ -240,13 +321,12 @@ def hit_words(matches: str = "matches"):
 
 
 def contamination_digest(spark: SparkSession, documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    found = find_matches(spark, documents, benchmark, window=window, carry=["doc_id"])
-    items = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item_id"])))
-    out = found.withColumn("_items", items)
+    found = find_hits(spark, documents, benchmark, window=window, carry=["doc_id"])
+    out = found.withColumn("_items", F.array_sort(F.array_distinct("items")))
     return out.select(
         "doc_id",
         "n_words",
-        hit_words().alias("n_hit"),
+        hit_words("spans").alias("n_hit"),
         F.size("_items").cast("long").alias("n_items"),
         F.sha2(F.array_join("_items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.size("_items") > 0).alias("contaminated"),
@@ -255,5 +335,6 @@ def contamination_digest(spark: SparkSession, documents: DataFrame, benchmark: D
 
 def decontaminate(spark: SparkSession, documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of `documents` that share no window with any item, all columns kept."""
-    found = find_matches(spark, documents, benchmark, window=window)
-    return found.filter(F.size("matches") == 0).select(*documents.columns)
+    carried = documents.select(F.struct(*documents.columns).alias("_whole"), "text")
+    found = find_hits(spark, carried, benchmark, window=window, carry=["_whole"])
+    return found.filter(F.size("items") == 0).select("_whole.*")

@@ -3,10 +3,13 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from docloom.llm import decontamination
 from docloom.llm.chat import chat_digest
 from docloom.llm.decontamination import contamination_digest
 from docloom.llm.packing import cut_stream
@@ -82,3 +85,31 @@ def test_a_long_conversation_and_long_texts(spark):
         whole = "".join(f"{t[2]}\n{t[3] or ''}\n" for t in turns)
         assert (x["n_turns"], x["turns_sha256"]) == (len(turns), hashlib.sha256(whole.encode()).hexdigest())
         assert (x["loss_chars"], x["loss_sha256"]) == (len(said), hashlib.sha256(said.encode()).hexdigest())
+
+
+@pytest.mark.parametrize("together", [3, 50, 4_000_000])
+def test_hits_are_what_the_matches_cover(together):
+    r = random.Random(together)
+    for _ in range(60):
+        texts = [" ".join(r.choice("abc") for _ in range(r.randrange(40))).encode() for _ in range(r.randrange(1, 8))]
+        said = [" ".join(r.choice("abcd") for _ in range(r.randrange(1, 12))).encode() for _ in range(r.randrange(0, 9))]
+        words = decontamination.words_of(said, decontamination.ALPHANUMERIC)
+        items = decontamination.Items([f"i{k}" for k in range(len(said))], [words.hashes[a:b] for a, b in zip(words.first, words.first[1:], strict=False)], 4)
+        counts, (text, item, _, start, length) = decontamination.shard_matches(texts, items)
+        covered = {(t, p) for t, a, n in zip(text.tolist(), start.tolist(), length.tolist(), strict=True) for p in range(a, a + n)}
+        n_words, spans, pairs = decontamination.shard_hits(texts, items, together)
+        assert n_words.tolist() == counts.tolist()
+        own = [(t, p) for t, a, n in zip(*(x.tolist() for x in spans), strict=True) for p in range(a, a + n)]
+        assert own == sorted(covered)
+        assert list(zip(*(x.tolist() for x in pairs), strict=True)) == sorted(set(zip(text.tolist(), item.tolist(), strict=True)))
+
+
+def test_a_phrase_thousands_of_times_in_a_document_and_in_thousands_of_items():
+    phrase = [f"w{k}" for k in range(12)]
+    texts = [" ".join(phrase * 4000).encode(), " ".join(phrase).encode(), b"w0 w1"]
+    said = decontamination.words_of([" ".join([f"lead{k}", *phrase]).encode() for k in range(4000)], decontamination.ALPHANUMERIC)
+    items = decontamination.Items([f"i{k}" for k in range(4000)], [said.hashes[a:b] for a, b in zip(said.first, said.first[1:], strict=False)], 10)
+    began = time.time()
+    _, spans, (owner, _) = decontamination.shard_hits(texts, items)
+    assert [x.tolist() for x in spans] == [[0, 1], [0, 0], [48_000, 12]] and np.bincount(owner, minlength=3).tolist() == [4000, 4000, 0]
+    assert time.time() - began < 10
