@@ -112,7 +112,8 @@ def common_shingles(documents: DataFrame, width: int, sample_docs: int, least: i
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n, pa.int64())], ["shingle", "n"])
 
     share = min(1.0, sample_docs / max(1, documents.count()))
-    sample = documents.filter(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000)) < F.lit(share * 1_000_000)).select("text")
+    # By id and text, so that rows without an id, or all with the same one, are sampled too.
+    sample = documents.filter(F.pmod(F.xxhash64("doc_id", "text", F.lit("sample")), F.lit(1_000_000)) < F.lit(share * 1_000_000)).select("text")
     counted = sample.distinct().mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     return np.sort(counted.select("shingle").toArrow()["shingle"].to_numpy().astype(np.int64).view(np.uint64))
 

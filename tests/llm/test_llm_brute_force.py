@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from docloom.llm import decontamination
 from docloom.llm.chat import chat_digest
 from docloom.llm.decontamination import contamination_digest
+from docloom.llm.jaccard import common_shingles
 from docloom.llm.packing import cut_stream
 
 
@@ -113,3 +114,9 @@ def test_a_phrase_thousands_of_times_in_a_document_and_in_thousands_of_items():
     _, spans, (owner, _) = decontamination.shard_hits(texts, items)
     assert [x.tolist() for x in spans] == [[0, 1], [0, 0], [48_000, 12]] and np.bincount(owner, minlength=3).tolist() == [4000, 4000, 0]
     assert time.time() - began < 10
+
+
+@pytest.mark.parametrize("doc_id", ["cast(null as long)", "7L", "id"])
+def test_the_sample_of_shingles_is_bounded_whatever_the_ids(spark, doc_id):
+    docs = spark.range(20_000).selectExpr(f"{doc_id} AS doc_id", "concat_ws(' ', concat('a', id), concat('b', id), concat('c', id), concat('d', id)) AS text")
+    assert 200 < len(common_shingles(docs, 4, 400, least=1)) < 700
