@@ -7,7 +7,7 @@ ones they overlap, ties in the dictionary's order, whatever stands further left.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache, reduce
 from itertools import accumulate
@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.functions.batches import slices
+
 # The shipped pairs.
 LEGAL_TERMS = (
     ("계약", "게약"), ("계약", "계락"), ("청약", "청악"), ("승낙", "승락"), ("물권", "뭴권"), ("물권", "물구권"), ("채권", "채김"), ("채권", "채완"),
@@ -141,9 +143,10 @@ def scan(text: Column, index: Sequence[tuple[str, str]]) -> Column:
     fixed = tuple(index)
 
     @F.arrow_udf(HITS)
-    def found(texts: pa.Array) -> pa.Array:
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         s = scanner(fixed)
-        return _hit_arrays(fixed, [s.hits(t) if t else [] for t in texts.to_pylist()])
+        for (texts,) in slices((t,) for t in batches):
+            yield _hit_arrays(fixed, [s.hits(t) if t else [] for t in texts])
 
     return found(text) if fixed else F.expr(f"cast(array() as {HITS})")
 
@@ -154,11 +157,12 @@ def pre_correct(rows: DataFrame, terms: Terms = SHIPPED, enabled: bool = True, t
     text = F.coalesce(F.col(text_col), F.lit(""))
 
     @F.arrow_udf(f"struct<corrections:{HITS},text:string>")
-    def fix(texts: pa.Array) -> pa.Array:
-        s, plain = scanner(fixed), texts.to_pylist()
-        hits = [s.hits(t) for t in plain]
-        done = pa.array([s.corrected(t, h) if h else t for t, h in zip(plain, hits, strict=True)], pa.string())
-        return pa.StructArray.from_arrays([_hit_arrays(fixed, hits), done], ["corrections", "text"])
+    def fix(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        s = scanner(fixed)
+        for (texts,) in slices((t,) for t in batches):
+            hits = [s.hits(t) for t in texts]
+            done = pa.array([s.corrected(t, h) if h else t for t, h in zip(texts, hits, strict=True)], pa.string())
+            yield pa.StructArray.from_arrays([_hit_arrays(fixed, hits), done], ["corrections", "text"])
 
     if not fixed:
         return rows.withColumns({"corrections": F.expr(f"cast(array() as {HITS})"), "corrected_text": text})
@@ -169,18 +173,19 @@ def absent_words(words: Column, text: Column) -> Column:
     """Those of a row's words that its text nowhere holds, in order; all words of a row are looked for in one pass."""
 
     @F.arrow_udf("array<string>")
-    def absent(lists: pa.Array, texts: pa.Array) -> pa.Array:
-        out = []
-        for row, body in zip(lists.to_pylist(), texts.to_pylist(), strict=True):
-            if row and body:
-                automaton = ahocorasick.Automaton()
-                for w in row:
-                    automaton.add_word(w, w)
-                automaton.make_automaton()
-                held = {w for _, w in automaton.iter(body)}
-                row = [w for w in row if w not in held]
-            out.append(row)
-        return pa.array(out, pa.list_(pa.string()))
+    def absent(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for lists, texts in slices(batches):
+            out = []
+            for row, body in zip(lists, texts, strict=True):
+                if row and body:
+                    automaton = ahocorasick.Automaton()
+                    for w in row:
+                        automaton.add_word(w, w)
+                    automaton.make_automaton()
+                    held = {w for _, w in automaton.iter(body)}
+                    row = [w for w in row if w not in held]
+                out.append(row)
+            yield pa.array(out, pa.list_(pa.string()))
 
     return absent(words, text)
 
@@ -199,11 +204,12 @@ def canonical_terms(text: Column, terms: Terms = SHIPPED) -> Column:
         return F.array_sort(F.filter(F.array(*[F.lit(c) for c in names]), lambda c: F.contains(text, c)))
 
     @F.arrow_udf("array<string>")
-    def held(texts: pa.Array) -> pa.Array:
+    def held(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         automaton = scanner(tuple((n, n) for n in names if n)).automaton
         always = {k for k, n in enumerate(names) if not n}
         spots = [k for k, n in enumerate(names) if n]
-        return pa.array([None if t is None else [names[k] for k in sorted({spots[i] for _, i in automaton.iter(t)} | always)] for t in texts.to_pylist()], pa.list_(pa.string()))
+        for (texts,) in slices((t,) for t in batches):
+            yield pa.array([None if t is None else [names[k] for k in sorted({spots[i] for _, i in automaton.iter(t)} | always)] for t in texts], pa.list_(pa.string()))
 
     return held(text)
 
@@ -260,19 +266,24 @@ def validate_terms(rows: DataFrame, terms: Terms | DataFrame = SHIPPED, term_col
     return joined.select(*[rows[c] for c in rows.columns if c not in ("valid", "suggestion", "confidence")], "_verdict.*")
 
 
-def question_fields(questions: DataFrame) -> DataFrame:
-    """chunk_id, pos, id, field, value: a question's text, then each option's text and explanation."""
-    own = F.array(F.struct(F.lit("text").alias("field"), F.coalesce("text", F.lit("")).alias("value")))
-    named = lambda o, kind: F.struct(F.format_string(f"option_%s_{kind}", F.coalesce(o["num"], F.lit(""))).alias("field"), F.coalesce(o[kind], F.lit("")).alias("value"))
-    options = F.flatten(F.transform(F.coalesce("options", F.expr("array()")), lambda o: F.array(named(o, "text"), named(o, "explanation"))))
-    return questions.select("chunk_id", "pos", "id", F.explode(F.concat(own, options)).alias("f")).select("chunk_id", "pos", "id", "f.field", "f.value")
+def question_fields(questions: DataFrame, wanted: Callable[[Column], Column] | None = None) -> DataFrame:
+    """chunk_id, pos, id, field, value: a question's text, then each option's text and explanation; of these the values wanted (all, if not given)."""
+    own = F.array(F.struct(F.lit(None).cast("string").alias("num"), F.lit("text").alias("kind"), F.coalesce("text", F.lit("")).alias("value")))
+    part = lambda o, kind: F.struct(F.coalesce(o["num"].cast("string"), F.lit("")).alias("num"), F.lit(kind).alias("kind"), F.coalesce(o[kind], F.lit("")).alias("value"))
+    options = F.flatten(F.transform(F.coalesce("options", F.expr("array()")), lambda o: F.array(part(o, "text"), part(o, "explanation"))))
+    fields = F.concat(own, options)
+    if wanted is not None:
+        fields = F.filter(fields, lambda f: wanted(f["value"]))
+    # An outer explode, since an inner one would have the array worked out twice.
+    each = questions.select("chunk_id", "pos", "id", F.explode_outer(fields).alias("f")).filter("f is not null")
+    name = F.when(F.col("f.num").isNull(), F.col("f.kind")).otherwise(F.concat(F.lit("option_"), F.col("f.num"), F.lit("_"), F.col("f.kind")))
+    return each.select("chunk_id", "pos", "id", name.alias("field"), "f.value")
 
 
 def _field_hits(questions: DataFrame, index: Sequence[tuple[str, str]]) -> DataFrame:
     """question_fields() with each hit h. Where few patterns are looked for, only fields that hold one go to the scan."""
-    fields = question_fields(questions)
-    if len(index) <= FEW:
-        fields = fields.filter(reduce(lambda held, x: held | F.contains("value", F.lit(x[1])), index, F.lit(False)))
+    held = lambda value: reduce(lambda any_, x: any_ | F.contains(value, F.lit(x[1])), index, F.lit(False))
+    fields = question_fields(questions, held if len(index) <= FEW else None)
     return fields.withColumn("h", F.explode(scan(F.col("value"), index)))
 
 

@@ -8,10 +8,13 @@ schema.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.functions.batches import slices
 from docloom.functions.matching import similarities
 from docloom.functions.text import strip
 from docloom.operators.dictionary import SHIPPED, Terms, absent_words, term_issues
@@ -139,8 +142,9 @@ def similarity(pairs: DataFrame, autojunk: bool = True) -> DataFrame:
     """Adds similarity: the share of characters in common blocks of original and result, see functions.matching; null texts are empty."""
 
     @F.arrow_udf("double")
-    def ratio(a: pa.Array, b: pa.Array) -> pa.Array:
-        return pa.array(similarities([x or "" for x in a.to_pylist()], [x or "" for x in b.to_pylist()], autojunk), pa.float64())
+    def ratio(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for a, b in slices(batches):
+            yield pa.array(similarities([x or "" for x in a], [x or "" for x in b], autojunk), pa.float64())
 
     return pairs.withColumn("similarity", ratio("original", "result"))
 
