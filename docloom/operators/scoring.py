@@ -14,10 +14,21 @@ def bucket() -> Column:
     return F.when(F.col("source") == "diff", "diff_anomaly").when(F.col("source") == "term", "term_typo").when(F.col("severity") == "ERROR", "structure_error").otherwise("empty_field")
 
 
+def counted(issues: DataFrame) -> DataFrame:
+    """chunk_id, source, issue_type, severity, n: what confidence() and error_breakdown() need of the issues; one shuffle serves both."""
+    return issues.groupBy("chunk_id", "source", "issue_type", "severity").agg(F.count("*").alias("n"))
+
+
+def _number(issues: DataFrame, which: Column | None = None) -> Column:
+    """Issues in a group, or those of them for which `which` holds; of counted() ones by n."""
+    n = F.col("n") if "n" in issues.columns else F.lit(1).cast("long")
+    return F.coalesce(F.sum(n if which is None else F.when(which, n)), F.lit(0).cast("long"))
+
+
 def confidence(chunk_ids: DataFrame, issues: DataFrame) -> DataFrame:
-    """chunk_id, score, status, the counts per bucket, auto_fixable and manual_review; a chunk without issues scores 1."""
-    counts = [F.count_if(bucket() == name).alias(name) for name, _ in WEIGHTS]
-    warnings = F.count_if((F.col("source") == "structure") & (F.col("severity") == "WARNING")).alias("_warnings")
+    """chunk_id, score, status, the counts per bucket, auto_fixable and manual_review; a chunk without issues scores 1. The issues may be counted() ones."""
+    counts = [_number(issues, bucket() == name).alias(name) for name, _ in WEIGHTS]
+    warnings = _number(issues, (F.col("source") == "structure") & (F.col("severity") == "WARNING")).alias("_warnings")
     found = issues.groupBy("chunk_id").agg(*counts, warnings)
     rows = chunk_ids.select("chunk_id").join(found, "chunk_id", "left").fillna(0)
     cost = sum((F.round(F.col(name) * weight, 4) for name, weight in WEIGHTS), F.lit(0.0))
@@ -49,7 +60,8 @@ def flat_questions(questions: DataFrame, scores: DataFrame) -> DataFrame:
 
 
 def error_breakdown(issues: DataFrame) -> DataFrame:
-    return issues.groupBy("issue_type").agg(F.count("*").alias("n"))
+    """issue_type, n; the issues may be counted() ones."""
+    return issues.groupBy("issue_type").agg(_number(issues).alias("n"))
 
 
 def run_statistics(flat: DataFrame, failed: DataFrame | None = None, seconds: float = 0.0) -> DataFrame:

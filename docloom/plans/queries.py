@@ -259,10 +259,21 @@ def x3_review_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sheets.review_rows(_rows(spark, sf_dir)).select("chunk_id", "pos", "option_pos", "checked")
 
 
+def _counted_scores(questions: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The issues counted, and the scores by these counts: the checks run once for both.
+
+    Joins leave out null chunks, and Spark does so before it counts; told apart here, both uses share one shuffle.
+    """
+    counts = scoring.counted(found.filter("chunk_id is not null"))
+    scores = scoring.confidence(questions.select("chunk_id").distinct(), counts)
+    return counts.unionByName(scoring.counted(found.filter("chunk_id is null"))), scores
+
+
 def x4_statistics_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    questions, found, scores = _scores(spark, sf_dir)
+    questions, found, _ = _scores(spark, sf_dir)
+    counts, scores = _counted_scores(questions, found)
     run = scoring.run_statistics(scoring.flat_questions(questions, scores), _failed(spark, sf_dir), 42.0)
-    return sheets.statistics_rows(run, scoring.error_breakdown(found))
+    return sheets.statistics_rows(run, scoring.error_breakdown(counts))
 
 
 def _whole_diff(questions: DataFrame) -> DataFrame:
@@ -308,8 +319,9 @@ def x3_whole_review_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def x4_whole_statistics_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    questions, found, scores = _whole_scores(spark, sf_dir)
-    return sheets.statistics_rows(scoring.run_statistics(scoring.flat_questions(questions, scores)), scoring.error_breakdown(found))
+    questions, found, _ = _whole_scores(spark, sf_dir)
+    counts, scores = _counted_scores(questions, found)
+    return sheets.statistics_rows(scoring.run_statistics(scoring.flat_questions(questions, scores)), scoring.error_breakdown(counts))
 
 
 def x7_column_widths(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,3 +56,19 @@ def test_udfs_over_batches_of_several_slices(spark):
     assert all(r["lost"] == (["none"] if r["id"] % 200 else ["thre", "none"]) for r in lost)
     pairs = rows.select("id", F.col("text").alias("original"), F.col("text").alias("result"))
     assert validation.similarity(pairs).filter("similarity <> 1").count() == 0
+
+
+def test_counted_issues_score_like_the_issues(spark):
+    r = random.Random(4)
+    kinds = [("structure", "A", "ERROR"), ("structure", "B", "WARNING"), ("diff", "C", "ERROR"), ("term", "D", "WARNING")]
+    issues = spark.createDataFrame([(r.choice([1, 2, 3, None]), *r.choice(kinds)) for _ in range(60)], "chunk_id long, source string, issue_type string, severity string")
+    ids = spark.createDataFrame([(1,), (2,), (3,), (9,)], "chunk_id long")
+    show = lambda x: sorted(map(tuple, x.collect()))
+    assert show(scoring.confidence(ids, scoring.counted(issues))) == show(scoring.confidence(ids, issues))
+    assert show(scoring.error_breakdown(scoring.counted(issues))) == show(scoring.error_breakdown(issues)) == show(issues.groupBy("issue_type").count())
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="needs the driver's tables")
+@pytest.mark.parametrize("name", ["x4_statistics_rows", "x4_whole_statistics_rows"])
+def test_scores_and_breakdown_share_one_run_of_the_checks(spark, name):
+    assert re.search(r"ReusedExchange \[chunk_id, source, issue_type, severity", plan_of(spark, QUERIES[name](spark, SF)))
