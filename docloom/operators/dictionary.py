@@ -192,7 +192,8 @@ def absent_words(words: Column, text: Column) -> Column:
 
 def correction_log(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per correction of pre_correct(), with its location as text."""
-    each = rows.select(*keys, F.explode("corrections").alias("c"))
+    # An inner explode would have the texts scanned a second time, for a filter of those without corrections before it.
+    each = rows.select(*keys, F.explode_outer("corrections").alias("c")).filter("c is not null")
     where = F.format_string("offset %d-%d", "c.start", "c.stop")
     return each.select(*keys, "c.original", F.col("c.canonical").alias("corrected"), where.alias("location"), "c.confidence")
 

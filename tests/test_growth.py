@@ -72,3 +72,8 @@ def test_counted_issues_score_like_the_issues(spark):
 @pytest.mark.parametrize("name", ["x4_statistics_rows", "x4_whole_statistics_rows"])
 def test_scores_and_breakdown_share_one_run_of_the_checks(spark, name):
     assert re.search(r"ReusedExchange \[chunk_id, source, issue_type, severity", plan_of(spark, QUERIES[name](spark, SF)))
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="needs the driver's tables")
+def test_texts_are_scanned_once_for_the_log(spark):
+    assert plan_of(spark, QUERIES["d3_term_scan"](spark, SF)).count("ArrowEvalPython") == 1
