@@ -164,16 +164,14 @@ def identify(spark: SparkSession, documents: DataFrame, model: LanguageModel, *,
     are replaced. Rows are judged one by one, repeated ones alike; an empty table gives an empty result.
     """
     carried = [c for c in (carry if carry is not None else documents.columns) if c not in ("lang_pred", "score", "languages")]
-    rows = documents.select(F.struct(*carried).alias("_row"), F.col(text_col).alias("_text"))
-    out = rows.select("_row").schema.add("lang_pred", "string").add("score", "double").add("languages", SHARES)
     sent = spark.sparkContext.broadcast(model)  # at most 2**16 numbers per language
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf(StructType().add("lang_pred", "string").add("score", "double").add("languages", SHARES))
+    def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = sent.value
         for batch in batches:
-            for p, q in text_chunks(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist(), CHUNK_BYTES):
-                rows = batch.slice(p, q - p)
-                texts = [t or b"" for t in rows.column(1).cast(pa.binary()).to_pylist()]
+            for p, q in text_chunks(pc.fill_null(pc.binary_length(batch), 0).to_pylist(), CHUNK_BYTES):
+                texts = [t or b"" for t in batch.slice(p, q - p).cast(pa.binary()).to_pylist()]
                 shares = mixtures(texts, model)
                 best = shares.argmax(axis=1) if len(model.languages) else np.zeros(len(texts), dtype=np.int64)
                 names, scores, lists = [], [], []
@@ -187,9 +185,11 @@ def identify(spark: SparkSession, documents: DataFrame, model: LanguageModel, *,
                     scores.append(min(1.0, float(share[k])))
                     lists.append([{"lang": model.languages[i], "share": float(share[i])} for i in np.argsort(-share, kind="stable") if share[i] > 0])
                 kind = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(lists, kind)], ["_row", "lang_pred", "score", "languages"])
+                yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(lists, kind)], ["lang_pred", "score", "languages"])
 
-    return rows.mapInArrow(run, out).select("_row.*", "lang_pred", "score", "languages")
+    # Only texts go to Python, and only what is said of them comes back; the rows stay with Spark.
+    rows = documents.select(F.struct(*carried).alias("_row"), judged(F.col(text_col)).alias("_said"))
+    return rows.select("_row.*", "_said.*")
 
 
 def has_letter(text: bytes) -> bool:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions.batches import slices
 from docloom.functions.matching import similarities
+from docloom.llm.language_id import known_language
 from docloom.operators import dictionary, scoring, validation
 from docloom.plans.queries import QUERIES
 
@@ -77,3 +78,10 @@ def test_scores_and_breakdown_share_one_run_of_the_checks(spark, name):
 @pytest.mark.skipif(not os.path.exists(SF), reason="needs the driver's tables")
 def test_texts_are_scanned_once_for_the_log(spark):
     assert plan_of(spark, QUERIES["d3_term_scan"](spark, SF)).count("ArrowEvalPython") == 1
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="needs the driver's tables")
+def test_languages_take_texts_alone_to_python(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    plan = plan_of(spark, known_language(spark, docs))
+    assert "MapInArrow" not in plan and plan.count("ArrowEvalPython [judged(text)]") == 1
