@@ -5,7 +5,7 @@ Every operator is keyed by doc_id and needs one shuffle on it at most; a documen
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: What follows each block in the full text.
@@ -80,16 +80,24 @@ def is_rising(candidates: DataFrame) -> DataFrame:
     by = Window.partitionBy("doc_id", "priority").orderBy("char_start")
     stepped = candidates.withColumn("up", (F.col("question_id") > F.lag("question_id").over(by)).cast("int"))
     agg = stepped.groupBy("doc_id", "priority").agg(F.count("*").alias("n"), F.coalesce(F.sum("up"), F.lit(0)).alias("ups"), F.min_by("question_id", "char_start").alias("first"))
-    rising = (F.col("n") >= LEAST_MATCHES) & (F.col("ups") >= LEAST_RISING * (F.col("n") - 1)) & (F.col("first") <= LARGEST_FIRST)
-    return agg.select("doc_id", "priority", "n", rising.alias("rising"))
+    return agg.select("doc_id", "priority", "n", _rises("n", "ups", "first").alias("rising"))
+
+
+def _rises(n: str, ups: str, first: str) -> Column:
+    return (F.col(n) >= LEAST_MATCHES) & (F.col(ups) >= LEAST_RISING * (F.col(n) - 1)) & (F.col(first) <= LARGEST_FIRST)
 
 
 def detect_headers(placed: DataFrame) -> DataFrame:
     """The headers of each document by its best pattern: most matches of those in sequence, ties to the first pattern."""
-    found = header_candidates(placed)
-    best = Window.partitionBy("doc_id").orderBy(F.desc("n"), "priority")
-    chosen = is_rising(found).filter("rising").withColumn("k", F.row_number().over(best)).filter("k = 1").select("doc_id", "priority")
-    return found.join(chosen, ["doc_id", "priority"], "left_semi").drop("priority")
+    # Windows over the candidates, as is_rising() has it, instead of a join with it: the blocks' texts are read and dealt once.
+    found = header_candidates(placed).filter(F.col("doc_id").isNotNull())
+    own = Window.partitionBy("doc_id", "priority")
+    by, whole = own.orderBy("char_start"), own.orderBy("char_start").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = found.withColumn("_up", (F.col("question_id") > F.lag("question_id").over(by)).cast("int"))
+    rows = rows.withColumns({"_n": F.count("*").over(whole), "_ups": F.coalesce(F.sum("_up").over(whole), F.lit(0)), "_first": F.first("question_id").over(whole)})
+    rank = F.struct(F.col("_n").alias("n"), (-F.col("priority")).alias("k"))
+    rows = rows.filter(_rises("_n", "_ups", "_first")).withColumn("_best", F.max(rank).over(Window.partitionBy("doc_id")))
+    return rows.filter(F.col("_best") == rank).select(*[c for c in found.columns if c != "priority"])
 
 
 def option_symbol_type(blocks: DataFrame) -> DataFrame:

@@ -18,8 +18,10 @@ def segments(texts: DataFrame, headers: DataFrame, per_char: float = 0.5) -> Dat
 
     What stands before the first header is left out; line feeds at both ends of a segment go.
     """
-    by = Window.partitionBy("doc_id").orderBy("char_start")
-    cut = headers.join(texts, "doc_id").withColumns({"ord": F.row_number().over(by), "end": F.lead("char_start").over(by)})
+    # Ordered by the page too, which never decides: a use of the segments without pages thus shares the blocks' shuffle with one of the headers.
+    by = Window.partitionBy("doc_id").orderBy("char_start", "page")
+    # The window comes before the join, else it would sort and hold the whole text once for each of its headers.
+    cut = headers.withColumns({"ord": F.row_number().over(by), "end": F.lead("char_start").over(by)}).join(texts, "doc_id")
     cut = cut.withColumn("end", F.coalesce("end", F.length("full_text").cast("long")))
     text = F.regexp_replace(F.substring("full_text", (F.col("char_start") + 1).cast("int"), (F.col("end") - F.col("char_start")).cast("int")), r"\A\n+|\n+\z", "")
     cut = cut.withColumn("text", text)

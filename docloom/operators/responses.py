@@ -20,6 +20,8 @@ AUTH_PHRASES = (
 #: A fenced body, of JSON where a language is told.
 FENCE = r"(?is)```(?:json)?\s*\n?(.*?)```"
 LIMIT_AT = r"(?i)usage\s+limit\s+reached\s*\|\s*(\d{9,13})"
+#: A string, or (its mark as a group) one that stays open; possessive, so that a long one takes no stack.
+STRINGS = r'(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+"|(")[^"\\]*+(?:\\.[^"\\]*+)*+\\?\z'
 SHORT_ANSWER, CORRUPT_SHARE = 500, 0.005
 SAME, NO_EXPLANATION = "동일", "해설 없음"
 
@@ -64,17 +66,10 @@ def extract_json(text: Column) -> Column:
 
 
 def is_truncated(text: Column) -> Column:
-    """Open brackets or an open string remain, or the text doesn't end in } or ]. One fold over its characters."""
-    zero = F.expr("named_struct('depth', 0, 'quoted', false, 'escaped', false)")
-
-    def step(acc, c):
-        depth = F.when(acc["quoted"], acc["depth"]).when(c.isin("{", "["), acc["depth"] + 1).when(c.isin("}", "]"), acc["depth"] - 1).otherwise(acc["depth"])
-        escaped = acc["quoted"] & ~acc["escaped"] & (c == "\\")
-        quoted = F.when((c == '"') & ~acc["escaped"], ~acc["quoted"]).otherwise(acc["quoted"])
-        return F.struct(depth.alias("depth"), quoted.alias("quoted"), escaped.alias("escaped"))
-
-    end = F.aggregate(F.split(text, ""), zero, step)
-    return (end["depth"] != 0) | end["quoted"] | ~strip(text).rlike(r"[}\]]\z")
+    """Open brackets or an open string remain, or the text doesn't end in } or ]."""
+    bare = F.regexp_replace(text, STRINGS, "$1")  # of an open string its mark stays
+    opened, closed = (F.regexp_count(bare, F.lit(rx)) for rx in (r"[{\[]", r"[}\]]"))
+    return (opened != closed) | F.contains(bare, F.lit('"')) | ~strip(text).rlike(r"[}\]]\z")
 
 
 def whole_objects(text: str) -> list[dict]:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from docloom.functions.batches import slices
 from docloom.functions.matching import similarities
 from docloom.llm.language_id import known_language
-from docloom.operators import dictionary, scoring, validation
+from docloom.operators import chunks, dictionary, responses, scoring, validation
 from docloom.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -85,3 +85,28 @@ def test_languages_take_texts_alone_to_python(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     plan = plan_of(spark, known_language(spark, docs))
     assert "MapInArrow" not in plan and plan.count("ArrowEvalPython [judged(text)]") == 1
+
+
+def test_segments_window_holds_no_texts(spark):
+    headers = spark.createDataFrame([(1, "f", 1, 0, "a", 0, 1), (1, "f", 2, 1, "b", 6, 7)], "doc_id long, format string, question_id int, page int, text string, char_start long, char_end long")
+    cut = chunks.segments(spark.createDataFrame([(1, "1. ab\n2. cd\n\n")], "doc_id long, full_text string"), headers)
+    assert [(r["ord"], r["text"]) for r in cut.orderBy("ord").collect()] == [(1, "1. ab"), (2, "2. cd")]
+    plan = plan_of(spark, cut)
+    assert plan.index("Join") < plan.index("Window")  # the join stands above
+
+
+def test_truncation_as_a_fold_over_characters(spark):
+    def folded(text):
+        depth, quoted, escaped = 0, False, False
+        for c in text:
+            if not quoted:
+                depth += (c in "{[") - (c in "}]")
+            now = quoted and not escaped and c == "\\"
+            quoted, escaped = quoted != (c == '"' and not escaped), now
+        return depth != 0 or quoted or not re.search(r"[}\]]\Z", text.strip())
+
+    r = random.Random(8)
+    texts = ["".join(r.choice('{}[]"\\a\n😀') for _ in range(r.randrange(14))) for _ in range(4000)] + ['{"' + '\\"' * 200_000 + '"}', '{"' + '\\"' * 200_000 + "}"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", responses.is_truncated(F.col("t")).alias("cut")).collect()
+    assert [x["t"] for x in got if x["cut"] != folded(x["t"])] == []
+    assert spark.range(1).select(responses.is_truncated(F.lit(None).cast("string"))).first()[0] is None
