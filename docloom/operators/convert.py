@@ -42,9 +42,12 @@ def prompt(values: dict[str, Column], template: str = TEMPLATE) -> Column:
 
 
 def prompts(made: DataFrame, hinted: DataFrame, template: str = TEMPLATE) -> DataFrame:
-    """doc_id, chunk_id, prompt of every chunk."""
-    rows = with_text_metrics(made.select("doc_id", "chunk_id", "text")).select("doc_id", "chunk_id", "text", "broken_char_ratio", "excessive_space_ratio")
-    rows = rows.join(hinted, ["doc_id", "chunk_id"])
+    """doc_id, chunk_id, prompt of every chunk; its text is measured unless `made` has the measures."""
+    measured = "broken_char_ratio" in made.columns
+    # Measured after the join, and the columns in made's order: so the texts' shuffle is the one that hints() has too.
+    used = ("doc_id", "chunk_id", "text", *(("broken_char_ratio", "excessive_space_ratio") if measured else ()))
+    rows = made.select(*[c for c in made.columns if c in used]).join(hinted, ["doc_id", "chunk_id"])
+    rows = rows if measured else with_text_metrics(rows)
     percent = lambda c: F.round(F.col(c) * 100, 1).cast("string")
     special = F.array_join(F.transform("special_blocks", lambda b: F.concat(b["location"], F.lit(": "), b["type"])), ", ")
     described = F.to_json(F.struct("q_start", "q_end", "pattern", "symbol", "options_per_question", "marker", "special_blocks", "pages"), {"pretty": "true"})

@@ -157,7 +157,8 @@ def l5_converted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents from blocks to checked questions, by the deterministic converter."""
     made, hinted = dry_run(_exam(spark, sf_dir))
     fixed = dictionary.pre_correct(made, WORDS).drop("text").withColumnRenamed("corrected_text", "text")
-    answers = convert.convert(convert.prompts(fixed, hinted), convert.marked_converter)
+    # Measured here, so that no task has this beside converter and parser.
+    answers = convert.convert(convert.prompts(with_text_metrics(fixed), hinted), convert.marked_converter)
     keyed = answers.withColumn("key", F.concat_ws("/", "doc_id", "chunk_id"))
     parsed = responses.parse_answers(keyed, key="key")
     each = parsed.select(F.col("key").alias("chunk_id"), F.posexplode("questions").alias("pos", "q")).select("chunk_id", "pos", "q.*")

@@ -87,6 +87,13 @@ def test_languages_take_texts_alone_to_python(spark):
     assert "MapInArrow" not in plan and plan.count("ArrowEvalPython [judged(text)]") == 1
 
 
+@pytest.mark.skipif(not os.path.exists(SF), reason="needs the driver's tables")
+def test_prompts_shuffle_the_blocks_and_the_chunks_once(spark):
+    plan = plan_of(spark, QUERIES["l1_prompts"](spark, SF))
+    assert len(re.findall(r"[^d]Exchange hashpartitioning\(doc_id, \d+\)[^\n]*\n[^\n]*Project \[doc_id, block_id[^\n]* text", plan)) == 1
+    assert re.search(r"ReusedExchange \[doc_id, text, chunk_id\]", plan)
+
+
 def test_segments_window_holds_no_texts(spark):
     headers = spark.createDataFrame([(1, "f", 1, 0, "a", 0, 1), (1, "f", 2, 1, "b", 6, 7)], "doc_id long, format string, question_id int, page int, text string, char_start long, char_end long")
     cut = chunks.segments(spark.createDataFrame([(1, "1. ab\n2. cd\n\n")], "doc_id long, full_text string"), headers)
