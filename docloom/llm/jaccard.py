@@ -15,9 +15,10 @@ is its leader, and a document's first leader is the smallest of its keys' leader
 
 1. Each document goes to the tree of its first leader, once. A leader with too many documents for one task has several
    trees, each with the leader in it. Most families are done with that: all holders of their keys met in one tree.
-2. What is left are keys whose holders didn't all meet, and aren't in one component by what was found. For each leader of
-   such keys, the holders outside the most frequent component meet all holders, in blocks of bounded size. Components
-   known so far aren't verified again. No step follows candidates of candidates.
+2. What is left are keys whose holders didn't all meet, and aren't in one component by what was found. Their holders are
+   keyed anew, by the rarest of their own shingles (`rare_stars`), which near copies that just don't link seldom share. For
+   each leader of such keys, the holders outside the most frequent component meet all holders, in blocks of bounded size.
+   Components known so far aren't verified again. No step follows candidates of candidates.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docloom.llm.graph import components
@@ -290,6 +291,51 @@ def tree_links(rows: DataFrame, width: int, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "u long, v long")
 
 
+def shingle_rows(rows: DataFrame, width: int) -> DataFrame:
+    """a, b, doc_id, known, n, shingle from rows (doc_id, a, b, known, text): each shingle of a set (a, b) once.
+
+    Rows whose text hasn't the set are passed over, as are further texts with it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            for p, q in text_chunks(pc.binary_length(batch.column(4)).to_pylist()):
+                rows = batch.slice(p, q - p)
+                hashes, first = shingle_sets(words_of(rows.column(4).cast(pa.binary()).to_pylist(), BETWEEN_BLANKS), width)
+                sets = [x.view(np.int64) for x in set_hashes(hashes, first)]
+                own = (sets[0] == rows.column(1).to_numpy()) & (sets[1] == rows.column(2).to_numpy())
+                for i in np.flatnonzero(own).tolist():
+                    own[i], last = (sets[0][i], sets[1][i]) != last, (sets[0][i], sets[1][i])
+                sizes = np.diff(first)
+                named = [np.repeat(x[own], sizes[own]) for x in (*sets, rows.column(0).to_numpy(), rows.column(3).to_numpy(), sizes)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*named, hashes[np.repeat(own, sizes)].view(np.int64))], ["a", "b", "doc_id", "known", "n", "shingle"])
+
+    dealt = rows.select("doc_id", "a", "b", "known", "text").repartition("a", "b").sortWithinPartitions("a", "b")
+    return dealt.mapInArrow(run, "a long, b long, doc_id long, known long, n long, shingle long")
+
+
+def rare_stars(work: Workspace, rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """u, v, label from rows (doc_id, a, b, known, text): the holders v, of components `label`, of the keys with leader u.
+
+    Keys are shingles. All shingles are put in one order: those of a single component first, then from rare to frequent.
+    Sets of n and m >= n shingles that link have 2 * n * t / (100 + t) in common at least, and m * t / 100. So the first one they
+    share stands so early in both that this many still follow, itself included. A shingle is a key if it stands so early in a
+    set as in the smaller of two, and in sets of another component as in the larger. One of a single component links no two.
+    """
+    each = work.write(shingle_rows(rows, width), "shingles")
+    spread = each.groupBy("shingle").agg(F.count("*").alias("sets"), F.min("known").alias("k0"), F.max("known").alias("k1")).filter("k0 < k1")
+    of_set = Window.partitionBy("a", "b")
+    alone = F.col("n") - F.count("*").over(of_set)
+    placed = each.join(spread.select("shingle", "sets"), "shingle").withColumn("place", alone + F.row_number().over(of_set.orderBy("sets", "shingle")))
+    upto = lambda share, whole: F.expr(f"n - ({share} * n + {whole - 1}) div {whole} + 1")
+    early = placed.filter(F.col("place") <= upto(percent, 100)).select("shingle", "doc_id", "known", (F.col("place") <= upto(2 * percent, 100 + percent)).alias("smaller"))
+    early = work.write(early, "early")
+    keys = early.groupBy("shingle").agg(F.min("doc_id").alias("u"), F.min("known").alias("k0"), F.max("known").alias("k1"), F.max("smaller").alias("smaller"))
+    keys = keys.filter("k0 < k1 and smaller").select("shingle", "u")
+    return early.join(keys, "shingle").select("u", F.col("doc_id").alias("v"), F.col("known").alias("label")).distinct()
+
+
 def jaccard_components(
     spark: SparkSession, documents: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, group_rows: int = 256, group_shingles: int = 2_000_000,
     sample_docs: int = 4000,
@@ -322,10 +368,14 @@ def jaccard_components(
 
     left = work.write(_unmet(stars, firsts, sizes, labels), "unmet")
     if not left.isEmpty():
-        blocks = work.write(_blocks(left, group_rows).join(classes.select(F.col("rep").alias("doc_id"), "a", "b"), "doc_id"), "blocks")
+        named = classes.select(F.col("rep").alias("doc_id"), "a", "b")
+        again = work.write(left.select(F.col("v").alias("doc_id"), F.col("label").alias("known")).distinct().join(named, "doc_id"), "again")
+        left = work.write(rare_stars(work, _texts(docs, again), width, percent), "rare")
+        work.drop("again", "shingles", "early")
+        blocks = work.write(_blocks(left, group_rows).join(named, "doc_id"), "blocks")
         links = links.unionByName(work.write(tree_links(_texts(docs, blocks), width, percent), "more-links"))
         labels = components(work, links, "all")
-    work.drop("keys", "held", "stars", "firsts", "sizes", "placed", "unmet", "blocks")
+    work.drop("keys", "held", "stars", "firsts", "sizes", "placed", "unmet", "rare", "blocks")
 
     named = _with_label(classes.select("a", "b", F.col("rep").alias("doc_id")), labels).select("a", "b", F.col("doc_id").alias("rep"), "label")
     out = sets.drop("keys", "new").join(named, ["a", "b"], "left")

@@ -280,6 +280,34 @@ def test_jaccard_one_family_with_bridges(spark):
     assert out == quick_components(rows)
 
 
+def test_jaccard_family_that_just_does_not_link(spark, monkeypatch):
+    """Copies of an absent text, too far from each other to link, and a near copy of every tenth: few need to be compared once more."""
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(120)]
+    rows = {}
+    for k in range(400):
+        own = list(base)
+        for at in (10, 50, 90):
+            own[at + rng.randrange(20)] = f"x{k}y{at}"
+        rows[len(rows)] = " ".join(own)
+        if k % 10 == 0:
+            rows[len(rows)] = " ".join([*own[:-1], f"z{k}"])
+    compared, blocks = [], jaccard._blocks
+
+    def counted(left, group_rows):
+        out = blocks(left, group_rows)
+        compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "_blocks", counted)
+    twice = list(rows.items()) + list(rows.items())[::3]  # rows that repeat a doc_id and its text
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(twice, 5), "doc_id long, text string")
+    out = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(spark, docs, group_rows=20).collect()]
+    want = quick_components(rows)
+    assert len(out) == len(twice) and all(want[i] == (n, c) for i, n, c in out) and len({c for _, c in want.values()}) == 400
+    assert len(compared) == 1 and compared[0] <= 2 * len(rows)
+
+
 def quick_components(texts: dict, percent: int = 85) -> dict:
     """As brute_components, all pairs at once by a matrix product of the shingles' incidence."""
     names, ids = {}, sorted(texts)
