@@ -15,10 +15,10 @@ is its leader, and a document's first leader is the smallest of its keys' leader
 
 1. Each document goes to the tree of its first leader, once. A leader with too many documents for one task has several
    trees, each with the leader in it. Most families are done with that: all holders of their keys met in one tree.
-2. What is left are keys whose holders didn't all meet, and aren't in one component by what was found. Their holders are
-   keyed anew, by the rarest of their own shingles (`rare_stars`), which near copies that just don't link seldom share. For
-   each leader of such keys, the holders outside the most frequent component meet all holders, in blocks of bounded size.
-   Components known so far aren't verified again. No step follows candidates of candidates.
+2. What is left are keys whose holders didn't all meet, and aren't in one component by what was found. Where a leader's are
+   more than a block takes, they are keyed anew, by the rarest of their own shingles (`rare_stars`), which near copies that
+   just don't link seldom share. For each leader of such keys, the holders outside the most frequent component meet all
+   holders, in blocks of bounded size. Components known so far aren't verified again. No step follows candidates of candidates.
 """
 
 from __future__ import annotations
@@ -369,13 +369,18 @@ def jaccard_components(
     left = work.write(_unmet(stars, firsts, sizes, labels), "unmet")
     if not left.isEmpty():
         named = classes.select(F.col("rep").alias("doc_id"), "a", "b")
-        again = work.write(left.select(F.col("v").alias("doc_id"), F.col("label").alias("known")).distinct().join(named, "doc_id"), "again")
-        left = work.write(rare_stars(work, _texts(docs, again), width, percent), "rare")
-        work.drop("again", "shingles", "early")
+        # Holders that one block takes meet there; only of larger stars the shingles are worth a shuffle.
+        large = work.write(left.groupBy("u").count().filter(F.col("count") > group_rows).select("u"), "large")
+        if not large.isEmpty():
+            again = left.join(large, "u", "left_semi").select(F.col("v").alias("doc_id"), F.col("label").alias("known")).distinct()
+            again = work.write(again.join(named, "doc_id"), "again")
+            rare = rare_stars(work, _texts(docs, again), width, percent)
+            left = work.write(left.join(large, "u", "left_anti").unionByName(rare).distinct(), "rare")
+            work.drop("again", "shingles", "early")
         blocks = work.write(_blocks(left, group_rows).join(named, "doc_id"), "blocks")
         links = links.unionByName(work.write(tree_links(_texts(docs, blocks), width, percent), "more-links"))
         labels = components(work, links, "all")
-    work.drop("keys", "held", "stars", "firsts", "sizes", "placed", "unmet", "rare", "blocks")
+    work.drop("keys", "held", "stars", "firsts", "sizes", "placed", "unmet", "large", "rare", "blocks")
 
     named = _with_label(classes.select("a", "b", F.col("rep").alias("doc_id")), labels).select("a", "b", F.col("doc_id").alias("rep"), "label")
     out = sets.drop("keys", "new").join(named, ["a", "b"], "left")
