@@ -95,7 +95,11 @@ class Scanner:
         """(start, stop, place in the index) by start: patterns in the index's order, each left to right without overlapping itself."""
         if not self.index:
             return []
-        found = sorted((k, end + 1) for end, k in self.automaton.iter(text))
+        found = [(k, end + 1) for end, k in self.automaton.iter(text)]
+        if len(found) == 1:
+            k, stop = found[0]
+            return [(stop - len(self.index[k][1]), stop, k)]
+        found.sort()
         taken, kept, pattern, free = bytearray(len(text)) if found else b"", [], -1, 0
         for k, stop in found:
             n = len(self.index[k][1])
@@ -269,14 +273,14 @@ def validate_terms(rows: DataFrame, terms: Terms | DataFrame = SHIPPED, term_col
 
 def question_fields(questions: DataFrame, wanted: Callable[[Column], Column] | None = None) -> DataFrame:
     """chunk_id, pos, id, field, value: a question's text, then each option's text and explanation; of these the values wanted (all, if not given)."""
-    own = F.array(F.struct(F.lit(None).cast("string").alias("num"), F.lit("text").alias("kind"), F.coalesce("text", F.lit("")).alias("value")))
-    part = lambda o, kind: F.struct(F.coalesce(o["num"].cast("string"), F.lit("")).alias("num"), F.lit(kind).alias("kind"), F.coalesce(o[kind], F.lit("")).alias("value"))
-    options = F.flatten(F.transform(F.coalesce("options", F.expr("array()")), lambda o: F.array(part(o, "text"), part(o, "explanation"))))
-    fields = F.concat(own, options)
+    each = questions.select("chunk_id", "pos", "id", "text", F.posexplode_outer("options").alias("k", "o"))
+    # Exploded before anything is looked at, so that Spark compiles it all; with its first option comes the question's own text.
+    field = lambda num, kind, there, value: F.struct(num.alias("num"), F.lit(kind).alias("kind"), F.when(there, F.coalesce(value, F.lit(""))).alias("value"))
+    own = field(F.lit(None).cast("string"), "text", F.coalesce("k", F.lit(0)) == 0, F.col("text"))
+    parts = [field(F.coalesce(F.col("o.num").cast("string"), F.lit("")), kind, F.col("k").isNotNull(), F.col(f"o.{kind}")) for kind in ("text", "explanation")]
+    each = each.select("chunk_id", "pos", "id", F.explode(F.array(own, *parts)).alias("f")).filter("f.value is not null")
     if wanted is not None:
-        fields = F.filter(fields, lambda f: wanted(f["value"]))
-    # An outer explode, since an inner one would have the array worked out twice.
-    each = questions.select("chunk_id", "pos", "id", F.explode_outer(fields).alias("f")).filter("f is not null")
+        each = each.filter(wanted(F.col("f.value")))
     name = F.when(F.col("f.num").isNull(), F.col("f.kind")).otherwise(F.concat(F.lit("option_"), F.col("f.num"), F.lit("_"), F.col("f.kind")))
     return each.select("chunk_id", "pos", "id", name.alias("field"), "f.value")
 

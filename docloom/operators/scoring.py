@@ -30,7 +30,7 @@ def confidence(chunk_ids: DataFrame, issues: DataFrame) -> DataFrame:
     counts = [_number(issues, bucket() == name).alias(name) for name, _ in WEIGHTS]
     warnings = _number(issues, (F.col("source") == "structure") & (F.col("severity") == "WARNING")).alias("_warnings")
     found = issues.groupBy("chunk_id").agg(*counts, warnings)
-    rows = chunk_ids.select("chunk_id").join(found, "chunk_id", "left").fillna(0)
+    rows = chunk_ids.select("chunk_id").join(found, "chunk_id", "left").fillna(0, [c for c in found.columns if c != "chunk_id"])
     cost = sum((F.round(F.col(name) * weight, 4) for name, weight in WEIGHTS), F.lit(0.0))
     rows = rows.withColumn("score", F.greatest(F.lit(0.0), F.round(1.0 - cost, 4)))
     return rows.select(

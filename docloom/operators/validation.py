@@ -8,7 +8,7 @@ schema.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions.batches import slices
 from docloom.functions.matching import similarities
-from docloom.functions.text import strip
+from docloom.functions.text import SPACES, strip
 from docloom.operators.dictionary import SHIPPED, Terms, absent_words, term_issues
 from docloom.operators.responses import SAME
 
@@ -42,8 +42,10 @@ def _if(found: Column, issue: Column) -> Column:
 
 def issues(rows: DataFrame, *checks: Column) -> DataFrame:
     """A row per issue that the checks find in the rows (chunk_id, ...)."""
+    # A projection of its own, where Spark works out what checks have in common once.
+    found = rows.select("chunk_id", F.concat(*checks).alias("found"))
     # An inner explode would have the whole array worked out a second time, for a filter of empty ones before it.
-    each = rows.select("chunk_id", F.explode_outer(F.concat(*checks)).alias("i")).filter("i is not null")
+    each = found.select("chunk_id", F.explode_outer("found").alias("i")).filter("i is not null")
     return each.select(
         "chunk_id", "i.source", "i.issue_type", "i.severity", "i.question_id", "i.pos", F.lit("").alias("location"), "i.option_num", F.lit("").alias("term"), F.lit("").alias("suggestion"), "i.detail",
     )
@@ -54,7 +56,20 @@ def _options() -> Column:
 
 
 def _blank(x: Column) -> Column:
-    return strip(F.coalesce(x, F.lit(""))) == ""
+    return F.ltrim(F.coalesce(x, F.lit("")), F.lit(SPACES)) == ""
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """The array use(value), the value worked out once however often it is used; empty for a null value."""
+    return F.flatten(F.transform(F.array_compact(F.array(value)), use))
+
+
+def dealt(questions: DataFrame) -> DataFrame:
+    """The same rows, dealt by chunk: whatever checks and sheets read them, they are made and shuffled once, and what goes by chunk_id then needs no further shuffle."""
+    # As one column, since Spark would shuffle them once for each choice of columns.
+    rest = F.struct(*[c for c in questions.columns if c != "chunk_id"])
+    packed = questions.select("chunk_id", F.array(rest).alias("q")).repartition("chunk_id")
+    return packed.select("chunk_id", F.inline_outer("q")).select(*questions.columns)
 
 
 def repeated_ids() -> Column:
@@ -77,10 +92,9 @@ def option_counts(expected: Column) -> Column:
 
 def repeated_option_texts() -> Column:
     """One issue per text that several options of a question share; empty ones and `동일` aside."""
-    texts = F.array_sort(F.transform(_options(), lambda o: strip(F.coalesce(o["text"], F.lit("")))))
-    # In a sorted list a text's second place follows its first: the list against itself without its first.
-    pairs = F.arrays_zip(texts.alias("a"), F.slice(texts, 2, F.greatest(F.size(texts), F.lit(1))).alias("b"))
-    again = F.transform(F.filter(pairs, lambda p: (p["a"] == p["b"]) & (p["a"] != "") & (p["a"] != SAME)), lambda p: p["a"])
+    texts = F.sort_array(F.transform(_options(), lambda o: strip(F.coalesce(o["text"], F.lit("")))))
+    # In a sorted list a text's second place follows its first.
+    again = _with(texts, lambda s: F.filter(s, lambda t, i: (i > 0) & (t == F.get(s, i - 1)) & (t != "") & (t != SAME)))
     return F.transform(F.array_distinct(again), lambda t: _issue("structure", "TEXT_DUPLICATED", "WARNING", F.substring(t, 1, 30)))
 
 
@@ -92,7 +106,8 @@ def answer_values(raw: str = "correct") -> Column:
 
 
 def answer_counts() -> Column:
-    right = F.size(F.filter(_options(), lambda o: F.coalesce(o["correct"].cast("string"), F.lit("")) == "true"))
+    values = _options()["correct"].cast("array<string>")
+    right = F.size(values) - F.size(F.array_remove(values, "true"))
     none, many = _issue("structure", "NO_CORRECT_ANSWER", "ERROR", F.lit(0)), _issue("structure", "MULTIPLE_CORRECT_ANSWERS", "WARNING", right)
     return F.array_compact(F.array(F.when(right == 0, none).when(right > 1, many)))
 
@@ -125,13 +140,14 @@ def structure_issues(questions: DataFrame, expected: Column | None = None) -> Da
 
 def result_text() -> Column:
     """A question's text, option texts and explanations, without the empty ones, one blank between."""
-    options = F.flatten(F.transform(_options(), lambda o: F.array(F.coalesce(o["text"], F.lit("")), F.coalesce(o["explanation"], F.lit("")))))
-    return F.array_join(F.filter(F.concat(F.array(F.coalesce("text", F.lit(""))), options), lambda x: x != ""), " ")
+    full = lambda x: F.nullif(x, F.lit(""))
+    options = F.transform(_options(), lambda o: full(F.concat_ws(" ", full(o["text"]), full(o["explanation"]))))
+    return F.array_join(F.concat(F.array(full(F.col("text"))), options), " ")
 
 
 def compared(questions: DataFrame, originals: DataFrame) -> DataFrame:
     """chunk_id, original, result, n_options: one row per original (chunk_id, original); a chunk has few questions."""
-    ordered = F.array_sort(F.collect_list(F.struct("pos", result_text().alias("t"))))
+    ordered = F.sort_array(F.collect_list(F.struct("pos", result_text().alias("t"))))
     made = questions.groupBy("chunk_id").agg(ordered.alias("parts"), F.sum(F.size(_options())).alias("n_options"))
     joined = originals.join(made, "chunk_id", "left")
     result = F.array_join(F.filter(F.transform("parts", lambda p: p["t"]), lambda x: x != ""), " ")
@@ -175,15 +191,15 @@ def lost_keywords() -> Column:
     # Most stand in the result as keywords of its own; only the others may be parts of longer ones.
     lost = absent_words(F.array_except(words, keywords("result")), F.col("result"))
     many = (F.size(words) > 0) & (F.size(lost) / F.size(words) > MOST_LOST)
-    return _whole(many, "KEYWORD_LOSS", "WARNING", F.array_join(F.slice(F.array_sort(lost), 1, 10), ", "))
+    return _whole(many, "KEYWORD_LOSS", "WARNING", F.array_join(F.slice(F.sort_array(lost), 1, 10), ", "))
 
 
 def odd_lengths() -> Column:
     """Options far shorter than the mean of their question's (two options and a mean of ten characters at least)."""
     length = lambda o: F.length(F.coalesce(o["text"], F.lit("")))
-    n, total = F.size(_options()), F.aggregate(_options(), F.lit(0), lambda acc, o: acc + length(o))
-    mean = F.when(n >= 2, total / n).otherwise(0.0)
-    short = F.filter(_options(), lambda o: (mean >= LEAST_MEAN_LENGTH) & (length(o) < SHORT_OPTION * mean))
+    n, total = F.size(_options()), F.length(F.array_join(_options()["text"], ""))
+    mean = F.when((n >= 2) & (total / n >= LEAST_MEAN_LENGTH), total / n)
+    short = _with(mean, lambda m: F.filter(_options(), lambda o: length(o) < SHORT_OPTION * m))
     return F.transform(short, lambda o: _issue("diff", "LENGTH_ANOMALY", "WARNING", length(o), option=o["num"]))
 
 

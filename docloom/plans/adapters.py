@@ -60,7 +60,7 @@ def order_questions(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         F.when(F.col("l_returnflag") == "R", "true").when(F.col("l_partkey") % 29 == 0, "O").otherwise("false").alias("correct"),
         F.col("l_linestatus").alias("explanation"),
     )
-    lines = lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(o)).alias("o"))
+    lines = lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sort_array(F.collect_list(o)).alias("o"))
     rows = orders.join(lines, "o_orderkey", "left")
     options = F.transform(F.coalesce("o", F.expr("array()")), lambda x: F.struct(x["num"].alias("num"), x["text"].alias("text"), x["correct"].alias("correct"), x["explanation"].alias("explanation")))
     return rows.select(

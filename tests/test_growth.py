@@ -3,7 +3,9 @@
 import os
 import random
 import re
+import time
 import tracemalloc
+from collections import Counter
 
 import pyarrow as pa
 import pytest
@@ -75,6 +77,81 @@ def test_scores_and_breakdown_share_one_run_of_the_checks(spark, name):
     assert re.search(r"ReusedExchange \[chunk_id, source, issue_type, severity", plan_of(spark, QUERIES[name](spark, SF)))
 
 
+@pytest.mark.skipif(not os.path.exists(SF), reason="needs the driver's tables")
+@pytest.mark.parametrize(("name", "times"), [("x1_option_rows", 1), ("x1_whole_option_rows", 1), ("x3_whole_review_rows", 1), ("k2_whole_deductions", 2)])
+def test_questions_are_made_once_for_all_checks_and_rows(spark, name, times):
+    """Orders meet their lines once, or twice where issues of null chunks are asked for, which the join with the originals leaves out; further readers take the shuffle by chunk."""
+    frame = QUERIES[name](spark, SF)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = frame.select("*")._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(re.findall(r"Left keys \[1\]: \[o_orderkey#", plan)) == times
+
+
+def test_chunks_without_a_name_are_no_chunk_zero(spark):
+    ids = spark.createDataFrame([(0,), (None,)], "chunk_id long")
+    issues = spark.createDataFrame([(0, "diff", "ERROR"), (None, "diff", "ERROR")], "chunk_id long, source string, severity string")
+    scores = sorted(tuple(r) for r in scoring.confidence(ids, issues).filter("chunk_id is not null").select("chunk_id", "score").collect())
+    assert scores == [(0, 0.7)] and scoring.confidence(ids, issues).count() == 2
+
+
+def test_odd_lengths_of_very_many_options(spark):
+    n = 20_000
+    rows = spark.range(1).select(F.lit("c").alias("chunk_id"), F.lit(0).alias("pos"), F.lit(1).alias("id"), F.transform(F.sequence(F.lit(1), F.lit(n)), lambda k: F.struct(k.cast("string").alias("num"), F.when(k % 1000 > 0, F.lit("twelve chars")).otherwise("ab").alias("text"))).alias("options"))
+    began = time.time()
+    assert sorted(int(r["option_num"]) for r in validation.issues(rows, validation.odd_lengths()).collect()) == list(range(1000, n + 1, 1000))
+    assert time.time() - began < 10
+
+
+def test_checks_by_plain_python(spark):
+    """Random questions with nulls, blanks and repetitions, dealt by chunk or not."""
+    r = random.Random(6)
+    texts = [None, "", " ", "\u3000", "a", " a", "RF", "동일", "an optoin of part", "a longer option of part 7", "art"]
+    option = lambda: (r.choice([None, "", "\t", "1", "2"]), r.choice(texts), r.choice([None, "true", "false", "O"]), r.choice([None, "", "x", "RF art"]))
+    rows = [(r.choice([1, 2, None]), i, r.randrange(9), r.choice(texts), r.choice([None, [], [option() for _ in range(r.randrange(7))]])) for i in range(300)]
+    made = spark.createDataFrame(rows, "chunk_id long, pos int, id long, text string, options array<struct<num: string, text: string, correct: string, explanation: string>>")
+    want, results = Counter(), {}
+    for chunk, pos, _, text, options in rows:
+        options = options or []
+        held, values = [(t or "").strip() for _, t, _, _ in options], [c or "" for _, _, c, _ in options]
+        add = lambda kind, detail, num="": want.update([(chunk, pos, kind, str(detail), num or "")])  # noqa: B023, E731
+        for t in {t for t in held if held.count(t) > 1 and t not in ("", "동일")}:
+            add("TEXT_DUPLICATED", t)
+        if values.count("true") != 1:
+            add("MULTIPLE_CORRECT_ANSWERS" if "true" in values else "NO_CORRECT_ANSWER", values.count("true"))
+        if not (text or "").strip():
+            add("EMPTY_QUESTION_TEXT", "")
+        if not options:
+            add("EMPTY_OPTIONS", "")
+        mean = sum(len(t or "") for _, t, _, _ in options) / len(options) if len(options) > 1 else 0
+        for (num, t, _, _), value in zip(options, values, strict=True):
+            if value not in ("true", "false"):
+                add("INVALID_CORRECT_VALUE", value, num)
+            if not (num or "").strip():
+                add("EMPTY_OPTION_NUM", "", num)
+            if not (t or "").strip():
+                add("EMPTY_OPTION_TEXT", "", num)
+            if mean >= 10 and len(t or "") < 0.3 * mean:
+                add("LENGTH_ANOMALY", len(t or ""), num)
+        results.setdefault(chunk, []).append((pos, " ".join(x for x in [text, *[y for o in options for y in (o[1], o[3])]] if x)))
+    fields = Counter()
+    for chunk, pos, _, text, options in rows:
+        for name, value in [("text", text), *[(f"option_{o[0] or ''}_{kind}", o[k]) for o in options or [] for kind, k in (("text", 1), ("explanation", 3))]]:
+            fields[chunk, pos, name, value or ""] += 1
+    for questions in (made, validation.dealt(made)):
+        found = validation.issues(questions, *validation.question_checks(), validation.odd_lengths()).collect()
+        assert Counter((x["chunk_id"], x["pos"], x["issue_type"], x["detail"], x["option_num"]) for x in found) == want
+        got = dictionary.question_fields(questions).collect()
+        assert Counter((x["chunk_id"], x["pos"], x["field"], x["value"]) for x in got) == fields
+        hits = dictionary.question_fields(questions, lambda v: F.contains(v, F.lit("art"))).collect()
+        assert Counter((x["chunk_id"], x["pos"], x["field"], x["value"]) for x in hits) == Counter({k: n for k, n in fields.items() if "art" in k[3]})
+        pairs = validation.compared(questions, spark.createDataFrame([(1, "o"), (2, "o"), (3, "o")], "chunk_id long, original string")).collect()
+        assert {x["chunk_id"]: x["result"] for x in pairs} == {c: " ".join(t for _, t in sorted(results.get(c, [])) if t) for c in (1, 2, 3)}
+        assert sorted(map(repr, questions.collect())) == sorted(map(repr, made.collect()))
+
+
 @pytest.mark.skipif(not os.path.exists(SF), reason="needs the driver's tables")
 def test_texts_are_scanned_once_for_the_log(spark):
     assert plan_of(spark, QUERIES["d3_term_scan"](spark, SF)).count("ArrowEvalPython") == 1
